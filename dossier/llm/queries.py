@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, quality, urls, warc
+from . import chat, decontam, quality, urls, warc
 from .common import table
 
 QUALITY_SQL = r"""
@@ -32,6 +32,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents")).drop("rejected_by")  # its order depends on timings
 
@@ -49,8 +53,23 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_url_filters": op10_url_filters,
 }
-SQL = {"op1_warc": warc.SQL, "op5_quality_rules": QUALITY_SQL, "op10_url_filters": urls.SQL}
+DECONTAM_SQL = r"""
+with dw as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+iw as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark),
+g as (select item_id, least(10, len(ws)) as n, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') as gram
+      from (select item_id, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) as i from iw where len(ws) > 0)),
+x as (select distinct * from g), ns as (select distinct n from x),
+dg as (select doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') as gram from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i from dw, ns where len(ws) >= n)),
+m as (select doc_id, item_id, i, x.n from dg join x using (n, gram)),
+hw as (select doc_id, count(distinct w) as n_hit from (select doc_id, unnest(range(i, i + n)) as w from m) group by doc_id),
+hi as (select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids from (select distinct doc_id, item_id from m) group by doc_id)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from dw left join hw using (doc_id) left join hi using (doc_id)
+"""
+
+SQL = {"op4_decontamination": DECONTAM_SQL, "op1_warc": warc.SQL, "op5_quality_rules": QUALITY_SQL, "op10_url_filters": urls.SQL}
