@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontam, quality, urls, warc
+from . import chat, decontam, langid, quality, urls, warc
 from .common import table
 
 QUALITY_SQL = r"""
@@ -32,6 +33,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", langid.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "text", "lang")
+    model = langid.train(d.where("not held_out"))
+    return langid.identify(d.select("doc_id", "held_out", "text"), model)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -53,6 +60,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_language_id": op2_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
