@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, quality, urls, warc
+from . import chat, crf, decontam, langid, quality, urls, warc
 from .common import table
 
 QUALITY_SQL = r"""
@@ -47,6 +47,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents")).drop("rejected_by")  # its order depends on timings
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    field = crf.train(d.where("not held_out").join(labels, "doc_id"))
+    scored = crf.score(d, field)
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "<|im_end|><|im_start|>assistant ok"
     more = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
@@ -63,6 +71,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_classifier": op6_quality_classifier,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_url_filters": op10_url_filters,
 }
