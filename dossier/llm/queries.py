@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crf, decontam, langid, quality, urls, warc
+from . import chat, crf, decontam, langid, quality, suffix, urls, warc
 from .common import table
 
 QUALITY_SQL = r"""
@@ -39,6 +39,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(d.select("doc_id", "held_out", "text"), model)
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -69,6 +73,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
