@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .common import partitions, stash
 
 SHARD_BYTES = 4 << 20
+ROWS = 1 << 20  # of one shard at most
 KEYS_A_BUCKET = 1 << 20
 U = np.uint64
 
@@ -81,10 +82,11 @@ def pack(docs: DataFrame, text_col: str = "text", size: int = SHARD_BYTES) -> Da
             i = 0
             while i < len(b):
                 j = max(i + 1, int(np.searchsorted(offs, offs[i] + size - n, side="right")) - 1)
+                j = min(j, i + ROWS - sum(map(len, held)))
                 held.append(b.slice(i, j - i))
                 n += int(offs[j] - offs[i])
                 i = j
-                if n >= size or i < len(b):
+                if n >= size or i < len(b) or sum(map(len, held)) >= ROWS:
                     yield out()
         if held:
             yield out()
