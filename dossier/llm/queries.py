@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crf, decontam, langid, near, quality, suffix, urls, warc
+from . import chat, crf, decontam, langid, near, packing, quality, suffix, urls, warc
 from .common import table
 
 QUALITY_SQL = r"""
@@ -59,6 +59,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -81,6 +85,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_url_filters": op10_url_filters,
