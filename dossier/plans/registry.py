@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-MODULES: list = []
+from . import filings
+
+MODULES: list = [filings]
 
 
 def queries() -> dict:
