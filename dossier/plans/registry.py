@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import filings
+from . import filings, paging
 
-MODULES: list = [filings]
+MODULES: list = [filings, paging]
 
 
 def queries() -> dict:
