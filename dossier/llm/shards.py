@@ -115,7 +115,7 @@ KEYS = "bucket int, sid string, keys binary, vals binary"
 
 def key_rows(sid: str, keys: np.ndarray, vals: np.ndarray, bits: int, buckets: int) -> pa.RecordBatch:
     """The rows (bucket, sid, keys, vals) of one shard's sorted unique keys below 2^bits."""
-    span = U(max(1, -(-(1 << bits) // buckets)))
+    span = span_of(bits, buckets)
     which = (keys // span).astype(np.int64)
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(which)) + 1, [len(which)]]) if len(which) else np.zeros(1, np.int64)
     out = ([], [], [], [])
@@ -128,16 +128,16 @@ def key_rows(sid: str, keys: np.ndarray, vals: np.ndarray, bits: int, buckets: i
     return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.string()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())], ["bucket", "sid", "keys", "vals"])
 
 
-def exchange(rows: DataFrame, bits: int, buckets: int, val_type, answer: Callable[[list[np.ndarray], list[np.ndarray]], list[np.ndarray]]) -> DataFrame:
+def exchange(rows: DataFrame, val_type, answer: Callable[[list[np.ndarray], list[np.ndarray]], list[np.ndarray]]) -> DataFrame:
     """(sid, answers): answers holds (bucket, blob) with `answer`'s array for the shard's keys in that bucket.
 
-    answer gets the sorted key runs and value arrays of all shards in one bucket.
+    answer gets the sorted key runs (as offsets in the bucket) and the value arrays of all shards in one bucket.
     """
     name = np.dtype(val_type).str
 
     def run(t: pa.Table) -> pa.Table:
         bucket = t.column("bucket")[0].as_py()
-        keys = [np.cumsum(expand(x, U), dtype=U) for x in t.column("keys").to_pylist()]  # offsets in the bucket
+        keys = [np.cumsum(expand(x, U), dtype=U) for x in t.column("keys").to_pylist()]
         vals = [expand(x, np.dtype(name)) for x in t.column("vals").to_pylist()]
         got = [squeeze(x) for x in answer(keys, vals)]
         return pa.table({"sid": t.column("sid"), "bucket": pa.array([bucket] * t.num_rows, pa.int32()), "blob": pa.array(got, pa.binary())})
@@ -162,8 +162,13 @@ def sums(keys: list[np.ndarray], vals: list[np.ndarray]) -> list[np.ndarray]:
     return [total[i].astype(np.uint32) for i in at]
 
 
+def shared_keys(keys: list[np.ndarray], vals: list[np.ndarray]) -> list[np.ndarray]:
+    """For each run, as differences, its keys whose values add up to two or more over all runs."""
+    return [np.diff(k[t >= 2], prepend=U(0)) for k, t in zip(keys, sums(keys, vals), strict=True)]
+
+
 def less_elsewhere(keys: list[np.ndarray], vals: list[np.ndarray]) -> list[np.ndarray]:
-    """For each run, whether another run has the key with a smaller value, found by binary search in the merged run."""
+    """For each run, as bits, whether another run has the key with a smaller value, found by binary search in the merged run."""
     u = merged(keys)
     at = [np.searchsorted(u, k) for k in keys]
     least = np.full(len(u), np.iinfo(np.int64).max)
@@ -172,7 +177,29 @@ def less_elsewhere(keys: list[np.ndarray], vals: list[np.ndarray]) -> list[np.nd
     return [np.packbits(least[i] < v) for i, v in zip(at, vals, strict=True)]
 
 
+def span_of(bits: int, buckets: int):
+    """Keys in a bucket."""
+    return U(max(1, -(-(1 << bits) // buckets)))
+
+
+def _parts(found) -> list[tuple[int, bytes]]:
+    return sorted(((x["bucket"], x["blob"]) for x in found or []), key=lambda x: x[0])
+
+
 def answers_of(found, dtype) -> np.ndarray:
     """The answers to one shard's keys, in the order of the keys."""
-    parts = sorted(((x["bucket"], x["blob"]) for x in found or []), key=lambda x: x[0])
+    parts = _parts(found)
     return np.concatenate([expand(b, dtype) for _, b in parts]) if parts else np.zeros(0, dtype)
+
+
+def keys_of(found, bits: int, buckets: int) -> np.ndarray:
+    """The keys that shared_keys answered."""
+    parts = [np.cumsum(expand(b, U), dtype=U) + U(k) * span_of(bits, buckets) for k, b in _parts(found)]
+    return np.concatenate(parts) if parts else np.zeros(0, U)
+
+
+def flags_of(found, keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """The bits that less_elsewhere answered, one for each of the shard's keys."""
+    sizes = np.unique((keys // span_of(bits, buckets)).astype(np.int64), return_counts=True)[1]
+    got = [np.unpackbits(expand(b, np.uint8))[:n] for (_, b), n in zip(_parts(found), sizes, strict=True)]
+    return np.concatenate(got).astype(bool) if got else np.zeros(0, bool)

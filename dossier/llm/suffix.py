@@ -2,6 +2,8 @@
 
 Bytes of a 50-byte string that also starts in a document with a smaller id are removed.
 
+0. A row whose whole text is in a document with a smaller id goes whole and takes no further part; one exchange of the texts'
+   digests finds these.
 1. Shards pick sparse positions: the minimum hash of the 26-byte strings in each 50-byte string. Equal 50-byte strings have
    equal minima, so a string whose minimum occurs in one document only can't repeat; the rest are candidates. The shards'
    minima meet in a key exchange that counts documents.
@@ -196,65 +198,70 @@ def anchor_keys(data, offs, bits: int):
     return k[at], np.where(low != high, 2, 1).astype(np.uint8)
 
 
-def candidate_starts(data, offs, bits: int, keys, totals) -> np.ndarray:
-    """Starts of the SPAN-byte strings whose minimum is in two documents or more."""
-    shared = keys[totals >= 2]
+def candidate_starts(data, offs, bits: int, shared: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """Starts of the SPAN-byte strings of rows not gone whose minimum is among the shared keys."""
     out = []
     for a, part, po in _pieces(data, offs):
         h, m = _minima(part, po)
         if not len(m) or not len(shared):
             continue
-        new = np.concatenate([[True], m[1:] != m[:-1]])
-        at = np.flatnonzero(new)
+        at = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
         k = m[at] >> U(64 - bits)
         i = np.minimum(np.searchsorted(shared, k), len(shared) - 1)
         yes = np.repeat(shared[i] == k, np.diff(np.append(at, len(m))))
         out.append(np.flatnonzero(yes & _inside(offs, a, len(m))) + a)
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.int64)
-
-
-class Classes:
-    """The classes of equal SPAN-byte strings among the candidates of a shard, in the order of their keys."""
-
-    def __init__(self, data, offs, ids, starts, bits: int):
-        self.starts = starts
-        if not len(starts):
-            self.keys, self.least, self.of, self.doc = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-            return
-        text_at = np.flatnonzero(_spread(starts, len(data)))
-        text = data[text_at]
-        place = np.searchsorted(text_at, starts)
-        sa, _ = suffix_array(text)
-        lcp = common_prefixes(text, sa)
-        group = np.cumsum(lcp < SPAN)
-        of_place = np.empty(len(text), np.int64)
-        of_place[sa] = group
-        del sa, lcp, group
-        g = of_place[place]
-        self.doc = ids[np.searchsorted(offs, starts, side="right") - 1]
-        o = _order(g, max(1, int(g.max()).bit_length()))
-        new = np.concatenate([[True], g[o][1:] != g[o][:-1]])
-        at = np.flatnonzero(new)
-        least = np.minimum.reduceat(self.doc[o], at)
-        h = vec.span_hash(vec.prefix(text), place[o[at]], place[o[at]] + SPAN) >> U(64 - bits)
-        by_key = np.argsort(h, kind="stable")
-        self.keys, self.least = h[by_key], least[by_key]
-        back = np.empty(len(at), np.int64)
-        back[by_key] = np.arange(len(at))
-        self.of = np.empty(len(starts), np.int64)
-        self.of[o] = back[np.cumsum(new) - 1]
-        # two classes of one shard with one key (a collision) become one entry
-        same = np.concatenate([[False], self.keys[1:] == self.keys[:-1]])
-        if same.any():
-            entry = np.cumsum(~same) - 1
-            first = np.flatnonzero(~same)
-            self.least = np.minimum.reduceat(self.least, first)
-            self.keys, self.of = self.keys[first], entry[self.of]
-
-    def removed_starts(self, elsewhere: np.ndarray) -> np.ndarray:
-        if not len(self.starts):
-            return self.starts
-        return self.starts[elsewhere[self.of] | (self.least[self.of] < self.doc)]
+    if not out:
+        return np.zeros(0, np.int64)
+    starts = np.unique(np.concatenate(out))
+    return starts[~gone[np.searchsorted(offs, starts, side="right") - 1]]
+
+
+def classes(data, offs, ids, starts, bits: int):
+    """(sorted keys, smallest id) of the classes of equal SPAN-byte strings among the starts, by suffix array."""
+    if not len(starts):
+        return np.zeros(0, U), np.zeros(0, np.int64)
+    text_at = np.flatnonzero(_spread(starts, len(data)))
+    text = data[text_at]
+    place = np.searchsorted(text_at, starts)
+    sa, _ = suffix_array(text)
+    group = np.cumsum(common_prefixes(text, sa) < SPAN)
+    doc = np.zeros(len(text), np.int64)
+    doc[place] = ids[np.searchsorted(offs, starts, side="right") - 1]
+    mark = np.zeros(len(text), bool)
+    mark[place] = True
+    sa, group = sa[mark[sa]], group[mark[sa]]
+    along = doc[sa]  # in suffix order, where a class is a run
+    at = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    least = np.minimum.reduceat(along, at)
+    keys = vec.span_hash(vec.prefix(text), sa[at], sa[at] + SPAN) >> U(64 - bits)
+    o = np.argsort(keys, kind="stable")
+    keys, least = keys[o], least[o]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))  # two classes of one key become one
+    return keys[new], np.minimum.reduceat(least, new)
+
+
+def removed_starts(data, offs, ids, starts, bits: int, flags) -> np.ndarray:
+    """Of the starts, those whose string is in a document with a smaller id; flags: (keys) -> whether in another shard."""
+    if not len(starts):
+        return starts
+    keys = vec.span_hash(vec.prefix(data), starts, starts + SPAN) >> U(64 - bits)
+    doc = ids[np.searchsorted(offs, starts, side="right") - 1]
+    o = np.argsort(keys, kind="stable")
+    new = np.concatenate([[True], keys[o][1:] != keys[o][:-1]])
+    at = np.flatnonzero(new)
+    of = np.empty(len(starts), np.int64)
+    of[o] = np.cumsum(new) - 1
+    least = np.minimum.reduceat(doc[o], at)
+    return starts[flags(keys[o[at]])[of] | (least[of] < doc)]
+
+
+def text_keys(data, offs, ids):
+    """(sorted unique digests of the rows' texts, smallest id of each, digest number of each row)."""
+    d = np.array([int.from_bytes(hashlib.blake2b(data[a:z].tobytes(), digest_size=8).digest(), "little") for a, z in zip(offs[:-1], offs[1:], strict=True)], U)
+    keys, of = np.unique(d, return_inverse=True)
+    least = np.full(len(keys), LAST)
+    np.minimum.at(least, of, ids)
+    return keys, least, of
 
 
 def _spread(starts: np.ndarray, n: int) -> np.ndarray:
@@ -276,45 +283,55 @@ def _read(blob: bytes, id_col: str, text_col: str):
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str):
-    """(shards with both answers, a function of their batches that yields (batch, data, offs, removed byte mask))."""
+    """(shards with all answers, a function of their batches that yields (batch, data, offs, removed byte mask))."""
     packed = shards.pack(docs, text_col)
     total = packed.agg(F.sum("bytes")).first()[0] or 0
     b1, b2 = shards.key_bits(total, 14), shards.key_bits(total, 30)
-    n1, n2 = shards.n_buckets(packed, 0.08), shards.n_buckets(packed, 0.15)
+    n0, n1, n2 = shards.n_buckets(packed, 0.001), shards.n_buckets(packed, 0.08), shards.n_buckets(packed, 0.15)
     s = packed.select("sid", "blob")
 
-    def first(batches):
+    def each(batches, *names):
         for b in batches:
-            for sid, blob in zip(b.column("sid").to_pylist(), b.column("blob"), strict=True):
-                _, data, offs, _ = _read(blob.as_py(), id_col, text_col)
-                yield shards.key_rows(sid, *anchor_keys(data, offs, b1), b1, n1)
+            for row in zip(*[b.column(n) for n in ("sid", "blob", *names)], strict=True):
+                yield [x.as_py() for x in row]
+
+    def whole(batches):
+        for sid, blob in each(batches):
+            _, data, offs, ids = _read(blob, id_col, text_col)
+            yield shards.key_rows(sid, *text_keys(data, offs, ids)[:2], 64, n0)
 
-    def classes(blob, answers):
+    def rest(blob, copies):
+        """A shard with the rows whose whole text is in a document with a smaller id."""
         batch, data, offs, ids = _read(blob, id_col, text_col)
-        keys, _ = anchor_keys(data, offs, b1)
-        starts = candidate_starts(data, offs, b1, keys, shards.answers_of(answers, np.uint32))
-        return batch, data, offs, Classes(data, offs, ids, starts, b2)
+        keys, least, of = text_keys(data, offs, ids)
+        gone = shards.flags_of(copies, keys, 64, n0)[of] | (least[of] < ids)
+        return batch, data, offs, ids, gone
+
+    def first(batches):
+        for sid, blob, copies in each(batches, "copies"):
+            _, data, offs, _, gone = rest(blob, copies)
+            left = ~np.repeat(gone, np.diff(offs))
+            yield shards.key_rows(sid, *anchor_keys(data[left], np.concatenate([[0], np.cumsum(np.where(gone, 0, np.diff(offs)))]), b1), b1, n1)
 
     def second(batches):
-        for b in batches:
-            for sid, blob, a in zip(b.column("sid").to_pylist(), b.column("blob"), b.column("answers"), strict=True):
-                c = classes(blob.as_py(), a.as_py())[3]
-                yield shards.key_rows(sid, c.keys, c.least, b2, n2)
+        for sid, blob, copies, shared in each(batches, "copies", "shared"):
+            _, data, offs, ids, gone = rest(blob, copies)
+            starts = candidate_starts(data, offs, b1, shards.keys_of(shared, b1, n1), gone)
+            yield shards.key_rows(sid, *classes(data, offs, ids, starts, b2), b2, n2)
 
     def third(batches):
-        for b in batches:
-            for blob, a, x in zip(b.column("blob"), b.column("answers"), b.column("elsewhere"), strict=True):
-                batch, data, offs, c = classes(blob.as_py(), a.as_py())
-                parts = sorted(((y["bucket"], y["blob"]) for y in x.as_py() or []), key=lambda y: y[0])
-                span = U(max(1, -(-(1 << b2) // n2)))
-                sizes = np.unique((c.keys // span).astype(np.int64), return_counts=True)[1]
-                bits = [np.unpackbits(shards.expand(p, np.uint8))[:n] for (_, p), n in zip(parts, sizes, strict=True)]
-                starts = c.removed_starts(np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool))
-                yield batch, data, offs, _spread(starts, len(data))
-
-    met = s.join(shards.exchange(s.mapInArrow(first, shards.KEYS), b1, n1, np.uint8, shards.sums), "sid", "left")
-    there = shards.exchange(met.mapInArrow(second, shards.KEYS), b2, n2, np.int64, shards.less_elsewhere)
-    return met.join(there.withColumnRenamed("answers", "elsewhere"), "sid", "left"), third
+        for _, blob, copies, shared, there in each(batches, "copies", "shared", "there"):
+            batch, data, offs, ids, gone = rest(blob, copies)
+            starts = candidate_starts(data, offs, b1, shards.keys_of(shared, b1, n1), gone)
+            starts = removed_starts(data, offs, ids, starts, b2, lambda k, there=there: shards.flags_of(there, k, b2, n2))
+            cut = _spread(starts, len(data)) | np.repeat(gone & (np.diff(offs) >= SPAN), np.diff(offs))
+            yield batch, data, offs, cut
+
+    met = s.join(shards.exchange(s.mapInArrow(whole, shards.KEYS), np.int64, shards.less_elsewhere).withColumnRenamed("answers", "copies"), "sid", "left")
+    shared = shards.exchange(met.mapInArrow(first, shards.KEYS), np.uint8, shards.shared_keys)
+    met = met.join(shared.withColumnRenamed("answers", "shared"), "sid", "left")
+    there = shards.exchange(met.mapInArrow(second, shards.KEYS), np.int64, shards.less_elsewhere)
+    return met.join(there.withColumnRenamed("answers", "there"), "sid", "left"), third
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
