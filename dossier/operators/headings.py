@@ -152,7 +152,7 @@ def master_section(h: DataFrame, page_counts: DataFrame, alias: str, cap: int =
     """A company's best heading of level 0 that holds the alias, up to the page before the next level-0 heading, capped."""
     s = h.where("level = 0").join(page_counts, "company_id")
     nxt = F.lead("pdf_page").over(W.partitionBy("company_id").orderBy("pdf_page", "line_index", "merged"))
-    s = s.withColumn("stop", F.least(F.coalesce(F.greatest("pdf_page", nxt - 1), "page_count"), F.col("pdf_page") + cap - 1)).where(F.col("core").contains(alias))
+    s = s.withColumn("stop", F.least(F.greatest("pdf_page", F.coalesce(nxt - 1, "page_count")), F.col("pdf_page") + cap - 1)).where(F.col("core").contains(alias))
     r = F.row_number().over(W.partitionBy("company_id").orderBy(F.desc("score"), "pdf_page", "line_index"))
     return s.withColumn("r", r).where("r = 1").select("company_id", F.col("pdf_page").alias("start_page"), F.col("stop").alias("end_page"))
 

@@ -31,7 +31,7 @@ def section_end(keys: list[str], order: list[str], level: str, page: str, last_p
     nxt = F.first(F.col(page)).over(w)
     for k in levels:
         nxt = F.when(F.col(level) == k, F.first(F.when(F.col(level) <= k, F.col(page)), ignorenulls=True).over(w)).otherwise(nxt)
-    return F.coalesce(F.greatest(F.col(page), nxt - 1), last_page)
+    return F.greatest(F.col(page), F.coalesce(nxt - 1, last_page))  # greatest() skips nulls
 
 
 def overlaps(a_start: str, a_end: str, b_start: str, b_end: str) -> Column:

@@ -220,9 +220,9 @@ hd as (select company_id, pdf_page, line_index, merged, raw, core, level, headin
   list_transform(types, lambda z: z.k) as types, row_number() over (partition by company_id order by pdf_page, line_index, merged)::int as heading_no from hg where heading_class in ('BODY_HEADING', 'TOC_ENTRY') and (level is not null or len(types) > 0)),
 bd as (select hd.*, page_count from hd join pc using (company_id) where heading_class = 'BODY_HEADING'),
 tree as (select b.company_id, b.heading_no, b.pdf_page, b.line_index, b.level, b.types, b.score, (select max(c.heading_no) from bd c where c.company_id = b.company_id and c.heading_no < b.heading_no and b.level is not null and (c.level is null or c.level < b.level)) as parent_no,
-  coalesce(greatest(b.pdf_page, (select arg_min(c.pdf_page, c.heading_no) from bd c where c.company_id = b.company_id and c.heading_no > b.heading_no and (b.level is null or c.level <= b.level)) - 1), b.page_count) as end_page from bd b),
+  greatest(b.pdf_page, coalesce((select arg_min(c.pdf_page, c.heading_no) from bd c where c.company_id = b.company_id and c.heading_no > b.heading_no and (b.level is null or c.level <= b.level)) - 1, b.page_count)) as end_page from bd b),
 ms0 as (select *, lead(pdf_page) over (partition by company_id order by heading_no) as np from hd where level = 0),
-ms1 as (select ms0.*, least(coalesce(greatest(pdf_page, np - 1), page_count), pdf_page + 119) as stop from ms0 join pc using (company_id)),
+ms1 as (select ms0.*, least(greatest(pdf_page, coalesce(np - 1, page_count)), pdf_page + 119) as stop from ms0 join pc using (company_id)),
 ms as (select company_id, pdf_page as start_page, stop as end_page from (select *, row_number() over (partition by company_id order by score desc, pdf_page, line_index) as r from ms1 where contains(core, '公司基本情况')) where r = 1)"""
 
 QUERIES = {

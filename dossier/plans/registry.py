@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import filings, paging
+from . import events, filings, paging, storage
 
-MODULES: list = [filings, paging]
+MODULES: list = [filings, paging, events, storage]
 
 
 def queries() -> dict:
