@@ -74,6 +74,13 @@ def with_evidence(candidates: DataFrame, evidence: DataFrame) -> DataFrame:
     return candidates.join(evidence.drop("company_id"), "candidate_event_id", "left")
 
 
+def _flat(evidence: DataFrame, keys, order: str) -> DataFrame:
+    """Evidence dealt by event with its text squashed once. The patterns are the costly step, so they run after the one shuffle that
+    the first-of-an-event window and the per-event aggregates need anyway; its partition count is the session's and isn't merged."""
+    n = int(evidence.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return evidence.select(*keys, order, "evidence_text").repartition(n, *keys).select(*keys, order, squash(F.col("evidence_text")).alias("_s"))
+
+
 def _numbered(i: int, *names: str):
     """A function that adds the pattern's number; a default argument would be taken for the element's index."""
     return lambda m: F.struct(F.lit(i).alias("no"), *[m[n].alias(n) for n in names])
@@ -98,7 +105,8 @@ def unit_columns(unit: Column) -> tuple[Column, Column, Column]:
 def extract_numeric(evidence: DataFrame, table=NUMERIC, keys=("company_id", "event_id"), order: str = "evidence_id") -> DataFrame:
     """One row for each (type, raw value, unit) of an event, the first in evidence and pattern order."""
     types, conf = F.array(*[F.lit(x[0]) for x in table]), F.array(*[F.lit(x[2]) for x in table])
-    m = evidence.select(*keys, order, F.posexplode(_all_matches(squash(F.col("evidence_text")), table)).alias("at", "m"))
+    flat = _flat(evidence, keys, order)
+    m = flat.select(*keys, order, F.posexplode(_all_matches(F.col("_s"), table)).alias("at", "m"))
     m = m.select(*keys, order, "at", types[F.col("m.no")].alias("fact_type"), F.col("m.value").alias("raw_value"), F.col("m.unit").alias("raw_unit"), conf[F.col("m.no")].alias("confidence"))
     w = W.partitionBy(*keys, "fact_type", "raw_value", "raw_unit").orderBy(order, "at")
     currency, base, times = unit_columns(F.col("raw_unit"))
@@ -137,7 +145,7 @@ def plausible_party(c: Column) -> Column:
 
 def extract_parties(evidence: DataFrame, table=PARTIES, keys=("company_id", "event_id"), order: str = "evidence_id") -> DataFrame:
     """One row for each (role, identity key) of an event; founders' lists are split."""
-    text = squash(F.col("evidence_text"))
+    evidence, text = _flat(evidence, keys, order), F.col("_s")
     parts = []
     for i, (_, pattern, _) in enumerate(table):
         p = F.lit(pattern)
@@ -159,7 +167,7 @@ def extract_parties(evidence: DataFrame, table=PARTIES, keys=("company_id", "eve
 
 def extract_dates(evidence: DataFrame, table=DATES, keys=("company_id", "event_id"), order: str = "evidence_id") -> DataFrame:
     """I8: one row for each (role, date) found in an event's evidence."""
-    text = squash(F.col("evidence_text"))
+    evidence, text = _flat(evidence, keys, order), F.col("_s")
     roles = F.array(*[F.lit(x[0]) for x in table])
     parts = [F.transform(F.arrays_zip(F.regexp_extract_all(text, F.lit(p), F.lit(1)).alias("date")), _numbered(i, "date")) for i, (_, p) in enumerate(table)]
     m = evidence.select(*keys, order, F.posexplode(F.concat(*parts)).alias("at", "m")).select(*keys, order, "at", roles[F.col("m.no")].alias("date_role"), F.col("m.date").alias("date_text"))
