@@ -81,18 +81,18 @@ def _flat(evidence: DataFrame, keys, order: str) -> DataFrame:
     return evidence.select(*keys, order, "evidence_text").repartition(n, *keys).select(*keys, order, squash(F.col("evidence_text")).alias("_s"))
 
 
-def _numbered(i: int, *names: str):
-    """A function that adds the pattern's number; a default argument would be taken for the element's index."""
-    return lambda m: F.struct(F.lit(i).alias("no"), *[m[n].alias(n) for n in names])
+def _groups(i: int, pattern: str, *names: str):
+    """A function from a match to the pattern's number, the match and its groups, taken from the short match and not from the
+    text again. No default arguments: they would be taken for the element's index."""
+    return lambda m: F.struct(F.lit(i).alias("no"), m.alias("whole"), *[F.regexp_extract(m, pattern, k + 1).alias(n) for k, n in enumerate(names)])
 
 
 def _all_matches(text: Column, table) -> Column:
-    """An array of (no, whole, value, unit) over the patterns in order; every pattern reads the text once for each group."""
+    """An array of (no, whole, value, unit) over the patterns in order; every pattern reads the text once."""
     parts = []
     for i, (_, pattern, _) in enumerate(table):
         p = F.lit(pattern)
-        z = F.arrays_zip(F.regexp_extract_all(text, p, F.lit(0)).alias("whole"), F.regexp_extract_all(text, p, F.lit(1)).alias("value"), F.regexp_extract_all(text, p, F.lit(2)).alias("unit"))
-        parts.append(F.transform(z, _numbered(i, "whole", "value", "unit")))
+        parts.append(F.transform(F.regexp_extract_all(text, p, F.lit(0)), _groups(i, pattern, "value", "unit")))
     return F.concat(*parts)
 
 
@@ -149,8 +149,7 @@ def extract_parties(evidence: DataFrame, table=PARTIES, keys=("company_id", "eve
     parts = []
     for i, (_, pattern, _) in enumerate(table):
         p = F.lit(pattern)
-        z = F.arrays_zip(F.regexp_extract_all(text, p, F.lit(0)).alias("whole"), F.regexp_extract_all(text, p, F.lit(1)).alias("name"))
-        parts.append(F.transform(z, _numbered(i, "whole", "name")))
+        parts.append(F.transform(F.regexp_extract_all(text, p, F.lit(0)), _groups(i, pattern, "name")))
     roles, conf = F.array(*[F.lit(x[0]) for x in table]), F.array(*[F.lit(x[2]) for x in table])
     m = evidence.select(*keys, order, F.posexplode(F.concat(*parts)).alias("at", "m"))
     m = m.select(*keys, order, "at", roles[F.col("m.no")].alias("party_role"), "m.whole", "m.name", conf[F.col("m.no")].alias("confidence"))
@@ -169,7 +168,7 @@ def extract_dates(evidence: DataFrame, table=DATES, keys=("company_id", "event_i
     """I8: one row for each (role, date) found in an event's evidence."""
     evidence, text = _flat(evidence, keys, order), F.col("_s")
     roles = F.array(*[F.lit(x[0]) for x in table])
-    parts = [F.transform(F.arrays_zip(F.regexp_extract_all(text, F.lit(p), F.lit(1)).alias("date")), _numbered(i, "date")) for i, (_, p) in enumerate(table)]
+    parts = [F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(0)), _groups(i, p, "date")) for i, (_, p) in enumerate(table)]
     m = evidence.select(*keys, order, F.posexplode(F.concat(*parts)).alias("at", "m")).select(*keys, order, "at", roles[F.col("m.no")].alias("date_role"), F.col("m.date").alias("date_text"))
     w = W.partitionBy(*keys, "date_role", "date_text").orderBy(order, "at")
     return m.withColumn("first", F.row_number().over(w)).where("first = 1").drop("first").withColumn("date_key", date_key(F.col("date_text")))
