@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import events, filings, paging, storage
+from . import events, filings, narratives, paging, storage
 
-MODULES: list = [filings, paging, events, storage]
+MODULES: list = [filings, paging, events, narratives, storage]
 
 
 def queries() -> dict:
