@@ -4,8 +4,9 @@ Every line is labelled good or bad from features of itself and of its neighbours
 and the marginals, weighted by the lines' lengths, give the document's quality, put on the labels' scale by a logistic
 curve. Features see only the text.
 
-The field is fitted on at most `max_docs` labelled documents (those with the smallest id hashes; MAX_DOCS by default), whose
-lines all carry the document's label. Everything else covers every document whole.
+The field is fitted on at most `max_docs` labelled documents (those with the smallest id hashes; MAX_DOCS by default) of at most
+`max_chars` characters (MAX_CHARS), whose lines all carry the document's label; so the driver holds a bounded sample.
+Everything else covers every document whole.
 
 Defined results: a text without a non-blank line (null and empty too) scores the share of label 1 among the documents fitted
 on, as does every text when nothing was fitted on. Repeated rows stay repeated.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import vec
 
-MAX_DOCS, STEPS, RATE, PENALTY = 3000, 150, 0.1, 1e-3
+MAX_DOCS, MAX_CHARS, STEPS, RATE, PENALTY = 1200, 20_000, 150, 0.1, 1e-3
 OWN = 11  # features of a line itself
 
 
@@ -51,7 +52,7 @@ def line_features(data: np.ndarray, offs: np.ndarray):
     share = []
     for c in _CLASSES:
         n = np.concatenate([[0], np.cumsum(c[data])])
-        share.append((n[le] - n[ls]) / size)
+        share.append(3 * np.sqrt((n[le] - n[ls]) / size))  # rare marks count
     # words equal to the word before them
     prefix = vec.prefix(data)
     ws, we = vec.runs(~_SPACE[data] & (data != 10), offs)
@@ -170,9 +171,12 @@ def fit(texts: list[str], labels: list[int]) -> Field:
     return Field(f.w, f.t, (max(float(curve[0]), 1e-3), float(curve[1])), prior)
 
 
-def train(labelled: DataFrame, max_docs: int = MAX_DOCS) -> Field:
-    """labelled: doc_id, text, label (0 or 1)."""
-    rows = labelled.where("label is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_docs).select("text", "label").toPandas()
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> Field:
+    """docs: doc_id, text; labels: doc_id, label (0 or 1). Ids are picked first, so no text is sorted or shuffled."""
+    ids = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
+    short = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= max_chars)
+    rows = short.join(F.broadcast(ids), "doc_id").toPandas().sort_values(["doc_id", "text"])[:max_docs]
     return fit(rows["text"].tolist(), rows["label"].tolist())
 
 

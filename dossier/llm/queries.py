@@ -54,7 +54,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    field = crf.train(d.where("not held_out").join(labels, "doc_id"))
+    field = crf.train(d, labels.where(~langid.held_out(F.col("doc_id"), 4, 2)))
     scored = crf.score(d, field)
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
 
