@@ -10,9 +10,10 @@ is 0.8 or more; classes are the connected components.
    bound loses nothing). The rest get 64 improved consistent weighted samples in 16 bands of 4.
 3. Equal texts are one node. A bucket of up to 6 members is compared in all pairs. In a larger one every member is compared with
    the leader, and in every fourth band the bucket is split by the next bands' samples, up to three bands deep, where the same is
-   done: leaders get more alike with depth. Buckets that still hold several components get other leaders in three rounds. So the work grows with the members and never with their pairs. Every compared pair is verified on its whole
-   bags. A text whose only links lead to members that never led and never shared a small bucket with it can stay apart;
-   the README gives measured figures.
+   done: leaders get more alike with depth. Buckets that still hold several components get other leaders in three rounds.
+4. In a bucket that holds several components after that, all members outside its largest one are compared with all members, in
+   blocks of about BLOCK by BLOCK, so that every pair of a bucket is compared or already connected. The work of this step grows with
+   the members times those outside the largest component. Every compared pair is verified on its whole bags.
 
 Defined results: texts without words (null and empty too) are classes of their own; the class id is its smallest doc_id (null
 ids last); repeated rows are copies of one class; an empty table gives an empty result. A pair of similarity s is found
@@ -36,6 +37,7 @@ from .decontam import tokens
 SHINGLE, SIMILAR, DAMP = 5, 0.8, 0.1
 BANDS, IN_BAND = 16, 4
 ALL_PAIRS, DEPTHS, DEEP, ROUNDS = 6, 3, 4, 3
+BLOCK = 128
 U = np.uint64
 
 
@@ -189,6 +191,64 @@ def similarity(ka, wa, kb, wb) -> float:
     return shared / (wa.sum(dtype=float) + wb.sum(dtype=float) - shared)
 
 
+def _bag(keys: bytes, weights: bytes):
+    return np.cumsum(shards.expand(keys, U), dtype=U), shards.expand(weights, np.uint32).view(np.float32)
+
+
+def _joining(band: int, left: list[dict], right: list[dict]):
+    """The pairs of left and right members of a bucket that are similar enough and join two components, each component joined once.
+    A pair that shares an earlier band is left to that band's bucket."""
+    bags = [_bag(x["keys"], x["weights"]) for x in left + right]
+    at = np.unique(np.concatenate([k for k, _ in bags]), return_inverse=True)[1]
+    size = np.array([len(k) for k, _ in bags])
+    ends, n = np.cumsum(size), len(left)
+    first = ends[n - 1]
+    starts = (ends - size)[n:] - first
+    mass = np.array([w.sum(dtype=float) for _, w in bags])
+    at_r, w_r = at[first:], np.concatenate([w for _, w in bags[n:]])
+    node, comp, total = (np.array([x[c] for x in left + right]) for c in ("node", "comp", "total"))
+    earlier = np.array([x["bands"][:band] for x in left + right], np.int64).reshape(len(bags), band)
+    outside = np.array([y["outside"] for y in right])
+    held = np.zeros(at.max() + 1, np.float32)
+    for i in range(n):
+        can = (comp[n:] != comp[i]) & ~(outside & (node[n:] > node[i]))
+        can &= np.minimum(total[n:], total[i]) >= SIMILAR * (1 - 1e-6) * np.maximum(total[n:], total[i])
+        can &= ~(earlier[n:] == earlier[i]).any(axis=1)
+        if not can.any():
+            continue
+        mine = at[ends[i] - size[i] : ends[i]]
+        held[mine] = bags[i][1]
+        shared = np.add.reduceat(np.minimum(held[at_r], w_r), starts, dtype=float)
+        held[mine] = 0
+        for j in np.flatnonzero(can & (shared >= (SIMILAR - 1e-6) * (mass[i] + mass[n:] - shared))) + n:
+            if comp[j] != comp[i]:
+                yield int(node[i]), int(node[j])
+                comp[comp == comp[j]] = comp[i]
+
+
+def _across(members: DataFrame, bags: DataFrame) -> DataFrame:
+    """Links (a, b) that join all components that a similar pair in a bucket joins. members: band, value, node, comp."""
+    by = ["band", "value"]
+    parts = members.groupBy(*by, "comp").agg(F.count(F.lit(1)).alias("k"))
+    parts = parts.groupBy(*by).agg(F.sum("k").alias("n"), F.max(F.struct("k", "comp")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    split = lambda c: F.ceil(c / BLOCK)
+    m = members.join(parts.select(*by, "most.comp", split(F.col("n")).alias("rights"), split(F.col("n") - F.col("most.k")).alias("lefts")).withColumnRenamed("comp", "most"), by)
+    m = stash(m.withColumn("outside", F.col("comp") != F.col("most")), "near-open")
+    block = lambda n: F.pmod(F.xxhash64("node", F.lit("block")), n)
+    held = F.collect_list(F.struct("node", "comp", "outside", "total", "bands", "keys", "weights"))
+    right = m.withColumn("block", block(F.col("rights"))).join(bags, "node").groupBy(*by, "block").agg(held.alias("right"))
+    left = m.where("outside").withColumn("part", block(F.col("lefts"))).join(bags, "node").groupBy(*by, "part", "rights").agg(held.alias("left"))
+    left = left.select(*by, "left", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rights") - 1)).alias("block"))
+
+    def run(batches):
+        for batch in batches:
+            for band, left, right in zip(*[batch.column(c) for c in ("band", "left", "right")], strict=True):
+                out = list(_joining(band.as_py(), left.as_py(), right.as_py()))
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return left.join(right, [*by, "block"]).select("band", "left", "right").mapInArrow(run, "a long, b long")
+
+
 def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     """The pairs (a, b) of similarity SIMILAR or more."""
 
@@ -196,11 +256,10 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
         for batch in batches:
             out = ([], [])
             held, bag = None, None
-            get = lambda k, w: (np.cumsum(shards.expand(k, U), dtype=U), shards.expand(w, np.uint32).view(np.float32))
             for a, b, ka, wa, kb, wb in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "ka", "wa", "kb", "wb")], strict=True):
                 if b != held:
-                    held, bag = b, get(kb, wb)
-                if similarity(*get(ka, wa), *bag) >= SIMILAR - 1e-6:
+                    held, bag = b, _bag(kb, wb)
+                if similarity(*_bag(ka, wa), *bag) >= SIMILAR - 1e-6:
                     out[0].append(a), out[1].append(b)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["a", "b"])
 
@@ -274,6 +333,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
             seen = both.join(label.select(F.col("node").alias("b"), "comp"), "b", "left").groupBy(F.col("a").alias("node")).agg(F.min(F.coalesce("comp", "b")).alias("m"))
             label = stash(label.join(seen, "node", "full_outer").select("node", F.least("comp", "m").alias("comp")), "near-labels")
     comp = components(links)
+    if not wide.isEmpty():
+        members = wide.select("band", "value", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        across = stash(_across(members, bags), "near-links")
+        comp = comp if across.isEmpty() else components(links.union(across))
     # copies take their head's component
     of = some.where("first = node").select("node", "same").join(heads, "same").select(F.col("node").alias("first"), "rep")
     of = of.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("first", F.coalesce("comp", "rep").alias("comp"))

@@ -369,6 +369,22 @@ def test_near_duplicates(docs, monkeypatch):
     assert near.near_duplicates(empty(docs)).count() == 0 and near.one_of_each(empty(docs)).count() == 0
 
 
+def test_no_link_depends_on_leaders(spark, monkeypatch):
+    """Mixes of passages, each with one partner: with one leader a bucket and no further rounds, most partners never meet a leader."""
+    for name, value in (("ALL_PAIRS", 2), ("DEPTHS", 1), ("ROUNDS", 0)):
+        monkeypatch.setattr(near, name, value)
+    rng, rows, pool = random.Random(5), [], [" ".join(f"w{i}x{k}" for k in range(8)) for i in range(30)]
+    for p in range(80):
+        mine = rng.sample(range(30), 20)
+        for copy in range(2):
+            rows.append((2 * p + copy, " ".join(pool[i] for i in sorted(mine))))
+            mine[0] = next(i for i in range(30) if i not in mine)
+    want, n = brute_classes(rows)
+    assert n > 30
+    got = collect(near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert Counter((r["doc_id"], r["class_id"]) for r in got) == want
+
+
 def test_samples_estimate_weighted_jaccard():
     rng = np.random.default_rng(9)
     keys = np.sort(rng.integers(0, 1 << 40, 300).astype(np.uint64))
