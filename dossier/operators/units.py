@@ -218,17 +218,21 @@ def accepted_roots(headings: DataFrame, pages: int = 3) -> DataFrame:
 def near_copies_dropped(evidence: DataFrame, similar: float = 0.76, keep: int = 2) -> DataFrame:
     """In order, evidence of a category like one kept before is dropped; two a category at most.
 
-    evidence: company_id, category, seq, text. Pair scores come first, then an ordered fold.
+    evidence: company_id, category, seq, text. The first is kept; the next is the smallest later seq unlike all kept so far. So each
+    row is compared with kept rows only.
     """
-    e = evidence
-    o = e.select("company_id", "category", F.col("seq").alias("s2"), F.col("text").alias("t2"))
-    p = e.join(o, ["company_id", "category"]).where("s2 < seq").withColumn("r", text_similarity("text", "t2")).where(F.col("r") >= similar)
-    like = p.groupBy("company_id", "category", "seq").agg(F.collect_set("s2").alias("like"))
-    j = e.select("company_id", "category", "seq").join(like, ["company_id", "category", "seq"], "left")
-    none = F.array().cast(like.schema["like"].dataType)
-    g = j.groupBy("company_id", "category").agg(F.array_sort(F.collect_list(F.struct("seq", F.coalesce("like", none).alias("like")))).alias("e"))
-    step = lambda k, x: F.when(F.arrays_overlap(k, x["like"]) | (F.size(k) >= keep), k).otherwise(F.concat(k, F.array(x["seq"])))
-    return g.select("company_id", "category", F.explode(F.aggregate("e", none, step)).alias("seq"))
+    key = ["company_id", "category"]
+    e = evidence.select(*key, "seq", "text")
+    kept = e.groupBy(*key).agg(F.array(F.min(F.struct("seq", "text"))).alias("kept"))
+    same = lambda d: (F.col("company_id").eqNullSafe(d["of_company_id"])) & F.col("category").eqNullSafe(d["of_category"])
+    for n in range(1, keep):
+        o = kept.select(*[F.col(c).alias("of_" + c) for c in key], F.col("kept").alias("of"))
+        later = e.join(o, same(o)).where(F.col("seq") > F.element_at("of", -1)["seq"])
+        for i in range(n):
+            later = later.withColumn("alike", text_similarity("text", F.get("of", F.lit(i))["text"])).where(F.coalesce(F.col("alike") < similar, F.lit(True)))
+        more = later.groupBy(*[F.col(c).alias("of_" + c) for c in key]).agg(F.min(F.struct("seq", "text")).alias("next"))
+        kept = kept.join(more, same(more), "left").select(*key, F.when(F.col("next").isNull(), F.col("kept")).otherwise(F.concat("kept", F.array("next"))).alias("kept"))
+    return kept.select(*key, F.explode(F.slice("kept", 1, keep)).alias("x")).select(*key, "x.seq")
 
 
 def cluster_members(sections: DataFrame, clusters: DataFrame) -> DataFrame:

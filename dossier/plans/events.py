@@ -104,7 +104,7 @@ def accepted_roots(spark, d):
 
 def shareholder_evidence(spark, d):
     e = view(spark, d, EVENTS).select("company_id", F.col("event_type").alias("category"), F.col("event_id").cast("int").alias("seq"), F.concat("event_type", "event_date").alias("text"))
-    return u.near_copies_dropped(e.where("seq % 20 = 0"))
+    return u.near_copies_dropped(e)
 
 
 def shareholder_runs(spark, d):

@@ -105,6 +105,35 @@ def test_accepted_roots_and_near_copies(spark):
     assert sorted(r["seq"] for r in units.near_copies_dropped(e).collect()) == [1, 3]
 
 
+def test_shareholder_evidence_judges_all_events(spark):
+    from difflib import SequenceMatcher
+
+    from dossier.plans import events
+
+    d, kept = "/root/testdata/sf0.001", {}
+    rows = events.view(spark, d, events.EVENTS).select("company_id", "event_type", "event_id", F.concat("event_type", "event_date")).collect()
+    for company, kind, seq, text in sorted(rows, key=lambda r: r[2]):
+        k = kept.setdefault((company, kind), [])
+        if len(k) < 2 and all(SequenceMatcher(None, text, t).ratio() < 0.76 for _, t in k):
+            k.append((seq, text))
+    want = sorted((c, kind, seq) for (c, kind), k in kept.items() for seq, _ in k)
+    assert sorted(map(tuple, events.shareholder_evidence(spark, d).collect())) == want
+
+
+def test_near_copies_against_a_fold(spark):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), rng.choice(["k", None]), i, "".join(rng.choice("xyz") for _ in range(6))) for i in range(80)]
+    e, kept = spark.createDataFrame(rows, "company_id string, category string, seq int, text string"), {}
+    for c, g, seq, text in rows:
+        k = kept.setdefault((c, g), [])
+        if len(k) < 3 and all(SequenceMatcher(None, text, t).ratio() < 0.6 for _, t in k):
+            k.append((seq, text))
+    want = {(*g, seq) for g, k in kept.items() for seq, _ in k}
+    assert {tuple(r) for r in units.near_copies_dropped(e, 0.6, 3).collect()} == want
+
+
 def test_cover(spark):
     pts = spark.createDataFrame([("c", i) for i in range(200)], "k string, at int")
     spans = spark.createDataFrame([("c", 10, 90), ("c", 150, 150)], "k string, s int, e int")
