@@ -2,7 +2,8 @@ r"""Chat formatting in budgeted windows.
 
 A conversation's turns, in order, become windows of text. Token counts of turns give prefix sums; a window takes the longest
 run of new turns whose tokens fit the budget beside the system turn and a limited history of earlier turns, which
-it repeats. Only assistant texts of new turns are under the loss mask, so each is learned once.
+it repeats. A first new turn that needs the room drops history turns, oldest first, and the system turn only if the two alone
+exceed the budget; then it is alone in its window. Only assistant texts of new turns are under the loss mask, so each is learned once.
 
 Template: ``<|im_start|>role\ntext<|im_end|>\n`` for a turn. In roles and texts a backslash becomes two and ``<|`` becomes
 ``<\|``; in roles a line feed becomes ``\n`` spelled with a backslash. `unescape` undoes this exactly.
@@ -85,8 +86,10 @@ class _Windows:
     def turn(self, role: str, text: str) -> Iterator[tuple]:
         block = f"{START}{escape_role(role)}\n{escape(text)}{END}"
         t = (role, len(START) + len(escape_role(role)) + 1, block, self.count(text) + self.count(role) + TURN_OVERHEAD)
-        if self.new and self._sum(self._repeated()) + self._sum(self.new) + t[3] > self.budget:
-            yield self.flush()
+        if self.new:
+            rep = self._repeated()
+            if self._sum(rep) + self._sum(self.new) + t[3] > self.budget or (self.system and not rep):
+                yield self.flush()
         self.new.append(t)
 
     @staticmethod
@@ -94,9 +97,13 @@ class _Windows:
         return sum(t[3] for t in turns)
 
     def _repeated(self) -> list[tuple]:
-        """The system turn, and as many of the last turns before the new ones as the history and half the budget allow."""
+        """The system turn, and as many of the last turns before the new ones as the history and half the budget allow; fewer, the
+        oldest going first, where the first new turn needs the room. The system turn goes only if it doesn't fit beside that turn."""
         head = [self.system] if self.system else []
-        room, tail = self.budget // 2 - self._sum(head), []
+        left = self.budget - self._sum(head) - self.new[0][3]
+        if left < 0:
+            return []
+        room, tail = min(self.budget // 2 - self._sum(head), left), []
         for t in reversed(self.past):
             if room < t[3]:
                 break
@@ -107,8 +114,6 @@ class _Windows:
     def flush(self) -> tuple:
         rep = self._repeated()
         tokens = self._sum(rep) + self._sum(self.new)
-        if tokens > self.budget and rep:  # a long turn alone
-            rep, tokens = [], self._sum(self.new)
         parts, spans, at = [], [], 0
         for k, (role, head, block, _) in enumerate([*rep, *self.new]):
             if k >= len(rep) and role == "assistant":

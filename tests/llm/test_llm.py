@@ -396,6 +396,18 @@ def test_samples_estimate_weighted_jaccard():
 # 9
 
 
+def test_long_turns_keep_the_system_turn(spark):
+    say = lambda n: " ".join(["a"] * n)  # noqa: E731  n tokens, and 5 for the turn and its role
+    turns = [("system", 20), ("user", 35), ("assistant", 10), ("user", 60), ("assistant", 9), ("user", 96), ("assistant", 5)]
+    df = spark.createDataFrame([(1, i, r, say(n)) for i, (r, n) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    got = sorted(chat.format_windows(df, 100, 2, None).collect(), key=lambda r: r["window"])
+    assert [(r["n_repeated"], r["n_new"], r["tokens"]) for r in got] == [(0, 3, 80), (1, 1, 90), (1, 1, 39), (0, 1, 101), (1, 1, 35)]
+    for r in got:
+        new = r["tokens"] if r["n_repeated"] == 0 else 0
+        assert r["text"].startswith("<|im_start|>system") or 25 + new > 100
+    assert [r["over_budget"] for r in got] == [False] * 3 + [True, False]
+
+
 def test_chat_windows(spark):
     rng = random.Random(3)
     rows = []
