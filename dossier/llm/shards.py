@@ -8,6 +8,9 @@ costs a shard one entry however many of its rows hold it, so hot keys arrive pre
 
 from __future__ import annotations
 
+import pickle
+import struct
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,6 +24,7 @@ from .common import partitions, stash
 SHARD_BYTES = 4 << 20
 ROWS = 1 << 20  # of one shard at most
 KEYS_A_BUCKET = 1 << 20
+PLAIN = 64
 U = np.uint64
 
 
@@ -31,27 +35,27 @@ def _zstd(level: int = 1):
 
 
 def squeeze(a: np.ndarray) -> bytes:
-    """Integers as compressed byte planes."""
+    """Integers as compressed byte planes; a few bytes stay as they are, so that small runs cost no frame."""
     a = np.ascontiguousarray(a)
     width = a.dtype.itemsize
     planes = np.frombuffer(a.tobytes(), np.uint8).reshape(-1, width).T
     top = width
     while top > 1 and not planes[top - 1].any():
         top -= 1
-    import struct
-
-    return struct.pack("<IBB", len(a), width, top) + _zstd().compress(np.ascontiguousarray(planes[:top]).tobytes())
+    raw = np.ascontiguousarray(planes[:top]).tobytes()
+    plain = len(raw) < PLAIN
+    return struct.pack("<IBB", len(a), width, top | (128 if plain else 0)) + (raw if plain else _zstd().compress(raw))
 
 
 def expand(b: bytes, dtype) -> np.ndarray:
-    import struct
-
     import zstandard
 
     n, width, top = struct.unpack("<IBB", b[:6])
+    plain, top = top & 128, top & 127
     planes = np.zeros((width, n), np.uint8)
     if n:
-        planes[:top] = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[6:], max_output_size=max(1, n * top)), np.uint8).reshape(top, n)
+        raw = b[6:] if plain else zstandard.ZstdDecompressor().decompress(b[6:], max_output_size=max(1, n * top))
+        planes[:top] = np.frombuffer(raw, np.uint8).reshape(top, n)
     return np.frombuffer(np.ascontiguousarray(planes.T).tobytes(), dtype)
 
 
@@ -128,16 +132,40 @@ def key_rows(sid: str, keys: np.ndarray, vals: np.ndarray, bits: int, buckets: i
     return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.string()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())], ["bucket", "sid", "keys", "vals"])
 
 
-def exchange(rows: DataFrame, val_type, answer: Callable[[list[np.ndarray], list[np.ndarray]], list[np.ndarray]]) -> DataFrame:
+def block_rows(sid: str, rows: np.ndarray, vals: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
+    """The same for rows of bytes, in order of their buckets."""
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else np.zeros(1, np.int64)
+    spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(bucket[a]) for a, _ in spans], pa.int32()), pa.array([sid] * len(spans), pa.string()), pa.array([squeeze(rows[a:z].ravel()) for a, z in spans], pa.binary()), pa.array([squeeze(vals[a:z]) for a, z in spans], pa.binary())],
+        ["bucket", "sid", "keys", "vals"],
+    )
+
+
+def own_row(sid: str, arrays) -> pa.RecordBatch:
+    """A row that the exchange gives back to its shard unread, under a bucket below 0."""
+    blob = pickle.dumps([squeeze(x) for x in arrays])
+    return pa.RecordBatch.from_arrays([pa.array([-1 - zlib.crc32(sid.encode()) % (1 << 30)], pa.int32()), pa.array([sid]), pa.array([blob], pa.binary()), pa.array([b""], pa.binary())], ["bucket", "sid", "keys", "vals"])
+
+
+def own_of(found, *types) -> list[np.ndarray]:
+    """The arrays of own_row."""
+    return [expand(x, t) for x, t in zip(pickle.loads(next(x["blob"] for x in found if x["bucket"] < 0)), types, strict=True)]
+
+
+def exchange(rows: DataFrame, val_type, answer: Callable[[list[np.ndarray], list[np.ndarray]], list[np.ndarray]], row_type=None) -> DataFrame:
     """(sid, answers): answers holds (bucket, blob) with `answer`'s array for the shard's keys in that bucket.
 
-    answer gets the sorted key runs (as offsets in the bucket) and the value arrays of all shards in one bucket.
+    answer gets the sorted key runs (as offsets in the bucket; as they are, where row_type says what they are made of) and the value
+    arrays of all shards in one bucket.
     """
-    name = np.dtype(val_type).str
+    name, row_name = np.dtype(val_type).str, row_type and np.dtype(row_type).str
 
     def run(t: pa.Table) -> pa.Table:
         bucket = t.column("bucket")[0].as_py()
-        keys = [np.cumsum(expand(x, U), dtype=U) for x in t.column("keys").to_pylist()]
+        if bucket < 0:
+            return pa.table({"sid": t.column("sid"), "bucket": t.column("bucket"), "blob": t.column("keys")})
+        keys = [expand(x, np.dtype(row_name)) if row_name else np.cumsum(expand(x, U), dtype=U) for x in t.column("keys").to_pylist()]
         vals = [expand(x, np.dtype(name)) for x in t.column("vals").to_pylist()]
         got = [squeeze(x) for x in answer(keys, vals)]
         return pa.table({"sid": t.column("sid"), "bucket": pa.array([bucket] * t.num_rows, pa.int32()), "blob": pa.array(got, pa.binary())})
@@ -162,28 +190,13 @@ def sums(keys: list[np.ndarray], vals: list[np.ndarray]) -> list[np.ndarray]:
     return [total[i].astype(np.uint32) for i in at]
 
 
-def shared_keys(keys: list[np.ndarray], vals: list[np.ndarray]) -> list[np.ndarray]:
-    """For each run, as differences, its keys whose values add up to two or more over all runs."""
-    return [np.diff(k[t >= 2], prepend=U(0)) for k, t in zip(keys, sums(keys, vals), strict=True)]
-
-
-def less_elsewhere(keys: list[np.ndarray], vals: list[np.ndarray]) -> list[np.ndarray]:
-    """For each run, as bits, whether another run has the key with a smaller value, found by binary search in the merged run."""
-    u = merged(keys)
-    at = [np.searchsorted(u, k) for k in keys]
-    least = np.full(len(u), np.iinfo(np.int64).max)
-    for i, v in zip(at, vals, strict=True):
-        least[i] = np.minimum(least[i], v)
-    return [np.packbits(least[i] < v) for i, v in zip(at, vals, strict=True)]
-
-
 def span_of(bits: int, buckets: int):
     """Keys in a bucket."""
     return U(max(1, -(-(1 << bits) // buckets)))
 
 
 def _parts(found) -> list[tuple[int, bytes]]:
-    return sorted(((x["bucket"], x["blob"]) for x in found or []), key=lambda x: x[0])
+    return sorted(((x["bucket"], x["blob"]) for x in found or [] if x["bucket"] >= 0), key=lambda x: x[0])
 
 
 def answers_of(found, dtype) -> np.ndarray:
@@ -192,14 +205,9 @@ def answers_of(found, dtype) -> np.ndarray:
     return np.concatenate([expand(b, dtype) for _, b in parts]) if parts else np.zeros(0, dtype)
 
 
-def keys_of(found, bits: int, buckets: int) -> np.ndarray:
-    """The keys that shared_keys answered."""
-    parts = [np.cumsum(expand(b, U), dtype=U) + U(k) * span_of(bits, buckets) for k, b in _parts(found)]
-    return np.concatenate(parts) if parts else np.zeros(0, U)
-
-
-def flags_of(found, keys: np.ndarray, bits: int, buckets: int) -> np.ndarray:
-    """The bits that less_elsewhere answered, one for each of the shard's keys."""
-    sizes = np.unique((keys // span_of(bits, buckets)).astype(np.int64), return_counts=True)[1]
-    got = [np.unpackbits(expand(b, np.uint8))[:n] for (_, b), n in zip(_parts(found), sizes, strict=True)]
-    return np.concatenate(got).astype(bool) if got else np.zeros(0, bool)
+def coded_keys_of(found, bits: int, buckets: int, low: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, codes) of answers that are differences of keys with a code in their `low` lowest bits."""
+    parts = [(np.cumsum(expand(b, U), dtype=U), U(k) * span_of(bits, buckets)) for k, b in _parts(found)]
+    if not parts:
+        return np.zeros(0, U), np.zeros(0, np.uint8)
+    return np.concatenate([(x >> U(low)) + base for x, base in parts]), np.concatenate([(x & U((1 << low) - 1)).astype(np.uint8) for x, _ in parts])

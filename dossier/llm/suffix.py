@@ -2,22 +2,23 @@
 
 Bytes of a 50-byte string that also starts in a document with a smaller id are removed.
 
-0. A row whose whole text is in a document with a smaller id goes whole and takes no further part; one exchange of the texts'
-   digests finds these.
-1. Shards pick sparse positions: the minimum hash of the 26-byte strings in each 50-byte string. Equal 50-byte strings have
-   equal minima, so a string whose minimum occurs in one document only can't repeat; the rest are candidates. The shards'
-   minima meet in a key exchange that counts documents.
+0. A row whose whole text is in a document with a smaller id (equal length and 128-bit digest) goes whole and takes no further part.
+1. Shards pick sparse anchors: the minimum hash of the 26-byte strings in each 50-byte string. Equal 50-byte strings have equal
+   minima, so a string whose minimum occurs in one document only can't repeat; the rest are candidates. The shards' minima
+   meet in a key exchange that counts documents and tells whether another shard has the key. This only saves work.
 2. Each shard builds the suffix array of its candidate text by Larsson-Sadakane refinement (only groups still tied are sorted
    again, by the rank at the doubled distance) and the common prefixes by Kasai's rule, in its permuted form: prefixes are
    measured where the preceding bytes differ and fall by one from there on. Runs of 50 or more are the shard's classes of
-   equal strings, each with its smallest document id.
-3. Classes of all shards meet in a second exchange: sorted runs are merged by binary search, and each class learns whether
-   another shard has it with a smaller id. Shards then mark and cut.
+   equal strings. A start whose class has a smaller document id is removed; the other classes of the shard have to be merged.
+3. Strings that share an anchor overlap, so up to 25 of them go as one context: the text around the anchor, once for each pair of
+   classes at its ends. A shard sends its contexts in suffix order; the runs of all shards are merged by binary search of strings,
+   and each context learns which of its strings are in another context with a smaller id. Bytes are compared, not hashes.
 
-Strings of different shards are compared by hashes with 30 bits beyond the size of the corpus.
+A hash of the anchor picks the task that merges it. An anchor at HOT places or more may have as many contexts as there are places, so its
+strings go one by one and are dealt by a hash of the whole string: a task then gets one entry of a string from each shard at most.
 
 Defined results: null text is empty; a null id counts as larger than any other; rows of equal id don't remove from one another;
-an empty table gives an empty result; texts of a shard may be of any length.
+an empty table gives an empty result; texts of a shard may be of any length; columns besides id and text are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +28,15 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import shards, vec
 
 SPAN, GRAM = 50, 26
+WIDE = SPAN - GRAM + 1  # strings that an anchor may serve
+BACK, WIDTH = WIDE - 1, WIDE - 1 + SPAN
+HOT, MANY = 1024, 127
 LAST = np.iinfo(np.int64).max
 U = np.uint64
 
@@ -147,7 +152,13 @@ def _minima(data: np.ndarray, offs: np.ndarray):
     h = vec.mix((c[GRAM:] - c[:m]) * vec.powers(n + 1)[1][:m])
     for e in offs[1:-1]:
         h[max(0, e - GRAM + 1) : e] = ~U(0)
-    return h, vec.sliding_min(h, SPAN - GRAM + 1)
+    return h, vec.sliding_min(h, WIDE)
+
+
+def _is_anchor(h: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Which positions hold the minimum of some SPAN bytes."""
+    wide = np.concatenate([np.zeros(WIDE - 1, U), m, np.zeros(WIDE - 1, U)])
+    return (vec.sliding_max(wide, WIDE)[: len(h)] == h) & (h != ~U(0))
 
 
 def _pieces(data: np.ndarray, offs: np.ndarray):
@@ -176,15 +187,13 @@ def _inside(offs: np.ndarray, a: int, n: int) -> np.ndarray:
 
 
 def anchor_keys(data, offs, bits: int):
-    """(sorted unique minima, 1 or 2: in one document or several of this shard)."""
+    """(sorted unique minima, for each twice its places in this shard, MANY at most, and one more if several documents have it)."""
     keys, rows = [], []
     for a, part, po in _pieces(data, offs):
         h, m = _minima(part, po)
         if not len(m):
             continue
-        w = SPAN - GRAM + 1
-        wide = np.concatenate([np.zeros(w - 1, U), m, np.zeros(w - 1, U)])
-        p = np.flatnonzero((vec.sliding_max(wide, w)[: len(h)] == h) & (h != ~U(0)))
+        p = np.flatnonzero(_is_anchor(h, m))
         keys.append(h[p] >> U(64 - bits))
         rows.append(np.searchsorted(offs, p + a, side="right"))
     if not keys:
@@ -192,14 +201,28 @@ def anchor_keys(data, offs, bits: int):
     k, r = np.concatenate(keys), np.concatenate(rows)
     o = _order(k, bits)
     k, r = k[o], r[o]
-    new = np.concatenate([[True], k[1:] != k[:-1]])
-    at = np.flatnonzero(new)
+    at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
     low, high = np.minimum.reduceat(r, at), np.maximum.reduceat(r, at)
-    return k[at], np.where(low != high, 2, 1).astype(np.uint8)
-
-
-def candidate_starts(data, offs, bits: int, shared: np.ndarray, gone: np.ndarray) -> np.ndarray:
-    """Starts of the SPAN-byte strings of rows not gone whose minimum is among the shared keys."""
+    places = np.minimum(np.diff(np.append(at, len(k))), MANY)
+    return k[at], (2 * places + (low != high)).astype(np.uint8)
+
+
+def met_anchors(keys: list[np.ndarray], vals: list[np.ndarray]) -> list[np.ndarray]:
+    """For each run, as differences, four times its keys that several documents have, and: 0 no other run has the key, 1 one has,
+    2 one has and the key has HOT places or more."""
+    u = shards.merged(keys)
+    at = [np.searchsorted(u, k) for k in keys]
+    docs, places, runs = (np.zeros(len(u), np.int64) for _ in range(3))
+    for i, v in zip(at, vals, strict=True):
+        docs[i] += 1 + (v & 1)
+        places[i] += v >> 1
+        runs[i] += 1
+    code = np.where(runs < 2, 0, np.where(places < HOT, 1, 2)).astype(U)
+    return [np.diff(((k << U(2)) | code[i])[docs[i] > 1], prepend=U(0)) for k, i in zip(keys, at, strict=True)]
+
+
+def candidates(data, offs, bits: int, shared: np.ndarray, code: np.ndarray, gone: np.ndarray):
+    """(starts of the SPAN-byte strings of rows not gone whose minimum is a shared key, where each has it first, hash, code)."""
     out = []
     for a, part, po in _pieces(data, offs):
         h, m = _minima(part, po)
@@ -208,60 +231,45 @@ def candidate_starts(data, offs, bits: int, shared: np.ndarray, gone: np.ndarray
         at = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
         k = m[at] >> U(64 - bits)
         i = np.minimum(np.searchsorted(shared, k), len(shared) - 1)
-        yes = np.repeat(shared[i] == k, np.diff(np.append(at, len(m))))
-        out.append(np.flatnonzero(yes & _inside(offs, a, len(m))) + a)
+        size = np.diff(np.append(at, len(m)))
+        ok = np.repeat(shared[i] == k, size) & _inside(offs, a, len(m))
+        ok[ok] = ~gone[np.searchsorted(offs, np.flatnonzero(ok) + a, side="right") - 1]
+        p = np.flatnonzero(ok)
+        anchors = np.flatnonzero(_is_anchor(h, m))
+        nth = np.searchsorted(anchors, p)
+        live = np.flatnonzero(h[anchors[nth]] != m[p])
+        while len(live):
+            nth[live] += 1
+            live = live[h[anchors[nth[live]]] != m[p[live]]]
+        out.append((p + a, anchors[nth] + a, m[p], np.repeat(code[i], size)[p]))
     if not out:
-        return np.zeros(0, np.int64)
-    starts = np.unique(np.concatenate(out))
-    return starts[~gone[np.searchsorted(offs, starts, side="right") - 1]]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.uint8)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def classes(data, offs, ids, starts, bits: int):
-    """(sorted keys, smallest id) of the classes of equal SPAN-byte strings among the starts, by suffix array."""
-    if not len(starts):
-        return np.zeros(0, U), np.zeros(0, np.int64)
+def classes(data, starts, doc):
+    """(class of each start by suffix array: equal numbers for equal SPAN-byte strings; smallest doc of each class; a function that
+    gives the suffix rank of positions inside the strings)."""
     text_at = np.flatnonzero(_spread(starts, len(data)))
     text = data[text_at]
-    place = np.searchsorted(text_at, starts)
-    sa, _ = suffix_array(text)
-    group = np.cumsum(common_prefixes(text, sa) < SPAN)
-    doc = np.zeros(len(text), np.int64)
-    doc[place] = ids[np.searchsorted(offs, starts, side="right") - 1]
-    mark = np.zeros(len(text), bool)
-    mark[place] = True
-    sa, group = sa[mark[sa]], group[mark[sa]]
-    along = doc[sa]  # in suffix order, where a class is a run
-    at = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    least = np.minimum.reduceat(along, at)
-    keys = vec.span_hash(vec.prefix(text), sa[at], sa[at] + SPAN) >> U(64 - bits)
-    o = np.argsort(keys, kind="stable")
-    keys, least = keys[o], least[o]
-    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))  # two classes of one key become one
-    return keys[new], np.minimum.reduceat(least, new)
-
-
-def removed_starts(data, offs, ids, starts, bits: int, flags) -> np.ndarray:
-    """Of the starts, those whose string is in a document with a smaller id; flags: (keys) -> whether in another shard."""
-    if not len(starts):
-        return starts
-    keys = vec.span_hash(vec.prefix(data), starts, starts + SPAN) >> U(64 - bits)
-    doc = ids[np.searchsorted(offs, starts, side="right") - 1]
-    o = np.argsort(keys, kind="stable")
-    new = np.concatenate([[True], keys[o][1:] != keys[o][:-1]])
-    at = np.flatnonzero(new)
-    of = np.empty(len(starts), np.int64)
-    of[o] = np.cumsum(new) - 1
-    least = np.minimum.reduceat(doc[o], at)
-    return starts[flags(keys[o[at]])[of] | (least[of] < doc)]
-
-
-def text_keys(data, offs, ids):
-    """(sorted unique digests of the rows' texts, smallest id of each, digest number of each row)."""
-    d = np.array([int.from_bytes(hashlib.blake2b(data[a:z].tobytes(), digest_size=8).digest(), "little") for a, z in zip(offs[:-1], offs[1:], strict=True)], U)
-    keys, of = np.unique(d, return_inverse=True)
-    least = np.full(len(keys), LAST)
-    np.minimum.at(least, of, ids)
-    return keys, least, of
+    sa, rank = suffix_array(text)
+    number = np.empty(len(text), np.int64)
+    number[sa] = np.cumsum(common_prefixes(text, sa) < SPAN)
+    of = number[np.searchsorted(text_at, starts)]
+    least = np.full(len(text) + 1, LAST)
+    np.minimum.at(least, of, doc)
+    return of, least, lambda p: rank[np.searchsorted(text_at, p)]
+
+
+def contexts(data, anchor, low, high):
+    """A row for each context: BACK bytes before the anchor and SPAN from it on, each plus one (UTF-8 has no byte 255), 0 outside."""
+    out = np.zeros((len(anchor), WIDTH), np.uint8)
+    for k in range(0, len(anchor), 1 << 15):
+        s = slice(k, k + (1 << 15))
+        p = anchor[s, None] + np.arange(-BACK, SPAN)
+        ok = (p >= low[s, None]) & (p < high[s, None] + SPAN)
+        out[s][ok] = data[p[ok]] + np.uint8(1)
+    return out
 
 
 def _spread(starts: np.ndarray, n: int) -> np.ndarray:
@@ -272,6 +280,126 @@ def _spread(starts: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(edge - ends)[:n] > 0
 
 
+def merged(runs: list[np.ndarray]) -> np.ndarray:
+    """The sorted unique strings of sorted runs, merged two by two: each string of one is placed in the other by binary search."""
+    while len(runs) > 1:
+        out = [runs[-1]] if len(runs) % 2 else []
+        for a, b in zip(runs[:-1:2], runs[1::2], strict=True):
+            a, b = (a, b) if len(a) >= len(b) else (b, a)
+            at = np.searchsorted(a, b)
+            new = (at == len(a)) | (a[np.minimum(at, len(a) - 1)] != b)
+            out.append(np.insert(a, at[new], b[new]))
+        runs = out
+    return runs[0]
+
+
+def _by_depth(part: np.ndarray, g: np.ndarray):
+    """depth -> a number for each row, equal for rows of one g whose first depth bytes are equal."""
+    words = np.ascontiguousarray(part).view(">u8")
+    o = np.lexsort((words[:, 2], words[:, 1], words[:, 0], g))
+    differ = part[o[1:]] != part[o[:-1]]
+    lcp = np.where(differ.any(axis=1), differ.argmax(axis=1), BACK)
+    lcp[g[o[1:]] != g[o[:-1]]] = -1
+
+    def at(depth: int) -> np.ndarray:
+        out = np.empty(len(o), np.int64)
+        out[o] = np.concatenate([[0], np.cumsum(lcp < depth)])
+        return out
+
+    return at
+
+
+def _by_string(c: np.ndarray, g: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For contexts with the anchor strings g: a bit for each string of a context that another has with a smaller doc."""
+    out = np.zeros(len(c), np.uint32)
+    left, right = _by_depth(c[:, :BACK][:, ::-1], g), _by_depth(c[:, BACK + GRAM :], g)
+    for j in range(WIDE):
+        ok = np.flatnonzero((c[:, j] > 0) & (c[:, j + SPAN - 1] > 0))
+        if len(ok) < 2:
+            continue
+        key = left(BACK - j)[ok] * len(c) + right(j)[ok]
+        o = np.argsort(key)
+        at = np.flatnonzero(np.concatenate([[True], key[o[1:]] != key[o[:-1]]]))
+        least = np.repeat(np.minimum.reduceat(doc[ok[o]], at), np.diff(np.append(at, len(o))))
+        hit = ok[o[least < doc[ok[o]]]]
+        out[hit] |= np.uint32(1 << j)
+    return out
+
+
+def smaller_elsewhere(rows: list[np.ndarray], ids: list[np.ndarray]) -> list[np.ndarray]:
+    """For each run of contexts in suffix order: a bit for each string of a context that another context has with a smaller id."""
+    runs = [x.reshape(-1, WIDTH) for x in rows]
+    grams = [np.ascontiguousarray(x[:, BACK : BACK + GRAM]).view(f"S{GRAM}").ravel() for x in runs]
+    u = merged([x[np.concatenate([[True], x[1:] != x[:-1]])] for x in grams])
+    g = np.concatenate([np.searchsorted(u, x) for x in grams])
+    c, doc = np.concatenate(runs), np.concatenate(ids)
+    o = np.argsort(g, kind="stable")
+    at = np.flatnonzero(np.concatenate([[True], g[o[1:]] != g[o[:-1]]]))
+    size = np.diff(np.append(at, len(o)))
+    least, one = np.minimum.reduceat(doc[o], at), np.ones(len(at), bool)
+    of = np.repeat(np.arange(len(at)), size)
+    for k in range(0, len(o), 1 << 15):
+        s = slice(k, k + (1 << 15))
+        one[of[s][(c[o[s]] != c[o[at[of[s]]]]).any(axis=1)]] = False
+    out = np.zeros(len(c), np.uint32)
+    out[o] = np.where(one[of] & (least[of] < doc[o]), np.uint32((1 << WIDE) - 1), np.uint32(0))  # an anchor with one context
+    rest = o[~one[of]]
+    if len(rest):
+        out[rest] = _by_string(c[rest], g[rest], doc[rest])
+    return np.split(out, np.cumsum([len(x) for x in ids])[:-1])
+
+
+def judged(data, offs, ids, gone, found, buckets: int):
+    """(what the last pass needs of this shard, contexts in order of bucket and suffix, their smallest ids, their buckets).
+
+    found: what candidates() gives."""
+    starts, anchor, h, code = found
+    doc = ids[np.searchsorted(offs, starts, side="right") - 1]
+    none = np.zeros(0, np.int64)
+    if not len(starts):
+        return (np.packbits(gone), none, none, none, none), np.zeros((0, WIDTH), np.uint8), none, none
+    of, least, rank = classes(data, starts, doc)
+    removed = starts[least[of] < doc]
+    out = code > 0
+    starts, anchor, h, code, of, doc = (x[out] for x in (starts, anchor, h, code, of, doc))
+    if not len(starts):
+        return (np.packbits(gone), removed, none, none, none), np.zeros((0, WIDTH), np.uint8), none, none
+    first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (code[1:] == 2)]))
+    last = np.append(first[1:], len(starts)) - 1
+    low, high, a = starts[first], starts[last], anchor[first]
+    shape = (a - low) * WIDE + high - low
+    o = np.lexsort((of[last], of[first], shape))
+    x, y, z = of[first][o], of[last][o], shape[o]
+    new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (z[1:] != z[:-1])])
+    at = np.flatnonzero(new)
+    pick, least = o[at], np.minimum.reduceat(doc[first][o], at)
+    key = h[first][pick]
+    hot = np.flatnonzero(code[first][pick] == 2)
+    if len(hot):
+        key[hot] = vec.span_hash(vec.prefix(data), low[pick[hot]], low[pick[hot]] + SPAN)
+    bucket = (((key >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+    order = np.lexsort((rank(a[pick]), bucket))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    number = np.empty(len(o), np.int64)
+    number[o] = place[np.cumsum(new) - 1]
+    pick = pick[order]
+    return (np.packbits(gone), removed, low, shape, number), contexts(data, a[pick], low[pick], high[pick]), least[order], bucket[order]
+
+
+def cut_of(n: int, offs, local, bits: np.ndarray) -> np.ndarray:
+    """Which of n bytes go. local: judged()'s first; bits: smaller_elsewhere()'s answers for the shard's contexts."""
+    gone, starts, low, shape, number = local
+    gone = np.unpackbits(gone)[: len(offs) - 1].astype(bool)
+    if len(number):
+        size = shape % WIDE + 1
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        at = np.repeat(BACK - shape // WIDE, size) + step
+        hit = np.repeat(bits[number], size) >> at.astype(np.uint32) & 1 > 0
+        starts = np.unique(np.concatenate([starts, (np.repeat(low, size) + step)[hit]]))
+    return _spread(starts, n) | np.repeat(gone & (np.diff(offs) >= SPAN), np.diff(offs))
+
+
 # --- Spark --------------------------------------------------------------------------------------------------------------
 
 
@@ -282,12 +410,16 @@ def _read(blob: bytes, id_col: str, text_col: str):
     return b, data, offs, ids
 
 
+def _digests(data, offs) -> list[bytes | None]:
+    """128-bit digests of the rows' texts, none for those too short to lose a byte."""
+    return [hashlib.blake2b(data[a:z].tobytes(), digest_size=16).digest() if z - a >= SPAN else None for a, z in zip(offs[:-1], offs[1:], strict=True)]
+
+
 def _marked(docs: DataFrame, id_col: str, text_col: str):
     """(shards with all answers, a function of their batches that yields (batch, data, offs, removed byte mask))."""
     packed = shards.pack(docs, text_col)
-    total = packed.agg(F.sum("bytes")).first()[0] or 0
-    b1, b2 = shards.key_bits(total, 14), shards.key_bits(total, 30)
-    n0, n1, n2 = shards.n_buckets(packed, 0.001), shards.n_buckets(packed, 0.08), shards.n_buckets(packed, 0.15)
+    b1 = shards.key_bits(packed.agg(F.sum("bytes")).first()[0] or 0, 14)
+    n1, n2 = shards.n_buckets(packed, 0.08), shards.n_buckets(packed, 0.08)
     s = packed.select("sid", "blob")
 
     def each(batches, *names):
@@ -296,15 +428,27 @@ def _marked(docs: DataFrame, id_col: str, text_col: str):
                 yield [x.as_py() for x in row]
 
     def whole(batches):
+        """A row for each text of a shard: its smallest id there."""
         for sid, blob in each(batches):
             _, data, offs, ids = _read(blob, id_col, text_col)
-            yield shards.key_rows(sid, *text_keys(data, offs, ids)[:2], 64, n0)
+            least: dict[bytes, list] = {}
+            for d, n, i in zip(_digests(data, offs), np.diff(offs).tolist(), ids.tolist(), strict=True):
+                if d is not None and i < least.get(d, (0, LAST + 1))[1]:
+                    least[d] = (n, i)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sid] * len(least), pa.string()), pa.array(list(least), pa.binary()), pa.array([x[0] for x in least.values()], pa.int64()), pa.array([x[1] for x in least.values()], pa.int64())],
+                ["sid", "digest", "size", "least"],
+            )
 
     def rest(blob, copies):
-        """A shard with the rows whose whole text is in a document with a smaller id."""
+        """A shard, and which rows' whole text is in a document with a smaller id."""
         batch, data, offs, ids = _read(blob, id_col, text_col)
-        keys, least, of = text_keys(data, offs, ids)
-        gone = shards.flags_of(copies, keys, 64, n0)[of] | (least[of] < ids)
+        elsewhere, least, gone = set(copies or []), {}, np.zeros(len(ids), bool)
+        ds = _digests(data, offs)
+        for d, i in zip(ds, ids.tolist(), strict=True):
+            least[d] = min(i, least.get(d, i))
+        for r, (d, i) in enumerate(zip(ds, ids.tolist(), strict=True)):
+            gone[r] = d is not None and (d in elsewhere or least[d] < i)
         return batch, data, offs, ids, gone
 
     def first(batches):
@@ -314,24 +458,27 @@ def _marked(docs: DataFrame, id_col: str, text_col: str):
             yield shards.key_rows(sid, *anchor_keys(data[left], np.concatenate([[0], np.cumsum(np.where(gone, 0, np.diff(offs)))]), b1), b1, n1)
 
     def second(batches):
-        for sid, blob, copies, shared in each(batches, "copies", "shared"):
+        for sid, blob, copies, met in each(batches, "copies", "met"):
             _, data, offs, ids, gone = rest(blob, copies)
-            starts = candidate_starts(data, offs, b1, shards.keys_of(shared, b1, n1), gone)
-            yield shards.key_rows(sid, *classes(data, offs, ids, starts, b2), b2, n2)
+            key, code = shards.coded_keys_of(met, b1, n1, 2)
+            local, rows, least, bucket = judged(data, offs, ids, gone, candidates(data, offs, b1, key, code, gone), n2)
+            gone, removed, low, *more = local
+            yield shards.own_row(sid, (gone, np.diff(removed, prepend=0), np.diff(low, prepend=0), *more))
+            yield shards.block_rows(sid, rows, least, bucket)
 
     def third(batches):
-        for _, blob, copies, shared, there in each(batches, "copies", "shared", "there"):
-            batch, data, offs, ids, gone = rest(blob, copies)
-            starts = candidate_starts(data, offs, b1, shards.keys_of(shared, b1, n1), gone)
-            starts = removed_starts(data, offs, ids, starts, b2, lambda k, there=there: shards.flags_of(there, k, b2, n2))
-            cut = _spread(starts, len(data)) | np.repeat(gone & (np.diff(offs) >= SPAN), np.diff(offs))
-            yield batch, data, offs, cut
-
-    met = s.join(shards.exchange(s.mapInArrow(whole, shards.KEYS), np.int64, shards.less_elsewhere).withColumnRenamed("answers", "copies"), "sid", "left")
-    shared = shards.exchange(met.mapInArrow(first, shards.KEYS), np.uint8, shards.shared_keys)
-    met = met.join(shared.withColumnRenamed("answers", "shared"), "sid", "left")
-    there = shards.exchange(met.mapInArrow(second, shards.KEYS), np.int64, shards.less_elsewhere)
-    return met.join(there.withColumnRenamed("answers", "there"), "sid", "left"), third
+        for _, blob, there in each(batches, "there"):
+            batch, data, offs, _ = _read(blob, id_col, text_col)
+            gone, removed, low, *more = shards.own_of(there, np.uint8, *[np.int64] * 4)
+            yield batch, data, offs, cut_of(len(data), offs, (gone, np.cumsum(removed), np.cumsum(low), *more), shards.answers_of(there, np.uint32))
+
+    same = W.partitionBy("digest", "size")
+    copies = s.mapInArrow(whole, "sid string, digest binary, size long, least long").withColumn("first", F.min("least").over(same)).where("least > first")
+    met = s.join(copies.groupBy("sid").agg(F.collect_list("digest").alias("copies")), "sid", "left")
+    keys = shards.exchange(met.mapInArrow(first, shards.KEYS), np.uint8, met_anchors)
+    met = met.join(keys.withColumnRenamed("answers", "met"), "sid", "left")
+    there = shards.exchange(met.mapInArrow(second, shards.KEYS), np.int64, smaller_elsewhere, np.uint8)
+    return s.join(there.withColumnRenamed("answers", "there"), "sid", "left"), third
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
