@@ -1,17 +1,23 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-`plan_cascade` times every rule and counts what it rejects on a bounded sample, then orders the rules by rejections per
-second; `cascade_verdict` compiles that order into one lazily evaluated CASE, so a row stops at its first rejecting rule. The
-order changes cost only: a text is kept exactly when no rule rejects it.
+`plan_cascade` evaluates every rule on a bounded sample between two readings of the clock, in one job that reads only as many
+partitions as the sample needs and returns numbers; it orders the rules by rejections per nanosecond. `cascade_verdict` compiles that
+order into one lazily evaluated CASE, so a row stops at its first rejecting rule. The order changes cost only: a text is
+kept exactly when no rule rejects it. Rules that reject nothing in the sample come last, in the order given: every kept row meets them all.
+
+In `quality_rules` the base columns are results and are computed for every row. In `keep_good` the base conditions are rules like
+the others, and what a rule needs beyond the words of a text (windows, lines, letters) is inside its branch of the CASE.
 
 Defined results: a null or empty text has no words, zero counts and fails the base rule. Repeated rows stay repeated. An
-empty table gives an empty result and the rules keep the order given. 8-word windows are compared by 64-bit hashes.
+empty table gives an empty result and the rules keep the order given. 8-word windows are compared by 64-bit hashes. Columns of
+any name may come along.
 """
 
 from __future__ import annotations
 
-import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from statistics import median
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +27,7 @@ WINDOW = 8
 MIN_WORDS = 20
 SYMBOLS = "#*$%&|<>"
 SAMPLE_ROWS = 400  # bound of the sample that orders the rules; it decides no row
+LEAST_NS = 1000  # a shorter evaluation counts as this
 
 
 @dataclass(frozen=True)
@@ -29,6 +36,11 @@ class Rule:
     rejects: Column
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value evaluated once, and only where the result is."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _count_of(text: Column, chars: str) -> Column:
     """How often any of the given characters occurs; replace() searches bytes and builds no object per character."""
     rest = text
@@ -37,88 +49,94 @@ def _count_of(text: Column, chars: str) -> Column:
     return (F.length(text) - F.length(rest)).cast("long")
 
 
-def base_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, t (the text, null as empty), n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words."""
-    d = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
-    bare = F.btrim("t", F.lit(SPACE))
-    d = d.withColumn("bare", bare).withColumn(
-        "words", F.when(F.col("bare") == "", F.array().cast("array<string>")).otherwise(F.split("bare", r"[\x20\x09-\x0D]+"))
-    )
-    lines = F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
-    d = d.select(
-        "id", "t",
-        F.size("words").cast("long").alias("n_words"),
-        F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"),
-        F.transform("words", lambda w: F.xxhash64(w)).alias("wh"),
-        lines.alias("lines"),
-    )
-    at = lambda i, k: F.get("wh", i + k)
-    grams = F.when(
-        F.col("n_words") > WINDOW,
-        F.transform(
-            F.sequence(F.lit(0), (F.col("n_words") - WINDOW).cast("int")),
-            lambda i: F.xxhash64(*[at(i, k) for k in range(WINDOW)]),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
-    d = d.select(
-        "id", "t", "n_words", "word_chars", grams.alias("grams"),
-        _count_of(F.col("t"), SYMBOLS).alias("n_symbols"),
-        F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-    )
-    # only a text with a repeated window pays for the sort
-    d = d.withColumn(
-        "pairs",
-        F.when(
-            F.size(F.array_distinct("grams")) < F.size("grams"),
-            F.sort_array(F.transform("grams", lambda g, i: F.struct(g.alias("g"), i.alias("i")))),
-        ).otherwise(F.array().cast("array<struct<g:bigint,i:int>>")),
-    )
-    same = lambda x, j: F.coalesce(F.get("pairs", j)["g"] == x["g"], F.lit(False))
-    twice = F.filter("pairs", lambda x, j: same(x, j + 1) | (F.when(j > 0, same(x, j - 1)).otherwise(False)))
-    d = d.withColumn("starts", F.sort_array(F.transform(twice, lambda x: x["i"])))
-    repeat = F.aggregate(
-        "starts",
+def _matching(text: Column, other: str) -> Column:
+    """Characters outside the class `other`."""
+    return F.length(F.regexp_replace(text, f"{other}+", "")).cast("long")
+
+
+def _repeat_words(words: Column) -> Column:
+    """Words in WINDOW-word windows that are in the text twice or more."""
+    n = F.size(words)
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    grams = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - WINDOW), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)]))
+    same = lambda p, x, j: F.coalesce(F.get(p, j)["g"] == x["g"], F.lit(False))
+    twice = lambda p: F.filter(p, lambda x, j: same(p, x, j + 1) | F.when(j > 0, same(p, x, j - 1)).otherwise(False))
+    covered = lambda starts: F.aggregate(
+        starts,
         F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n")),
         lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n")),
     )["n"]
-    return d.select("id", "t", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", repeat.alias("n_repeat_words"))
+    of = lambda g: _let(F.sort_array(F.transform(g, lambda x, i: F.struct(x.alias("g"), i.alias("i")))), lambda p: covered(F.sort_array(F.transform(twice(p), lambda x: x["i"]))))
+    # only a text with a repeated window pays for the sort
+    found = _let(_let(hashes, grams), lambda g: F.when(F.size(F.array_distinct(g)) < F.size(g), of(g)).otherwise(F.lit(0).cast("long")))
+    return F.when(n > WINDOW, found).otherwise(F.lit(0).cast("long"))
+
+
+def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, t (the text, null as empty), words, n_words."""
+    d = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
+    words = _let(F.btrim("t", F.lit(SPACE)), lambda x: F.when(x == "", F.array().cast("array<string>")).otherwise(F.split(x, r"[\x20\x09-\x0D]+")))
+    return d.withColumn("words", words).withColumn("n_words", F.size("words").cast("long"))
+
+
+def _features() -> dict[str, Column]:
+    """What rules ask of t and words."""
+    lines = F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
+    return {
+        "n_words": F.col("n_words"),
+        "word_chars": F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)),
+        "n_symbols": _count_of(F.col("t"), SYMBOLS),
+        "lines": _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("copies"))),
+        "n_repeat_words": _repeat_words(F.col("words")),
+    }
+
+
+def base_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, t (the text, null as empty), n_words, word_chars, n_symbols, lines (n, copies), n_repeat_words."""
+    return _read(docs, id_col, text_col).select("id", "t", *[c.alias(name) for name, c in _features().items()])
+
+
+def base_rules(f: dict[str, Column]) -> list[Rule]:
+    return [Rule("short", f["n_words"] < MIN_WORDS), Rule("repeats", 100 * f["n_repeat_words"] > 30 * f["n_words"])]
 
 
 def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    short, repeats = base_rules({k: F.col(k) for k in ("n_words", "n_repeat_words")})
+    return short.rejects | repeats.rejects
 
 
-def default_rules() -> list[Rule]:
-    """Rules over the columns of base_features; texts that pass the base have 20 words at least."""
-    n = F.col("n_words")
+def default_rules(f: dict[str, Column] | None = None) -> list[Rule]:
+    """Rules over t and the columns of base_features, or over the expressions given for these."""
+    f = f or {k: F.col(k) for k in _features()}
+    n, letters = f["n_words"], _matching(F.col("t"), r"\P{L}")
     return [
-        Rule("symbols", 100 * F.col("n_symbols") > 10 * n),
+        Rule("symbols", 100 * f["n_symbols"] > 10 * n),
         Rule("exclamations", 100 * _count_of(F.col("t"), "!") > 20 * n),
-        Rule("capitals", 100 * F.regexp_count("t", F.lit(r"\p{Lu}")) > 50 * F.regexp_count("t", F.lit(r"\p{L}"))),
-        Rule("no_letters", 2 * F.regexp_count("t", F.lit(r"\p{L}")) < F.col("word_chars")),
-        Rule("line_copies", (F.col("n_lines") >= 4) & (2 * F.col("n_dup_lines") > F.col("n_lines"))),
-        Rule("word_length", (F.col("word_chars") > 25 * n) | (2 * F.col("word_chars") < 3 * n)),
+        Rule("capitals", 100 * _matching(F.col("t"), r"\P{Lu}") > 50 * letters),
+        Rule("no_letters", 2 * letters < f["word_chars"]),
+        Rule("line_copies", _let(f["lines"], lambda x: (x["n"] >= 4) & (2 * x["copies"] > x["n"]))),
+        Rule("word_length", _let(f["word_chars"], lambda x: (x > 25 * n) | (2 * x < 3 * n))),
         Rule("braces", 100 * _count_of(F.col("t"), "{}") > 10 * n),
     ]
 
 
-def plan_cascade(features: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejections per second on a sample of at most sample_rows rows, best first; ties keep the order given."""
-    held = features.limit(2 * sample_rows).persist()  # a filter must not be pushed below the features
-    sample = held.where(~base_failed()).limit(sample_rows).persist()
-    total = sample.count()
-    held.unpersist()
-    if not total:
-        sample.unpersist()
-        return rules
-    scored = []
+def plan_cascade(features: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS, judged: Column | None = None) -> list[Rule]:
+    """The rules by rejections per nanosecond on a sample of at most sample_rows rows, best first; ties keep the order given.
+
+    judged: which rows of the sample count. Each rule's time is the median over the later half of the rows, when code is compiled."""
+    clock = F.reflect(F.lit("java.lang.System"), F.lit("nanoTime")).cast("long")
+    cells = [F.coalesce(F.lit(True) if judged is None else judged, F.lit(False)).alias("judged"), clock.alias("c0")]
     for k, r in enumerate(rules):
-        began = time.perf_counter()
-        n = sample.agg(F.count_if(r.rejects)).first()[0]
-        scored.append((-(n + 0.5) / (total + 1) / (time.perf_counter() - began), k, r))
-    sample.unpersist()
-    return [r for _, _, r in sorted(scored, key=lambda x: x[:2])]
+        cells += [F.coalesce(r.rejects, F.lit(False)).alias(f"r{k}"), clock.alias(f"c{k + 1}")]
+    rows = [x[0] for x in features.select(F.struct(*cells)).take(sample_rows)]  # reads partition by partition until it has enough
+    seen = [x for x in rows if x["judged"]]
+    if not seen:
+        return rules
+    score = []
+    for k in range(len(rules)):
+        ns = median(x[f"c{k + 1}"] - x[f"c{k}"] for x in rows[len(rows) // 2 :])
+        score.append(sum(x[f"r{k}"] for x in seen) / len(seen) / max(ns, LEAST_NS))
+    return [r for _, _, r in sorted(((-s, k, r) for k, (s, r) in enumerate(zip(score, rules, strict=True))), key=lambda x: x[:2])]
 
 
 def cascade_verdict(rules: list[Rule]) -> Column:
@@ -131,21 +149,20 @@ def cascade_verdict(rules: list[Rule]) -> Column:
 
 def quality_rules(docs: DataFrame, rules: list[Rule] | None = None, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, the base columns, base_failed, kept and rejected_by (`base`, a rule's name, or null) for each row."""
-    rules = default_rules() if rules is None else rules
     f = base_features(docs, id_col, text_col)
-    rules = plan_cascade(base_features(docs.limit(2 * sample_rows), id_col, text_col), rules, sample_rows)
+    rules = plan_cascade(f, default_rules() if rules is None else rules, sample_rows, ~base_failed())
     by = F.when(base_failed(), "base").otherwise(cascade_verdict(rules))
     return f.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", F.col("lines.copies").alias("n_dup_lines"), "n_repeat_words",
         base_failed().alias("base_failed"), by.isNull().alias("kept"), by.alias("rejected_by"),
     )
 
 
 def keep_good(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of docs that no rule rejects, with all their columns."""
-    row = docs.select(F.struct("*").alias("row"), F.col("text").alias("t"))
-    rules = plan_cascade(base_features(docs.limit(2 * sample_rows)), default_rules(), sample_rows)
-    f = base_features(row, "row", "t")
-    kept = f.select("id", (~base_failed() & cascade_verdict(rules).isNull()).alias("kept"))
-    # a filter would be pushed down and repeat the features' expressions; a generator is not
+    d = _read(docs.select(F.struct("*").alias("row"), F.col("text").alias("t")), "row", "t")
+    f = _features()
+    rules = plan_cascade(d, [*base_rules(f), *default_rules(f)], sample_rows)
+    kept = d.select("id", cascade_verdict(rules).isNull().alias("kept"))
+    # a filter would be pushed down and repeat the words' expressions; a generator is not
     return kept.select("id", F.explode(F.when(F.col("kept"), F.array(F.lit(1)))).alias("one")).select("id.*")
