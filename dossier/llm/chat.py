@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -74,57 +75,61 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
 
 
 class _Windows:
-    """The windows of one conversation at a time."""
+    """The windows of one conversation at a time, cut out of the prefix sums of its turns' tokens by binary search.
+
+    Turns are held until their sum passes the budget, so the end of a window is known; of the turns before, only the history stays."""
 
     def __init__(self, count, budget: int, history: int):
         self.count, self.budget, self.history = count, budget, history
         self.begin(object())  # equal to no id
 
     def begin(self, conv):
-        self.conv, self.n, self.system, self.past, self.new = conv, 0, None, [], []
+        self.conv, self.n, self.system = conv, 0, None
+        self.turns, self.sums = [], [0]  # sums[i]: tokens of the turns before i
+        self.at = 0  # the first new turn
 
     def turn(self, role: str, text: str) -> Iterator[tuple]:
         block = f"{START}{escape_role(role)}\n{escape(text)}{END}"
-        t = (role, len(START) + len(escape_role(role)) + 1, block, self.count(text) + self.count(role) + TURN_OVERHEAD)
-        if self.new:
-            rep = self._repeated()
-            if self._sum(rep) + self._sum(self.new) + t[3] > self.budget or (self.system and not rep):
-                yield self.flush()
-        self.new.append(t)
+        n = self.count(text) + self.count(role) + TURN_OVERHEAD
+        self.turns.append((role, len(START) + len(escape_role(role)) + 1, block, n))
+        self.sums.append(self.sums[-1] + n)
+        while self.sums[-1] - self.sums[self.at] > self.budget:
+            yield self._window()
 
-    @staticmethod
-    def _sum(turns) -> int:
-        return sum(t[3] for t in turns)
+    def rest(self) -> Iterator[tuple]:
+        while self.at < len(self.turns):
+            yield self._window()
 
     def _repeated(self) -> list[tuple]:
         """The system turn, and as many of the last turns before the new ones as the history and half the budget allow; fewer, the
         oldest going first, where the first new turn needs the room. The system turn goes only if it doesn't fit beside that turn."""
         head = [self.system] if self.system else []
-        left = self.budget - self._sum(head) - self.new[0][3]
+        taken = sum(t[3] for t in head)
+        left = self.budget - taken - self.turns[self.at][3]
         if left < 0:
             return []
-        room, tail = min(self.budget // 2 - self._sum(head), left), []
-        for t in reversed(self.past):
-            if room < t[3]:
-                break
-            tail.append(t)
-            room -= t[3]
-        return head + tail[::-1]
-
-    def flush(self) -> tuple:
+        room = min(self.budget // 2 - taken, left)
+        first = bisect_left(self.sums, self.sums[self.at] - room, max(0, self.at - self.history), self.at)
+        return head + self.turns[first : self.at]
+
+    def _window(self) -> tuple:
         rep = self._repeated()
-        tokens = self._sum(rep) + self._sum(self.new)
+        taken, end = sum(t[3] for t in rep), self.at + 1
+        if rep or not self.system:
+            end = max(end, bisect_right(self.sums, self.sums[self.at] + self.budget - taken) - 1)
+        new, tokens = self.turns[self.at : end], taken + self.sums[end] - self.sums[self.at]
         parts, spans, at = [], [], 0
-        for k, (role, head, block, _) in enumerate([*rep, *self.new]):
+        for k, (role, head, block, _) in enumerate([*rep, *new]):
             if k >= len(rep) and role == "assistant":
                 spans.append({"start": at + head, "end": at + len(block) - len(END)})
             parts.append(block)
             at += len(block)
-        out = (self.conv, self.n, "".join(parts), tokens, tokens > self.budget, len(rep), len(self.new), spans)
-        if self.system is None and self.n == 0 and self.new[0][0] == "system":
-            self.system, self.new = self.new[0], self.new[1:]
-        self.past = [*self.past, *self.new][-self.history :] if self.history else []
-        self.n, self.new = self.n + 1, []
+        out = (self.conv, self.n, "".join(parts), tokens, tokens > self.budget, len(rep), len(new), spans)
+        past = max(0, end - self.history)
+        if self.n == 0 and new[0][0] == "system":
+            self.system, past = new[0], max(1, past)
+        self.turns, self.sums = self.turns[past:], self.sums[past:]
+        self.at, self.n = end - past, self.n + 1
         return out
 
 
@@ -151,12 +156,10 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
             w = _Windows(count, budget, history)
             for conv, _, role, text in _flat(batches):
                 if conv != w.conv:
-                    if w.new:
-                        yield w.flush()
+                    yield from w.rest()
                     w.begin(conv)
                 yield from w.turn(role, text)
-            if w.new:
-                yield w.flush()
+            yield from w.rest()
 
         return _batches(rows(), schema)
 
