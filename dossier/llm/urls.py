@@ -9,6 +9,8 @@ table gives every URL the default. Repeated rows stay repeated. Of rules equally
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,10 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return ascii_lower(F.regexp_extract(u, SPLIT, 1)), F.regexp_extract(u, SPLIT, 2)
 
 
+def _short(digest: Column) -> Column:
+    return F.conv(F.substring(digest, 1, SHORT), 16, 10).cast("long")
+
+
 def _prepared(rules: DataFrame) -> DataFrame:
     """One row for each rule text: its digest, its short prefix, its shape and its verdict."""
     return (
@@ -43,53 +49,50 @@ def _prepared(rules: DataFrame) -> DataFrame:
         .select(
             F.concat("rh", "rp").alias("rule"), "blocks",
             F.sha2(F.concat("rh", "rp"), 256).alias("digest"),
-            (F.size(F.split("rh", r"\.")) - 0).alias("labels"), F.length("rp").alias("chars"), F.length("rh").alias("host_chars"),
+            F.size(F.split("rh", r"\.")).alias("labels"), F.length("rp").alias("chars"),
         )
-        .withColumn("short", F.substring("digest", 1, SHORT))
+        .withColumn("short", _short(F.col("digest")))
     )
 
 
+def _expressions(shapes: DataFrame) -> Column:
+    """Host suffix and path prefix of the column pair (host, path) in every shape that a rule has, as one array."""
+    held = [(r["labels"], r["chars"]) for r in shapes.collect()]
+    if not held:
+        return F.array().cast("array<string>")
+    parts = F.size(F.split("host", r"\."))
+    wide = F.from_json(F.lit(json.dumps([{"n": n, "chars": c} for n, c in sorted(held)])), "array<struct<n:int,chars:int>>")
+    fit = F.filter(wide, lambda s: (s["n"] <= parts) & (s["chars"] <= F.length("path")) & (F.col("host") != ""))
+    return F.array_distinct(F.transform(fit, lambda s: F.concat(F.call_function("substring_index", F.col("host"), F.lit("."), -s["n"]), F.substring(F.col("path"), F.lit(1), s["chars"]))))
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(id, host, path, rule, verdict) for each row of pages.
 
     The shapes (labels of the host, characters of the path) of the rules are few, as both numbers are short; only
-    expressions of such shapes are made, so a URL with thousands of labels stays cheap.
+    expressions of such shapes are made, so a URL with thousands of labels stays cheap. The join is on the short prefix alone; the
+    full digest then confirms. Repeated rows of one partition are judged once.
     """
     ready = _prepared(rules).persist()
-    shapes = [(r["labels"], r["chars"]) for r in ready.select("labels", "chars").distinct().collect()]
     small = ready.count() <= BROADCAST_RULES
+    made = _expressions(ready.select("labels", "chars").distinct())
     host, path = url_parts(F.col("u"))
     rows = (
-        pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("u"))
-        .groupBy("id", "u").agg(F.count(F.lit(1)).alias("copies"))
-        .select("id", "u", "copies", host.alias("host"), path.alias("path"))
+        pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("u")).withColumn("part", F.spark_partition_id())
+        .groupBy("id", "u", "part").agg(F.count(F.lit(1)).alias("copies"))
+        .select("id", "u", "part", "copies", host.alias("host"), path.alias("path"))
     )
-    parts = F.split("host", r"\.")
-    made = [
-        F.when(
-            (F.size(parts) >= n) & (F.length("path") >= chars) & (F.col("host") != ""),
-            F.concat(F.substring_index("host", ".", -n), F.substring("path", 1, chars)),
-        )
-        for n, chars in shapes
-    ]
-    expressions = F.array_distinct(F.array_compact(F.array(*made))) if made else F.array().cast("array<string>")
-    spread = (
-        rows.select("*", F.explode_outer(expressions).alias("expression"))
-        .withColumn("full", F.sha2("expression", 256))
-        .withColumn("prefix", F.substring("full", 1, SHORT))
-    )
+    spread = rows.select("*", F.explode_outer(made).alias("expression")).withColumn("full", F.sha2("expression", 256)).withColumn("prefix", _short(F.col("full")))
     keep = ready.select("rule", "blocks", "digest", "short")
     if small:
-        met = spread.join(F.broadcast(keep), (F.col("prefix") == F.col("short")) & (F.col("full") == F.col("digest")), "left")
+        met = spread.join(F.broadcast(keep), F.col("prefix") == F.col("short"), "left")
     else:  # a hot host is salted over the rules' copies
         salted = keep.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        met = spread.withColumn("own", F.pmod(F.xxhash64("id", "u"), F.lit(SALTS)).cast("int")).join(
-            salted, (F.col("prefix") == F.col("short")) & (F.col("own") == F.col("salt")) & (F.col("full") == F.col("digest")), "left"
+        met = spread.withColumn("own", F.pmod(F.xxhash64("id", "u", "part"), F.lit(SALTS)).cast("int")).join(
+            salted, (F.col("prefix") == F.col("short")) & (F.col("own") == F.col("salt")), "left"
         )
     order = F.struct(F.length("rule").alias("n"), F.col("blocks"), F.col("rule"))
-    best = met.groupBy("id", "u", "host", "path", "copies").agg(
-        F.max(F.when(F.col("rule").isNotNull(), order)).alias("best")
-    )
+    best = met.groupBy("id", "u", "part", "host", "path", "copies").agg(F.max(F.when(F.col("full") == F.col("digest"), order)).alias("best"))
     return best.select(
         F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"),
         F.when(F.col("best").isNull(), F.lit(default)).when(F.col("best.blocks") == 1, "block").otherwise("allow").alias("verdict"),
