@@ -32,6 +32,7 @@ SKIPPABLE, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
 
 FRAME_BYTES, BUNDLE_BYTES, LEVEL = 256 << 10, 64 << 20, 3
 MIN_BYTES = 1000
+SALTS = 16
 INDEX = "page_id long, record_id string, bundle string, frame int, frame_at long, frame_bytes int, at int, bytes int"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
@@ -145,15 +146,17 @@ def _schema(ddl: str) -> pa.Schema:
 def with_heads(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """page_id, url, html, digest, n, head: head is the page_id of the response among equal payloads, or null if the row is it.
 
-    Heads come from a pre-aggregated group-by, and only digests that occur twice are joined back.
+    Only digests that occur twice are joined, first with the ids of pages that have them, salted, then with the pages by id and digest;
+    so neither empty pages nor a payload of many pages meet in one task with their html.
     """
     p = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("html"))
     p = p.withColumn("digest", F.sha1("html")).withColumn("n", F.octet_length("html"))
-    heads = (
-        p.where(F.col("n") >= min_bytes).groupBy("digest")
-        .agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("k")).where("k > 1 and last is not null").drop("k")
-    )
-    return p.join(heads, "digest", "left").withColumn("head", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))).drop("last")
+    ids = p.where(F.col("n") >= min_bytes).select("page_id", "digest")
+    heads = ids.groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("k")).where("k > 1 and last is not null").drop("k")
+    heads = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    revisits = ids.distinct().withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).join(heads, ["digest", "salt"])
+    revisits = revisits.where(~F.col("page_id").eqNullSafe(F.col("last"))).select(F.col("page_id").alias("own"), F.col("digest").alias("same"), F.col("last").alias("head"))
+    return p.join(revisits, F.col("page_id").eqNullSafe(F.col("own")) & (F.col("digest") == F.col("same")), "left").drop("own", "same")
 
 
 def write_warc(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES, level: int = LEVEL) -> DataFrame:
