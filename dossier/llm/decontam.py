@@ -1,8 +1,9 @@
 """Benchmark decontamination by winnowing.
 
 Of the 5-word hashes in each window of 6 the minimum is kept, so any 10 words that a document shares with an item share a
-kept hash. Documents' and items' fingerprints meet in an equi-join; each hit is extended word by word, compared as bytes, and
-counts if the run has 10 words (or the whole of a shorter item, which is fingerprinted whole).
+kept hash. Documents' and items' fingerprints meet in an equi-join; each hit is extended to every window of 10 words round it (of all
+words for a shorter item, which is fingerprinted whole) that the item has, found by hash and compared as bytes. A hit is a place in the
+document only, so work is the document's places plus the item's, not their product, however repetitive both are.
 
 A fixed-size bit table of the items' fingerprints spares most document fingerprints the join; it never decides a hit.
 
@@ -18,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from . import vec
 from .common import stash
@@ -58,9 +60,11 @@ def fingerprints(h: np.ndarray, bounds: np.ndarray, short: list[int]):
 
 
 def _item_fingerprints(items: DataFrame) -> DataFrame:
+    """(item, fp, n), each fingerprint of an item once; n: its words."""
+
     def run(batches):
         for b in batches:
-            out = {"item": [], "fp": [], "ipos": [], "n": []}
+            out = {"item": [], "fp": [], "n": []}
             for i, j, data, offs in vec.chunks(b, "text"):
                 ids = b.column("item").slice(i, j - i).to_numpy(zero_copy_only=False)
                 _, _, _, h, bounds = tokens(data, offs)
@@ -70,16 +74,15 @@ def _item_fingerprints(items: DataFrame) -> DataFrame:
                     if not n:
                         continue
                     if n < SPAN:
-                        p, f = np.zeros(1, np.int64), vec.mix(vec.gram_hash(own, n) + vec.U(n * 77))
+                        f = vec.mix(vec.gram_hash(own, n) + vec.U(n * 77))
                     else:
-                        p, f = fingerprints(own, np.array([0, n]), [])
-                    out["item"] += [ids[r]] * len(p)
+                        f = np.unique(fingerprints(own, np.array([0, n]), [])[1])
+                    out["item"] += [ids[r]] * len(f)
                     out["fp"] += f.view(np.int64).tolist()
-                    out["ipos"] += p.tolist()
-                    out["n"] += [n] * len(p)
-            yield pa.RecordBatch.from_arrays([pa.array(out["item"], pa.int64()), pa.array(out["fp"], pa.int64()), pa.array(out["ipos"], pa.int32()), pa.array(out["n"], pa.int32())], ["item", "fp", "ipos", "n"])
+                    out["n"] += [n] * len(f)
+            yield pa.RecordBatch.from_arrays([pa.array(out["item"], pa.int64()), pa.array(out["fp"], pa.int64()), pa.array(out["n"], pa.int32())], ["item", "fp", "n"])
 
-    return items.select("item", "text").mapInArrow(run, "item long, fp long, ipos int, n int")
+    return items.select("item", "text").mapInArrow(run, "item long, fp long, n int")
 
 
 def _document_fingerprints(docs: DataFrame, table: bytes, short: list[int]) -> DataFrame:
@@ -99,26 +102,24 @@ def _document_fingerprints(docs: DataFrame, table: bytes, short: list[int]) -> D
     return docs.select("k", "t").mapInArrow(run, "k long, dfp long, pos int")
 
 
-def _runs_of(dh, ih, hits, need: int):
-    """Runs (start, end in the document, start in the item) of equal words through the hits, of `need` words at least."""
-    seen: dict[int, int] = {}
-    for pos, ipos in sorted(hits):
-        diag = pos - ipos
-        if pos < seen.get(diag, -1):
-            continue
-        lo = max(0, -diag)
-        hi = min(len(ih), len(dh) - diag)
-        if not lo <= ipos < hi:
-            continue
-        differ = np.flatnonzero(dh[lo + diag : hi + diag] != ih[lo:hi]) + lo
-        k = np.searchsorted(differ, ipos)
-        if k < len(differ) and differ[k] == ipos:
-            continue
-        a = int(differ[k - 1]) + 1 if k else lo
-        z = int(differ[k]) if k < len(differ) else hi
-        seen[diag] = z + diag
-        if z - a >= need:
-            yield a + diag, z + diag, a
+def _hit_words(dh, ih, hits, same) -> np.ndarray:
+    """Which words are in a window of min(SPAN, words of the item) words that the item has; windows round the hits are tried.
+
+    same(p, i, n): whether the n words from p in the document are those from i in the item."""
+    need = min(SPAN, len(ih))
+    gram = min(GRAM, need)
+    hit = np.zeros(len(dh), bool)
+    first = np.unique((np.asarray(hits)[:, None] - np.arange(need - gram + 1)).ravel())
+    first = first[(first >= 0) & (first + need <= len(dh))]
+    if not len(first):
+        return hit
+    of_item, where = np.unique(vec.gram_hash(ih, need), return_index=True)
+    d = vec.gram_hash(dh, need)[first]
+    at = np.minimum(np.searchsorted(of_item, d), len(of_item) - 1)
+    for p, i in zip(first[of_item[at] == d], where[at][of_item[at] == d], strict=True):
+        if same(p, i, need):
+            hit[p : p + need] = True
+    return hit
 
 
 def match_words(docs: DataFrame, benchmark: DataFrame, doc_text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -138,10 +139,12 @@ def match_words(docs: DataFrame, benchmark: DataFrame, doc_text: str = "text", i
     bits[slots] = 1
     bits = np.packbits(bits, bitorder="little").tobytes()
 
-    d = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(f"`{doc_text}`"), F.lit("")).alias("t")).withColumn("k", F.xxhash64("t"))
+    # a key for each row, so that copies of one text part; rows that repeat whole share theirs
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (MapType, VariantType))]
+    d = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(f"`{doc_text}`"), F.lit("")).alias("t"), F.xxhash64(*plain).alias("k"))
     near = F.broadcast if n_fps <= BROADCAST_ROWS else (lambda x: x)
     met = _document_fingerprints(d, bits, short).join(near(fps), F.col("dfp") == F.col("fp"))
-    by_item = met.groupBy("k", "item").agg(F.collect_set(F.struct("pos", "ipos")).alias("hits"))
+    by_item = met.groupBy("k", "item").agg(F.collect_set("pos").alias("hits"))
     by_item = by_item.join(F.broadcast(items) if n_fps <= BROADCAST_ROWS else items, "item")
     by_text = by_item.groupBy("k").agg(F.collect_list(F.struct("text", "ids", "hits")).alias("found"))
     return d.join(by_text, "k", "left").select("row", "t", "found")
@@ -172,12 +175,14 @@ def _judged(batches, id_col: str):
                 for f in found[r].as_py():
                     raw = np.frombuffer(f["text"].encode(), np.uint8)
                     ilow, ist, ien, ih, _ = tokens(raw, np.array([0, len(raw)]))
-                    need = min(SPAN, len(ih))
-                    for p, q, ip in _runs_of(h[a:z], ih, [(x["pos"], x["ipos"]) for x in f["hits"]], need):
-                        same = all(low[s[a + p + x] : e[a + p + x]].tobytes() == ilow[ist[ip + x] : ien[ip + x]].tobytes() for x in range(q - p))
-                        if same:
-                            hit[p:q] = True
-                            ids.update(f["ids"])
+
+                    def same(p, i, n, a=a, ilow=ilow, ist=ist, ien=ien):
+                        return all(low[s[a + p + x] : e[a + p + x]].tobytes() == ilow[ist[i + x] : ien[i + x]].tobytes() for x in range(n))
+
+                    mine = _hit_words(h[a:z], ih, f["hits"], same)
+                    if mine.any():
+                        hit |= mine
+                        ids.update(f["ids"])
                 n_hit.append(int(hit.sum())), n_items.append(len(ids))
                 sha.append(hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest())
         yield pa.RecordBatch.from_arrays(
