@@ -4,9 +4,9 @@ Every line is labelled good or bad from features of itself and of its neighbours
 and the marginals, weighted by the lines' lengths, give the document's quality, put on the labels' scale by a logistic
 curve. Features see only the text.
 
-The field is fitted on at most `max_docs` labelled documents (those with the smallest id hashes; MAX_DOCS by default) of at most
-`max_chars` characters (MAX_CHARS), whose lines all carry the document's label; so the driver holds a bounded sample.
-Everything else covers every document whole.
+The field is fitted on labelled documents in order of their id hashes, whatever their length, until there are `max_docs` of them
+(MAX_DOCS by default) or their texts hold `max_bytes` (MAX_BYTES); their lines all carry the document's label. So the driver holds a
+bounded sample. Everything else covers every document whole.
 
 Defined results: a text without a non-blank line (null and empty too) scores the share of label 1 among the documents fitted
 on, as does every text when nothing was fitted on. Repeated rows stay repeated.
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import vec
 
-MAX_DOCS, MAX_CHARS, STEPS, RATE, PENALTY = 1200, 20_000, 150, 0.1, 1e-3
+MAX_DOCS, MAX_BYTES, STEPS, RATE, PENALTY = 1200, 64 << 20, 150, 0.1, 1e-3
 OWN = 11  # features of a line itself
 
 
@@ -171,12 +171,22 @@ def fit(texts: list[str], labels: list[int]) -> Field:
     return Field(f.w, f.t, (max(float(curve[0]), 1e-3), float(curve[1])), prior)
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> Field:
-    """docs: doc_id, text; labels: doc_id, label (0 or 1). Ids are picked first, so no text is sorted or shuffled."""
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_bytes: int = MAX_BYTES) -> Field:
+    """docs: doc_id, text; labels: doc_id, label (0 or 1). Ids are picked first, so no text is sorted; of rows that repeat an id the
+    smallest text counts."""
     ids = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    short = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= max_chars)
-    rows = short.join(F.broadcast(ids), "doc_id").toPandas().sort_values(["doc_id", "text"])[:max_docs]
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs).select("doc_id", "label", F.xxhash64("doc_id").alias("turn"))
+    text = F.coalesce("text", F.lit(""))
+    mine = docs.select("doc_id", text.alias("text")).join(F.broadcast(ids), "doc_id")
+    sizes = mine.groupBy("doc_id", "turn").agg(F.min(F.octet_length("text")).alias("n")).collect()  # max_docs numbers at most
+    chosen, total = [], 0
+    for r in sorted(sizes, key=lambda r: (r["turn"], r["doc_id"])):
+        total += r["n"]
+        if total > max_bytes:
+            break
+        chosen.append(r["doc_id"])
+    rows = mine.where(F.col("doc_id").isin(chosen)).groupBy("doc_id").agg(F.min_by("text", F.struct(F.octet_length("text"), "text")).alias("text"), F.max("label").alias("label"))
+    rows = rows.toPandas().sort_values("doc_id")
     return fit(rows["text"].tolist(), rows["label"].tolist())
 
 
