@@ -16,10 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where that is unset (tests) a temporary one."""
+    """The folder in spark.checkpoint.dir; only where that is unset on one machine (tests) a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
     return _OWN.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="dossier-"))
 
 
