@@ -112,6 +112,11 @@ def within_tolerance(calc: Column, disclosed: Column, absolute, share) -> tuple[
     return (diff <= F.lit(absolute)) | F.coalesce(part <= F.lit(share), F.lit(False)), diff, part
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with value evaluated once, where an expression would repeat it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def any_of(terms) -> str:
     """One alternation of quoted terms, longest first."""
     return "|".join(_quote(t) for t in sorted(terms, key=lambda t: (-len(t), t)))

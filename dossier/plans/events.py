@@ -19,12 +19,6 @@ select lpad(cast(o_custkey % 300 as string), 6, '0') as company_id, o_orderkey a
     when 4 then '会计师事务所出具报告' when 5 then '详见本招股说明书第五节' when 6 then '在全国中小企业股份转让系统挂牌并公开转让' when 7 then '资本公积转增股本，增资完成工商登记' when 8 then '有限公司整体变更' when 9 then concat('发行人前身测试有限公司设立', cast(year(o_orderdate) as string), '.', cast(month(o_orderdate) as string)) else '一般内容' end) as line
 from {orders}
 """
-NAMES = """
-select lpad(cast(s_suppkey % 20 as string), 6, '0') as company_id, s_suppkey as seq, concat(case s_suppkey % 5 when 0 then '股东名称：' when 1 then '认购对象' else '' end,
-  case s_suppkey % 9 when 0 then '张三' when 1 then '深圳测试创业投资有限公司' when 2 then '天健会计师事务所' when 3 then '合计' when 4 then concat('第', cast(s_suppkey % 7 as string), '号实业有限公司') when 5 then '上海某某基金' when 6 then '李四、王五和赵六' when 7 then '测试合伙企业（有限合伙）' else '12,000.00' end) as name,
-  concat('T', cast(s_suppkey % 13 as string)) as transaction_id, case s_suppkey % 4 when 0 then 'EQUITY_TRANSFER' when 1 then 'CAPITAL_INCREASE' when 2 then 'DIRECTIONAL_FINANCING' else 'OVERALL_CHANGE' end as transaction_type
-from {supplier}
-"""
 LABELS = "select l.doc_id, l.quality, l.toxic, d.source as company_id, d.text, d.n_chars from {labels} l join {documents} d on l.doc_id = d.doc_id"
 
 
@@ -112,41 +106,6 @@ def shareholder_runs(spark, d):
     return u.shareholder_clusters(e).select("company_id", "category", "first", "last", "hits")
 
 
-def investor_names(spark, d):
-    c = F.col("name")
-    return view(spark, d, NAMES).select("seq", k.investor_name(c).alias("clean"), k.investor_key(c).alias("key"), k.is_noise(c).alias("noise"), k.classify(c)["class"].alias("class"), k.classify(c)["confidence"].alias("confidence"), k.company_core(c).alias("core"), k.is_issuer(c, F.lit("测试创业投资有限公司")).alias("issuer"))
-
-
-def _candidates(spark, d):
-    n = view(spark, d, NAMES)
-    return n.select("company_id", "transaction_id", "transaction_type", "seq", F.explode(k.split_names(F.col("name"))).alias("name"))
-
-
-def investor_split(spark, d):
-    return _candidates(spark, d).select("seq", "name")
-
-
-def collapsed_names(spark, d):
-    return k.collapse_contained(_candidates(spark, d).select("company_id", "seq", "name").dropDuplicates(["company_id", "seq", "name"]), keys=("company_id",)).select("company_id", "seq", "name")
-
-
-def investor_entities(spark, d):
-    e = k.entities(_candidates(spark, d).where(F.col("transaction_type").isin(k.PATH_TYPES)))
-    return e.select("company_id", "key", "class", "confidence", F.array_join("transaction_ids", ",").alias("transaction_ids"))
-
-
-def investment_paths(spark, d):
-    c = _candidates(spark, d).withColumn("transaction_id", F.concat_ws("-", "transaction_id", "transaction_type"))
-    t = c.select("transaction_id", "transaction_type").distinct()
-    return k.paths(k.entities(c.where(F.col("transaction_type").isin(k.PATH_TYPES))), t)
-
-
-def missing_investors(spark, d):
-    c = _candidates(spark, d).withColumn("transaction_id", F.concat_ws("-", "company_id", "transaction_id", "transaction_type"))
-    good = c.where(~k.is_noise(F.col("name")))
-    return k.missing_investors(c.select("transaction_id", "transaction_type").distinct(), good)
-
-
 def survivors(spark, d):
     kept, gone = k.survivorship(view(spark, d, LABELS).select("doc_id", "company_id", "quality", "n_chars"), ["company_id", "quality"], [F.desc("n_chars")], "doc_id")
     return kept.select("doc_id", "company_id", "quality", F.lit(None).cast("long").alias("replaced_by")).unionByName(gone.select("doc_id", "company_id", "quality", "replaced_by"))
@@ -211,21 +170,12 @@ COUNTS_SQL = _US + ", cn as (" + " union all ".join(f"select unit_id, company_id
 _EDGE_SQL = f"""se as (select company_id, event_id::int as section_no, page, event_type as type, case when event_id % 4 <> 0 then event_date[:7] end as period, case event_id % 10 when 0 then 1 when 5 then 2 else 0 end as ord from ({plain(EVENTS)})),
 eg as (select a.company_id, a.section_no as a, b.section_no as b from se a join se b on a.company_id = b.company_id and a.type = b.type and (b.page < a.page or (b.page = a.page and b.section_no < a.section_no)) and a.page - b.page <= 12
 where case when a.ord > 0 and b.ord > 0 and a.ord <> b.ord then false when a.period is not null and b.period is not null then a.period = b.period when (a.page - b.page) * 10 <= 12 then true else a.page - b.page <= 2 end)"""
-_INV = lambda c: "regexp_replace(" * (len(k.NAME_PREFIXES) + 1) + f"regexp_replace(regexp_replace({c}, '\\s+', '', 'g'), '^[，。；、:：\\[\\]【】]+|[，。；、:：\\[\\]【】]+$', '', 'g')" + "".join(f", '^{p}', '')" for p in k.NAME_PREFIXES) + ", '^[，。；、:：\\[\\]【】]+|[，。；、:：\\[\\]【】]+$', '', 'g')"
-_NOISE = lambda n: f"(length({n}) not between 2 and 60 or regexp_matches({n}, '{'|'.join(t.replace('(', chr(92) + '(') for t in k.NOISE)}') or regexp_matches({n}, '{'|'.join(k.NOT_INVESTORS)}') or regexp_matches({n}, '^[\\d.,，.%％元股万元亿元/（）()]+$') or not regexp_matches({n}, '[一-鿿A-Za-z]'))"
-_CLS = lambda n: f"case when {_NOISE(n)} then 'NOISE' when regexp_matches({n}, '{'|'.join(k.FUND_WORDS)}') then 'PEVC' when regexp_matches({n}, '{'|'.join(k.POSSIBLE_WORDS)}') then 'POSSIBLE_PEVC' when regexp_full_match({n}, '[一-鿿]{{2,4}}') then 'NATURAL_PERSON' when regexp_matches({n}, '(?:{'|'.join(k.LEGAL_SUFFIXES)})$') then 'LEGAL_ENTITY' else 'LOW_QUALITY' end"
-_CONF = "case class when 'NOISE' then 0.0 when 'PEVC' then 0.93 when 'POSSIBLE_PEVC' then 0.75 when 'NATURAL_PERSON' then 0.9 when 'LEGAL_ENTITY' then 0.78 else 0.35 end::double"
-_KEY = lambda n: f"regexp_replace({n}, '(?:股份有限公司|有限责任公司|有限公司|合伙企业（有限合伙）|合伙企业\\(有限合伙\\)|有限合伙企业|有限合伙|投资基金|基金)$', '')"
-_CORE = lambda n: f"regexp_replace(regexp_replace({n}, '^(?:安徽|江苏|浙江|上海|北京|深圳|广州|芜湖|黄山|昆山|苏州|无锡|常州|杭州|南京|共青城)', ''), '(?:股份有限公司|有限责任公司|有限公司|股份公司|集团公司|公司|股份)$', '')"
-CAND_SQL = f"""nm as (select *, {_INV('name')} as clean from ({plain(NAMES)})), sp0 as (select company_id, transaction_id, transaction_type, seq, unnest(list_distinct(list_filter(list_transform(regexp_split_to_array(regexp_replace(clean, '^(?:股东包括|股东为)', ''), '[、，,；;]|以及|及|和'), lambda z: regexp_replace(z, '(?:分别|共同)?(?:认购|出资|增资|受让)$', '')), lambda z: length(z) >= 2))) as name from nm),
-ca as (select *, {_INV('name')} as n2 from sp0), cb as (select *, {_KEY('n2')} as key, {_CLS('n2')} as class from ca)"""
-_ENT = CAND_SQL + f""", en0 as (select *, {_CONF} as confidence from cb where class not in ('NOISE', 'LOW_QUALITY') and key <> '' and transaction_type in ('CAPITAL_INCREASE', 'DIRECTIONAL_FINANCING', 'EQUITY_TRANSFER'))"""
 
 QUERIES = {
     "unit_predicates": unit_predicates, "event_types": event_types, "disclosed_counts": disclosed_counts, "coverage_gaps": coverage_gaps, "section_extents": section_extents,
     "uncovered_units": uncovered_units, "merge_edges": merge_edges, "section_clusters": section_clusters, "cluster_summary": cluster_summary, "accepted_roots": accepted_roots,
-    "shareholder_evidence": shareholder_evidence, "shareholder_runs": shareholder_runs, "investor_names": investor_names, "investor_split": investor_split, "collapsed_names": collapsed_names,
-    "investor_entities": investor_entities, "investment_paths": investment_paths, "missing_investors": missing_investors, "survivors": survivors, "ledger_decisions": ledger_decisions,
+    "shareholder_evidence": shareholder_evidence, "shareholder_runs": shareholder_runs,
+    "survivors": survivors, "ledger_decisions": ledger_decisions,
     "expected_counts": expected_counts, "gold_cross_check": gold_cross_check, "contract_violations": contract_violations, "duplicate_values": duplicate_values, "company_metrics": company_metrics, "snapshots": snapshots,
 }
 SQL = {
@@ -240,12 +190,6 @@ SQL = {
     "uncovered_units": f"with {_US}, ix as (select *, row_number() over (partition by company_id order by page, unit_id) - 1 as g, {_LV} as level from un), la as (select company_id, max(g) as last from ix group by 1), sx as (select company_id, g, least(greatest(g, coalesce((select min(b.g) from ix b where b.company_id = a.company_id and b.g > a.g and b.level <= a.level) - 1, last)), g + 4) as e from ix a join la using (company_id) where level < 9) select company_id, unit_id, g as global_index from ix where not exists (select 1 from sx where sx.company_id = ix.company_id and ix.g between sx.g and sx.e)",
     "merge_edges": f"with {_EDGE_SQL} select * from eg",
     "shareholder_runs": f"with e as (select distinct company_id, event_type as category, page as p, page * 5 + event_id % 5 as g from ({plain(EVENTS)})), l as (select *, coalesce((p - lag(p) over w > 1 or g - lag(g) over w > 24)::int, 1) as nw from e window w as (partition by company_id, category order by g)), r as (select *, sum(nw) over (partition by company_id, category order by g rows unbounded preceding) as run from l) select company_id, category, min(g) as first, max(g) as last, count(*) as hits from r group by company_id, category, run",
-    "investor_names": f"with nm as (select *, {_INV('name')} as clean from ({plain(NAMES)})), c as (select *, {_CLS('clean')} as class, {_CORE('clean')} as core from nm) select seq, clean, {_KEY('clean')} as key, class = 'NOISE' as noise, class, {_CONF} as confidence, core, clean = '测试创业投资有限公司' or core = '测试创业投资' or (contains(core, '测试创业投资') and length(core) - 6 <= 2) as issuer from c",
-    "investor_split": f"with {CAND_SQL} select seq, name from sp0",
-    "collapsed_names": f"with {CAND_SQL}, q as (select distinct company_id, seq, name from sp0) select * from q a where not exists (select 1 from q b where b.company_id = a.company_id and contains(b.name, a.name) and (length(b.name) > length(a.name) or (length(b.name) = length(a.name) and b.seq < a.seq)))",
-    "investor_entities": f"with {_ENT} select company_id, key, arg_min(class, struct_pack(a := seq, b := name)) as class, arg_min(confidence, struct_pack(a := seq, b := name)) as confidence, array_to_string(list_sort(list(distinct transaction_id)), ',') as transaction_ids from en0 group by all",
-    "investment_paths": f"with {_ENT}, pe as (select company_id, key, arg_min(class, struct_pack(a := seq, b := name)) as class, arg_min(confidence, struct_pack(a := seq, b := name)) as confidence from en0 group by all), tx as (select distinct company_id, key, concat_ws('-', transaction_id, transaction_type) as transaction_id, transaction_type from en0) select company_id, key, class, transaction_id, case when transaction_type = 'EQUITY_TRANSFER' then 'TRANSFER' else 'SUBSCRIPTION' end as entry_method, least(confidence, case when transaction_type = 'EQUITY_TRANSFER' then 0.88 else 0.92 end)::double as confidence from pe join tx using (company_id, key)",
-    "missing_investors": f"with {CAND_SQL}, t as (select concat_ws('-', company_id, transaction_id, transaction_type) as transaction_id, transaction_type, class from cb where transaction_type <> 'OVERALL_CHANGE') select transaction_id, transaction_type from t group by all having bool_and(class = 'NOISE')",
     "survivors": f"with v as (select doc_id, company_id, quality, n_chars from ({plain(LABELS)})), r as (select *, row_number() over w as k, first(doc_id) over w as f from v window w as (partition by company_id, quality order by n_chars desc, doc_id)) select doc_id, company_id, quality, case when k > 1 then f end as replaced_by from r",
     "ledger_decisions": "select doc_id, case when doc_id % 3 = 0 then 'OPEN' when quality = 1 or toxic = 0 then 'CLOSED' else 'REJECTED' end as review_status from labels",
     "expected_counts": f"with a as (select company_id, count(*) as found from ({plain(LABELS)}) group by 1), e as (select source as company_id, count(*) as expected from documents where doc_id % 2 = 0 group by source) select coalesce(a.company_id, e.company_id) as company_id, coalesce(found, 0) as found, coalesce(expected, 0) as expected, coalesce(found, 0) = coalesce(expected, 0) as ok from a full join e using (company_id)",
