@@ -8,13 +8,17 @@ is 0.8 or more; classes are the connected components.
 1. Document frequencies come from a key exchange between shards.
 2. A document can only be linked if 0.8 of its weight lies in shingles that another document has; the others are done (this
    bound loses nothing). The rest get 64 improved consistent weighted samples in 16 bands of 4.
-3. Equal texts are one node. A bucket of up to 6 members is compared in all pairs. In a larger one every member is compared with
-   the leader, and in every fourth band the bucket is split by the next bands' samples, up to three bands deep, where the same is
-   done: leaders get more alike with depth. Buckets that still hold several components get other leaders in three rounds.
-4. In a bucket that holds several components after that, all members outside its largest one are compared with all members, in
+3. Equal texts are one node. A bucket of up to ALL_PAIRS members is compared in all pairs. A larger one is dealt into parts of about
+   PART members; members are compared with their part's leader and the leaders with one another's, the bucket's. Leaders are drawn
+   anew in every fourth band, so a member meets several.
+4. Where a bucket of more than PART members still holds several components, members meet leaders drawn anew in ROUNDS rounds.
+5. In buckets that hold several components after that, all members outside the largest one are compared with all members, in
    blocks of about BLOCK by BLOCK, so that every pair of a bucket is compared or already connected. The work of this step grows with
    the members times those outside the largest component. Every compared pair is verified on its whole bags.
 
+No step brings a whole bucket together: buckets beyond BIG members (and a share of all rows; 50,000 buckets at most) are joined by
+broadcast, and parts, blocks and leaders' stars are bounded.
+
 Defined results: texts without words (null and empty too) are classes of their own; the class id is its smallest doc_id (null
 ids last); repeated rows are copies of one class; an empty table gives an empty result. A pair of similarity s is found
 in one bucket with probability 1 - (1 - s^4)^16: 0.9998 at 0.8.
@@ -36,8 +40,9 @@ from .decontam import tokens
 
 SHINGLE, SIMILAR, DAMP = 5, 0.8, 0.1
 BANDS, IN_BAND = 16, 4
-ALL_PAIRS, DEPTHS, DEEP, ROUNDS = 6, 3, 4, 3
-BLOCK = 128
+ALL_PAIRS, LEADERS, ROUNDS = 6, 4, 2
+BLOCK, PART = 128, 256
+BIG, BIG_KEYS = 1000, 50_000
 U = np.uint64
 
 
@@ -196,7 +201,7 @@ def _bag(keys: bytes, weights: bytes):
 
 
 def _joining(band: int, left: list[dict], right: list[dict]):
-    """The pairs of left and right members of a bucket that are similar enough and join two components, each component joined once.
+    """The pairs of components that a similar pair of a left and a right member of a bucket joins, each joined once.
     A pair that shares an earlier band is left to that band's bucket."""
     bags = [_bag(x["keys"], x["weights"]) for x in left + right]
     at = np.unique(np.concatenate([k for k, _ in bags]), return_inverse=True)[1]
@@ -207,6 +212,7 @@ def _joining(band: int, left: list[dict], right: list[dict]):
     mass = np.array([w.sum(dtype=float) for _, w in bags])
     at_r, w_r = at[first:], np.concatenate([w for _, w in bags[n:]])
     node, comp, total = (np.array([x[c] for x in left + right]) for c in ("node", "comp", "total"))
+    own = comp.copy()
     earlier = np.array([x["bands"][:band] for x in left + right], np.int64).reshape(len(bags), band)
     outside = np.array([y["outside"] for y in right])
     held = np.zeros(at.max() + 1, np.float32)
@@ -222,17 +228,25 @@ def _joining(band: int, left: list[dict], right: list[dict]):
         held[mine] = 0
         for j in np.flatnonzero(can & (shared >= (SIMILAR - 1e-6) * (mass[i] + mass[n:] - shared))) + n:
             if comp[j] != comp[i]:
-                yield int(node[i]), int(node[j])
+                yield int(own[i]), int(own[j])
                 comp[comp == comp[j]] = comp[i]
 
 
-def _across(members: DataFrame, bags: DataFrame) -> DataFrame:
-    """Links (a, b) that join all components that a similar pair in a bucket joins. members: band, value, node, comp."""
+def with_keys(rows: DataFrame, info: DataFrame, by: list[str], limit: int, how: str = "inner") -> DataFrame:
+    """rows joined with info on `by`. info's `n` says how many rows have its key; keys of more than `limit` rows, of which there are
+    rows / limit at most, are broadcast and their rows aren't shuffled, so no task gets more than `limit` rows of one key."""
+    big, rest = info.where(F.col("n") > limit), info.where(F.col("n") <= limit)
+    return rows.join(F.broadcast(big), by).unionByName(rows.join(F.broadcast(big.select(*by)), by, "left_anti").join(rest, by, how))
+
+
+def _across(members: DataFrame, bags: DataFrame, limit: int) -> DataFrame:
+    """Links (a, b) of all components that a similar pair in a bucket joins. members: band, value, node, comp."""
     by = ["band", "value"]
     parts = members.groupBy(*by, "comp").agg(F.count(F.lit(1)).alias("k"))
-    parts = parts.groupBy(*by).agg(F.sum("k").alias("n"), F.max(F.struct("k", "comp")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    parts = parts.groupBy(*by).agg(F.sum("k").alias("n"), F.max(F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     split = lambda c: F.ceil(c / BLOCK)
-    m = members.join(parts.select(*by, "most.comp", split(F.col("n")).alias("rights"), split(F.col("n") - F.col("most.k")).alias("lefts")).withColumnRenamed("comp", "most"), by)
+    parts = stash(parts.select(*by, "n", F.col("top.comp").alias("most"), split(F.col("n")).alias("rights"), split(F.col("n") - F.col("top.k")).alias("lefts")), "near-open")
+    m = with_keys(members, parts, by, limit).drop("n")
     m = stash(m.withColumn("outside", F.col("comp") != F.col("most")), "near-open")
     block = lambda n: F.pmod(F.xxhash64("node", F.lit("block")), n)
     held = F.collect_list(F.struct("node", "comp", "outside", "total", "bands", "keys", "weights"))
@@ -249,23 +263,23 @@ def _across(members: DataFrame, bags: DataFrame) -> DataFrame:
     return left.join(right, [*by, "block"]).select("band", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
-    """The pairs (a, b) of similarity SIMILAR or more."""
+def _verified(pairs: DataFrame, bags: DataFrame, *more: str) -> DataFrame:
+    """The pairs (a, b) of similarity SIMILAR or more, with the columns `more`."""
+    cols = ["a", "b", *more]
 
     def run(batches):
         for batch in batches:
-            out = ([], [])
+            keep = np.zeros(len(batch), bool)
             held, bag = None, None
-            for a, b, ka, wa, kb, wb in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "ka", "wa", "kb", "wb")], strict=True):
+            for i, (b, ka, wa, kb, wb) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("b", "ka", "wa", "kb", "wb")], strict=True)):
                 if b != held:
                     held, bag = b, _bag(kb, wb)
-                if similarity(*_bag(ka, wa), *bag) >= SIMILAR - 1e-6:
-                    out[0].append(a), out[1].append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["a", "b"])
+                keep[i] = similarity(*_bag(ka, wa), *bag) >= SIMILAR - 1e-6
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in cols], cols).filter(pa.array(keep))
 
     left = bags.select(F.col("node").alias("a"), F.col("keys").alias("ka"), F.col("weights").alias("wa"))
     right = bags.select(F.col("node").alias("b"), F.col("keys").alias("kb"), F.col("weights").alias("wb"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ka", "wa", "kb", "wb").mapInArrow(run, "a long, b long")
+    return pairs.select(*cols).join(left, "a").join(right, "b").select(*cols, "ka", "wa", "kb", "wb").mapInArrow(run, ", ".join(f"{c} long" for c in cols))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -282,69 +296,58 @@ def components(links: DataFrame) -> DataFrame:
         lab = new.select("node", "comp")
 
 
+def _relabelled(label: DataFrame, links: DataFrame, limit: int) -> DataFrame:
+    """label (node, comp) after links between components."""
+    step = components(links).select(F.col("node").alias("comp"), F.col("comp").alias("far"))
+    size = label.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
+    step = step.join(size, "comp")
+    return stash(with_keys(label, step, ["comp"], limit, "left").select("node", F.coalesce("far", "comp").alias("comp")), "near-labels")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """(shards, a row (node, id, class_node, class_id) for each row of docs)."""
     packed, nodes = _nodes(docs, id_col, text_col)
     some = nodes.where("same is not null")
-    heads = some.where("first = node").groupBy("same").agg(F.min("node").alias("rep"))
-    bags = some.where("first = node").select("node", "total", "bands", "keys", "weights", "same").join(heads, "same").where("node = rep").drop("same", "rep")
-    bags = stash(bags, "near-bags")
+    heads = stash(some.where("first = node").groupBy("same").agg(F.min("node").alias("rep")), "near-heads")
+    bags = stash(some.select("node", "total", "bands", "keys", "weights").join(heads.select(F.col("rep").alias("node")), "node", "left_semi"), "near-bags")
+    by = ["band", "value"]
     close = F.least("total", "total2") >= SIMILAR * (1 - 1e-6) * F.greatest("total", "total2")
-    prefix = lambda b: F.array(*[F.xxhash64(*[F.get("bands", (b + k) % BANDS) for k in range(n)]) for n in range(1, DEPTHS + 1)])
-    at = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), prefix(b).alias("values")))
-    level = bags.select("node", "total", F.explode(at).alias("x")).select("node", "total", "x.band", "x.values")
-    wide, found, rounds = None, [], ROUNDS
-    for depth in range(DEPTHS):
-        level = level.withColumn("value", F.get("values", F.lit(depth)))
-        full = level.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "total")).alias("leader")).where("n > 1")
-        level = stash(level.join(full, ["band", "value"]), "near-members")
-        led = level.where((F.col("n") > ALL_PAIRS) & (F.col("node") != F.col("leader.node")))
-        found.append(led.select(F.col("node").alias("a"), F.col("leader.node").alias("b"), "total", F.col("leader.total").alias("total2")))
-        small = level.where(F.col("n") <= ALL_PAIRS).groupBy("band", "value").agg(F.array_sort(F.collect_list(F.struct("node", "total"))).alias("m"))
-        small = small.select(F.posexplode("m").alias("i", "x"), "m").select("x", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("y"))
-        found.append(small.select(F.col("y.node").alias("a"), F.col("x.node").alias("b"), F.col("y.total").alias("total"), F.col("x.total").alias("total2")))
-        level = level.where(F.col("n") > ALL_PAIRS).drop("n", "leader")
-        wide = level if wide is None else wide
-        if level.isEmpty():
-            rounds = 0 if depth == 0 else ROUNDS
-            break
-        level = level.where(F.col("band") % DEEP == 0).drop("value")
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    tried = stash(pairs.where(close).select("a", "b").distinct(), "near-pairs")
-    links = stash(_verified(tried, bags), "near-links")
-    label = components(links) if rounds else None
-    for turn in range(rounds):
-        m = wide.select("band", "value", "node", "total").join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        by = m.groupBy("band", "value").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node").alias("b"), F.col("total").alias("total2"), F.col("comp").alias("comp2"))).alias("leader"),
-        ).where("lo < hi")
-        more = m.join(by, ["band", "value"]).select(F.col("node").alias("a"), "total", "comp", "leader.b", "leader.total2", "leader.comp2").where("comp <> comp2")
-        more = more.where(close).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        more = stash(more.join(tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"), "near-pairs")
-        if more.isEmpty():
-            break
-        new = stash(_verified(more, bags), "near-links")
-        tried, links = tried.union(more), links.union(new)
-        if turn < rounds - 1:  # one step of labels is enough to choose the next pairs; the components at the end are exact
-            both = new.union(new.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            seen = both.join(label.select(F.col("node").alias("b"), "comp"), "b", "left").groupBy(F.col("a").alias("node")).agg(F.min(F.coalesce("comp", "b")).alias("m"))
-            label = stash(label.join(seen, "node", "full_outer").select("node", F.least("comp", "m").alias("comp")), "near-labels")
-    comp = components(links)
+    draw = lambda *salt: F.min(F.struct(F.xxhash64("node", *salt), "node", "total"))
+    limit = max(BIG, BANDS * bags.count() // BIG_KEYS)
+    members = bags.select("node", "total", F.posexplode("bands").alias("band", "value"))
+    full = stash(members.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), draw(F.col("band") % LEADERS).alias("leader")).where("n > 1"), "near-buckets")
+    members = stash(with_keys(members, full, by, limit), "near-members")
+    small = members.where(F.col("n") <= ALL_PAIRS).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("node", "total"))).alias("m"))
+    small = small.select(F.posexplode("m").alias("i", "x"), "m").select("x", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("y"))
+    wide = members.where(F.col("n") > ALL_PAIRS).withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.ceil(F.col("n") / PART)))
+    parts = wide.groupBy(*by, "part").agg(draw(F.col("band") % LEADERS).alias("own"), F.first("leader").alias("leader"))
+    pair = lambda df, x, y: df.select(F.col(f"{x}node").alias("a"), F.col(f"{y}node").alias("b"), F.col(f"{x}total").alias("total"), F.col(f"{y}total").alias("total2"))
+    found = pair(small, "y.", "x.").union(pair(wide.drop("leader").join(parts.drop("leader"), [*by, "part"]), "", "own.")).union(pair(parts, "own.", "leader."))
+    ordered = lambda df: df.where(close & (F.col("a") != F.col("b"))).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    links = stash(_verified(stash(ordered(found), "near-pairs"), bags), "near-links")
+    label = bags.select("node").join(components(links), "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
     if not wide.isEmpty():
-        members = wide.select("band", "value", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        across = stash(_across(members, bags), "near-links")
-        comp = comp if across.isEmpty() else components(links.union(across))
+        label = stash(label, "near-labels")
+        wide = wide.select(*by, "node", "total", "n")
+        for turn in range(ROUNDS):
+            m = wide.where(F.col("n") > PART).join(label, "node")
+            top = m.groupBy(*by).agg(F.first("n").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "total", "comp")).alias("leader"))
+            top = stash(top.where("lo < hi").select(*by, "n", F.col("leader.node").alias("b"), F.col("leader.total").alias("total2"), F.col("leader.comp").alias("comp2")), "near-leaders")
+            if top.isEmpty():
+                break
+            more = with_keys(m.drop("n"), top, by, limit).where((F.col("comp") != F.col("comp2")) & close).select(F.col("node").alias("a"), "b", "comp", "comp2").distinct()
+            new = stash(_verified(more, bags, "comp", "comp2"), "near-links")
+            label = label if new.isEmpty() else _relabelled(label, new.select(F.col("comp").alias("a"), F.col("comp2").alias("b")).distinct(), limit)
+        across = stash(_across(wide.select(*by, "node").join(label, "node"), bags, limit), "near-links")
+        label = label if across.isEmpty() else _relabelled(label, across, limit)
     # copies take their head's component
     of = some.where("first = node").select("node", "same").join(heads, "same").select(F.col("node").alias("first"), "rep")
-    of = of.join(comp.select(F.col("node").alias("rep"), "comp"), "rep", "left").select("first", F.coalesce("comp", "rep").alias("comp"))
+    of = of.join(label.withColumnRenamed("node", "rep"), "rep").select("first", "comp")
     labelled = stash(nodes.select("node", "id", "first").join(of, "first", "left").select("node", "id", F.coalesce("comp", "node").alias("comp")), "near-classes")
     # only components of two or more are met again
     order = F.struct(F.col("id").isNull().alias("none"), "id", "node")
-    best = labelled.groupBy("comp").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    out = labelled.join(best, "comp", "left").select(
+    best = stash(labelled.groupBy("comp").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1"), "near-best")
+    out = with_keys(labelled, best, ["comp"], max(BIG, labelled.count() // BIG_KEYS), "left").select(
         "node", "id", F.coalesce("best.node", "node").alias("class_node"), F.when(F.col("best").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("class_id")
     )
     return packed, out
