@@ -4,8 +4,9 @@ Each language has a probability for every piece of a fixed public vocabulary. Th
 ways to cut it into pieces (forward algorithm); probabilities of pieces come from expected counts over all cuts (EM), taken
 over the word counts of all training texts. A text's score is the posterior of its best language.
 
-Words are runs of letters, lower-cased; a run of over 32 letters counts as several words. Only the text is scored. Training
-takes (text, lang) of all rows given to it; what the driver gets is one number for each piece and language.
+Words are runs of letters, lower-cased. Words of up to LONGEST letters are summed together by length; the few longer ones letter by letter in
+logarithms, so a run of any length is one word and its sum goes over all its segmentations. Only the text is scored. Training takes (text,
+lang) of all rows given to it; what the driver gets is one number for each piece and language.
 
 Defined results: null text or no letter gives `und` with score 0; ties go to the smaller language; rows with null lang don't
 train; without training rows every text is `und`. Repeated rows stay repeated.
@@ -27,9 +28,9 @@ from .common import stash
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 ROUNDS, LONGEST, SMOOTHING = 3, 32, 0.5
-PIECE_CHARS = 12
 SLICE = 6 << 20
 BLOCK = 20_000  # words in one array
+LETTERS = 1 << 16  # of a long word looked up at once
 U = np.uint64
 Q, SHIFT = U(0x9E3779B97F4A7C15), 46
 FLOOR = 1e-8
@@ -41,7 +42,7 @@ def read_pieces(path: str) -> list[str]:
 
     m = sentencepiece.SentencePieceProcessor(model_file=path)
     found = {m.id_to_piece(i) for i in range(m.get_piece_size())}
-    return sorted(p for p in found if len(p) <= PIECE_CHARS and p == p.lower() and (p == "▁" or p.lstrip("▁").isalpha()))
+    return sorted(p for p in found if p == p.lower() and (p == "▁" or p.lstrip("▁").isalpha()))
 
 
 @dataclass
@@ -121,6 +122,54 @@ class Model:
         return out
 
 
+    def _starting(self, x: np.ndarray, i: int, j: int) -> np.ndarray:
+        """Piece numbers of the strings of 1, 2, ... letters that start at i..j of one word: a row for each length."""
+        none = len(self.pieces) + 1
+        part = x[i : j + self.longest]
+        out, h = np.full((self.longest, j - i), none, np.int32), np.zeros(len(part), U)
+        for k in range(self.longest):
+            n = len(part) - k
+            if n <= 0:
+                break
+            h[:n] = h[:n] * Q + part[k:]
+            out[k, : min(n, j - i)] = self.ids(h[: min(n, j - i)])
+        out[0][out[0] == none] = none - 1
+        return out
+
+    def long_forward(self, x: np.ndarray, logs: np.ndarray) -> np.ndarray:
+        """For one word and the logarithms of probs: log sums up to each letter; a column for each language."""
+        a = np.full((len(x) + 1, logs.shape[1]), -np.inf)
+        a[0] = 0
+        for i in range(0, len(x), LETTERS):
+            j = min(len(x), i + LETTERS)
+            lo = max(0, i - self.longest)
+            at = self._starting(x, lo, j)
+            for e in range(i + 1, j + 1):
+                k = np.arange(min(self.longest, e))
+                s = e - 1 - k
+                a[e] = np.logaddexp.reduce(a[s] + logs[at[k, s - lo]], axis=0)
+        return a
+
+    def long_expected(self, x: np.ndarray, weight: float, probs: np.ndarray) -> np.ndarray:
+        """Expected counts of the pieces in one word, for one language's probabilities."""
+        with np.errstate(divide="ignore"):
+            logs = np.log(probs)[:, None]
+        n, a = len(x), self.long_forward(x, logs)[:, 0]
+        b = np.full(n + 1, -np.inf)
+        b[n], out = 0, np.zeros(len(probs))
+        for i in range((n - 1) // LETTERS * LETTERS, -1, -LETTERS):
+            j = min(n, i + LETTERS)
+            at = self._starting(x, i, j)
+            for s in range(j - 1, i - 1, -1):
+                k = np.arange(min(self.longest, n - s))
+                b[s] = np.logaddexp.reduce(logs[at[k, s - i], 0] + b[s + 1 + k])
+            for k in range(self.longest):
+                s = np.arange(i, min(j, n - k))
+                got = at[k, s - i]
+                out += np.bincount(got, np.exp(a[s] + logs[got, 0] + b[s + 1 + k] - a[n]), len(probs))
+        return out * weight
+
+
 def words_of(text: pa.Array) -> pa.Array:
     """A list of words for each text."""
     clean = pc.replace_substring_regex(pc.fill_null(text, ""), r"[^\pL]+", " ")
@@ -128,21 +177,25 @@ def words_of(text: pa.Array) -> pa.Array:
 
 
 def by_length(words: pa.Array):
-    """(positions in words, part of it or whole: code points with the word mark in front), in blocks of equal length."""
+    """(positions in words, the words: code points with the word mark in front), in blocks of equal length up to LONGEST."""
     n = pc.utf8_length(words).to_numpy(zero_copy_only=False)
     order = np.argsort(n, kind="stable")
     cuts = np.flatnonzero(np.diff(n[order])) + 1
     for group in np.split(order, cuts):
         size = int(n[group[0]]) if len(group) else 0
-        if not size:
+        if not 0 < size <= LONGEST:
             continue
         for k in range(0, len(group), BLOCK):
             part = group[k : k + BLOCK]
             text = "".join(words.take(pa.array(part)).to_pylist())
             x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(part), size).astype(U) + U(1)
-            for at in range(0, size, LONGEST):
-                piece = x[:, at : at + LONGEST]
-                yield part, np.concatenate([np.full((len(part), 1), ord("▁") + 1, U), piece], axis=1) if at == 0 else piece
+            yield part, np.concatenate([np.full((len(part), 1), ord("▁") + 1, U), x], axis=1)
+
+
+def long_words(words: pa.Array):
+    """(position, code points with the word mark in front) of the words of over LONGEST letters."""
+    for i in np.flatnonzero(pc.utf8_length(words).to_numpy(zero_copy_only=False) > LONGEST):
+        yield int(i), np.frombuffer(("▁" + words[int(i)].as_py()).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U) + U(1)
 
 
 @lru_cache(maxsize=2)
@@ -193,8 +246,11 @@ def train(training: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUND
                 n = b.column("n").to_numpy().astype(float)
                 for k, lang in enumerate(m.langs):
                     own = np.flatnonzero(pc.equal(b.column("lang"), lang).to_numpy(zero_copy_only=False))
-                    for part, x in by_length(b.column("word").take(pa.array(own))):
+                    mine = b.column("word").take(pa.array(own))
+                    for part, x in by_length(mine):
                         total[:, k] += m.expected(x, n[own[part]], m.probs[:, k])
+                    for i, x in long_words(mine):
+                        total[:, k] += m.long_expected(x, n[own[i]], m.probs[:, k])
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "n"])
 
@@ -215,6 +271,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     def run(batches):
         m = _load(blob)
         prior = np.log(m.prior / m.prior.sum()) if len(m.langs) else np.zeros(0)
+        with np.errstate(divide="ignore"):
+            logs = np.log(m.probs)
         for b in batches:
             pred, score = [], []
             size = max(1, int(len(b) * SLICE / max(1, b.column(text_col).nbytes)))
@@ -226,7 +284,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                 logp = np.zeros((len(words), len(m.langs)))
                 if m.langs:
                     for part, x in by_length(words):
-                        logp[part] += np.log(m.forward(m.lattice(x), *x.shape, m.probs)[-1])
+                        logp[part] = np.log(m.forward(m.lattice(x), *x.shape, m.probs)[-1])
+                    for i, x in long_words(words):
+                        logp[i] = m.long_forward(x, logs)[-1]
                 bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
                 sums = np.concatenate([np.zeros((1, len(m.langs))), np.cumsum(logp[codes], axis=0)])
                 held = np.concatenate([[0], np.cumsum(real[codes])])
