@@ -6,7 +6,8 @@ then the tightest. Each bin carries 64-bit maps of its sources and clusters; a c
 confirmed in the bin's sets. Pieces come largest first.
 
 Documents are dealt by hash into groups of about GROUP rows that are packed apart, so tasks stay small at any size and a hot
-source is spread over all groups. A document above the capacity is cut into full bins of its own and a rest; no token is lost.
+source is spread over all groups. Equal rows are counted, numbered in runs of RUN and dealt by their number too, so that they spread as
+well. A document above the capacity is cut into full bins of its own and a rest; no token is lost.
 
 Defined results: a document without words takes no bin (bin_id null, one row); a null source or cluster conflicts with nothing;
 ties in size go by id, then cluster, then source; of bins with equal room the older wins; repeated rows are packed like any other
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CAPACITY, GROUP = 2048, 1024
+CAPACITY, GROUP, RUN = 2048, 1024, 4096
 OUT = "doc_id long, piece int, start long, n_tokens int, bin_id long, bin_offset int"
 
 
@@ -82,7 +83,12 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP
         (F.when(text.isNotNull(), F.xxhash64(text)) if cluster is None else F.when(cluster.isNotNull(), F.xxhash64(cluster))).alias("cluster"),
     )
     groups = max(1, -(-docs.count() // group))
-    rows = rows.withColumn("grp", F.pmod(F.xxhash64("id", "cluster", "source"), F.lit(groups)))
+    row = ["id", "n", "source", "cluster"]
+    equal = rows.groupBy(*row).agg(F.count(F.lit(1)).alias("copies"))
+    runs = equal.select(*row, "copies", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / RUN))).alias("run"))
+    runs = runs.repartition(*row, "run").withColumn("size", F.least(F.lit(RUN), F.col("copies") - F.col("run") * RUN).cast("int"))
+    rows = runs.select(*row, "run", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("copy"))
+    rows = rows.select(*row, F.pmod(F.xxhash64("id", "cluster", "source", F.col("run") * RUN + F.col("copy")), F.lit(groups)).alias("grp"))
 
     def run(t: pa.Table) -> pa.Table:
         g = t.column("grp")[0].as_py()
