@@ -103,6 +103,70 @@ def test_forward_sums_all_segmentations():
             assert np.isclose(got[k], brute_probability(word, {q: p[i, k] for i, q in enumerate(pieces)}, p[len(pieces), k]))
 
 
+def test_long_words_are_summed_whole(monkeypatch):
+    pieces = sorted(["▁", "▁a", "a", "ab", "b", "▁ab", "abc", "c", "bca"])
+    p = np.append(np.random.default_rng(0).random((len(pieces) + 1, 2)) / 3, np.zeros((1, 2)), axis=0)
+    m, word, n = langid.Model(pieces, ["x", "y"], p, np.ones(2)), "abcabzcab" * 3 + "abc", np.array([2.0])
+    (_, x), *_ = langid.by_length(pa.array([word]))
+    whole, counts = np.log(m.forward(m.lattice(x), *x.shape, m.probs)[-1][0]), m.expected(x, n, p[:, 1])
+    monkeypatch.setattr(langid, "LONGEST", 5)
+    monkeypatch.setattr(langid, "LETTERS", 7)
+    assert not list(langid.by_length(pa.array([word])))
+    ((i, x),) = langid.long_words(pa.array([word]))
+    with np.errstate(divide="ignore"):
+        assert i == 0 and np.allclose(whole, m.long_forward(x, np.log(p))[-1])
+    assert np.allclose(counts, m.long_expected(x, 2.0, p[:, 1]))
+
+
+def brute_languages(rows, texts, pieces, rounds):
+    """(language, posterior) of each text by EM over all segmentations, written out."""
+    words = lambda t: ["▁" + w for w in re.findall(r"[^\W\d_]+", (t or "").lower())]
+    langs = sorted({g for _, g in rows})
+    counts = {g: Counter(w for t, h in rows if h == g for w in words(t)) for g in langs}
+    index, size = {p: k for k, p in enumerate(pieces)}, len(pieces) + 2
+    spans = lambda w: [(i, j, index.get(w[i:j], size - 2 if j == i + 1 else None)) for i in range(len(w)) for j in range(i + 1, len(w) + 1)]
+    cuts = {w: [x for x in spans(w) if x[2] is not None] for g in langs for w in counts[g]} | {w: [x for x in spans(w) if x[2] is not None] for t in texts for w in words(t)}
+
+    def sums(w, p):
+        a, b = [1.0] + [0.0] * len(w), [0.0] * len(w) + [1.0]
+        for i, j, k in sorted(cuts[w], key=lambda x: x[1]):
+            a[j] += a[i] * p[k]
+        for i, j, k in sorted(cuts[w], key=lambda x: -x[0]):
+            b[i] += p[k] * b[j]
+        return a, b
+
+    probs = {g: np.append(np.full(size - 1, 1 / size), 0) for g in langs}
+    for _ in range(rounds):
+        for g in langs:
+            got = np.full(size, langid.SMOOTHING)
+            got[-1] = 0
+            for w, n in counts[g].items():
+                a, b = sums(w, probs[g])
+                for i, j, k in cuts[w]:
+                    got[k] += n * a[i] * probs[g][k] * b[j] / a[-1]
+            probs[g] = np.append(np.maximum(got[:-1] / got.sum(), langid.FLOOR), 0)
+    total = sum(sum(c.values()) for c in counts.values())
+    for t in texts:
+        s = np.array([np.log(sum(counts[g].values()) / total) + sum(np.log(sums(w, probs[g])[0][-1]) for w in words(t)) for g in langs])
+        yield (langs[s.argmax()], 1 / np.exp(s - s.max()).sum()) if words(t) else ("und", 0.0)
+
+
+def test_language_id_against_brute_force(spark):
+    rng = random.Random(3)
+    say = {"aa": ["der", "schön", "haus", "x" * 40], "bb": ["the", "nice", "house", "der"]}
+    rows = [(" ".join(rng.choice(say[g]) for _ in range(rng.randint(1, 9))), g) for g in ("aa", "bb", "bb") for _ in range(8)]
+    rows += rows[:3]
+    train = spark.createDataFrame([(t, g, "s", 0.5) for t, g in rows], "text string, lang string, source string, score double")
+    texts = ["der", "nice house", "Haus THE", "y" * 50, None, "", "12", "der der the"]
+    m = langid.train(train, rounds=2)
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)] + [(0, "der", "s")], "doc_id long, text string, lang string")
+    got = collect(langid.identify(docs, m))
+    want = list(brute_languages(rows, texts, m.pieces, 2))
+    assert len(got) == len(texts) + 1 and got[0].keys() == {"doc_id", "lang", "lang_pred", "score"}
+    for r in got:
+        assert r["lang_pred"] == want[r["doc_id"]][0] and np.isclose(r["score"], want[r["doc_id"]][1], rtol=1e-5)
+
+
 def test_language_id(spark):
     rng = random.Random(1)
     words = {"aa": ["der", "und", "schön", "haus"], "bb": ["the", "and", "house", "nice"]}
@@ -369,9 +433,64 @@ def test_near_duplicates(docs, monkeypatch):
     assert near.near_duplicates(empty(docs)).count() == 0 and near.one_of_each(empty(docs)).count() == 0
 
 
+def dense_classes(rows, damp=None):
+    """Classes (id -> smallest id) over all pairs, without a limit on how common a shingle is."""
+    bags = []
+    for _, t in rows:
+        w = words_of(t)
+        bags.append(Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)))
+    number = {s: k for k, s in enumerate({s for b in bags for s in b})}
+    m = np.zeros((len(rows), len(number)))
+    for r, b in enumerate(bags):
+        m[r, [number[s] for s in b]] = list(b.values())
+    m = near.weights(m, (m > 0).sum(axis=0), len(rows)) if damp is None else m * (1 + damp * np.log(len(rows) / (m > 0).sum(axis=0)) / np.log(len(rows)))
+    total, label = m.sum(axis=1), np.arange(len(rows))
+    for i in range(len(rows)):
+        on = np.flatnonzero(m[i])
+        both = np.minimum(m[: i + 1, on], m[i, on]).sum(axis=1)
+        for j in np.flatnonzero(both >= (near.SIMILAR - 1e-6) * (total[: i + 1] + total[i] - both)):
+            label[label == label[i]] = label[j]
+    low = {}
+    for (i, _), c in zip(rows, label, strict=True):
+        low[c] = min(i, low.get(c, i))
+    return {i: low[c] for (i, _), c in zip(rows, label, strict=True)}
+
+
+def near_groups(seed):
+    """Large groups of copies with random edits, so that most pairs lie near 0.8, and a chain whose ends share nothing."""
+    rng, rows = random.Random(seed), []
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    for size in (600, 200, 60, 30, 9):
+        base = [word() for _ in range(150)]
+        for _ in range(size):
+            mine = list(base)
+            for k in rng.sample(range(150), rng.randint(1, 3)):
+                mine[k] = word()
+            rows.append(" ".join(mine))
+    walk = [word() for _ in range(150 + 12 * 60)]
+    rows += [" ".join(walk[12 * k : 12 * k + 150]) for k in range(60)]
+    rows += [" ".join(word() for _ in range(40)) for _ in range(40)]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("tight", [False, True])
+def test_large_groups_keep_every_link(spark, monkeypatch, tight):
+    """tight: few leaders, small parts and blocks, and every bucket of three or more by the broadcast that large ones take."""
+    for name, value in (("ALL_PAIRS", 2), ("PART", 16), ("LEADERS", 1), ("ROUNDS", 1), ("BIG", 2)) if tight else ():
+        monkeypatch.setattr(near, name, value)
+    rows = near_groups(11 + tight)
+    want = dense_classes(rows)
+    got = {r["doc_id"]: r["class_id"] for r in collect(near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))}
+    found = Counter(zip(want.values(), (got[i] for i in want), strict=True))
+    pairs = lambda n: n * (n - 1) // 2
+    recall = sum(map(pairs, found.values())) / sum(map(pairs, Counter(want.values()).values()))
+    assert recall >= 0.99 and all(want[c] == want[i] for i, c in got.items())
+
+
 def test_no_link_depends_on_leaders(spark, monkeypatch):
     """Mixes of passages, each with one partner: with one leader a bucket and no further rounds, most partners never meet a leader."""
-    for name, value in (("ALL_PAIRS", 2), ("DEPTHS", 1), ("ROUNDS", 0)):
+    for name, value in (("ALL_PAIRS", 2), ("LEADERS", 1), ("ROUNDS", 0)):
         monkeypatch.setattr(near, name, value)
     rng, rows, pool = random.Random(5), [], [" ".join(f"w{i}x{k}" for k in range(8)) for i in range(30)]
     for p in range(80):
