@@ -26,10 +26,10 @@ NUMERIC = [
 _NAME = "[一-鿿A-Za-z0-9（）()·]"
 PARTIES = [
     ("TRANSFEROR", f"({_NAME}{{2,35}}?)(?:将其持有的|将所持|转让其持有的)", 0.86),
-    ("TRANSFEREE", f"(?:转让给|受让方为|转让予)({_NAME}{{2,35}}?)(?:，|。|；|持有|支付|受让|$)", 0.88),
+    ("TRANSFEREE", f"(?:转让给|受让方为|转让予)({_NAME}{{2,35}}?)(?=，|。|；|持有|支付|受让|$)", 0.88),
     ("TRANSFEREE", f"({_NAME}{{2,35}}?)(?:受让|取得)(?:了)?[^。；]{{0,10}}?(?:公司)?(?:股权|股份)", 0.82),
     ("INVESTOR", f"({_NAME}{{2,35}}?)(?:认购|缴纳出资|增资入股)", 0.84),
-    ("ABSORBED_ENTITY", f"(?:吸收合并|被吸收合并方(?:为)?|吸收合并对象为)({_NAME}{{2,30}}?)(?:，|。|；|注册资本|注销|被注销|后|$)", 0.92),
+    ("ABSORBED_ENTITY", f"(?:吸收合并(?!前|后|的|情况|程序|影响)|被吸收合并方(?:为)?|吸收合并对象为)({_NAME}{{2,30}}?)(?=，|。|；|注册资本|注销|被注销|后|$)", 0.92),
     ("FOUNDER_OR_CONTRIBUTOR", "由([一-鿿A-Za-z0-9（）()·、和及与]{2,80}?)(?:共同)?(?:出资|投资)设立", 0.90),
 ]
 _DAY = r"((?:19|20)\d{2}年\d{1,2}月\d{1,2}日)"
@@ -83,7 +83,8 @@ def _flat(evidence: DataFrame, keys, order: str) -> DataFrame:
 
 def _groups(i: int, pattern: str, *names: str):
     """A function from a match to the pattern's number, the match and its groups, taken from the short match and not from the
-    text again. No default arguments: they would be taken for the element's index."""
+    text again; a look-ahead that closes a pattern holds at the end of the match by its `$`. No default arguments: they would be taken
+    for the element's index."""
     return lambda m: F.struct(F.lit(i).alias("no"), m.alias("whole"), *[F.regexp_extract(m, pattern, k + 1).alias(n) for k, n in enumerate(names)])
 
 
@@ -242,6 +243,37 @@ def orphans(facts: DataFrame, events: DataFrame, keys=("company_id", "event_id")
     return facts.join(events.select(*keys).distinct(), list(keys), "left_anti")
 
 
+# Transaction types of equity, whose parties play the roles below.
+EQUITY_TYPES = ["EQUITY_TRANSFER", "EQUITY_HOLDING_PROXY_RELEASE"]
+TRANSFER_ROLES = ["TRANSFEROR", "TRANSFEREE"]
+
+
+def referential_problems(events: DataFrame, transactions: DataFrame, facts: DataFrame, parties: DataFrame, candidates: DataFrame, expected: int | None = None, keys=("company_id", "event_id")) -> DataFrame:
+    """(company_id, event_id, problem, detail) for each broken reference: facts, parties and transactions without an event; transfer parties of an
+    event without a transfer; an event of both an overall change and a joint-stock set-up; candidates without an event or with pages reversed; and, with
+    an expected number of events, a row without ids if it is missed.
+
+    events: keys, candidate_event_id, event_types, pdf_page_start, pdf_page_end. candidates: company_id, candidate_event_id."""
+    keys = list(keys)
+    row = lambda df, problem, detail=None: df.select(*keys, F.lit(problem).alias("problem"), (F.lit(None) if detail is None else F.col(detail)).cast("string").alias("detail"))
+    transfers = transactions.where(F.col("transaction_type").isin(EQUITY_TYPES)).select(*keys)
+    both = F.array_contains("event_types", "OVERALL_CHANGE") & F.array_contains("event_types", "JOINT_STOCK_COMPANY_ESTABLISHMENT")
+    lost = candidates.join(events.select("candidate_event_id"), "candidate_event_id", "left_anti").withColumn(keys[-1], F.lit(None).cast(events.schema[keys[-1]].dataType))
+    parts = [
+        row(orphans(facts, events, keys), "fact_without_event", "fact_type"), row(orphans(parties, events, keys), "party_without_event", "party_role"),
+        row(orphans(transactions, events, keys), "transaction_without_event", "transaction_type"),
+        row(parties.where(F.col("party_role").isin(TRANSFER_ROLES)).join(transfers.distinct(), keys, "left_anti"), "transfer_party_without_transfer", "party_role"),
+        row(events.where(both), "overall_change_and_joint_stock"), row(events.where(F.col("pdf_page_end") < F.col("pdf_page_start")), "pages_reversed"), row(lost, "candidate_without_event", "candidate_event_id"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    if expected is not None:
+        n = events.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") != expected)
+        out = out.unionByName(n.select(*[F.lit(None).cast(events.schema[k].dataType).alias(k) for k in keys], F.lit("event_count").alias("problem"), F.col("n").cast("string").alias("detail")))
+    return out
+
+
 def review_queue(**tables: DataFrame) -> DataFrame:
     """I16: rows that need review from several tables, with the kind of record they come from."""
     parts = [df.select(F.lit(kind).alias("record_type"), "company_id", "event_id", F.col("reason").alias("review_reason")) for kind, df in sorted(tables.items())]

@@ -1,10 +1,16 @@
-"""Gaps and islands, and nearest rows (shared by inventory rows C4, D9, D10, E8-E10, G3, G7, G14, G21)."""
+"""Gaps and islands, and nearest rows, and ordered passes (shared by inventory rows C4, D9, D10, E8-E10, G2, G3, G6, G7, G14, G16, G20, G21)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 
 def islands(df: DataFrame, keys: list[str], order: list[str], start: Column | str, end: Column | str, gap: int, name: str = "island") -> DataFrame:
@@ -26,14 +32,40 @@ def parent(keys: list[str], order: list[str], level: str, value: Column, levels:
 
 
 def section_end(keys: list[str], order: list[str], level: str, page: str, last_page: Column, levels: range = range(7)) -> Column:
-    """The page before the next row of the same or a smaller level (without a level: the next row), not before the own page."""
-    w = W.partitionBy(*keys).orderBy(*order).rowsBetween(1, W.unboundedFollowing)
-    nxt = F.first(F.col(page)).over(w)
+    """The page before the next row of the same or a smaller level (without a level: the next row), not before the own page.
+
+    Rows are met backwards, so that each frame grows by a row and nothing is read twice."""
+    w = W.partitionBy(*keys).orderBy(*[F.desc(c) for c in order]).rowsBetween(W.unboundedPreceding, -1)
+    nxt = F.last(F.col(page)).over(w)
     for k in levels:
-        nxt = F.when(F.col(level) == k, F.first(F.when(F.col(level) <= k, F.col(page)), ignorenulls=True).over(w)).otherwise(nxt)
+        nxt = F.when(F.col(level) == k, F.last(F.when(F.col(level) <= k, F.col(page)), ignorenulls=True).over(w)).otherwise(nxt)
     return F.greatest(F.col(page), F.coalesce(nxt - 1, last_page))  # greatest() skips nulls
 
 
+def span_runs(df: DataFrame, keys: list[str], order: list[str], start: Column, end: Column, gap: int, name: str = "run") -> DataFrame:
+    """Numbers runs of rows: a new one where a row starts more than `gap` after the end of every row before."""
+    w = W.partitionBy(*keys).orderBy(*order)
+    new = F.coalesce((start - F.max(end).over(w.rowsBetween(W.unboundedPreceding, -1)) > gap).cast("int"), F.lit(1))
+    return df.withColumn("_new", new).withColumn(name, F.sum("_new").over(w).cast("int")).drop("_new")
+
+
+def fold(df: DataFrame, keys: list[str], order: list[str], begin: Callable[[], Any], step: Callable[[Any, dict], dict | None], out: str) -> DataFrame:
+    """An ordered pass over the rows of each group: step(state, row) changes the state and gives a row of `out` or None.
+
+    For rules whose verdict on a row depends on the verdicts before; callers cut groups into runs that don't touch."""
+
+    def run(t: pa.Table) -> pa.Table:
+        state, rows = begin(), []
+        for r in t.sort_by([(c, "ascending") for c in order]).to_pylist():
+            got = step(state, r)
+            if got is not None:
+                rows.append({k: r[k] for k in keys} | got)
+        return pa.Table.from_pylist(rows, schema=to_arrow_schema(schema))
+
+    schema = _parse_datatype_string(", ".join([*[f"{k} {df.schema[k].dataType.simpleString()}" for k in keys], out]))
+    return df.groupBy(*keys).applyInArrow(run, schema)
+
+
 def overlaps(a_start: str, a_end: str, b_start: str, b_end: str) -> Column:
     """G14."""
     return (F.col(a_start) <= F.col(b_end)) & (F.col(b_start) <= F.col(a_end))

@@ -1,18 +1,18 @@
-"""Narrative predicates, subjects and date preference (inventory E4, E5, F9, F12, F13, F15, F16, F20-F28, G8, G23, H1, E15)."""
+"""Narrative predicates, subjects and date preference (inventory E4, E5, F12, F13, F15, F16, F20-F26, F28, G23, H1, H2)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossier.functions.text import any_of, squash
+from dossier.functions.rules import EVENT_RULES, EventRules
+from dossier.functions.text import any_of, norm, squash
 
-from .units import PROVIDERS, TERMS, dates_of, legal_core, ordinals, period_compatible
+from .units import dates_of, legal_core, ordinals
 
-WRAPPERS = ["历次股权变动情况", "股本演变情况", "历次增资及股权转让情况"]
-PROCEDURAL = ["审议通过", "召开", "签署", "办理", "缴纳"]
-MARKERS = ["股权转让", "增资", "减资", "设立", "变更"]
-REPORTS = ["验资报告", "审计报告", "评估报告"]
+# Procedures, and marks of an event that stands alone.
+PROCEDURAL = ["签署", "签订", "召开股东会", "召开董事会", "审议通过", "支付", "缴款", "到账", "办理工商变更", "完成工商变更", "办理完毕工商变更", "取得营业执照", "出具", "验资", "审验", "评估", "核准", "登记"]
+MARKERS = ["第一次股权转让", "第二次股权转让", "第三次股权转让", "第一次增资", "第二次增资", "第三次增资", "整体变更", "股份公司设立", "有限公司设立", "资本公积转增股本", "吸收合并"]
 SUBSIDIARY = ["子公司", "参股公司", "控股公司"]
 _NAME = "[一-鿿A-Za-z0-9（）()]"
 PREDECESSOR = [f"前身(?:为|系)?({_NAME}{{2,30}}?(?:有限公司|有限责任公司))", f"由({_NAME}{{2,30}}?(?:有限公司|有限责任公司))整体变更"]
@@ -30,7 +30,7 @@ def _extract(text: Column, patterns: list[str]) -> Column:
 def range_signals(text: Column) -> tuple[Column, Column]:
     """(distinct date tokens, event categories) of a range's text."""
     s = squash(text)
-    return dates_of(text), F.array_compact(F.array(*[F.when(s.rlike(any_of(ts)), F.lit(k)) for k, ts in TERMS]))
+    return dates_of(text), F.array_compact(F.array(*[F.when(s.rlike(any_of(EVENT_RULES.terms[k])), F.lit(k)) for k in EVENT_RULES.priority]))
 
 
 def valid_range(text: Column, dates: int = 2, categories: int = 2) -> Column:
@@ -39,20 +39,14 @@ def valid_range(text: Column, dates: int = 2, categories: int = 2) -> Column:
     return (F.size(d) >= dates) & (F.size(c) >= categories)
 
 
-def provider_history(context: Column) -> Column:
-    """a provider, a report and a count in one context."""
-    s = squash(context)
-    return s.rlike(any_of(PROVIDERS)) & s.rlike(any_of(REPORTS)) & s.rlike(r"[一二两三四五六七八九十\d]+次")
+def wrapper_heading(line: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """a heading that sorts events under it."""
+    return norm(line).rlike(any_of(rules.wrappers))
 
 
-def wrapper_heading(line: Column) -> Column:
-    """F12."""
-    return squash(line).rlike(any_of(WRAPPERS))
-
-
-def procedural(line: Column) -> Column:
-    """starts with a year, tells a procedure, and names no event or ordinal."""
-    s = squash(line)
+def procedural(line: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """starts with a year, tells a procedure, and names no ordinal or event that stands alone."""
+    s = norm(line)
     return s.rlike(r"^(?:19|20)\d{2}年") & (F.size(ordinals(line)) == 0) & ~s.rlike(any_of(MARKERS)) & s.rlike(any_of(PROCEDURAL))
 
 
@@ -108,21 +102,10 @@ def best_predecessor(names: DataFrame, issuers: DataFrame) -> DataFrame:
 
 
 def capital_row(line: Column) -> Column:
-    """a generic row of the set-up's capital."""
+    """a generic row of the set-up's capital."""
     return squash(line).rlike("|".join(f"(?:{p})" for p in CAPITAL_ROWS))
 
 
-def not_represented(rows: DataFrame, sections: DataFrame) -> DataFrame:
-    """Timeline rows without a section of their type that shares an ordinal or, lacking ordinals, has a compatible period.
-
-    Both: company_id, type, period, ordinal.
-    """
-    s = sections.select("company_id", "type", F.col("period").alias("p2"), F.col("ordinal").alias("o2"))
-    same = (rows["company_id"] == s["company_id"]) & (rows["type"] == s["type"])
-    by = F.coalesce(rows["ordinal"] == s["o2"], period_compatible(rows["period"], s["p2"]))
-    return rows.join(s, same & by, "left_anti")
-
-
 def candidate_problems(candidates: DataFrame, evidence: DataFrame, ranges: DataFrame) -> DataFrame:
     """One row for each rule that a candidate breaks: unique id, inside a range, evidence that exists and isn't empty."""
     dup = candidates.groupBy("candidate_id").count().where("count > 1").select("candidate_id", F.lit("duplicate_id").alias("problem"))

@@ -1,263 +1,162 @@
-"""Predicates and names on text units (inventory F1-F28) and on event sections."""
+"""Predicates and names on text units (inventory F1-F28). Sections are in sections.py, narrative predicates in narrative.py."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from dossier.functions.text import any_of, chinese_number, squash
+from dossier.functions.rules import EVENT_RULES, EventRules
+from dossier.functions.text import any_of, chinese_number, date_key, let, norm, squash
 
 from .headings import EVENT_NUMBERING, level_of
-from .islands import cover
 
-# The two date forms, in order of precedence.
+# The two date forms, in order of precedence; disclosed counts by type; types that name two events at once; ordinals.
 DATES = [r"(?:19|20)\d{2}年(?:\d{1,2}月(?:\d{1,2}日)?)?", r"(?:19|20)\d{2}[./-]\d{1,2}(?:[./-]\d{1,2})?"]
-# Event types with their terms, in order of priority; a caller passes its own table.
-TERMS = [
-    ("ABSORPTION_MERGER", ["吸收合并"]), ("OVERALL_CHANGE", ["整体变更", "整体变更为股份公司"]), ("JOINT_STOCK_COMPANY_ESTABLISHMENT", ["股份公司设立", "股份公司设立情况"]),
-    ("LIMITED_COMPANY_ESTABLISHMENT", ["有限公司设立", "公司设立"]), ("CAPITAL_REDUCTION", ["减资"]), ("CAPITAL_INCREASE", ["增资", "增资扩股"]),
-    ("SHARE_CAPITAL_CHANGE", ["资本公积转增股本", "转增股本"]), ("EQUITY_TRANSFER", ["股权转让", "股份转让"]), ("LISTING_OR_DIRECTIONAL_FINANCING", ["定向发行", "挂牌"]),
-]
-VENUES = ["股份转让系统", "公开转让"]
-SUPPRESSED = {"LIMITED_COMPANY_ESTABLISHMENT": ["JOINT_STOCK_COMPANY_ESTABLISHMENT"], "JOINT_STOCK_COMPANY_ESTABLISHMENT": ["OVERALL_CHANGE"], "CAPITAL_INCREASE": ["SHARE_CAPITAL_CHANGE"]}
-COMBINED = r"(?:股权转让|股份转让).{0,12}(?:和|及|并).{0,12}增资|增资.{0,12}(?:和|及|并).{0,12}(?:股权转让|股份转让)"
-HEADING_SUFFIXES = ["情况", "设立", "增资", "减资", "转让", "变更"]
-PROVIDERS = ["会计师事务所", "律师事务所", "资产评估", "证券公司"]
-NEGATIVE = r"(?:报告期内)?[^。]{0,20}(?:未发生|不存在|未进行)[^。]{0,20}(?:重大资产重组|股权转让|增资|变化)"
-CROSS_REFERENCE = r"(?:详见|参见|请见)"
-# Disclosed counts by type.
 _C = "([一二两三四五六七八九十\\d]+)"
 COUNTS = [("EQUITY_TRANSFER", f"{_C}次(?:股权转让|股份转让)"), ("CAPITAL_INCREASE", f"{_C}次(?:增资扩股|增资)"), ("SHARE_CAPITAL_CHANGE", f"{_C}次资本公积转增股本"), ("LISTING_OR_DIRECTIONAL_FINANCING", f"共进行过{_C}次定向发行")]
-# Date roles with the words that name them, first match wins.
-ROLES = [("registration_date", ["工商登记", "工商变更", "营业执照"]), ("verification_date", ["验资"]), ("agreement_date", ["签订", "签署"]), ("resolution_date", ["决议", "审议通过"]), ("payment_date", ["支付", "缴纳"])]
+COMBINED = r"(?:股权转让|股份转让).{0,12}(?:和|及|并).{0,12}增资|增资.{0,12}(?:和|及|并).{0,12}(?:股权转让|股份转让)"
+ORDINAL = r"第([一二三四五六七八九十百\d]+)次"
+HEADING_CHARS, NEGATIVE_UNITS, HISTORY_UNITS, REFERENCE_UNITS = 150, 10, 7, 3
 
 
-def dates_of(c: Column) -> Column:
-    """dates in order of pattern, each once."""
-    s = squash(c)
-    return F.array_distinct(F.concat(*[F.regexp_extract_all(s, F.lit(p), F.lit(0)) for p in DATES]))
+def _matches(s: Column, patterns: list[str]) -> Column:
+    return s.rlike("|".join(f"(?:{p})" for p in patterns))
 
 
-def heading_like(c: Column, chars: int = 150) -> Column:
-    """F3."""
-    s = squash(c)
-    return (F.length(s) <= chars) & ((level_of(s, EVENT_NUMBERING, 9) < 9) | s.rlike("(?:" + any_of(HEADING_SUFFIXES) + ")$"))
+def _holds(s: Column, terms: list[str]) -> Column:
+    return s.rlike(any_of(terms))
 
 
-def event_types(c: Column, terms=TERMS) -> Column:
-    """the selected event types of a text: longest term first, then priority; broader types go where a narrower is found;
-    several stay only where the text combines them; a trading venue is no transfer."""
-    s = squash(c)
-    venue = s.rlike(any_of(VENUES))
-    hits = []
-    for rank, (kind, words) in enumerate(terms):
-        longest = F.lit(0)
-        for t in sorted(words, key=len):
-            longest = F.when(s.contains(t), len(t)).otherwise(longest)
-        hits.append(F.when((longest > 0) & (~venue if kind == "EQUITY_TRANSFER" else F.lit(True)), F.struct((-longest).alias("n"), F.lit(rank).alias("r"), F.lit(kind).alias("kind"))))
-    found = F.transform(F.array_sort(F.array_compact(F.array(*hits))), lambda x: x["kind"])
-    for kind, by in SUPPRESSED.items():
-        found = F.when(F.arrays_overlap(found, F.array(*[F.lit(b) for b in by])), F.array_remove(found, kind)).otherwise(found)
-    return F.when(s.rlike(COMBINED), found).otherwise(F.slice(found, 1, 1))
+def dates_of(c: Column) -> Column:
+    """dates in order of pattern, each once."""
+    return let(squash(c), lambda s: F.array_distinct(F.concat(*[F.regexp_extract_all(s, F.lit(p), F.lit(0)) for p in DATES])))
 
 
-def negative_disclosure(c: Column) -> Column:
-    """F7."""
-    return squash(c).rlike(NEGATIVE)
+def heading_like(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """F3."""
+    return let(norm(c), lambda s: (F.length(s) <= HEADING_CHARS) & ((level_of(s, EVENT_NUMBERING, 9) < 9) | s.rlike(f"(?:{any_of(rules.heading_suffixes)})$")))
 
 
-def ordinals(c: Column) -> Column:
-    """F8: `第N次…` labels, each once."""
-    return F.array_distinct(F.regexp_extract_all(squash(c), F.lit(r"(第[一二三四五六七八九十\d]+次)"), F.lit(1)))
+def typed(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """struct(types, combined): the event types of a text, longest term or pattern first, then by priority; broader types go where a
+    narrower is found; several stay only where the text combines them; a trading venue is no transfer."""
 
+    def of(s: Column) -> Column:
+        hits = []
+        for rank, kind in enumerate(rules.priority):
+            sizes = [F.when(s.contains(t), len(t)) for t in rules.terms.get(kind, [])] + [F.length(F.regexp_extract(s, p, 0)) for p in rules.patterns.get(kind, [])]
+            n = F.greatest(F.lit(0), *sizes)
+            hit = (n > 0) & ~_holds(s, rules.venues) if kind == "EQUITY_TRANSFER" else n > 0
+            hits.append(F.when(hit, F.struct((-n).alias("n"), F.lit(rank).alias("r"), F.lit(kind).alias("kind"))))
+        return F.transform(F.array_sort(F.array_compact(F.array(*hits))), lambda x: x["kind"])
 
-def provider_only(c: Column) -> Column:
-    """service providers act, and nothing of a transaction is said."""
-    s = squash(c)
-    return s.rlike(any_of(PROVIDERS)) & ~s.rlike("股权转让|股份转让|增资|减资|注册资本")
+    def left(found: Column) -> Column:
+        out = found
+        for kind, by in rules.suppressed.items():
+            out = F.when(F.arrays_overlap(found, F.array(*[F.lit(b) for b in by])), F.array_remove(out, kind)).otherwise(out)
+        return out
 
+    one = lambda k, both: F.struct(F.when(both, k).otherwise(F.slice(k, 1, 1)).alias("types"), both.alias("combined"))
+    return let(norm(c), lambda s: let(let(of(s), left), lambda k: one(k, (F.size(k) > 1) & (_holds(s, rules.combined) | s.rlike(COMBINED)))))
 
-def timeline_row(c: Column) -> Column:
-    """F10."""
-    return squash(c).rlike(r"^(?:19|20)\d{2}年\d{1,2}月")
 
+def event_types(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    return typed(c, rules)["types"]
 
-def reference_only(c: Column) -> Column:
-    """points elsewhere and gives no detail."""
-    s = squash(c)
-    return s.rlike(CROSS_REFERENCE) & ~s.rlike("万元|万股|出资")
 
+def generic_summary(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """a heading of a whole history."""
+    return _holds(norm(c), rules.generic_summary)
 
-def date_role(c: Column) -> Column:
-    """the first role whose words the text holds."""
-    out = None
-    for role, words in ROLES:
-        hit = squash(c).rlike(any_of(words))
-        out = F.when(hit, role) if out is None else out.when(hit, role)
-    return out.otherwise("other_date")
 
+def background_heading(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """a heading of an event's circumstances."""
+    return _holds(norm(c), rules.background)
 
-def disclosed_counts(c: Column) -> Column:
-    """a map of type and largest disclosed count."""
-    s = squash(c)
-    kinds = F.array(*[F.lit(k) for k, _ in COUNTS])
-    tops = F.array(*[F.array_max(F.transform(F.regexp_extract_all(s, F.lit(p), F.lit(1)), chinese_number)) for _, p in COUNTS])
-    return F.map_filter(F.map_from_arrays(kinds, tops), lambda k, v: v.isNotNull())
 
+def provider_mentions(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """the service providers named, in the rules' order."""
+    return let(norm(c), lambda s: F.array_compact(F.array(*[F.when(s.contains(t), F.lit(t)) for t in rules.providers])))
 
-def subject(c: Column, prefixes=("公司前身", "本公司", "发行人", "前身", "公司"), suffixes=("设立", "成立")) -> Column:
-    """without year, prefixes (repeatedly) and suffix."""
-    s = F.regexp_replace(squash(c), r"^(?:19|20)\d{2}年(?:\d{1,2}月)?(?:\d{1,2}日)?[，,]?", "")
-    s = F.regexp_replace(s, "^(?:" + any_of(prefixes) + ")+", "")
-    return F.regexp_replace(s, "(?:" + any_of(suffixes) + ")$", "")
 
-
-def legal_core(c: Column) -> Column:
-    """a company name without its legal form."""
-    return F.regexp_replace(squash(c), "(?:股份有限公司|有限责任公司|有限公司|股份公司|集团公司|公司|股份)$", "")
-
-
-# --- sections -----------------------------------------------------------------------------------------------------------
+def provider_only(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """a service provider acts or supports, and the issuer does nothing."""
+    return let(norm(c), lambda s: _holds(s, rules.providers) & ~_holds(s, rules.issuer_deals) & (_holds(s, rules.provider_actions) | _holds(s, rules.provider_support)))
 
 
-def section_extent(units: DataFrame, cap: int = 260) -> DataFrame:
-    """Event headings of a company with the index where their section ends: before the next heading of the same or a
-    smaller level, `cap` units at most. units: company_id, global_index, line, level (9: none)."""
-    from .islands import section_end
+def negative_reason(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """the first pattern by which a text (a section's first NEGATIVE_UNITS units) denies an event, or null."""
+    return let(norm(c), lambda s: F.coalesce(*[F.when(s.rlike(p), F.lit(p)) for p in rules.negative]))
 
-    hd = units.where("level < 9")
-    last = units.groupBy("company_id").agg(F.max("global_index").alias("last"))
-    hd = hd.join(last, "company_id")
-    end = section_end(["company_id"], ["global_index"], "level", "global_index", F.col("last"), range(1, 6))
-    return hd.select("company_id", "global_index", "line", "level", F.least(end, F.col("global_index") + cap - 1).alias("end_index"))
 
+def ordinals(c: Column) -> Column:
+    """F8: `第N次` labels, each once."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(norm(c), F.lit(ORDINAL), F.lit(1)), lambda x: F.concat(F.lit("第"), x, F.lit("次"))))
 
-def uncovered(units: DataFrame, sections: DataFrame) -> DataFrame:
-    """Units outside all sections."""
-    return cover(units, sections.select("company_id", "global_index", "end_index"), "company_id", "global_index", "global_index", "end_index", "left_anti")
 
+def provider_history(context: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """in a unit and the HISTORY_UNITS after it on its page, a provider, a report and a disclosed count."""
+    return let(norm(context), lambda s: _holds(s, rules.providers) & _holds(s, rules.provider_reports) & _matches(s, [p for _, p in COUNTS]))
 
-def period_compatible(a: Column, b: Column) -> Column:
-    """G12."""
-    ok = (a == b) | a.startswith(b) | b.startswith(a) | (F.substring(a, 1, 7) == F.substring(b, 1, 7))
-    return F.coalesce(ok & (a != "") & (b != ""), F.lit(False))
 
+def timeline_row(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """a row of a table of years."""
+    return _matches(norm(c), rules.timeline_rows)
 
-@F.pandas_udf(DoubleType())
-def text_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """The matching-blocks ratio of the first 1000 characters; no built-in function measures the same."""
-    from difflib import SequenceMatcher
-
-    return pd.Series([None if x is None or y is None else SequenceMatcher(None, x[:1000], y[:1000]).ratio() for x, y in zip(a, b, strict=True)])
 
+def aggregate_statement(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """says how many events there were."""
+    return _matches(norm(c), rules.aggregate)
 
-def merge_edges(sections: DataFrame, period_gap: int = 12, title_gap: int = 2, similar: float = 0.58) -> DataFrame:
-    """Pairs of sections of one company that belong to one event, the first rule that applies deciding.
 
-    sections: company_id, section_no, page, type, period, ordinals, title, start, end. Pairs are met within bands of pages.
-    """
-    width = period_gap + 1
-    s = sections.withColumn("band", F.floor(F.col("page") / width))
-    a = s.select(*[F.col(c).alias("a_" + c) for c in s.columns])
-    b = s.withColumn("at", F.explode(F.array("band", F.col("band") + 1))).select("at", *[F.col(c).alias("b_" + c) for c in s.columns])
-    near = b["b_page"] <= a["a_page"]
-    p = a.join(b, (a["a_company_id"] == b["b_company_id"]) & (a["a_band"] == b["at"]) & (F.col("a_type") == F.col("b_type")))
-    p = p.where(near & ((F.col("b_page") < F.col("a_page")) | (F.col("b_section_no") < F.col("a_section_no"))))
-    gap = F.col("a_page") - F.col("b_page")
-    p = p.where(gap <= period_gap).withColumn("gap", gap).withColumn("alike", F.when(F.col("gap") <= title_gap, text_similarity("a_title", "b_title")))
-    apart = (F.size("a_ordinals") > 0) & (F.size("b_ordinals") > 0) & ~F.arrays_overlap("a_ordinals", "b_ordinals")
-    both = F.col("a_period").isNotNull() & F.col("b_period").isNotNull()
-    ok = (
-        F.when(apart, False).when(both, period_compatible(F.col("a_period"), F.col("b_period")))
-        .when((F.col("a_start") <= F.col("b_end")) & (F.col("b_start") <= F.col("a_end")), True).otherwise(F.coalesce(F.col("alike") >= similar, F.lit(False)))
-    )
-    return p.where(ok).select(F.col("a_company_id").alias("company_id"), F.col("a_section_no").alias("a"), F.col("b_section_no").alias("b"))
+def metadata_date(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """a field of the company's particulars."""
+    return _matches(norm(c), rules.metadata_dates)
 
 
-def first_fit(sections: DataFrame, edges: DataFrame) -> DataFrame:
-    """Clusters by first fit in section order: a section joins the first cluster that holds a neighbour, else opens one.
+def reference_only(context: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """a text (REFERENCE_UNITS units at most) that points elsewhere and gives no detail."""
+    return let(norm(context), lambda s: _matches(s, rules.references) & ~_matches(s, rules.details))
 
-    Not connected components: a section with neighbours in two clusters joins the earlier only. An ordered fold per company
-    over sections with their earlier neighbours; companies run in parallel.
-    """
-    near = edges.groupBy("company_id", F.col("a").alias("section_no")).agg(F.collect_set("b").alias("near"))
-    s = sections.select("company_id", "section_no").join(near, ["company_id", "section_no"], "left")
-    none = F.array().cast(near.schema["near"].dataType)
-    g = s.groupBy("company_id").agg(F.array_sort(F.collect_list(F.struct("section_no", F.coalesce("near", none).alias("near")))).alias("s"))
-    kind = s.schema["section_no"].dataType.simpleString()
-    start = F.struct(F.lit(0).alias("n"), F.array().cast(f"array<struct<section_no:{kind},cluster:int>>").alias("m"))
 
-    def step(state, x):
-        mine = F.array_min(F.transform(F.filter(state["m"], lambda y: F.array_contains(x["near"], y["section_no"])), lambda y: y["cluster"]))
-        n = state["n"] + mine.isNull().cast("int")
-        return F.struct(n.alias("n"), F.concat(state["m"], F.array(F.struct(x["section_no"].alias("section_no"), F.coalesce(mine, n).alias("cluster")))).alias("m"))
+def date_role(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """the first role whose words the text holds."""
+    return let(norm(c), lambda s: F.coalesce(*[F.when(_holds(s, words), F.lit(role)) for role, words in rules.date_roles.items()], F.lit("other_date")))
 
-    return g.select("company_id", F.explode(F.aggregate("s", start, step)["m"]).alias("m")).select("company_id", "m.section_no", "m.cluster")
 
+def section_dates(units: DataFrame, keys: list[str], rules: EventRules = EVENT_RULES) -> DataFrame:
+    """(keys, date_role, date_key, seq), each role and date of a section once, in order; dates of its title are its event_period.
 
-def accepted_roots(headings: DataFrame, pages: int = 3) -> DataFrame:
-    """In order, a dateless bare heading is dropped if a root of its type was accepted at most `pages` before.
+    units: keys, global_index, line, is_title."""
+    d = units.select(*keys, "global_index", "is_title", date_role(F.col("line"), rules).alias("role"), F.posexplode(dates_of(F.col("line"))).alias("at", "text"))
+    d = d.withColumn("date_key", date_key(F.col("text")))
+    titles = d.where("is_title").select(*keys, F.lit("event_period").alias("date_role"), "date_key", F.struct(F.lit(-1).cast("long").alias("i"), "at").alias("seq"))
+    rest = d.select(*keys, F.col("role").alias("date_role"), "date_key", F.struct(F.col("global_index").cast("long").alias("i"), "at").alias("seq"))
+    return titles.unionByName(rest).groupBy(*keys, "date_role", "date_key").agg(F.min("seq").alias("seq"))
 
-    headings: company_id, seq, page, type, dateless. An ordered fold per company with the last accepted page of each type.
-    """
-    g = headings.groupBy("company_id").agg(F.array_sort(F.collect_list(F.struct("seq", "page", "type", "dateless"))).alias("h"))
-    start = F.struct(F.create_map().cast("map<string,int>").alias("last"), F.array().cast("array<int>").alias("kept"))
 
-    def step(s, x):
-        page = s["last"][x["type"]]
-        drop = x["dateless"] & F.coalesce(x["page"] - page <= pages, F.lit(False))
-        last = F.map_concat(F.map_filter(s["last"], lambda k, v: k != x["type"]), F.create_map(x["type"], x["page"].cast("int")))
-        return F.when(drop, s).otherwise(F.struct(last.alias("last"), F.concat(s["kept"], F.array(x["seq"].cast("int"))).alias("kept")))
+def disclosed_counts(c: Column) -> Column:
+    """a map of type and largest disclosed count."""
+    tops = lambda s: F.array(*[F.array_max(F.transform(F.regexp_extract_all(s, F.lit(p), F.lit(1)), chinese_number)) for _, p in COUNTS])
+    kinds = F.array(*[F.lit(k) for k, _ in COUNTS])
+    return let(norm(c), lambda s: F.map_filter(F.map_from_arrays(kinds, tops(s)), lambda k, v: v.isNotNull()))
 
-    return g.select("company_id", F.explode(F.aggregate("h", start, step)["kept"]).alias("seq"))
 
+def with_context(units: DataFrame, name: str, before: int, after: int, same_page: bool = False, sep: str = "") -> DataFrame:
+    """units with the joined lines from `before` units before to `after` units after, of the page alone if same_page. A range frame
+    of bounded length over global_index."""
+    w = W.partitionBy("company_id", *(["page"] if same_page else [])).orderBy("global_index").rangeBetween(-before, after)
+    return units.withColumn(name, F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("global_index", "line")).over(w)), lambda x: x["line"]), sep))
 
-def near_copies_dropped(evidence: DataFrame, similar: float = 0.76, keep: int = 2) -> DataFrame:
-    """In order, evidence of a category like one kept before is dropped; two a category at most.
 
-    evidence: company_id, category, seq, text. The first is kept; the next is the smallest later seq unlike all kept so far. So each
-    row is compared with kept rows only.
-    """
-    key = ["company_id", "category"]
-    e = evidence.select(*key, "seq", "text")
-    kept = e.groupBy(*key).agg(F.array(F.min(F.struct("seq", "text"))).alias("kept"))
-    same = lambda d: (F.col("company_id").eqNullSafe(d["of_company_id"])) & F.col("category").eqNullSafe(d["of_category"])
-    for n in range(1, keep):
-        o = kept.select(*[F.col(c).alias("of_" + c) for c in key], F.col("kept").alias("of"))
-        later = e.join(o, same(o)).where(F.col("seq") > F.element_at("of", -1)["seq"])
-        for i in range(n):
-            later = later.withColumn("alike", text_similarity("text", F.get("of", F.lit(i))["text"])).where(F.coalesce(F.col("alike") < similar, F.lit(True)))
-        more = later.groupBy(*[F.col(c).alias("of_" + c) for c in key]).agg(F.min(F.struct("seq", "text")).alias("next"))
-        kept = kept.join(more, same(more), "left").select(*key, F.when(F.col("next").isNull(), F.col("kept")).otherwise(F.concat("kept", F.array("next"))).alias("kept"))
-    return kept.select(*key, F.explode(F.slice("kept", 1, keep)).alias("x")).select(*key, "x.seq")
-
-
-def cluster_members(sections: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Each cluster's first section, page range, period and labels in first-seen order."""
-    j = sections.join(clusters, ["company_id", "section_no"])
-    first = F.min(F.struct("section_no", "title", "type"))
-    dated = F.min(F.when(F.col("period").isNotNull(), F.struct("section_no", "period")))["period"]
-    labels = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("section_no", "ordinals"))), lambda x: x["ordinals"])))
-    return j.groupBy("company_id", "cluster").agg(
-        first["title"].alias("title"), first["type"].alias("type"), F.min("page").alias("first_page"), F.max("page").alias("last_page"), dated.alias("period"), labels.alias("labels"), F.count(F.lit(1)).alias("members")
-    )
-
-
-def coverage_gaps(disclosed: DataFrame, found: DataFrame) -> DataFrame:
-    """Types a company discloses more often than were found. disclosed: company_id, counts (map); found: company_id, type, n."""
-    d = disclosed.select("company_id", F.explode("counts").alias("type", "disclosed")).groupBy("company_id", "type").agg(F.max("disclosed").alias("disclosed"))
-    j = d.join(found, ["company_id", "type"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    return j.where("disclosed > n").select("company_id", "type", "disclosed", F.col("n").alias("found"), (F.col("disclosed") - F.col("n")).alias("gap"))
-
-
-def shareholder_clusters(hits: DataFrame, page_gap: int = 1, unit_gap: int = 24) -> DataFrame:
-    """Runs of hits with a page gap of one and a unit gap of 24 at most."""
-    w = W.partitionBy("company_id", "category").orderBy("global_index")
-    new = F.coalesce(((F.col("pdf_page") - F.lag("pdf_page").over(w) > page_gap) | (F.col("global_index") - F.lag("global_index").over(w) > unit_gap)).cast("int"), F.lit(1))
-    r = hits.withColumn("_n", new).withColumn("run", F.sum("_n").over(w))
-    return r.groupBy("company_id", "category", "run").agg(F.min("global_index").alias("first"), F.max("global_index").alias("last"), F.count(F.lit(1)).alias("hits"))
+def subject(c: Column, prefixes=("公司前身", "本公司", "发行人", "前身", "公司"), suffixes=("设立", "成立")) -> Column:
+    """without year, prefixes (repeatedly) and suffix."""
+    s = F.regexp_replace(squash(c), r"^(?:19|20)\d{2}年(?:\d{1,2}月)?(?:\d{1,2}日)?[，,]?", "")
+    s = F.regexp_replace(s, "^(?:" + any_of(prefixes) + ")+", "")
+    return F.regexp_replace(s, "(?:" + any_of(suffixes) + ")$", "")
 
 
+def legal_core(c: Column) -> Column:
+    """a company name without its legal form."""
+    return F.regexp_replace(squash(c), "(?:股份有限公司|有限责任公司|有限公司|股份公司|集团公司|公司|股份)$", "")

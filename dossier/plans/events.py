@@ -1,4 +1,4 @@
-"""Queries over units, sections, investors, ledger and assembly (inventory F-H, K, L), with their SQL."""
+"""Queries over the review ledger and assembly (inventory H, L), with their SQL."""
 
 from __future__ import annotations
 
@@ -6,106 +6,13 @@ from pyspark.sql import functions as F
 
 from dossier.operators import extraction as x
 from dossier.operators import investors as k
-from dossier.operators import units as u
 
-from .filings import EVENTS, FACTS_SQL, TRANS_SQL, _facts, _typed
+from .filings import FACTS_SQL, TRANS_SQL, _facts, _typed
 from .views import plain, view
 
-# A sentence for each order line, of kinds that the predicates tell apart.
-UNITS = """
-select lpad(cast(o_custkey % 300 as string), 6, '0') as company_id, o_orderkey as unit_id, cast(o_orderkey % 400 as int) as page, concat(
-  case o_orderkey % 6 when 0 then concat(cast(year(o_orderdate) as string), '年', cast(month(o_orderdate) as string), '月，') when 1 then '一、' when 2 then '（二）' when 3 then '第三节' else '' end,
-  case o_orderkey % 11 when 0 then concat('第', cast(1 + o_custkey % 3 as string), '次股权转让及增资') when 1 then '股份公司设立情况' when 2 then concat('公司进行了', case o_custkey % 4 when 0 then '两' when 1 then '十二' when 2 then '三' else '7' end, '次增资和四次股权转让') when 3 then '报告期内公司未发生重大资产重组'
-    when 4 then '会计师事务所出具报告' when 5 then '详见本招股说明书第五节' when 6 then '在全国中小企业股份转让系统挂牌并公开转让' when 7 then '资本公积转增股本，增资完成工商登记' when 8 then '有限公司整体变更' when 9 then concat('发行人前身测试有限公司设立', cast(year(o_orderdate) as string), '.', cast(month(o_orderdate) as string)) else '一般内容' end) as line
-from {orders}
-"""
 LABELS = "select l.doc_id, l.quality, l.toxic, d.source as company_id, d.text, d.n_chars from {labels} l join {documents} d on l.doc_id = d.doc_id"
 
 
-def _units(spark, d):
-    return view(spark, d, UNITS)
-
-
-def unit_predicates(spark, d):
-    c = F.col("line")
-    return _units(spark, d).select(
-        "unit_id", F.array_join(u.dates_of(c), ",").alias("dates"), u.heading_like(c).alias("heading_like"), u.negative_disclosure(c).alias("negative"), F.array_join(u.ordinals(c), ",").alias("ordinals"),
-        u.provider_only(c).alias("provider_only"), u.timeline_row(c).alias("timeline"), u.reference_only(c).alias("reference_only"), u.date_role(c).alias("date_role"), u.subject(c).alias("subject"),
-    )
-
-
-def event_types(spark, d):
-    return _units(spark, d).select("unit_id", F.array_join(u.event_types(F.col("line")), ",").alias("types"))
-
-
-def disclosed_counts(spark, d):
-    c = _units(spark, d).select("unit_id", F.explode(u.disclosed_counts(F.col("line"))).alias("type", "disclosed"))
-    return c
-
-
-def coverage_gaps(spark, d):
-    un = _units(spark, d)
-    found = un.select("company_id", F.explode(u.event_types(F.col("line"))).alias("type")).groupBy("company_id", "type").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    return u.coverage_gaps(un.select("company_id", u.disclosed_counts(F.col("line")).alias("counts")), found)
-
-
-def _indexed(spark, d):
-    from pyspark.sql import Window as W
-
-    from dossier.operators.headings import EVENT_NUMBERING, level_of
-
-    w = W.partitionBy("company_id").orderBy("page", "unit_id")
-    return _units(spark, d).select("company_id", "unit_id", "page", "line", (F.row_number().over(w) - 1).alias("global_index"), level_of(F.col("line"), EVENT_NUMBERING, 9).alias("level"))
-
-
-def section_extents(spark, d):
-    return u.section_extent(_indexed(spark, d)).select("company_id", "global_index", "level", "end_index")
-
-
-def uncovered_units(spark, d):
-    un = _indexed(spark, d)
-    return u.uncovered(un, u.section_extent(un, 5)).select("company_id", "unit_id", "global_index")
-
-
-def _sections(spark, d):
-    e = view(spark, d, EVENTS)
-    return e.select(
-        "company_id", F.col("event_id").cast("int").alias("section_no"), "page", F.col("event_type").alias("type"), F.when(F.col("event_id") % 4 != 0, F.substring("event_date", 1, 7)).alias("period"),
-        F.when(F.col("event_id") % 10 == 0, F.array(F.lit("第一次"))).when(F.col("event_id") % 10 == 5, F.array(F.lit("第二次"))).otherwise(F.array().cast("array<string>")).alias("ordinals"),
-        F.concat_ws("", "event_type", F.lit("情况")).alias("title"), (F.col("page") * 10).alias("start"), (F.col("page") * 10 + 12).alias("end"),
-    )
-
-
-def merge_edges(spark, d):
-    return u.merge_edges(_sections(spark, d))
-
-
-def section_clusters(spark, d):
-    s = _sections(spark, d)
-    return u.first_fit(s, u.merge_edges(s))
-
-
-def cluster_summary(spark, d):
-    s = _sections(spark, d)
-    c = u.cluster_members(s, u.first_fit(s, u.merge_edges(s)))
-    return c.select("company_id", "cluster", "title", "first_page", "last_page", "period", F.array_join("labels", ",").alias("labels"), "members")
-
-
-def accepted_roots(spark, d):
-    e = view(spark, d, EVENTS).select("company_id", F.col("event_id").cast("int").alias("seq"), "page", F.col("event_type").alias("type"), (F.col("event_id") % 2 == 0).alias("dateless"))
-    return u.accepted_roots(e)
-
-
-def shareholder_evidence(spark, d):
-    e = view(spark, d, EVENTS).select("company_id", F.col("event_type").alias("category"), F.col("event_id").cast("int").alias("seq"), F.concat("event_type", "event_date").alias("text"))
-    return u.near_copies_dropped(e)
-
-
-def shareholder_runs(spark, d):
-    e = view(spark, d, EVENTS).select("company_id", F.col("event_type").alias("category"), F.col("page").alias("pdf_page"), (F.col("page") * 5 + F.col("event_id") % 5).alias("global_index")).distinct()
-    return u.shareholder_clusters(e).select("company_id", "category", "first", "last", "hits")
-
-
 def survivors(spark, d):
     kept, gone = k.survivorship(view(spark, d, LABELS).select("doc_id", "company_id", "quality", "n_chars"), ["company_id", "quality"], [F.desc("n_chars")], "doc_id")
     return kept.select("doc_id", "company_id", "quality", F.lit(None).cast("long").alias("replaced_by")).unionByName(gone.select("doc_id", "company_id", "quality", "replaced_by"))
@@ -150,46 +57,14 @@ def snapshots(spark, d):
     return k.snapshot_status(_facts(spark, d).withColumn("party_id", F.when(F.col("event_id") % 50 == 0, F.col("raw_value"))), c)
 
 
-_NUM = " or ".join(f"regexp_matches(s, '{p}')" for _, p in u.EVENT_NUMBERING)
-_LV = "case " + " ".join(f"when regexp_matches(line, '{p}') then {n}" for n, p in u.EVENT_NUMBERING) + " else 9 end"
-_US = f"un as (select *, regexp_replace(line, '\\s+', '', 'g') as s from ({plain(UNITS)}))"
-
-
-def _types_sql() -> str:
-    """Longest hits, then suppression and the combined rule, over a table of terms."""
-    terms = ", ".join(f"({r}, '{kind}', '{t}')" for r, (kind, ts) in enumerate(u.TERMS) for t in ts)
-    sup = ", ".join(f"('{a}', '{b}')" for a, bs in u.SUPPRESSED.items() for b in bs)
-    return f"""{_US}, tm as (select * from (values {terms}) as q(r, kind, term)), sp as (select * from (values {sup}) as q(kind, by_kind)),
-    hit as (select unit_id, company_id, s, kind, r, max(length(term)) as n from un join tm on contains(s, term) where not (kind = 'EQUITY_TRANSFER' and regexp_matches(s, '股份转让系统|公开转让')) group by all),
-    s1 as (select * from hit a where not exists (select 1 from sp join hit b on b.kind = sp.by_kind where sp.kind = a.kind and b.unit_id = a.unit_id)),
-    s2 as (select *, row_number() over (partition by unit_id order by n desc, r) as rk, regexp_matches(s, '{u.COMBINED}') as combined from s1), ty as (select * from s2 where combined or rk = 1)"""
-
-
-_CN = "case when c ~ '^\\d+$' then c::int when c in ('十') then 10 when c like '十_' then 10 + instr('一二三四五六七八九', c[2]) when c like '_十' then instr('一二三四五六七八九', c[1]) * 10 when c = '两' then 2 else instr('一二三四五六七八九', c) end"
-COUNTS_SQL = _US + ", cn as (" + " union all ".join(f"select unit_id, company_id, '{kd}' as type, unnest(regexp_extract_all(s, '{p}', 1)) as c from un" for kd, p in u.COUNTS) + f"), ct as (select unit_id, company_id, type, max({_CN}) as disclosed from cn group by all)"
-_EDGE_SQL = f"""se as (select company_id, event_id::int as section_no, page, event_type as type, case when event_id % 4 <> 0 then event_date[:7] end as period, case event_id % 10 when 0 then 1 when 5 then 2 else 0 end as ord from ({plain(EVENTS)})),
-eg as (select a.company_id, a.section_no as a, b.section_no as b from se a join se b on a.company_id = b.company_id and a.type = b.type and (b.page < a.page or (b.page = a.page and b.section_no < a.section_no)) and a.page - b.page <= 12
-where case when a.ord > 0 and b.ord > 0 and a.ord <> b.ord then false when a.period is not null and b.period is not null then a.period = b.period when (a.page - b.page) * 10 <= 12 then true else a.page - b.page <= 2 end)"""
-
 QUERIES = {
-    "unit_predicates": unit_predicates, "event_types": event_types, "disclosed_counts": disclosed_counts, "coverage_gaps": coverage_gaps, "section_extents": section_extents,
-    "uncovered_units": uncovered_units, "merge_edges": merge_edges, "section_clusters": section_clusters, "cluster_summary": cluster_summary, "accepted_roots": accepted_roots,
-    "shareholder_evidence": shareholder_evidence, "shareholder_runs": shareholder_runs,
+    
+    
+    
     "survivors": survivors, "ledger_decisions": ledger_decisions,
     "expected_counts": expected_counts, "gold_cross_check": gold_cross_check, "contract_violations": contract_violations, "duplicate_values": duplicate_values, "company_metrics": company_metrics, "snapshots": snapshots,
 }
 SQL = {
-    "unit_predicates": f"""with {_US} select unit_id, array_to_string(list_concat(regexp_extract_all(s, '{u.DATES[0]}'), regexp_extract_all(s, '{u.DATES[1]}')), ',') as dates, length(s) <= 150 and ({_NUM} or regexp_matches(s, '(?:{'|'.join(u.HEADING_SUFFIXES)})$')) as heading_like,
-      regexp_matches(s, '{u.NEGATIVE}') as negative, array_to_string(regexp_extract_all(s, '(第[一二三四五六七八九十\\d]+次)', 1), ',') as ordinals, regexp_matches(s, '{'|'.join(u.PROVIDERS)}') and not regexp_matches(s, '股权转让|股份转让|增资|减资|注册资本') as provider_only,
-      regexp_matches(s, '^(?:19|20)\\d{{2}}年\\d{{1,2}}月') as timeline, regexp_matches(s, '详见|参见|请见') and not regexp_matches(s, '万元|万股|出资') as reference_only, case when regexp_matches(s, '工商登记|工商变更|营业执照') then 'registration_date' when regexp_matches(s, '验资') then 'verification_date' else 'other_date' end as date_role,
-      regexp_replace(regexp_replace(regexp_replace(s, '^(?:19|20)\\d{{2}}年(?:\\d{{1,2}}月)?(?:\\d{{1,2}}日)?[，,]?', ''), '^(?:公司前身|本公司|发行人|公司|前身)+', ''), '(?:成立|设立)$', '') as subject from un""",
-    "event_types": f"with {_types_sql()} select un.unit_id, coalesce(string_agg(kind, ',' order by n desc, r), '') as types from un left join ty using (unit_id) group by un.unit_id",
-    "disclosed_counts": f"with {COUNTS_SQL} select unit_id, type, disclosed from ct",
-    "coverage_gaps": f"with {COUNTS_SQL}, {_types_sql().split(', tm as', 1)[1].join(['tm as', ''])}, dc as (select company_id, type, max(disclosed) as disclosed from ct group by all), fd as (select company_id, kind as type, count(*) as n from ty group by all) select company_id, type, disclosed, coalesce(n, 0) as found, disclosed - coalesce(n, 0) as gap from dc left join fd using (company_id, type) where disclosed > coalesce(n, 0)",
-    "section_extents": f"with {_US}, ix as (select *, row_number() over (partition by company_id order by page, unit_id) - 1 as g, {_LV} as level from un), la as (select company_id, max(g) as last from ix group by 1) select company_id, g as global_index, level, least(greatest(g, coalesce((select min(b.g) from ix b where b.company_id = a.company_id and b.g > a.g and b.level <= a.level) - 1, last)), g + 259) as end_index from ix a join la using (company_id) where level < 9",
-    "uncovered_units": f"with {_US}, ix as (select *, row_number() over (partition by company_id order by page, unit_id) - 1 as g, {_LV} as level from un), la as (select company_id, max(g) as last from ix group by 1), sx as (select company_id, g, least(greatest(g, coalesce((select min(b.g) from ix b where b.company_id = a.company_id and b.g > a.g and b.level <= a.level) - 1, last)), g + 4) as e from ix a join la using (company_id) where level < 9) select company_id, unit_id, g as global_index from ix where not exists (select 1 from sx where sx.company_id = ix.company_id and ix.g between sx.g and sx.e)",
-    "merge_edges": f"with {_EDGE_SQL} select * from eg",
-    "shareholder_runs": f"with e as (select distinct company_id, event_type as category, page as p, page * 5 + event_id % 5 as g from ({plain(EVENTS)})), l as (select *, coalesce((p - lag(p) over w > 1 or g - lag(g) over w > 24)::int, 1) as nw from e window w as (partition by company_id, category order by g)), r as (select *, sum(nw) over (partition by company_id, category order by g rows unbounded preceding) as run from l) select company_id, category, min(g) as first, max(g) as last, count(*) as hits from r group by company_id, category, run",
     "survivors": f"with v as (select doc_id, company_id, quality, n_chars from ({plain(LABELS)})), r as (select *, row_number() over w as k, first(doc_id) over w as f from v window w as (partition by company_id, quality order by n_chars desc, doc_id)) select doc_id, company_id, quality, case when k > 1 then f end as replaced_by from r",
     "ledger_decisions": "select doc_id, case when doc_id % 3 = 0 then 'OPEN' when quality = 1 or toxic = 0 then 'CLOSED' else 'REJECTED' end as review_status from labels",
     "expected_counts": f"with a as (select company_id, count(*) as found from ({plain(LABELS)}) group by 1), e as (select source as company_id, count(*) as expected from documents where doc_id % 2 = 0 group by source) select coalesce(a.company_id, e.company_id) as company_id, coalesce(found, 0) as found, coalesce(expected, 0) as expected, coalesce(found, 0) = coalesce(expected, 0) as ok from a full join e using (company_id)",

@@ -109,6 +109,18 @@ def party_records(spark, d):
     return x.extract_parties(_evidence(spark, d)).select(*KEYS, "evidence_id", "party_role", "party_name", "identity_key", "party_type", "confidence")
 
 
+MERGERS = """
+select lpad(cast(o_custkey % 500 as string), 6, '0') as company_id, cast(floor(o_orderkey / 3) as bigint) as event_id, cast(o_orderkey as int) as evidence_id,
+  case o_orderkey % 9 when 0 then concat('公司吸收合并昆山测试', cast(o_custkey % 9 as string), '有限公司，昆山测试依法注销。') when 1 then '公司吸收合并昆山测试有限公司，被吸收合并方为昆山测试有限公司；吸收合并前昆山测试基本情况如下。' when 2 then '吸收合并情况如下，'
+    when 3 then '吸收合并的乙有限公司' when 4 then '本次吸收合并对象为丙丁有限公司注册资本100万元' when 5 then '被吸收合并方甲乙有限公司注销' when 6 then '由甲公司、乙公司共同出资设立。' when 7 then '张三将其持有的股份转让给李四；受让方为王五。' else '吸收合并程序合法，吸收合并后公司存续' end as evidence_text
+from {orders}
+"""
+
+
+def absorbed_parties(spark, d):
+    return x.extract_parties(view(spark, d, MERGERS)).select(*KEYS, "evidence_id", "party_role", "party_name", "identity_key", "party_type", "confidence")
+
+
 def date_facts(spark, d):
     return x.extract_dates(_evidence(spark, d)).select(*KEYS, "evidence_id", "date_role", "date_text", "date_key")
 
@@ -176,19 +188,32 @@ l2 as (select company_id, event_id, case when list_contains(l, 'EQUITY_HOLDING_P
 tr as (select company_id, event_id, seq::int as seq, event_type, transaction_type, event_group from (select company_id, event_id, unnest(range(len(l))) as seq, unnest(l) as event_type from l2) join mp using (event_type))"""
 _PN = lambda c: f"regexp_replace(regexp_replace(regexp_replace({c}, '^(?:由|与|和|及|其中|股东|公司|本公司|发行人)', ''), '(?:分别|共同|合计|持有|认购|受让|转让)$', ''), '^[，。；、:：()（）]+|[，。；、:：()（）]+$', '', 'g')"
 _CUT = "case when party_role = 'ABSORBED_ENTITY' then regexp_replace(raw, '(?:注册资本|基本情况|注销|财务|资产|负债|业务|影响|程序|股东|后).*$', '') else raw end"
-PARTY_SQL = (
-    "with " + EV + ", m as ("
+# The party patterns for a matcher without look-ahead: closing marks are taken along, and a merger followed by a word that names no party is put out of reach.
+_N = "[一-鿿A-Za-z0-9（）()·]"
+_PARTIES = [
+    ("TRANSFEROR", f"({_N}{{2,35}}?)(?:将其持有的|将所持|转让其持有的)", 0.86), ("TRANSFEREE", f"(?:转让给|受让方为|转让予)({_N}{{2,35}}?)(?:，|。|；|持有|支付|受让|$)", 0.88), ("TRANSFEREE", f"({_N}{{2,35}}?)(?:受让|取得)(?:了)?[^。；]{{0,10}}?(?:公司)?(?:股权|股份)", 0.82),
+    ("INVESTOR", f"({_N}{{2,35}}?)(?:认购|缴纳出资|增资入股)", 0.84), ("ABSORBED_ENTITY", f"(?:吸收合并|被吸收合并方(?:为)?|吸收合并对象为)({_N}{{2,30}}?)(?:，|。|；|注册资本|注销|被注销|后|$)", 0.92), ("FOUNDER_OR_CONTRIBUTOR", "由([一-鿿A-Za-z0-9（）()·、和及与]{2,80}?)(?:共同)?(?:出资|投资)设立", 0.90),
+]
+_BARRED = "regexp_replace(s, '吸收合并(前|后|的|情况|程序|影响)', '吸收#合并\\1', 'g')"
+
+
+def party_sql(ev: str) -> str:
+    return (
+    "with " + ev + ", m as ("
     + " union all ".join(
-        f"select company_id, event_id, evidence_id, {i} as no, '{k}' as party_role, {c}::double as confidence, unnest(range(len(regexp_extract_all(s, '{p}', 1)))) as pos, unnest(regexp_extract_all(s, '{p}', 0)) as whole, unnest(regexp_extract_all(s, '{p}', 1)) as name from t"
-        for i, (k, p, c) in enumerate(x.PARTIES)
+        f"select company_id, event_id, evidence_id, {i} as no, '{k}' as party_role, {c}::double as confidence, unnest(range(len(regexp_extract_all({_BARRED if i == 4 else 's'}, '{p}', 1)))) as pos, unnest(regexp_extract_all({_BARRED if i == 4 else 's'}, '{p}', 0)) as whole, unnest(regexp_extract_all({_BARRED if i == 4 else 's'}, '{p}', 1)) as name from t"
+        for i, (k, p, c) in enumerate(_PARTIES)
     )
-    + "), m2 as (select * from m where not (party_role = 'TRANSFEREE' and regexp_matches(whole, '营业执照|市场监督管理局|换发|工商登记')) and not (party_role = 'ABSORBED_ENTITY' and regexp_matches(whole, '吸收合并(?:前|后|的影响|程序)'))),"
+    + "), m2 as (select * from m where not (party_role = 'TRANSFEREE' and regexp_matches(whole, '营业执照|市场监督管理局|换发|工商登记'))),"
     " m3 as (select * exclude (name), unnest(case when party_role = 'FOUNDER_OR_CONTRIBUTOR' then regexp_split_to_array(name, '[、，,；;和及与]') else [name] end) as raw, unnest(range(len(case when party_role = 'FOUNDER_OR_CONTRIBUTOR' then regexp_split_to_array(name, '[、，,；;和及与]') else [name] end))) as part from m2),"
     f" m4 as (select *, {_PN(_CUT)} as party_name from m3), m5 as (select *, regexp_replace({_PN('party_name')}, '(?:股份有限公司|有限责任公司|有限公司|有限)$', '') as identity_key, {_PN('party_name')} as n2 from m4),"
     f" m6 as (select * from m5 where length(n2) between 2 and 45 and not regexp_matches(n2, '{'|'.join(x.NOT_A_NAME)}') and regexp_matches(n2, '[一-鿿A-Za-z]')),"
     " m7 as (select *, row_number() over (partition by company_id, event_id, party_role, identity_key order by evidence_id, no, pos, part) as first from m6),"
     " parties as (select company_id, event_id, evidence_id, party_role, party_name, identity_key, case when regexp_full_match(n2, '[一-鿿]{2,4}') then 'NATURAL_PERSON' when regexp_matches(n2, '有限公司|有限合伙|合伙企业|投资基金|基金|集团|公司') then 'LEGAL_ENTITY_OR_FUND' else 'UNRESOLVED' end as party_type, confidence from m7 where first = 1)"
-)
+    )
+
+
+PARTY_SQL = party_sql(EV)
 DATE_SQL = (
     "with " + EV + ", m as ("
     + " union all ".join(f"select company_id, event_id, evidence_id, {i} as no, '{k}' as date_role, unnest(range(len(regexp_extract_all(s, '{p}', 1)))) as pos, unnest(regexp_extract_all(s, '{p}', 1)) as date_text from t" for i, (k, p) in enumerate(x.DATES))
@@ -200,7 +225,7 @@ _RES = ", res as (select company_id, event_id, 'NV-CAP-001' as rule_id, status f
 QUERIES = {
     "flagship_capital_check": flagship_capital_check, "numeric_facts": numeric_facts, "transaction_values": transaction_values, "capital_check": capital_check,
     "price_check": price_check, "ratio_check": ratio_check, "duplicate_facts": duplicate_facts, "rule_status": rule_status, "validation_ids": validation_ids,
-    "quarantined": quarantined, "fact_evidence": fact_evidence, "chronology": chronology, "party_records": party_records, "date_facts": date_facts,
+    "quarantined": quarantined, "fact_evidence": fact_evidence, "chronology": chronology, "party_records": party_records, "absorbed_parties": absorbed_parties, "date_facts": date_facts,
     "transaction_dates": transaction_dates, "event_numbers": event_numbers, "transactions": transactions, "facts_by_type": facts_by_type,
     "completeness_reasons": completeness_reasons, "orphan_facts": orphan_facts, "review_queue": review_queue, "link_check": link_check,
 }
@@ -218,6 +243,7 @@ SQL = {
     "fact_evidence": FACTS_SQL + " select company_id, event_id, string_agg(evidence_id::varchar, ',' order by evidence_id) as evidence_ids from (select distinct company_id, event_id, evidence_id from facts) group by all",
     "chronology": f"with e as ({plain(EVENTS)}), k as (select *, split_part(event_date, '-', 1)::int * 10000 + split_part(event_date, '-', 2)::int * 100 + coalesce(try_cast(split_part(event_date, '-', 3) as int), 0) as d from e), l as (select *, lag(d) over (partition by company_id order by page, event_id) > d as bad from k) select company_id, 'NV-DATE-001' as rule_id, case when bool_or(coalesce(bad, false)) then 'INFORMATIONAL' else 'PASSED' end as status, string_agg(event_date, ',' order by page, event_id) as date_order from l group by company_id",
     "party_records": PARTY_SQL + " select * from parties",
+    "absorbed_parties": party_sql(f"t as (select company_id, event_id, evidence_id, regexp_replace(evidence_text, '\\s+', '', 'g') as s from ({plain(MERGERS)}))") + " select * from parties",
     "date_facts": DATE_SQL + " select company_id, event_id, evidence_id, date_role, date_text, date_key from dates",
     "transaction_dates": DATE_SQL + ", r as (select *, list_position(['registration_date', 'effective_date', 'resolution_date', 'agreement_date', 'event_period'], date_role) as k from dates), b as (select *, row_number() over (partition by company_id, event_id order by k, evidence_id, no, pos) as first from r where k > 0) select company_id, event_id, date_key as transaction_date, date_role as date_basis from b where first = 1",
     "event_numbers": f"with e as ({plain(EVENTS)}), n as (select *, row_number() over (partition by company_id order by page, event_id)::int as seq from e) select 'EVT-' || company_id || '-' || lpad(seq::varchar, 5, '0') as event_id, company_id, event_id as candidate_event_id, seq from n",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dossier.operators import narrative as n
 from dossier.operators import units as u
 
-from .events import UNITS
+from .sections import R, UNITS
 from .views import EVENTS, plain, view
 
 SAID = """
@@ -21,7 +21,7 @@ _S = f"un as (select *, regexp_replace(line, '\\s+', '', 'g') as s from ({plain(
 
 def narrative_flags(spark, d):
     c = F.col("line")
-    return view(spark, d, SAID).select("unit_id", n.provider_history(c).alias("provider_history"), n.wrapper_heading(c).alias("wrapper"), n.procedural(c).alias("procedural"), n.capital_row(c).alias("capital_row"))
+    return view(spark, d, SAID).select("unit_id", n.procedural(c).alias("procedural"), n.capital_row(c).alias("capital_row"))
 
 
 def named_entities(spark, d):
@@ -64,11 +64,6 @@ def range_signals(spark, d):
     return g.select("company_id", "range_no", F.size(dates).alias("dates"), F.array_join(kinds, ",").alias("categories"), n.valid_range(F.col("text")).alias("valid"))
 
 
-def unrepresented_rows(spark, d):
-    e = view(spark, d, EVENTS).select("company_id", "event_id", F.col("event_type").alias("type"), F.substring("event_date", 1, 7).alias("period"), F.when(F.col("event_id") % 3 == 0, F.col("event_id") % 4).alias("ordinal"))
-    return n.not_represented(e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1")).select("company_id", "event_id", "type")
-
-
 def candidate_problems(spark, d):
     c = view(spark, d, "select lpad(cast(o_custkey % 500 as string), 6, '0') as company_id, cast(o_orderkey - o_orderkey % 97 % 2 as bigint) as candidate_id, cast(o_orderkey % 400 as int) as page from {orders}")
     ev = view(spark, d, "select cast(l_orderkey as bigint) as candidate_id, case when l_linenumber = 7 then ' ' else l_returnflag end as text from {lineitem}")
@@ -89,18 +84,17 @@ _EST = f"list_distinct(regexp_extract_all(s, '{n.ESTABLISHED}', 1))"
 _CORE = lambda c: f"regexp_replace({c}, '(?:股份有限公司|有限责任公司|有限公司|股份公司|集团公司|公司|股份)$', '')"
 QUERIES = {
     "narrative_flags": narrative_flags, "named_entities": named_entities, "other_subjects": other_subjects, "best_predecessors": best_predecessors, "entity_scopes": entity_scopes,
-    "primary_dates": primary_dates, "range_signals": range_signals, "unrepresented_rows": unrepresented_rows, "candidate_problems": candidate_problems, "patch_problems": patch_problems,
+    "primary_dates": primary_dates, "range_signals": range_signals, "candidate_problems": candidate_problems, "patch_problems": patch_problems,
 }
 SQL = {
-    "narrative_flags": f"with {_S} select unit_id, regexp_matches(s, '{_ALT(u.PROVIDERS)}') and regexp_matches(s, '{_ALT(n.REPORTS)}') and regexp_matches(s, '[一二两三四五六七八九十\\d]+次') as provider_history, regexp_matches(s, '{_ALT(n.WRAPPERS)}') as wrapper, regexp_matches(s, '^(?:19|20)\\d{{2}}年') and not regexp_matches(s, '第[一二三四五六七八九十\\d]+次') and not regexp_matches(s, '{_ALT(n.MARKERS)}') and regexp_matches(s, '{_ALT(n.PROCEDURAL)}') as procedural, regexp_matches(s, '{_ALT(n.CAPITAL_ROWS)}') as capital_row from un",
+    "narrative_flags": f"with {_S} select unit_id, regexp_matches(s, '^(?:19|20)\\d{{2}}年') and not regexp_matches(s, '第[一二三四五六七八九十百\\d]+次') and not regexp_matches(s, '第一次股权转让|第二次股权转让|第三次股权转让|第一次增资|第二次增资|第三次增资|整体变更|股份公司设立|有限公司设立|资本公积转增股本|吸收合并') and regexp_matches(s, '签署|签订|召开股东会|召开董事会|审议通过|支付|缴款|到账|办理工商变更|完成工商变更|办理完毕工商变更|取得营业执照|出具|验资|审验|评估|核准|登记') as procedural, regexp_matches(s, '{_ALT(n.CAPITAL_ROWS)}') as capital_row from un",
     "named_entities": f"with {_S} select unit_id, array_to_string({_PRE}, ',') as predecessors, array_to_string(list_distinct(list_concat(regexp_extract_all(s, '{n.ABSORBED[0]}', 1), regexp_extract_all(s, '{n.ABSORBED[1]}', 1))), ',') as absorbed, array_to_string({_EST}, ',') as established from un",
     "other_subjects": f"with {_S}, e as (select company_id, unnest({_EST}) as name from un), p as (select company_id, unnest({_PRE}) as name from un) select distinct company_id, name from e where {_CORE('name')} <> '甲乙1' and not exists (select 1 from p where p.company_id = e.company_id and {_CORE('p.name')} = {_CORE('e.name')})",
     "best_predecessors": f"with {_S}, p as (select company_id, unnest({_PRE}) as name from un), r as (select *, row_number() over (partition by company_id order by ({_CORE('name')} <> '甲乙1')::int, abs(length({_CORE('name')}) - 3), length(name), name) as k from p) select company_id, name as predecessor from r where k = 1",
     "entity_scopes": f"with {_S} select company_id, case when bool_or(regexp_matches(s, '{_ALT(n.SUBSIDIARY)}')) then 'SUBSIDIARY_OR_OTHER_ENTITY_RISK' else 'ISSUER' end as entity_scope from un where unit_id % 50 < 40 group by 1",
     "primary_dates": f"with e as ({plain(EVENTS)}), x as (select company_id, case when company_id::int % 2 = 0 then 'ESTABLISHMENT' else 'OTHER' end as kind, ['payment_date', 'resolution_date', 'registration_date', 'effective_date', 'other_date'][(event_id % 5 + 1)::int] as role, event_date, event_id from e), r as (select *, list_position(case kind when 'ESTABLISHMENT' then ['registration_date', 'effective_date', 'resolution_date'] else ['registration_date', 'resolution_date', 'agreement_date', 'payment_date'] end, role) as k from x), o as (select *, row_number() over (partition by company_id, kind order by k, case when kind = 'ESTABLISHMENT' then event_date end, case when kind = 'OTHER' then event_id end, event_date) as f from r where k > 0) select company_id, kind, event_date as primary_date, role as basis from o where f = 1",
     "range_signals": f"""with u0 as ({plain(UNITS)}), g as (select company_id, floor(page / 40)::bigint as range_no, regexp_replace(string_agg(line, chr(10) order by unit_id), '\\s+', '', 'g') as s from u0 group by all),
-      x as (select *, len(list_distinct(list_concat(regexp_extract_all(s, '{u.DATES[0]}'), regexp_extract_all(s, '{u.DATES[1]}')))) as dates, list_filter([{', '.join(f"case when regexp_matches(s, '{_ALT(ts)}') then '{k}' end" for k, ts in u.TERMS)}], lambda z: z is not null) as c from g) select company_id, range_no, dates, array_to_string(c, ',') as categories, dates >= 2 and len(c) >= 2 as valid from x""",
-    "unrepresented_rows": f"with e as (select company_id, event_id, event_type as type, event_date[:7] as period, case when event_id % 3 = 0 then event_id % 4 end as ordinal from ({plain(EVENTS)})) select company_id, event_id, type from e a where event_id % 2 = 0 and not exists (select 1 from e b where b.event_id % 2 = 1 and b.company_id = a.company_id and b.type = a.type and coalesce(a.ordinal = b.ordinal, a.period = b.period))",
+      x as (select *, len(list_distinct(list_concat(regexp_extract_all(s, '{u.DATES[0]}'), regexp_extract_all(s, '{u.DATES[1]}')))) as dates, list_filter([{', '.join(f"case when regexp_matches(s, '{_ALT(ts)}') then '{k}' end" for k, ts in ((k, R.terms[k]) for k in R.priority))}], lambda z: z is not null) as c from g) select company_id, range_no, dates, array_to_string(c, ',') as categories, dates >= 2 and len(c) >= 2 as valid from x""",
     "candidate_problems": """with c as (select o_custkey, cast(o_orderkey - o_orderkey % 97 % 2 as bigint) as id, o_orderkey % 400 as page from orders), ev as (select cast(l_orderkey as bigint) as id, case when l_linenumber = 7 then '' else l_returnflag end as t from lineitem),
       p as (select 'duplicate_id' as problem from c group by id having count(*) > 1 union all select 'outside_ranges' from c where page not between 50 and 350 union all select 'no_evidence' from c where id not in (select id from ev) union all select 'empty_evidence' from (select distinct id from ev where t = '')) select problem, count(*) as n from p group by 1""",
     "patch_problems": f"with p as ({plain(PATCH)}) select patch_id, 'missing_field' as problem from p where company_id is null union all select patch_id, 'start_not_positive' from p where start_page <= 0 union all select patch_id, 'end_before_start' from p where end_page < start_page union all select min(patch_id), 'duplicate_chapter' from p group by company_id, chapter_type having count(*) > 1",

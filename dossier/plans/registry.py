@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import events, filings, investing, narratives, paging, storage
+from . import events, filings, investing, narratives, paging, sections, storage
 
-MODULES: list = [filings, paging, events, investing, narratives, storage]
+MODULES: list = [filings, paging, sections, events, investing, narratives, storage]
 
 
 def queries() -> dict:

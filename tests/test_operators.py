@@ -10,6 +10,7 @@ from dossier.operators import extraction as x
 from dossier.operators import investors as k
 from dossier.operators import islands, units
 from dossier.operators import pages as p
+from dossier.operators import sections as sec
 from dossier.operators import validation as v
 from dossier.sources import tables as t
 from dossier.streaming import evidence as se
@@ -42,7 +43,7 @@ def test_transfer_parties(spark):
 
 
 @pytest.mark.parametrize("text, kinds", [
-    ("在全国中小企业股份转让系统挂牌并公开转让", ["LISTING_OR_DIRECTIONAL_FINANCING"]), ("2、股份公司设立情况", ["JOINT_STOCK_COMPANY_ESTABLISHMENT"]),
+    ("在全国中小企业股份转让系统挂牌并公开转让", []), ("股票定向发行", ["LISTING_OR_DIRECTIONAL_FINANCING"]), ("2、股份公司设立情况", ["JOINT_STOCK_COMPANY_ESTABLISHMENT"]),
     ("第一次股权转让及增资", ["CAPITAL_INCREASE", "EQUITY_TRANSFER"]), ("一般内容", []),
 ])
 def test_event_types(spark, text, kinds):
@@ -93,22 +94,96 @@ def test_hierarchy_against_a_stack(spark):
 
 
 def test_first_fit_is_not_components(spark):
-    s = spark.createDataFrame([("c", i) for i in range(1, 5)], "company_id string, section_no int")
+    s = spark.createDataFrame([("c", i, i, i, i) for i in range(1, 5)], "company_id string, section_no int, page int, start int, end int")
     e = spark.createDataFrame([("c", 3, 1), ("c", 3, 2), ("c", 4, 2)], "company_id string, a int, b int")
-    assert {r["section_no"]: r["cluster"] for r in units.first_fit(s, e).collect()} == {1: 1, 2: 2, 3: 1, 4: 2}
+    assert {r["section_no"]: r["cluster"] for r in sec.first_fit(s, e).collect()} == {1: 1, 2: 2, 3: 1, 4: 2}
+
+
+def test_first_fit_against_a_fold(spark):
+    rng, rows, edges, want = random.Random(6), [], [], set()
+    for c in "abc":
+        pages = sorted(rng.randint(0, 900) for _ in range(60))
+        mine = [(c, i, pg, pg * 10, pg * 10 + rng.choice([5, 400])) for i, pg in enumerate(pages)]
+        rows += mine
+        near = {(i, j) for i in range(60) for j in range(i) if (pages[i] - pages[j] <= 20 or mine[j][4] >= mine[i][3]) and rng.random() < 0.5}
+        edges += [(c, i, j) for i, j in near]
+        clusters = []
+        for i in range(60):
+            mine_ = next((k for k in clusters if any((i, j) in near for j in k)), None)
+            clusters.append([i]) if mine_ is None else mine_.append(i)
+        want |= {(c, i, n + 1) for n, k in enumerate(clusters) for i in k}
+    s = spark.createDataFrame(rows, "company_id string, section_no int, page int, start int, end int")
+    got = sec.first_fit(s, spark.createDataFrame(edges, "company_id string, a int, b int"))
+    assert {tuple(r) for r in got.collect()} == want
 
 
 def test_accepted_roots_and_near_copies(spark):
     h = spark.createDataFrame([("c", 1, 1, "A", True), ("c", 2, 3, "A", True), ("c", 3, 9, "A", True), ("c", 4, 9, "A", False)], "company_id string, seq int, page int, type string, dateless boolean")
-    assert sorted(r["seq"] for r in units.accepted_roots(h).collect()) == [1, 3, 4]
+    assert sorted(r["seq"] for r in sec.accepted_roots(h).collect()) == [1, 3, 4]
     e = spark.createDataFrame([("c", "k", 1, "abcdefgh"), ("c", "k", 2, "abcdefgx"), ("c", "k", 3, "12345678"), ("c", "k", 4, "zzzzyyyy")], "company_id string, category string, seq int, text string")
-    assert sorted(r["seq"] for r in units.near_copies_dropped(e).collect()) == [1, 3]
+    assert sorted(r["seq"] for r in sec.near_copies_dropped(e).collect()) == [1, 3]
+
+
+SECTION = "company_id string, section_no int, page int, type string, period string, ordinals array<string>, title string, start int, end int, provider boolean, timeline boolean"
+
+
+@pytest.mark.parametrize("one_, other, merged", [
+    ((10, "OVERALL_CHANGE", "2021-09-16", [], "a", 0, 5, False, False), (16, "OVERALL_CHANGE", "2021-09", [], "b", 60, 65, False, False), True),
+    ((10, "OVERALL_CHANGE", "2021-09", [], "a", 0, 5, False, False), (23, "OVERALL_CHANGE", "2021-09", [], "b", 60, 65, False, False), False),
+    ((10, "ABSORPTION_MERGER", "2021-01", [], "a", 0, 5, False, False), (30, "ABSORPTION_MERGER", "2022-02", [], "b", 90, 95, False, False), True),
+    ((10, "EQUITY_TRANSFER", "2021-01", ["第一次"], "a", 0, 5, False, False), (10, "EQUITY_TRANSFER", "2021-01", ["第二次"], "a", 3, 9, False, False), False),
+    ((10, "JOINT_STOCK_COMPANY_ESTABLISHMENT", None, [], "a", 0, 5, False, False), (13, "OVERALL_CHANGE", "2021", [], "b", 60, 65, False, False), True),
+    ((10, "ABSORPTION_MERGER", None, [], "a", 0, 5, False, False), (14, "SHARE_CAPITAL_CHANGE", None, [], "吸收合并后变更", 60, 65, False, False), True),
+    ((10, "CAPITAL_INCREASE", None, [], "a", 0, 5, False, False), (14, "SHARE_CAPITAL_CHANGE", None, [], "增资后变更", 60, 65, False, False), False),
+    ((10, "CAPITAL_INCREASE", "2020", [], "本次增资", 0, 5, True, False), (13, "CAPITAL_INCREASE", "2021", [], "b", 60, 65, False, False), True),
+    ((10, "CAPITAL_INCREASE", None, [], "a", 0, 900, False, False), (60, "CAPITAL_INCREASE", None, [], "b", 800, 950, False, False), True),
+    ((10, "CAPITAL_INCREASE", None, [], "第一次增资情况", 0, 5, False, False), (12, "CAPITAL_INCREASE", None, [], "第一次增资的情况", 60, 65, False, False), True),
+    ((10, "CAPITAL_INCREASE", None, [], "abc", 0, 5, False, True), (22, "CAPITAL_INCREASE", "2021", [], "xyz", 60, 65, False, False), True),
+    ((10, "CAPITAL_INCREASE", None, [], "abc", 0, 5, False, False), (11, "EQUITY_TRANSFER", None, [], "abc", 3, 65, False, False), False),
+])
+def test_merge_rules(spark, one_, other, merged):
+    df = spark.createDataFrame([("c", 1, *one_), ("c", 2, *other)], SECTION)
+    assert [(r["a"], r["b"]) for r in sec.merge_edges(df).collect()] == ([(2, 1)] if merged else [])
+
+
+def test_roots_of_a_page(spark):
+    """Summaries, particulars, references and wrappers head no section; a bare heading soon after its kind goes; a nested child goes."""
+    lines = [
+        (10, "（一）公司前身赛分有限的设立情况"), (10, "2009年3月16日，赛分有限取得营业执照。"), (10, "公司进行了四次股权转让和四次增资。"), (11, "股份公司成立日期2015年"), (11, "一、2021年4月，吸收合并"), (11, "（一）股权转让"),
+        (12, "（二）发行人报告期内的重大资产重组情况"), (13, "二、增资"), (14, "（一）增资"), (15, "三、2020年5月，第二次增资"), (15, "报告期内，公司未发生重大资产重组。"),
+    ]
+    df = spark.createDataFrame([("c", i, pg, s) for i, (pg, s) in enumerate(lines)], "company_id string, global_index int, page int, line string")
+    a = sec.annotated(df)
+    roots = sec.root_headings(a)
+    assert {r["global_index"]: r["type"] for r in roots.collect()} == {0: "LIMITED_COMPANY_ESTABLISHMENT", 4: "ABSORPTION_MERGER", 5: "EQUITY_TRANSFER", 7: "CAPITAL_INCREASE", 9: "CAPITAL_INCREASE"}
+    got = sec.heading_sections(roots.withColumn("negative", F.lit(False)))
+    assert {r["global_index"]: r["accepted"] for r in got.collect()} == {0: True, 4: True, 5: False, 7: True, 9: True}
+    assert {r["global_index"]: r["summary_kind"] for r in sec.summary_disclosures(a).collect()} == {2: "AGGREGATE_EVENT_SUMMARY", 6: "CLASSIFICATION_WRAPPER"}
+    neg = sec.section_negatives(a, spark.createDataFrame([("c", 9, 10), ("c", 0, 1)], "company_id string, global_index int, end_index int"))
+    assert {r["global_index"]: r["negative"] is not None for r in neg.collect()} == {9: True, 0: False}
+
+
+def test_coverage_gap_of_unexpanded_history(spark):
+    s = spark.createDataFrame([("c", 1, "AGGREGATE_EVENT_SUMMARY", {"EQUITY_TRANSFER": 4, "CAPITAL_INCREASE": 4}, "详见公开转让说明书"), ("c", 2, "TIMELINE_SUMMARY_ROW", {"CAPITAL_INCREASE": 4, "EQUITY_TRANSFER": 4}, "x"), ("c", 3, "METADATA_DATE_FIELD", {"CAPITAL_INCREASE": 9}, "x")], "company_id string, seq int, summary_kind string, counts map<string,int>, text string")
+    found = spark.createDataFrame([("c", "EQUITY_TRANSFER", 4)], "company_id string, type string, n int")
+    assert [(r["seq"], r["gap_type"], r["type"], r["missing"]) for r in sec.coverage_gaps(s, found).collect()] == [(1, "REFERENCE_LIMITED_AGGREGATE_HISTORY", "CAPITAL_INCREASE", 4)]
+
+
+def test_rule_documents(spark, tmp_path):
+    from dossier.functions.rules import read_event_rules
+
+    (tmp_path / "r.json").write_text('{"heading_suffixes": ["沿革"]}')
+    r = read_event_rules(spark, f"{tmp_path}/r.json")
+    assert one(spark, units.heading_like(F.col("a"), r), a="公司沿革") and not one(spark, units.heading_like(F.col("a")), a="公司沿革")
+    (tmp_path / "x.json").write_text('{"no_such": 1}')
+    with pytest.raises(ValueError):
+        read_event_rules(spark, f"{tmp_path}/x.json")
 
 
 def test_shareholder_evidence_judges_all_events(spark):
     from difflib import SequenceMatcher
 
-    from dossier.plans import events
+    from dossier.plans import sections as events
 
     d, kept = "/root/testdata/sf0.001", {}
     rows = events.view(spark, d, events.EVENTS).select("company_id", "event_type", "event_id", F.concat("event_type", "event_date")).collect()
@@ -131,7 +206,7 @@ def test_near_copies_against_a_fold(spark):
         if len(k) < 3 and all(SequenceMatcher(None, text, t).ratio() < 0.6 for _, t in k):
             k.append((seq, text))
     want = {(*g, seq) for g, k in kept.items() for seq, _ in k}
-    assert {tuple(r) for r in units.near_copies_dropped(e, 0.6, 3).collect()} == want
+    assert {tuple(r) for r in sec.near_copies_dropped(e, 0.6, 3).collect()} == want
 
 
 def test_cover(spark):
@@ -141,9 +216,53 @@ def test_cover(spark):
     assert islands.cover(pts, spans, "k", "at", "s", "e", "left_anti").count() == 118
 
 
-@pytest.mark.parametrize("name, kind", [("序号发行对象名称", "NOISE"), ("深圳测试创业投资有限公司", "PEVC"), ("张三", "NATURAL_PERSON"), ("某某实业有限公司", "LEGAL_ENTITY"), ("x1", "LOW_QUALITY")])
-def test_investor_classes(spark, name, kind):
-    assert one(spark, k.classify(F.col("a")), a=name)["class"] == kind
+@pytest.mark.parametrize("name, status", [
+    ("序号发行对象名称", "EXCLUDED_NOISE"), ("数量（股", "EXCLUDED_NOISE"), ("50元的价格", "EXCLUDED_NOISE"), ("上海测试股权投资基金合伙企业（有限合伙）", "PEVC_CANDIDATE"), ("达晨创联基金", "PEVC_CANDIDATE"), ("并购基金", "PEVC_CANDIDATE"),
+    ("深圳测试创业投资有限公司", "PEVC_CANDIDATE"), ("股权投资有限公司", "POSSIBLE_PEVC"), ("资产管理有限公司", "POSSIBLE_PEVC"), ("张三", "NOT_PEVC"), ("资本有限公司", "NOT_PEVC_OR_UNRESOLVED_STRATEGIC"), ("某某实业有限公司", "NOT_PEVC_OR_UNRESOLVED_STRATEGIC"), ("x1", "EXCLUDED_LOW_QUALITY"),
+])
+def test_investor_classes(spark, name, status):
+    assert one(spark, k.classify(F.col("a")), a=name)["status"] == status
+
+
+def test_names_and_evidence_of_investors(spark):
+    text = "前公司股东泽升贸易、罗世兵、共青城泽升、达晨创联基金参与本次增资"
+    assert one(spark, k.split_names(F.col("a")), a=text) == ["泽升贸易", "罗世兵", "共青城泽升", "达晨创联基金"]
+    rows = [("603418", 1, "T1", "CAPITAL_INCREASE", text), ("123456", 2, "T2", "EQUITY_TRANSFER", "原股东将股权转让给测试投资有限公司"), ("001282", 3, "T3", "CAPITAL_INCREASE", "芜湖三联锻造股份有限公司增资"), ("9", 4, "T4", "DIRECTIONAL_FINANCING", "发行对象名称上海测试股权投资基金合伙企业（有限合伙）认购100万股")]
+    texts = spark.createDataFrame(rows, "company_id string, event_id int, transaction_id string, transaction_type string, text string")
+    alias = k.issuer_aliases(spark.createDataFrame([("603418", "友升股份"), ("001282", "三联锻造")], "company_id string, company_short_name string"))
+    got = k.evidence_candidates(texts, alias)
+    names = {(r["event_id"], r["name"]) for r in got.collect()}
+    assert (1, "达晨创联基金") in names and not any("、" in n for _, n in names) and (4, "上海测试股权投资基金合伙企业（有限合伙）") in names
+    assert any("测试投资有限公司" in n for i, n in names if i == 2) and not [n for i, n in names if i == 3]
+    ents = k.entities(got)
+    p = k.paths(ents, texts)
+    assert {r["entry_method"] for r in p.collect()} == {"CAPITAL_INCREASE_ENTRY", "TRANSFER_ENTRY"}
+    own, others, fund_paths = k.pevc_only(ents, p)
+    assert "达晨创联基金" in {r["name"] for r in own.collect()} and "罗世兵" in {r["name"] for r in others.collect()} and fund_paths.count() == own.count()
+    assert k.path_problems(p, ents, alias, p.select("company_id", "key", "transaction_id")).count() == 0
+
+
+@pytest.mark.parametrize("text, names", [
+    ("公司吸收合并昆山测试有限公司，昆山测试依法注销。", {"昆山测试有限公司"}), ("公司吸收合并昆山测试有限公司，被吸收合并方为昆山测试有限公司；吸收合并前昆山测试基本情况如下。", {"昆山测试有限公司"}), ("吸收合并情况如下，", set()), ("吸收合并的乙有限公司", set()),
+])
+def test_absorbed_parties(spark, text, names):
+    e = spark.createDataFrame([("c", 1, 1, text)], "company_id string, event_id int, evidence_id int, evidence_text string")
+    assert {r["party_name"] for r in x.extract_parties(e).where("party_role = 'ABSORBED_ENTITY'").collect()} == names
+
+
+def test_closing_marks_are_not_consumed(spark):
+    e = spark.createDataFrame([("c", 1, 1, "张三将其持有的股份转让给李四受让方为王五。")], "company_id string, event_id int, evidence_id int, evidence_text string")
+    assert {r["party_name"] for r in x.extract_parties(e).where("party_role = 'TRANSFEREE'").collect()} >= {"李四", "王五"}
+
+
+def test_referential_problems(spark):
+    ev = spark.createDataFrame([("c", 1, "CE1", ["OVERALL_CHANGE", "JOINT_STOCK_COMPANY_ESTABLISHMENT"], 5, 4), ("c", 2, "CE2", ["EQUITY_TRANSFER"], 1, 2)], "company_id string, event_id int, candidate_event_id string, event_types array<string>, pdf_page_start int, pdf_page_end int")
+    tr = spark.createDataFrame([("c", 2, "EQUITY_TRANSFER"), ("c", 7, "CAPITAL_INCREASE")], "company_id string, event_id int, transaction_type string")
+    pa_ = spark.createDataFrame([("c", 1, "TRANSFEROR"), ("c", 2, "TRANSFEROR"), ("c", 9, "INVESTOR")], "company_id string, event_id int, party_role string")
+    fa = spark.createDataFrame([("c", 8, "SHARE_PRICE")], "company_id string, event_id int, fact_type string")
+    ca = spark.createDataFrame([("c", "CE1"), ("c", "CE3")], "company_id string, candidate_event_id string")
+    got = {(r["event_id"], r["problem"]) for r in x.referential_problems(ev, tr, fa, pa_, ca, expected=3).collect()}
+    assert got == {(8, "fact_without_event"), (9, "party_without_event"), (7, "transaction_without_event"), (1, "transfer_party_without_transfer"), (1, "overall_change_and_joint_stock"), (1, "pages_reversed"), (None, "candidate_without_event"), (None, "event_count")}
 
 
 def test_snapshot_needs_a_party(spark):
