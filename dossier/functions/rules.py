@@ -97,3 +97,54 @@ def read_event_rules(spark: SparkSession, path: str) -> EventRules:
 
 
 EVENT_RULES = EventRules()
+
+
+# The overview and the required chapter types with the words of their titles and texts. Further types come from a rule document, by
+# `read_chapter_rules`.
+CHAPTERS: dict[str, dict] = {
+    "issuer_overview": {
+        "aliases": ["发行人基本情况", "发行人概况", "公司基本情况", "发行人基本信息", "发行人基本情况概述"],
+        "groups": [["发行人", "基本情况"], ["发行人", "概况"], ["公司", "基本情况"]],
+        "anchors": ["基本情况", "概况", "基本信息"],
+        "context": ["成立时间", "注册资本", "法定代表人", "注册地址"],
+        "minimum": 2,
+        "exclude": ["募集资金基本情况", "本次发行基本情况"],
+        "broad": ["发行人基本情况", "公司基本情况"],
+        "narrow": [],
+    },
+    "equity_history": {
+        "aliases": ["公司设立以来股本演变情况", "公司设立及股本变化情况", "发行人历史沿革", "发行人的股本形成及其变化", "发行人的设立及历次股本变化", "发行人的设立及报告期内的股本和股东变化情况", "发行人的设立及股本变化情况", "发行人的设立情况、报告期内的股本和股东变化情况", "发行人的设立情况及股本演变", "发行人的设立情况报告期内的股本和股东变化情况", "发行人股本形成及变化", "发行人股本演变", "发行人设立以来的股本演变", "发行人设立以来股本变化情况", "发行人设立及历次股本变化", "发行人设立及报告期内股本演变情况", "发行人设立及股本演变情况", "设立以来的股本演变"],
+        "groups": [["发行人", "设立", "股本"], ["公司", "设立", "股本"], ["股本", "形成", "变化"], ["股本", "演变"], ["历史", "沿革"], ["设立以来", "股本"], ["设立", "历次", "变化"], ["设立", "股本", "变化"], ["设立", "股东", "变化"], ["报告期内", "股本", "演变"]],
+        "anchors": ["设立", "历史沿革", "股本", "股权演变", "股本形成", "注册资本"],
+        "context": ["有限公司设立", "股份公司设立", "整体变更", "增资", "股权转让", "股份转让", "注册资本", "验资报告", "工商变更", "股本结构"],
+        "minimum": 4,
+        "exclude": ["专项说明", "代持情况", "募集资金", "发行人股本情况", "发行前后股本结构", "发行方案", "合法合规", "完全披露", "审核问询", "承诺", "本次发行前后的股本情况", "本次发行前后的股本结构", "本次发行前后股本结构", "本次发行后", "核查意见", "法律意见书", "股权代持", "补充法律意见", "重大违法", "问询回复"],
+        "broad": ["发行人的设立及股本变化", "设立以来股本演变", "股本形成及变化", "发行人历史沿革", "公司历史沿革", "设立及历次股本变化", "设立及股本演变"],
+        "narrow": ["概图", "报告期内", "代持", "核查", "说明", "合法合规"],
+    },
+    "shareholders": {
+        "aliases": ["主要股东情况", "发行人主要股东情况", "发行人的股权结构", "发行人股东及实际控制人情况", "发行人股东情况", "发行人股本情况", "发行人股本结构", "发行前十名股东", "发行前本公司前十名股东", "发行前股东情况", "本次发行前公司前十名股东情况", "本次发行前后的股本情况", "本次发行前后的股本结构情况", "本次发行前后股本结构情况", "本次发行前的前十名股东", "股东基本情况"],
+        "groups": [["发行人", "股东", "情况"], ["股东", "实际控制人", "情况"], ["主要", "股东"], ["发行前", "前十名", "股东"], ["本次发行前", "股东"], ["股权", "结构"], ["发行人", "股本", "情况"], ["本次发行前后", "股本", "结构"]],
+        "anchors": ["股东", "股权结构", "股本结构", "实际控制人"],
+        "context": ["持股数量", "持股比例", "股东名称", "前十名股东", "控股股东", "实际控制人", "发行前股本"],
+        "minimum": 3,
+        "exclude": ["不适格股东", "关联交易", "减持", "历史沿革", "合法合规", "同业竞争", "承诺", "报告期内的股本和股东变化", "新增股东", "社会公众股东", "股东变化", "股本变化", "股本和股东变化", "股本演变", "股权演变", "自然人股东及其担任", "设立以来", "重大违法", "锁定", "限售"],
+        "broad": ["发行人股东及实际控制人情况", "发行人股东情况", "主要股东情况", "本次发行前公司前十名股东情况", "发行人的股权结构"],
+        "narrow": ["新增股东", "自然人股东", "合法合规", "重大违法", "限售", "锁定", "减持", "承诺"],
+    },
+}
+EVENT_HEADINGS = ["设立", "成立", "增资", "股权转让", "股份转让", "整体变更", "改制", "减资", "资本公积转增", "股本变更", "注册资本变更"]
+REQUIRED_CHAPTERS = ["equity_history", "shareholders"]
+# Bonuses and limits of the choice of chapters; rank of a source, best first.
+CHOICE = {"toc": 0.06, "context": 0.08, "broad": 0.10, "narrow": 0.18, "late": 0.12, "single": 0.08, "section": 0.24, "pages": 45, "sibling_gap": 15, "cluster_gap": 10}
+SOURCES = ["ISSUER_MASTER_SECTION", "HEADING_SECTION", "SIBLING_GROUP", "EVENT_CLUSTER", "EVENT_WINDOW"]
+
+
+def read_chapter_rules(spark: SparkSession, path: str) -> dict[str, dict]:
+    """Chapter types of a JSON document of the form of CHAPTERS; lists that a type leaves out are empty."""
+    given = json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))  # one document
+    blank = {"aliases": [], "groups": [], "anchors": [], "context": [], "minimum": 1, "exclude": [], "broad": [], "narrow": []}
+    odd = sorted({k for v in given.values() for k in v} - set(blank))
+    if odd:
+        raise ValueError(f"unknown rules: {odd}")
+    return {k: blank | v for k, v in given.items()}

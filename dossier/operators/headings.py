@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dossier.functions.rules import CHAPTERS, CHOICE, EVENT_HEADINGS, SOURCES
 from dossier.functions.text import any_of, norm
 
 from .islands import islands, parent, section_end
@@ -18,12 +19,6 @@ EVENT_NUMBERING = [(1, f"^第[{_N}\\d]+节"), (2, f"^[{_N}]+、"), (3, f"^[（(]
 TOC_WORDS, DOT_LEADER, TOC_LINES = ["目录", "目錄"], r"[\.·…]{2,}", 5
 CROSS_REFERENCE = "详见|参见|请见|见本招股说明书"
 MAX_CHARS, PAGE_TOP, BODY_SCAN, REPEATED = 64, 6, 18, 3
-# Chapter types of the published kinds with the words that name them; a caller passes its own table.
-CHAPTERS = {
-    "equity_history": {"aliases": ["历史沿革", "股本演变情况", "设立及股本变化"], "groups": [["历次", "增资"], ["股权", "转让"]], "exclude": ["子公司"]},
-    "shareholders": {"aliases": ["股东情况", "主要股东"], "groups": [["持股", "股东"]], "exclude": []},
-    "company_profile": {"aliases": ["公司基本情况", "发行人基本情况"], "groups": [], "exclude": []},
-}
 
 
 def toc_pages(lines: DataFrame) -> DataFrame:
@@ -118,6 +113,12 @@ def headings(lines: DataFrame, repeated: DataFrame, chapters: dict = CHAPTERS) -
     return u.select("company_id", "pdf_page", "line_index", "merged", "raw", "core", "level", "heading_class", "score", F.transform("types", lambda t: t["type"]).alias("types"), n.alias("heading_no"))
 
 
+def matched_aliases(core: Column, chapters: dict = CHAPTERS) -> Column:
+    """The aliases that a title holds with at most eight characters besides."""
+    every = F.array(*[F.lit(a) for r in chapters.values() for a in r["aliases"]])
+    return F.array_distinct(F.filter(every, lambda a: core.contains(a) & (F.length(core) - F.length(a) <= 8)))
+
+
 def hierarchy(h: DataFrame, page_counts: DataFrame) -> DataFrame:
     """Parent number and last page of each body heading."""
     b = h.where("heading_class = 'BODY_HEADING'").join(page_counts, "company_id")
@@ -125,23 +126,60 @@ def hierarchy(h: DataFrame, page_counts: DataFrame) -> DataFrame:
     return b.withColumn("parent_no", parent(["company_id"], order, "level", F.col("heading_no"), range(5))).withColumn("end_page", section_end(["company_id"], order, "level", "pdf_page", F.col("page_count"), range(5))).drop("page_count")
 
 
-def toc_support(h: DataFrame) -> DataFrame:
-    """For each body heading and type, how many contents entries of the type carry an equal title."""
-    b = h.where("heading_class = 'BODY_HEADING'").select("company_id", "heading_no", "core", F.explode("types").alias("type"))
-    t = h.where("heading_class = 'TOC_ENTRY'").select("company_id", "core", F.explode("types").alias("type")).groupBy("company_id", "core", "type").agg(F.count(F.lit(1)).alias("n"))
-    return b.join(t, ["company_id", "core", "type"], "left").select("company_id", "heading_no", "type", F.coalesce("n", F.lit(0)).alias("toc_support"))
+def toc_support(h: DataFrame, chapters: dict = CHAPTERS) -> DataFrame:
+    """For each body heading and type, how many contents entries of the type carry an equal title or share an alias. An equi-join on titles and aliases."""
+    keys = F.explode(F.array_distinct(F.concat(F.array("core"), matched_aliases(F.col("core"), chapters)))).alias("key")
+    side = lambda kind, no: h.where(F.col("heading_class") == kind).select("company_id", F.col("heading_no").alias(no), "core", F.explode("types").alias("type")).select("company_id", no, "type", keys)
+    b, t = side("BODY_HEADING", "heading_no"), side("TOC_ENTRY", "toc_no")
+    n = b.join(t, ["company_id", "type", "key"]).groupBy("company_id", "heading_no", "type").agg(F.count_distinct("toc_no").alias("toc_support"))
+    return b.select("company_id", "heading_no", "type").distinct().join(n, ["company_id", "heading_no", "type"], "left").withColumn("toc_support", F.coalesce("toc_support", F.lit(0)))
+
+
+def words_ahead(pages: DataFrame, words: list[str]) -> DataFrame:
+    """(company_id, pdf_page, ahead): for each word, the first page from this one on that holds it, or null. One backward pass over a filing, so a section of any
+    length needs its first page only."""
+    flat = pages.select("company_id", "pdf_page", norm(F.col("text")).alias("_t"))
+    flat = flat.select("company_id", "pdf_page", *[F.col("_t").contains(x).alias(f"_w{i}") for i, x in enumerate(words)])
+    w = W.partitionBy("company_id").orderBy(F.desc("pdf_page")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ahead = F.array(*[F.last(F.when(F.col(f"_w{i}"), F.col("pdf_page")), ignorenulls=True).over(w) for i in range(len(words))])
+    return flat.select("company_id", "pdf_page", ahead.alias("ahead"))
+
+
+def context_words(chapters: dict = CHAPTERS) -> list[str]:
+    return sorted({x for r in chapters.values() for x in r["context"]})
 
 
-def context_support(sections: DataFrame, words: list[str], text: str = "section_text") -> Column:
-    """How many of the words a section's text holds."""
-    return sum((F.col(text).contains(x).cast("int") for x in words[1:]), F.col(text).contains(words[0]).cast("int"))
+def context_support(ahead: Column, words: list[str], wanted: list[str], stop: Column) -> Column:
+    """How many of the wanted words a section holds up to the page `stop`."""
+    out = F.lit(0)
+    for x in wanted:
+        out = out + F.coalesce((F.get(ahead, F.lit(words.index(x))) <= stop).cast("int"), F.lit(0))
+    return out
 
 
-def scope_adjustment(core: Column, span: Column, page: Column, pages: Column, broad: list[str], narrow: list[str]) -> Column:
+def enriched(tree: DataFrame, pages: DataFrame, chapters: dict = CHAPTERS) -> DataFrame:
+    """Body headings with `context` (a count for each type), types by the words of their section (a title word and enough context; 0.24 each) and without types
+    that the title excludes. tree: what hierarchy() gives."""
+    words = context_words(chapters)
+    stop = F.least(F.col("end_page"), F.col("pdf_page") + CHOICE["pages"] - 1)
+    j = tree.join(words_ahead(pages, words), ["company_id", "pdf_page"])
+    j = j.withColumn("context", F.create_map(*[x for k, r in sorted(chapters.items()) for x in (F.lit(k), context_support(F.col("ahead"), words, r["context"], stop))]))
+    holds = lambda terms: F.col("core").rlike(any_of(terms)) if terms else F.lit(False)
+    added, barred = [], []
+    for k, r in sorted(chapters.items()):
+        added.append(F.when(holds(r["anchors"]) & ~holds(r["exclude"]) & (F.col("context")[k] >= r["minimum"]), F.lit(k)))
+        barred.append(F.when(holds(r["exclude"]), F.lit(k)))
+    j = j.withColumn("_more", F.array_compact(F.array(*added))).withColumn("_less", F.array_compact(F.array(*barred)))
+    types = F.array_sort(F.array_except(F.array_union("types", "_more"), "_less"))
+    return j.withColumn("types", types).withColumn("score", F.least(F.lit(1.0), F.col("score") + CHOICE["section"] * F.size("_more"))).drop("_more", "_less", "ahead")
+
+
+def scope_adjustment(core: Column, kind: Column, span: Column, page: Column, pages: Column, chapters: dict = CHAPTERS) -> Column:
     """Broad titles gain 0.10; narrow ones lose 0.18, one-page spans 0.08, the last quarter 0.12."""
+    part = lambda key: F.coalesce(*[F.when(kind == k, core.rlike(any_of(r[key]))) for k, r in chapters.items() if r[key]], F.lit(False))
     return (
-        F.when(core.rlike(any_of(broad)), 0.10).otherwise(0.0) - F.when(core.rlike(any_of(narrow)), 0.18).otherwise(0.0)
-        - F.when(span <= 1, 0.08).otherwise(0.0) - F.when(page > F.floor(pages * 0.75), 0.12).otherwise(0.0)
+        F.when(part("broad"), CHOICE["broad"]).otherwise(0.0) - F.when(part("narrow"), CHOICE["narrow"]).otherwise(0.0)
+        - F.when(span <= 1, CHOICE["single"]).otherwise(0.0) - F.when(page > F.floor(pages * 0.75), CHOICE["late"]).otherwise(0.0)
     )
 
 
@@ -163,6 +201,48 @@ def clip(ranges: DataFrame, master: DataFrame) -> DataFrame:
     return ranges.join(m, "company_id").where(F.col("start_page").between(F.col("ms"), F.col("me"))).withColumn("end_page", F.least("end_page", "me")).drop("ms", "me")
 
 
+def with_printed(ranges: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Ranges with the printed numbers of both ends and why they have to be reviewed. numbers: company_id, pdf_page, prefix, number, status."""
+    n = numbers.select("company_id", F.col("pdf_page").alias("_p"), F.struct("prefix", "number").alias("_n"), F.col("status").isin("CONFIRMED", "INFERRED").alias("_ok"))
+    out = ranges
+    for end in ("start", "end"):
+        own = n.select("company_id", F.col("_p").alias(f"{end}_page"), F.col("_n").alias(f"{end}_printed"), F.col("_ok").alias(f"_{end}_ok"))
+        out = out.join(own, ["company_id", f"{end}_page"], "left")
+    why = F.array_compact(F.array(*[F.when(~F.coalesce(F.col(f"_{end}_ok"), F.lit(False)), F.lit(text)) for end, text in (("start", "起始页正文页码未确认"), ("end", "结束页正文页码未确认"))]))
+    return out.withColumn("review_reasons", why).drop("_start_ok", "_end_ok")
+
+
+def master_candidates(master: DataFrame, score: Column) -> DataFrame:
+    """A company's master section as a candidate range of its overview."""
+    return master.select("company_id", F.lit("issuer_overview").alias("type"), F.lit("ISSUER_MASTER_SECTION").alias("source"), "start_page", "end_page", score.alias("score"), F.lit(None).cast("int").alias("heading_no"))
+
+
+def direct_candidates(tree: DataFrame, support: DataFrame, page_counts: DataFrame, chapters: dict = CHAPTERS) -> DataFrame:
+    """Each enriched body heading as a candidate of each of its types: its score with bonuses for contents entries, context and scope, within 0 and 1."""
+    d = tree.select("*", F.explode("types").alias("type")).join(support, ["company_id", "heading_no", "type"], "left").join(page_counts, "company_id")
+    toc, context = F.coalesce("toc_support", F.lit(0)), F.coalesce(F.col("context")[F.col("type")], F.lit(0))
+    adjust = scope_adjustment(F.col("core"), F.col("type"), F.col("end_page") - F.col("pdf_page") + 1, F.col("pdf_page"), F.col("page_count"), chapters)
+    score = F.col("score") + F.when(toc > 0, CHOICE["toc"]).otherwise(0.0) + F.when(context > 0, CHOICE["context"]).otherwise(0.0) + adjust
+    return d.select(
+        "company_id", "type", F.lit("HEADING_SECTION").alias("source"), F.col("pdf_page").alias("start_page"), "end_page", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)), 3).alias("score"), "heading_no",
+        toc.alias("toc_support"), context.alias("context_support"),
+    )
+
+
+def event_clusters(tree: DataFrame, gap: int = CHOICE["cluster_gap"], chapters: dict = CHAPTERS) -> DataFrame:
+    """Enriched headings that name an event, with two words of equity history in their section: clusters of them as in E8, with the best member's score."""
+    rule = chapters["equity_history"]
+    hits = F.coalesce(F.col("context")["equity_history"], F.lit(0))
+    e = tree.where(F.col("core").rlike(any_of(EVENT_HEADINGS)) & ~F.col("core").rlike(any_of(rule["exclude"])) & (hits >= 2))
+    e = e.withColumn("score", F.round(F.least(F.lit(0.78), F.lit(0.52) + F.least(hits, F.lit(6)) * 0.04), 3))
+    return sibling_clusters(e, gap)
+
+
+def source_rank(source: Column) -> Column:
+    """The place of a source in the order of trust."""
+    return F.array_position(F.array(*[F.lit(x) for x in SOURCES]), source)
+
+
 def sibling_clusters(h: DataFrame, gap: int = 15) -> DataFrame:
     """Headings under one parent (or of one level) whose starts follow the end before by at most `gap` pages, two at least."""
     g = h.withColumn("_p", F.coalesce(F.concat(F.lit("p"), "parent_no"), F.concat(F.lit("l"), "level"), F.lit("-")))
@@ -199,10 +279,27 @@ def union_sources(*tables: DataFrame) -> DataFrame:
     return out
 
 
-def review_ranges(top: DataFrame, companies: DataFrame, required: list[str], margin: float = 0.08) -> DataFrame:
-    """Required types that a company lacks, and primaries whose rival is within the margin."""
+def review_ranges(top: DataFrame, companies: DataFrame, required: list[str], margin: float = 0.08, numbers: DataFrame | None = None) -> DataFrame:
+    """Required types that a company lacks, primaries whose rival is within the margin, and companies with unnumbered pages in a required primary range."""
     need = companies.select("company_id", F.explode(F.array(*[F.lit(t) for t in required])).alias("type"))
     missing = need.join(top.select("company_id", "type").distinct(), ["company_id", "type"], "left_anti").withColumn("reason", F.lit("missing_required_type"))
     nxt = F.lead("score").over(W.partitionBy("company_id", "type").orderBy("rank"))
     close = top.withColumn("rival", nxt).where(F.col("is_primary") & (F.col("score") - F.col("rival") <= margin)).select("company_id", "type", F.lit("ambiguous_margin").alias("reason"))
-    return missing.unionByName(close)
+    out = missing.unionByName(close)
+    if numbers is not None:
+        lost = required_pages(top.where("is_primary"), required).join(numbers.where(~F.col("status").isin("CONFIRMED", "INFERRED")), ["company_id", "pdf_page"], "left_semi")
+        out = out.unionByName(lost.select("company_id", F.lit(None).cast("string").alias("type"), F.lit("pagination_problem").alias("reason")).distinct())
+    return out
+
+
+def required_pages(ranges: DataFrame, required: list[str]) -> DataFrame:
+    """The distinct pages of ranges of the required types."""
+    r = ranges.where(F.col("type").isin(required))
+    return r.select("company_id", F.explode(F.sequence("start_page", "end_page")).alias("pdf_page")).distinct()
+
+
+def required_coverage(ranges: DataFrame, numbers: DataFrame, required: list[str]) -> DataFrame:
+    """Pages of required ranges, those with a number, and their share, by company."""
+    j = required_pages(ranges, required).join(numbers.select("company_id", "pdf_page", F.col("status").isin("CONFIRMED", "INFERRED").alias("mapped")), ["company_id", "pdf_page"], "left")
+    ok = F.coalesce("mapped", F.lit(False))
+    return j.groupBy("company_id").agg(F.count(F.lit(1)).alias("pages"), F.count_if(ok).alias("mapped"), F.avg(ok.cast("double")).alias("rate"))

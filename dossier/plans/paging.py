@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from dossier.functions import rules as h_rules
 from dossier.functions.text import clean_title, date_key, dense_split, format_printed, lines_of, match_context, norm, printed_page
 from dossier.operators import headings as h
 from dossier.operators import pages as p
@@ -172,6 +174,77 @@ def top_ranges(spark, d):
     return t.select("company_id", "type", "start_page", "end_page", "score", "rank", "is_primary", h.confidence_band(F.col("score")).alias("band"))
 
 
+def _enriched(spark, d):
+    return h.enriched(_tree(spark, d), _pages(spark, d))
+
+
+def enriched_headings(spark, d):
+    e = _enriched(spark, d)
+    return e.select("company_id", "heading_no", F.array_join("types", ",").alias("types"), F.round("score", 3).alias("score"), F.col("context")["equity_history"].alias("context"))
+
+
+def toc_support(spark, d):
+    return h.toc_support(_headings(spark, d))
+
+
+def _direct(spark, d):
+    return h.direct_candidates(_enriched(spark, d), toc_support(spark, d), _counts(spark, d))
+
+
+def direct_candidates(spark, d):
+    return _direct(spark, d).select("company_id", "type", "start_page", "end_page", "score", "heading_no", "toc_support", "context_support")
+
+
+def event_heading_clusters(spark, d):
+    return h.event_clusters(_enriched(spark, d), 2).select("company_id", "parent_key", "start_page", "end_page", "score", "members")
+
+
+def _chosen(spark, d):
+    m = h.master_candidates(master_sections(spark, d), F.lit(0.8))
+    every = h.union_sources(m, _direct(spark, d))
+    return h.top_candidates(every.withColumn("source_rank", h.source_rank(F.col("source"))))
+
+
+def chosen_ranges(spark, d):
+    n = _numbers(spark, d)
+    c = h.with_printed(_chosen(spark, d), p.fill_numbers(n, p.page_segments(n)))
+    return c.select("company_id", "type", "source", "start_page", "end_page", "score", "rank", F.col("start_printed.number").alias("start_number"), F.col("end_printed.number").alias("end_number"), F.size("review_reasons").alias("reasons"))
+
+
+def range_reviews(spark, d):
+    n = _numbers(spark, d)
+    return h.review_ranges(_chosen(spark, d), _counts(spark, d), h_rules.REQUIRED_CHAPTERS, 0.08, p.fill_numbers(n, p.page_segments(n)))
+
+
+def required_coverage(spark, d):
+    n = _numbers(spark, d)
+    return h.required_coverage(_chosen(spark, d).where("is_primary"), p.fill_numbers(n, p.page_segments(n)), h_rules.REQUIRED_CHAPTERS)
+
+
+RANGES = "select distinct lpad(cast(l_suppkey % 50 as string), 6, '0') as company_id, cast(l_suppkey % 3 as int) as range_id, cast(1 + l_suppkey % 3 * 7 as int) as start_page, cast(4 + l_suppkey % 3 * 7 as int) as end_page from {lineitem}"
+
+
+def text_units(spark, d):
+    return p.text_units(_lines(spark, d), view(spark, d, RANGES)).select("company_id", "range_id", "pdf_page", "line_index", "global_index")
+
+
+def following_lines(spark, d):
+    w = W.partitionBy("company_id").orderBy("pdf_page", "line_index")
+    u = _lines(spark, d).where("pdf_page <= 40").withColumn("global_index", F.row_number().over(w))
+    return p.following(u, ["company_id"], "global_index", 3).select("company_id", "global_index", F.md5("context").alias("digest"))
+
+
+def section_texts(spark, d):
+    s = view(spark, d, RANGES).withColumnRenamed("range_id", "section_id")
+    return p.section_text(_pages(spark, d), s, 3).select("company_id", "section_id", F.md5("section_text").alias("digest"), "excerpt")
+
+
+def resolved_pages(spark, d):
+    r = view(spark, d, RANGES).withColumn("start_printed", F.when(F.col("range_id") == 1, F.col("start_page") - 2))
+    patch = view(spark, d, RANGES).select("company_id").distinct().where("cast(company_id as int) % 4 = 0").withColumn("offset", F.lit(3))
+    return p.resolve_printed(r, patch).select("company_id", "range_id", "printed_start", "printed_end")
+
+
 _D = "\\d{1,4}"
 CAND = f"""{LINES}, ed as (select *, unnest(list_filter([case when line_index < 8 then 'HEADER' end, case when line_index >= n - 8 then 'FOOTER' end], lambda z: z is not null)) as position from fl),
 tl as (select *, regexp_replace(regexp_extract(flat, '招股说明书(.*)$', 1), '^[：:]+', '') as tail from ed),
@@ -198,7 +271,7 @@ _LEVEL = lambda c: "case " + " ".join(f"when regexp_matches({c}, '{pt}') then {k
 
 def _types_sql(core: str) -> str:
     out = []
-    for kind, r in sorted(h.CHAPTERS.items()):
+    for kind, r in sorted(h_rules.CHAPTERS.items()):
         alias = " or ".join(f"(contains({core}, '{a}') and length({core}) - {len(a)} <= 8)" for a in r["aliases"])
         group = " or ".join("(" + " and ".join(f"contains({core}, '{t}')" for t in g) + ")" for g in r["groups"]) or "false"
         block = " or ".join(f"contains({core}, '{t}')" for t in r["exclude"]) or "false"
@@ -219,13 +292,32 @@ hg as (select *, case when not is_toc and repeats >= 3 and line_index <= 2 then
 hd as (select company_id, pdf_page, line_index, merged, raw, core, level, heading_class, round(least(1.0, case when heading_class = 'BODY_HEADING' then 0.18 else 0.06 end + case when al then 0.5 when tr then 0.3 else 0 end + case when top then 0.08 else 0 end + case when level is not null then 0.08 else 0 end + case when merged then 0.02 else 0 end), 3)::double as score,
   list_transform(types, lambda z: z.k) as types, row_number() over (partition by company_id order by pdf_page, line_index, merged)::int as heading_no from hg where heading_class in ('BODY_HEADING', 'TOC_ENTRY') and (level is not null or len(types) > 0)),
 bd as (select hd.*, page_count from hd join pc using (company_id) where heading_class = 'BODY_HEADING'),
-tree as (select b.company_id, b.heading_no, b.pdf_page, b.line_index, b.level, b.types, b.score, (select max(c.heading_no) from bd c where c.company_id = b.company_id and c.heading_no < b.heading_no and b.level is not null and (c.level is null or c.level < b.level)) as parent_no,
+tree as (select b.company_id, b.heading_no, b.core, b.page_count, b.pdf_page, b.line_index, b.level, b.types, b.score, (select max(c.heading_no) from bd c where c.company_id = b.company_id and c.heading_no < b.heading_no and b.level is not null and (c.level is null or c.level < b.level)) as parent_no,
   greatest(b.pdf_page, coalesce((select arg_min(c.pdf_page, c.heading_no) from bd c where c.company_id = b.company_id and c.heading_no > b.heading_no and (b.level is null or c.level <= b.level)) - 1, b.page_count)) as end_page from bd b),
 ms0 as (select *, lead(pdf_page) over (partition by company_id order by heading_no) as np from hd where level = 0),
 ms1 as (select ms0.*, least(greatest(pdf_page, coalesce(np - 1, page_count)), pdf_page + 119) as stop from ms0 join pc using (company_id)),
 ms as (select company_id, pdf_page as start_page, stop as end_page from (select *, row_number() over (partition by company_id order by score desc, pdf_page, line_index) as r from ms1 where contains(core, '公司基本情况')) where r = 1)"""
 
+_KW = ", ".join(f"('{k}', '{x}', {r['minimum']})" for k, r in h_rules.CHAPTERS.items() for x in r["context"])
+_CH = ", ".join(f"('{k}', '{'|'.join(r['anchors']) or '#'}', '{'|'.join(r['exclude']) or '#'}', '{'|'.join(r['broad']) or '#'}', '{'|'.join(r['narrow']) or '#'}', {r['minimum']})" for k, r in h_rules.CHAPTERS.items())
+_AL = ", ".join(f"('{a}')" for a in sorted({a for r in h_rules.CHAPTERS.values() for a in r["aliases"]}))
+RICH = f"""{HEAD}, kw as (select * from (values {_KW}) as q(type, word, least)), ch as (select * from (values {_CH}) as q(type, anchor, bar, broad, narrow, least)), al as (select * from (values {_AL}) as q(alias)),
+pw as (select company_id, pdf_page, word from (select company_id, pdf_page, regexp_replace(text, '[\\s　]+', '', 'g') as s from pg), (select distinct word from kw) where contains(s, word)),
+cx as (select t.company_id, t.heading_no, kw.type, count(distinct kw.word) as n from tree t join pw on pw.company_id = t.company_id and pw.pdf_page between t.pdf_page and least(t.end_page, t.pdf_page + 44) join kw on kw.word = pw.word group by all),
+tc0 as (select tree.*, ch.*, coalesce(cx.n, 0) as n, list_contains(types, ch.type) as had, regexp_matches(core, anchor) and not regexp_matches(core, bar) and coalesce(cx.n, 0) >= ch.least as won, regexp_matches(core, bar) as barred from tree cross join ch left join cx on cx.company_id = tree.company_id and cx.heading_no = tree.heading_no and cx.type = ch.type),
+en as (select *, least(1.0, score + 0.24 * count(*) filter (won) over (partition by company_id, heading_no)) as rich from tc0),
+ks as (select company_id, heading_no, heading_class, unnest(types) as type, core, core as key from hd union all select company_id, heading_no, heading_class, unnest(types), core, alias from hd, al where contains(core, alias) and length(core) - length(alias) <= 8),
+tk as (select b.company_id, b.heading_no, b.type, count(distinct t.heading_no) as toc_support from ks b left join ks t on t.company_id = b.company_id and t.type = b.type and t.key = b.key and t.heading_class = 'TOC_ENTRY' where b.heading_class = 'BODY_HEADING' group by all),
+dc as (select en.company_id, en.type, pdf_page as start_page, end_page, heading_no, coalesce(toc_support, 0) as toc_support, n as context_support, round(least(1.0, greatest(0.0, rich + case when toc_support > 0 then 0.06 else 0 end + case when n > 0 then 0.08 else 0 end + case when regexp_matches(core, broad) then 0.1 else 0 end - case when regexp_matches(core, narrow) then 0.18 else 0 end
+  - case when end_page - pdf_page < 1 then 0.08 else 0 end - case when pdf_page > floor(page_count * 0.75) then 0.12 else 0 end)), 3)::double as score from en left join tk using (company_id, heading_no, type) where (had or won) and not barred),
+un as (select company_id, 'issuer_overview' as type, 1 as rk, 'ISSUER_MASTER_SECTION' as source, start_page, end_page, 0.8::double as score from ms union all select company_id, type, 2, 'HEADING_SECTION', start_page, end_page, score from dc),
+o1c as (select *, row_number() over (partition by company_id, type, start_page, end_page order by rk, score desc) as o from un), tp as (select * from (select *, row_number() over (partition by company_id, type order by score desc, rk, start_page, end_page)::int as rank from o1c where o = 1) where rank <= 3)"""
+_BOTH = NUMS.removeprefix(LINES) if NUMS.startswith(LINES) else NUMS
+RICH_NUMS = RICH + _BOTH
+
 QUERIES = {
+    "enriched_headings": enriched_headings, "toc_support": toc_support, "direct_candidates": direct_candidates, "event_heading_clusters": event_heading_clusters, "chosen_ranges": chosen_ranges, "range_reviews": range_reviews,
+    "required_coverage": required_coverage, "text_units": text_units, "following_lines": following_lines, "section_texts": section_texts, "resolved_pages": resolved_pages,
     "document_readiness": document_readiness, "loaded_pages": loaded_pages, "page_lines": page_lines, "text_shapes": text_shapes, "dense_lines": dense_lines,
     "printed_pages": printed_pages, "partial_dates": partial_dates, "repeated_lines": repeated_lines, "page_number_candidates": page_number_candidates,
     "initial_numbers": initial_numbers, "confirmed_numbers": confirmed_numbers, "page_segments": page_segments, "filled_numbers": filled_numbers,
@@ -234,6 +326,21 @@ QUERIES = {
 }
 _SP = "[\\s\\x0b\\x0c\\x1c-\\x1f\\x85\\p{Z}]+"
 SQL = {
+    "enriched_headings": f"with {RICH} select company_id, heading_no, coalesce(string_agg(type, ',' order by type) filter ((had or won) and not barred), '') as types, round(any_value(rich), 3)::double as score, max(n) filter (type = 'equity_history') as context from en group by company_id, heading_no",
+    "toc_support": f"with {RICH} select company_id, heading_no, type, toc_support from tk",
+    "direct_candidates": f"with {RICH} select company_id, type, start_page, end_page, score, heading_no, toc_support, context_support from dc",
+    "event_heading_clusters": f"""with {RICH}, ev as (select company_id, pdf_page, line_index, end_page, coalesce('p' || parent_no, 'l' || level, '-') as parent_key, round(least(0.78, 0.52 + least(n, 6) * 0.04), 3)::double as s2 from en where type = 'equity_history' and n >= 2 and not barred and regexp_matches(core, '设立|成立|增资|股权转让|股份转让|整体变更|改制|减资|资本公积转增|股本变更|注册资本变更')),
+      el as (select *, coalesce((pdf_page - lag(end_page) over (partition by company_id, parent_key order by pdf_page, line_index) > 2)::int, 1) as nw from ev), ei as (select *, sum(nw) over (partition by company_id, parent_key order by pdf_page, line_index rows unbounded preceding) as isl from el)
+      select company_id, parent_key, min(pdf_page) as start_page, max(end_page) as end_page, max(s2) as score, count(*) as members from ei group by company_id, parent_key, isl having count(*) >= 2""",
+    "chosen_ranges": f"with {RICH_NUMS} select tp.company_id, type, source, start_page, end_page, score, rank, a.number as start_number, b.number as end_number, (coalesce(a.status, 'MISSING') not in ('CONFIRMED', 'INFERRED'))::int + (coalesce(b.status, 'MISSING') not in ('CONFIRMED', 'INFERRED'))::int as reasons from tp left join fn a on a.company_id = tp.company_id and a.pdf_page = start_page left join fn b on b.company_id = tp.company_id and b.pdf_page = end_page",
+    "range_reviews": f"""with {RICH_NUMS}, nd as (select company_id, unnest(['equity_history', 'shareholders']) as type from pc), cl as (select *, lead(score) over (partition by company_id, type order by rank) as rival from tp)
+      select company_id, type, 'missing_required_type' as reason from nd where not exists (select 1 from tp where tp.company_id = nd.company_id and tp.type = nd.type) union all select company_id, type, 'ambiguous_margin' from cl where rank = 1 and score - rival <= 0.08
+      union all select distinct tp.company_id, null, 'pagination_problem' from tp join fn on fn.company_id = tp.company_id and fn.pdf_page between start_page and end_page where rank = 1 and type in ('equity_history', 'shareholders') and status not in ('CONFIRMED', 'INFERRED')""",
+    "required_coverage": f"with {RICH_NUMS}, rq as (select distinct company_id, unnest(range(start_page, end_page + 1))::int as pdf_page from tp where rank = 1 and type in ('equity_history', 'shareholders')) select company_id, count(*) as pages, count(*) filter (status in ('CONFIRMED', 'INFERRED')) as mapped, avg(coalesce(status in ('CONFIRMED', 'INFERRED'), false)::int)::double as rate from rq left join fn using (company_id, pdf_page) group by 1",
+    "text_units": f"with {LINES}, r as ({plain(RANGES)}) select ln.company_id, range_id, pdf_page, line_index, row_number() over (partition by ln.company_id, range_id order by pdf_page, line_index) - 1 as global_index from ln join r on r.company_id = ln.company_id and pdf_page between start_page and end_page",
+    "following_lines": f"with {LINES}, u as (select *, row_number() over (partition by company_id order by pdf_page, line_index) as g from ln where pdf_page <= 40), f as (select a.company_id, a.g, string_agg(b.line, chr(10) order by b.g) as t from u a left join u b on b.company_id = a.company_id and b.pdf_page = a.pdf_page and b.g between a.g + 1 and a.g + 3 group by all) select company_id, g as global_index, md5(coalesce(t, '')) as digest from f",
+    "section_texts": f"with {LINES}, r as ({plain(RANGES)}), t as (select r.company_id, range_id, string_agg(text, chr(10) order by pdf_page) as t, string_agg(text, chr(10) order by pdf_page) filter (pdf_page < start_page + 2) as x from r join pg on pg.company_id = r.company_id and pdf_page between start_page and least(end_page, start_page + 2) group by all) select company_id, range_id as section_id, md5(t) as digest, x[:480] as excerpt from t",
+    "resolved_pages": f"with r as ({plain(RANGES)}), o as (select *, case when company_id::int % 4 = 0 then 3 when range_id = 1 then 2 end as off from r) select company_id, range_id, start_page - off as printed_start, end_page - off as printed_end from o",
     "document_readiness": f"""with v as ({plain(PAGES)}), n as (select company_id, max(pdf_page) as pages from v group by 1),
       s as (select distinct company_id, pages, unnest(list_filter([1, 2, 3, pages // 4, pages // 2, pages * 3 // 4, pages - 2, pages - 1, pages], lambda z: z >= 1 and z <= pages)) as pdf_page from n),
       g as (select company_id, pages, count(*)::int as sampled, (count(*) filter (length(regexp_replace(coalesce(text, ''), '{_SP}', '', 'g')) >= 40))::int as with_text from s join v using (company_id, pdf_page) group by all),
