@@ -191,7 +191,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_byte
 
 
 def score(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
-    """The rows of docs, without the text, with score."""
+    """The rows of docs, without the text, with score; a column of that name is replaced."""
+    docs = docs.drop("score") if text_col != "score" else docs
 
     def run(batches):
         for b in batches:

@@ -264,7 +264,8 @@ def train(training: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUND
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of docs with lang_pred and score."""
+    """The rows of docs, without the text, with lang_pred and score; columns of these names are replaced."""
+    docs = docs.drop(*({"lang_pred", "score"} - {text_col}))
     blob = _dump(model)
     schema = docs.schema
 

@@ -217,6 +217,79 @@ def brute_cuts(rows):
         yield i, b, cut
 
 
+def shards_of_suffixes(parts, hot):
+    """The three passes over shards in memory, with the exchanges written out; a mask of removed bytes for each shard."""
+    bits, buckets, each = 40, 5, []
+    for rows in parts:
+        data, offs = vec.strings(pa.array([t for _, t in rows], pa.string()))
+        each.append((data, offs, np.array([i for i, _ in rows]), suffix._digests(data, offs)))
+    least = {}
+    for _, _, ids, ds in each:
+        for d, i in zip(ds, ids.tolist(), strict=True):
+            least[d] = min(i, least.get(d, i))
+    gone = [np.array([d is not None and least[d] < i for d, i in zip(ds, ids.tolist(), strict=True)], bool) for _, _, ids, ds in each]
+    keys = []
+    for (data, offs, _, _), g in zip(each, gone, strict=True):
+        keys.append(suffix.anchor_keys(data[~np.repeat(g, np.diff(offs))], np.concatenate([[0], np.cumsum(np.where(g, 0, np.diff(offs)))]), bits))
+    old, suffix.HOT = suffix.HOT, hot
+    met = suffix.met_anchors([k for k, _ in keys], [v for _, v in keys])
+    suffix.HOT = old
+    out, answers = [], []
+    for (data, offs, ids, _), g, m in zip(each, gone, met, strict=True):
+        x = np.cumsum(m, dtype=np.uint64)
+        found = suffix.candidates(data, offs, bits, x >> np.uint64(2), (x & np.uint64(3)).astype(np.uint8), g)
+        out.append(suffix.judged(data, offs, ids, g, found, buckets))
+        answers.append(np.zeros(len(out[-1][3]), np.uint32))
+    for b in range(buckets):
+        held = [(k, np.flatnonzero(o[3] == b)) for k, o in enumerate(out)]
+        held = [(k, w) for k, w in held if len(w)]
+        if held:
+            for (k, w), bits_ in zip(held, suffix.smaller_elsewhere([out[k][1][w].ravel() for k, w in held], [out[k][2][w] for k, w in held]), strict=True):
+                answers[k][w] = bits_
+    return [suffix.cut_of(len(data), offs, o[0], a) for (data, offs, _, _), o, a in zip(each, out, answers, strict=True)]
+
+
+def repeated_passages(seed):
+    rng = random.Random(seed)
+    passages, docs = [prose(rng, rng.randint(8, 40)) for _ in range(6)], []
+    for i in range(rng.randint(1, 40)):
+        text = ""
+        for _ in range(rng.randint(0, 3)):
+            p = rng.choice(passages)
+            text += prose(rng, rng.randint(0, 12)) + ("ü" if seed % 2 else "") + p[rng.randint(0, len(p) // 2) : rng.randint(len(p) // 2, len(p))]
+        docs.append((rng.randint(0, 30) if seed % 3 == 0 else i, "ab" * rng.randint(1, 200) if rng.random() < 0.2 else text))
+    docs += docs[:3]
+    rng.shuffle(docs)
+    n = rng.randint(1, 5)
+    return [p for p in (docs[k::n] for k in range(n)) if p]
+
+
+@pytest.mark.parametrize("hot", [1024, 1, 3])
+def test_shards_of_suffixes_against_brute_force(hot):
+    """hot: places from which the strings of an anchor go one by one."""
+    for seed in range(25):
+        parts = repeated_passages(seed)
+        want = np.concatenate([c for _, _, c in brute_cuts([d for p in parts for d in p])])
+        assert (np.concatenate(shards_of_suffixes(parts, hot)) == want).all()
+
+
+def test_suffix_order_decides(monkeypatch):
+    """With suffixes in a wrong order the result is wrong: nothing else finds repeats inside a shard."""
+    parts = [[d for p in repeated_passages(4) for d in p]]
+    want = np.concatenate([c for _, _, c in brute_cuts(parts[0])])
+    real = suffix.suffix_array
+
+    def shuffled(data):
+        sa = np.random.default_rng(1).permutation(real(data)[0])
+        rank = np.empty(len(sa), np.int64)
+        rank[sa] = np.arange(len(sa))
+        return sa, rank
+
+    assert want.any() and (shards_of_suffixes(parts, 1024)[0] == want).all()
+    monkeypatch.setattr(suffix, "suffix_array", shuffled)
+    assert (shards_of_suffixes(parts, 1024)[0] != want).any()
+
+
 def test_suffix_dedup(docs, monkeypatch):
     monkeypatch.setattr(shards.pack, "__defaults__", ("text", 4000))
     rows = [(r["doc_id"], r["text"]) for r in collect(docs)]
@@ -299,6 +372,18 @@ def test_quality_rules(docs):
     assert quality.quality_rules(empty(docs)).count() == 0
 
 
+def test_rule_order_is_measured(spark):
+    """A rule that rejects as much at a hundredth of the cost comes first, each time."""
+    text = F.col("t")
+    for _ in range(40):
+        text = F.regexp_replace(text, "[^a-y]", "q")
+    rows = spark.createDataFrame([(i, "z" * 3000 if i % 2 else "fine") for i in range(200)], "id long, t string")
+    dear, cheap, never = quality.Rule("dear", F.contains(text, F.lit("qq"))), quality.Rule("cheap", F.length("t") > 100), quality.Rule("never", F.lit(False))
+    for _ in range(5):
+        assert [r.name for r in quality.plan_cascade(rows, [never, dear, cheap], 200)] == ["cheap", "dear", "never"]
+    assert quality.plan_cascade(rows.where("false"), [dear, cheap]) == [dear, cheap]
+
+
 def test_rule_order_changes_no_verdict(spark, docs):
     rules = quality.default_rules()
     f = quality.base_features(docs)
@@ -343,6 +428,56 @@ def test_quality_classifier(spark, docs):
     assert crf.train(d.where("false"), lab).prior == 0.5
 
 
+def plain_features(text):
+    """(lengths, features) of a text's lines that aren't blank, written out."""
+    lines = [x for x in text.split("\n") if re.search(r"[^ \t\r\x0b\x0c]", x)]
+    own, seen = [], set()
+    for x in lines:
+        b = x.encode()
+        count = lambda keep: sum(keep(c) for c in b)
+        kinds = [lambda c: chr(c) in "#*$%&<>", lambda c: chr(c) == "|", lambda c: chr(c) == "!", lambda c: 48 <= c <= 57, lambda c: 65 <= c <= 90, lambda c: 97 <= c <= 122 or c >= 128, lambda c: chr(c) in ".,;:?", lambda c: chr(c) in "{}[]()=/\\@_~^"]
+        own.append([3 * np.sqrt(count(k) / len(b)) for k in kinds] + [0, float(x in seen), np.log1p(len(b)) / 5])
+        seen.add(x)
+    last = None
+    for x, f in zip(lines, own, strict=True):
+        words = re.findall(r"[^ \t\r\x0b\x0c]+", x)
+        f[8] = sum(a == b for a, b in zip([last, *words], words, strict=False)) / max(1, len(words))
+        last = words[-1]
+    zero = [0.0] * 11
+    rows = [own[i] + (own[i - 1] if i else zero) + (own[i + 1] if i + 1 < len(own) else zero) + [1.0] for i in range(len(own))]
+    return [len(x.encode()) for x in lines], np.array(rows).reshape(len(rows), 34)
+
+
+def test_scores_against_all_labelings(spark):
+    rng = np.random.default_rng(6)
+    f = crf.Field(rng.normal(size=34), rng.normal(size=(2, 2)), (1.3, -0.2), 0.4)
+    texts = ["one line", "The the END!\n\n  \n### | 12 12\nthe the end", "a b\na b\n{x} == y;\nÜber über", "", None, " \t\n", "x" * 500 + "\n" + "y z " * 30]
+    docs = spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)] + [(0, texts[0], 0.1)], "doc_id long, text string, score double")
+    got = collect(crf.score(docs, f))
+    assert len(got) == len(texts) + 1 and got[0].keys() == {"doc_id", "score"}
+    for r in got:
+        size, x = plain_features(texts[r["doc_id"]] or "")
+        if not size:
+            assert r["score"] == f.prior
+            continue
+        a, n = x @ f.w, len(size)
+        on, total = np.zeros(n), 0.0
+        for z in range(1 << n):
+            y = [z >> i & 1 for i in range(n)]
+            w = np.exp(sum(a[i] * y[i] for i in range(n)) + sum(f.t[y[i], y[i + 1]] for i in range(n - 1)))
+            total, on = total + w, on + w * np.array(y)
+        q = min(max(np.average(on / total, weights=size), 1e-4), 1 - 1e-4)
+        assert np.isclose(r["score"], 1 / (1 + np.exp(-(1.3 * np.log(q / (1 - q)) - 0.2))))
+
+
+def test_classifier_sample(spark):
+    """Repeated ids count once with their smallest text, long texts count, and the bounds hold."""
+    rows = [(i, "good line.\n" * (3 if i else 4000) if i % 2 else "### $$$\n" * 5) for i in range(40)] + [(1, "zzz")] * 200
+    d, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1, 0)] * 50, "doc_id long, label int")
+    f = crf.train(d, lab)
+    assert f.prior == 0.5 and crf.train(d, lab, max_docs=1).prior in (0.0, 1.0) and crf.train(d, lab, max_bytes=1).prior == 0.5
+
+
 # 7
 
 
@@ -392,6 +527,16 @@ def test_packing(docs):
     assert packing.pack_documents(empty(docs)).count() == 0
 
 
+def test_packing_of_equal_rows(spark):
+    """Rows that repeat conflict with one another, so each has a bin of its own; they are spread over the groups."""
+    rows = [(7, "a b c", "s")] * 9000 + [(None, "d e", None)] * 500 + [(1, "one", "t"), (2, None, "t")]
+    got = collect(packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3), capacity=8))
+    bins = Counter(r["bin_id"] for r in got if r["doc_id"] == 7)
+    assert len(bins) == 9000 and max(bins.values()) == 1 and sum(r["doc_id"] is None for r in got) == 500
+    groups = Counter(b >> 32 for b in bins)
+    assert max(groups.values()) < 2 * packing.GROUP and len(groups) >= 9
+
+
 # 8
 
 
@@ -552,6 +697,30 @@ def test_chat_windows(spark):
     assert chat.read_back(chat.format_windows(conv.where("false"))).count() == 0
 
 
+def test_a_very_long_conversation(spark):
+    rows = [(c, i, "system" if i == 0 else "assistant" if i % 2 else "user", f"turn {i} " + "w " * (i % 40)) for c, n in ((1, 6000), (2, 3)) for i in range(n)]
+    win = chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=100, vocabulary=None)
+    got = {r["conv_id"]: r for r in collect(chat.read_back(win))}
+    said = "".join(t for c, _, role, t in rows if c == 1 and role == "assistant")
+    assert got[1]["n_turns"] == 6000 and got[1]["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+    assert all(r["text"].startswith("<|im_start|>system") and (r["tokens"] <= 100) for r in collect(win))
+
+
+def test_windows_take_the_longest_span(spark):
+    """Each window ends where the next turn would pass the budget."""
+    rng = random.Random(9)
+    rows = [(c, i, rng.choice(["user", "assistant"]), "w " * rng.randint(1, 40)) for c in range(5) for i in range(30)]
+    win = collect(chat.format_windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=90, history=0, vocabulary=None))
+    size = {c: [len(t.split()) + 1 + chat.TURN_OVERHEAD for k, _, _, t in rows if k == c] for c in range(5)}
+    for c in range(5):
+        at = 0
+        for r in sorted((r for r in win if r["conv_id"] == c), key=lambda r: r["window"]):
+            end = at + r["n_new"]
+            assert r["tokens"] == sum(size[c][at:end]) <= 90 and (end == 30 or sum(size[c][at : end + 1]) > 90)
+            at = end
+        assert at == 30
+
+
 # 10
 
 

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -38,3 +39,21 @@ def test_stages(spark, docs, texts, tmp_path, monkeypatch):  # noqa: F811
     assert {r["doc_id"] for r in collect(at)} == {r["doc_id"] for r in collect(seen["packing"])}
     run = collect(corpus_pipeline.run(spark, str(tmp_path)))
     assert Counter(map(str, run)) == Counter(map(str, collect(at)))
+
+
+def test_odd_tables(spark, docs, tmp_path, monkeypatch):  # noqa: F811
+    """Null ids, no documents, no benchmark: every stage runs and keeps its columns."""
+    monkeypatch.setattr(shards.pack, "__defaults__", ("text", 4000))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, rows in (("null ids", docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")))), ("none", docs.where("false"))):
+        at = rows
+        for k, (stage, run) in enumerate(corpus_pipeline.STAGES):
+            out = run(spark, at, str(tmp_path))
+            out.write.parquet(f"{tmp_path}/{name}-{k}")
+            before, at = at, spark.read.parquet(f"{tmp_path}/{name}-{k}")
+            if stage == "near_dedup":
+                assert at.count() == (brute_classes([(r["doc_id"], r["text"]) for r in collect(before)])[1] if before.count() else 0)
+            if stage == "decontamination":
+                assert at.count() == before.count()
+            assert k == 4 or at.columns == docs.columns
+        assert (at.count() > 0) == (name != "none")
