@@ -42,7 +42,7 @@ SHINGLE, SIMILAR, DAMP = 5, 0.8, 0.1
 BANDS, IN_BAND = 16, 4
 ALL_PAIRS, LEADERS, ROUNDS = 6, 4, 2
 BLOCK, PART = 128, 256
-BIG, BIG_KEYS = 1000, 50_000
+BIG, BIG_KEYS = 256, 50_000
 U = np.uint64
 
 
@@ -326,20 +326,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     ordered = lambda df: df.where(close & (F.col("a") != F.col("b"))).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = stash(_verified(stash(ordered(found), "near-pairs"), bags), "near-links")
     label = bags.select("node").join(components(links), "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+    wide = wide.select(*by, "node", "total", "n")
     if not wide.isEmpty():
         label = stash(label, "near-labels")
-        wide = wide.select(*by, "node", "total", "n")
-        for turn in range(ROUNDS):
-            m = wide.where(F.col("n") > PART).join(label, "node")
+        for turn in range(ROUNDS + 1):
+            m = stash(wide.join(label, "node"), "near-wide")
             top = m.groupBy(*by).agg(F.first("n").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "total", "comp")).alias("leader"))
             top = stash(top.where("lo < hi").select(*by, "n", F.col("leader.node").alias("b"), F.col("leader.total").alias("total2"), F.col("leader.comp").alias("comp2")), "near-leaders")
-            if top.isEmpty():
+            if top.isEmpty():  # no bucket holds several components
                 break
-            more = with_keys(m.drop("n"), top, by, limit).where((F.col("comp") != F.col("comp2")) & close).select(F.col("node").alias("a"), "b", "comp", "comp2").distinct()
+            m = with_keys(m.drop("n"), top, by, limit)
+            if turn == ROUNDS:
+                across = stash(_across(m.select(*by, "node", "comp"), bags, limit), "near-links")
+                label = label if across.isEmpty() else _relabelled(label, across, limit)
+                break
+            wide = m.select(*by, "node", "total", "n")  # the other buckets are done
+            more = m.where((F.col("n") > PART) & (F.col("comp") != F.col("comp2")) & close).select(F.col("node").alias("a"), "b", "comp", "comp2").distinct()
             new = stash(_verified(more, bags, "comp", "comp2"), "near-links")
             label = label if new.isEmpty() else _relabelled(label, new.select(F.col("comp").alias("a"), F.col("comp2").alias("b")).distinct(), limit)
-        across = stash(_across(wide.select(*by, "node").join(label, "node"), bags, limit), "near-links")
-        label = label if across.isEmpty() else _relabelled(label, across, limit)
     # copies take their head's component
     of = some.where("first = node").select("node", "same").join(heads, "same").select(F.col("node").alias("first"), "rep")
     of = of.join(label.withColumnRenamed("node", "rep"), "rep").select("first", "comp")
