@@ -73,6 +73,29 @@ class EventRules:
         "EQUITY_STRUCTURE": ["股权结构", "股本结构", "股东及持股情况"], "MAJOR_SHAREHOLDERS": ["持有发行人5%以上", "持股5%以上", "主要股东", "前十名股东"], "PRIVATE_FUND_SHAREHOLDERS": ["私募投资基金", "基金备案", "基金管理人", "备案编码"],
         "NEW_SHAREHOLDERS": ["新增股东", "提交申请前12个月", "申报前十二个月"], "ACTUAL_CONTROLLER": ["控股股东", "实际控制人", "共同实际控制人"], "SHAREHOLDING_TABLE": ["持股数量", "股份数量", "持股比例", "发行前", "发行后"],
     })
+    subject_prefixes: list[str] = field(default_factory=lambda: [
+        "同意", "审议通过", "经审议通过", "吸收合并后", "本次吸收合并后", "本次分配后", "本次增资后", "本次转让后", "转让后", "变更后", "完成后", "截至报告期末", "截至本招股说明书签署日", "公司前身", "发行人前身", "本公司前身", "前身",
+    ])
+    subject_suffixes: list[str] = field(default_factory=lambda: ["的", "之"])
+    generic_subjects: list[str] = field(default_factory=lambda: ["公司", "发行人", "本公司", "股份公司", "有限公司", "有限责任公司", "股份有限公司"])
+    business_suffixes: list[str] = field(default_factory=lambda: ["股份", "科技", "创新", "电机", "测控", "锻造", "新材", "材料", "智能", "电子", "信息", "装备", "机械", "医药", "生物", "能源", "公司"])
+    legal_suffixes: list[str] = field(default_factory=lambda: ["有限责任公司", "有限公司", "有限"])
+    subsidiaries: list[str] = field(default_factory=lambda: ["控股子公司", "全资子公司", "子公司", "孙公司", "下属公司"])
+    relations: list[str] = field(default_factory=lambda: [
+        "(?:公司|发行人|本公司)(?:系|是)?由([一-鿿A-Za-z0-9（）()]{2,30}?)(?:整体变更|变更设立)", "([一-鿿A-Za-z0-9（）()]{2,30}?)(?:系发行人前身|为发行人前身|作为发行人前身)",
+        "发行人前身([一-鿿A-Za-z0-9（）()]{2,30}?)(?:于|成立|设立|整体变更)", "公司前身([一-鿿A-Za-z0-9（）()]{2,30}?)(?:于|成立|设立|整体变更)",
+    ])
+    counterparties: list[str] = field(default_factory=lambda: [
+        "(?:发行人|公司|本公司)(?:拟)?吸收合并([一-鿿A-Za-z0-9（）()]{2,30}?)(?:，|。|；|后|并|的|情况)", "[一-鿿A-Za-z0-9（）()]{2,30}?(?:有限责任公司|有限公司|有限|股份公司)?吸收合并([一-鿿A-Za-z0-9（）()]{2,30}?)(?:，|。|；|注册资本|后|并|的|情况)",
+        "吸收合并对象为([一-鿿A-Za-z0-9（）()]{2,30}?)(?:，|。|；)", "被吸收合并方(?:为)?([一-鿿A-Za-z0-9（）()]{2,30}?)(?:，|。|；)",
+    ])
+    subjects: list[str] = field(default_factory=lambda: [
+        r"(?:^|[，。；])([一-鿿A-Za-z0-9（）()]{2,24}?)(?:(?:19|20)\d{2}年)?年度股东大会", "(?:^|[，。；])([一-鿿A-Za-z0-9（）()]{2,24}?)(?:股东大会|董事会)(?:审议|通过|决议)",
+        "(?:^|[，。；])([一-鿿A-Za-z0-9（）()]{2,24}?)总股本(?:变更|增加|减少)", "(?:^|[，。；])([一-鿿A-Za-z0-9（）()]{2,24}?)注册资本(?:变更|增加|减少)",
+        "(?:^|[，。；、])([一-鿿A-Za-z0-9（）()]{2,30}?(?:有限责任公司|有限公司|有限))(?:的)?(?:成立|设立情况|设立)",
+    ])
+    setup_rows: list[str] = field(default_factory=lambda: ["注册资本[^，。；]{0,40}?(?:，|,)?由[^，。；]{1,30}?出资设立", "由[^，。；]{1,30}?共同出资设立", "由[^，。；]{1,30}?投资设立"])
+    openings: list[str] = field(default_factory=lambda: ["设立情况", "公司设立", "成立于", "取得营业执照", "工商设立登记", "工商注册登记"])
     equivalent: list[dict] = field(default_factory=lambda: [{"types": ["JOINT_STOCK_COMPANY_ESTABLISHMENT", "OVERALL_CHANGE"], "canonical": "OVERALL_CHANGE", "gap": 3}])
     canonical_terms: dict[str, tuple[str, list[str]]] = field(default_factory=lambda: {
         "JOINT_STOCK_COMPANY_ESTABLISHMENT": ("OVERALL_CHANGE", ["整体变更", "变更为股份有限公司", "变更为股份公司", "净资产折股", "折合股本", "由有限公司变更为股份有限公司"]),

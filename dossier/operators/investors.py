@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dossier.functions.text import any_of, let, squash
+from dossier.sources.tables import flat_columns
 
 # Words of table headers and of firms that never invest.
 NOISE = ["序号", "发行对象名称", "认购对象名称", "股东名称", "投资者名称", "数量（股", "数量(股", "金额（元", "金额(元", "认购数量", "认购金额", "新增股本", "新增股本的", "包括优先", "每股价格", "50元的价格", "合计", "比例", "持股数量", "名称"]
@@ -269,6 +270,21 @@ def survivorship(df: DataFrame, keys: list[str], ranking: list[Column], id_col:
     return r.where("_r = 1").drop("_r", "replaced_by"), r.where("_r > 1").drop("_r")
 
 
+def ranking_inputs(candidates: DataFrame) -> DataFrame:
+    """Candidates with what their ranking asks: period (of the first filled of two fields, years and months as hyphens, else the first candidate), title, whether a timeline
+    recovery made them and whether they are a limited company's set-up. Columns that a table lacks count as null."""
+    have = lambda name, kind: F.col(name) if name in candidates.columns else F.lit(None).cast(kind)
+    filled = lambda c: F.when(c != "", c)
+    said = F.coalesce(filled(have("event_period", "string")), filled(have("event_date_text", "string")))
+    period = F.coalesce(F.regexp_replace(F.translate(said, "年月", "--"), "^-+|-+$", ""), F.get(F.coalesce(have("event_date_candidates", "array<string>"), F.array().cast("array<string>")), F.lit(0)), F.lit(""))
+    signals = F.when(F.size(have("matched_signals", "array<string>")) > 0, have("matched_signals", "array<string>")).otherwise(F.coalesce(have("signals", "array<string>"), F.array().cast("array<string>")))
+    recovery = F.lower(F.concat_ws(" ", signals)).contains("page_timeline_recovery") | F.lower(F.coalesce(have("source_kind", "string"), F.lit(""))).contains("page_timeline_recovery")
+    kinds = F.coalesce(have("event_type_candidates", "array<string>"), F.array().cast("array<string>"))
+    setup = F.coalesce(have("event_type_candidate", "string") == "LIMITED_COMPANY_ESTABLISHMENT", F.lit(False)) | F.array_contains(kinds, "LIMITED_COMPANY_ESTABLISHMENT")
+    title = F.coalesce(filled(have("event_title", "string")), have("title", "string"), F.lit(""))
+    return candidates.select("*", period.alias("rank_period"), title.alias("rank_title"), signals.alias("rank_signals"), recovery.alias("is_recovery"), setup.alias("is_limited_establishment"))
+
+
 def patch_record(df: DataFrame, action: str) -> DataFrame:
     """H4: the rows with their state before the patch as JSON."""
     return df.select("*", F.lit(action).alias("action"), F.to_json(F.struct("*")).alias("before_value"))
@@ -314,13 +330,24 @@ def normalized_reviews(**stages: DataFrame) -> DataFrame:
 
 
 def packages(companies: DataFrame, **tables: DataFrame) -> DataFrame:
-    """L1: a row for each company with its rows of every table nested."""
+    """L1: a row for each company with its rows of every table nested; for companies of bounded size (else write_packages)."""
     out = companies.select("company_id").distinct()
     for name, df in sorted(tables.items()):
         out = out.join(df.groupBy("company_id").agg(F.array_sort(F.collect_list(F.struct(*[c for c in df.columns if c != "company_id"]))).alias(name)), "company_id", "left")
     return out
 
 
+def combined_tables(columns: dict[str, list[str]], separator: str = ";", **tables: DataFrame) -> dict[str, DataFrame]:
+    """L4: each table flat, under the columns listed for it."""
+    return {name: flat_columns(df, columns[name], separator) for name, df in sorted(tables.items())}
+
+
+def write_packages(root: str, **tables: DataFrame) -> None:
+    """L1: a folder for each table, partitioned by company, so that no company is gathered into one value."""
+    for name, df in sorted(tables.items()):
+        df.write.mode("errorifexists").partitionBy("company_id").json(f"{root}/{name}")
+
+
 def snapshot_status(facts: DataFrame, companies: DataFrame) -> DataFrame:
     """L2: whether equity ratios allow a snapshot: only those linked to a party do."""
     g = facts.where("fact_type = 'EQUITY_RATIO'").groupBy("company_id").agg(F.count(F.lit(1)).alias("ratios"), F.count("party_id").alias("linked"))

@@ -1,4 +1,4 @@
-"""Narrative predicates, subjects and date preference (inventory E4, E5, F12, F13, F15, F16, F20-F26, F28, G23, H1, H2)."""
+"""Narrative predicates, subjects and date preference (inventory E4, E5, F12, F13, F15-F25, F27, F28, G23, H1, H2)."""
 
 from __future__ import annotations
 
@@ -6,27 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.functions.rules import EVENT_RULES, EventRules
-from dossier.functions.text import any_of, norm, squash
+from dossier.functions.text import any_of, let, norm, squash
 
-from .units import dates_of, legal_core, ordinals
+from .units import dates_of, ordinals
 
 # Procedures, and marks of an event that stands alone.
 PROCEDURAL = ["签署", "签订", "召开股东会", "召开董事会", "审议通过", "支付", "缴款", "到账", "办理工商变更", "完成工商变更", "办理完毕工商变更", "取得营业执照", "出具", "验资", "审验", "评估", "核准", "登记"]
 MARKERS = ["第一次股权转让", "第二次股权转让", "第三次股权转让", "第一次增资", "第二次增资", "第三次增资", "整体变更", "股份公司设立", "有限公司设立", "资本公积转增股本", "吸收合并"]
-SUBSIDIARY = ["子公司", "参股公司", "控股公司"]
-_NAME = "[一-鿿A-Za-z0-9（）()]"
-PREDECESSOR = [f"前身(?:为|系)?({_NAME}{{2,30}}?(?:有限公司|有限责任公司))", f"由({_NAME}{{2,30}}?(?:有限公司|有限责任公司))整体变更"]
-ABSORBED = [f"吸收合并({_NAME}{{2,30}}?(?:有限公司|股份公司))", f"({_NAME}{{2,30}}?(?:有限公司|股份公司))被吸收合并"]
-ESTABLISHED = f"({_NAME}{{2,30}}?(?:有限公司|股份公司))(?:设立|成立)"
-CAPITAL_ROWS = [r"注册资本[\d,，.]+万元", r"设立时.{0,10}注册资本", r"出资设立"]
+_CHAR = "[一-鿿A-Za-z0-9（）()]"
+_LEGAL = "(?:有限责任公司|有限公司|有限)"
+_BEFORE = r"(?:^|[，。；、：:]|公司前身|发行人前身|本公司前身|前身|(?:19|20)\d{2}年(?:\d{1,2}月(?:\d{1,2}日)?)?)"
+_SET_UP = "(?:成立(?!日期|时间)|设立(?:情况|程序)?|取得[^，。；]{0,16}?营业执照|办理[^，。；]{0,16}?工商(?:设立|注册)?登记)"
+SCOPE_UNITS, OPENING_UNITS = 40, 6
 # Date roles preferred for establishments and for all other types, best first.
 ROLE_PREFERENCE = {"ESTABLISHMENT": ["registration_date", "effective_date", "resolution_date"], "OTHER": ["registration_date", "resolution_date", "agreement_date", "payment_date"]}
 
 
-def _extract(text: Column, patterns: list[str]) -> Column:
-    return F.array_distinct(F.filter(F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in patterns]), lambda x: x != ""))
-
-
 def range_signals(text: Column) -> tuple[Column, Column]:
     """(distinct date tokens, event categories) of a range's text."""
     s = squash(text)
@@ -64,46 +59,95 @@ def primary_date(dates: DataFrame, keys: list[str], kind: str = "kind") -> DataF
     return dates.where(rank > 0).groupBy(*keys).agg(best.alias("b")).select(*keys, F.col("b.date_key").alias("primary_date"), F.col("b.date_role").alias("basis"))
 
 
-def entity_scope(units: DataFrame, keys: list[str], first: int = 40) -> DataFrame:
-    """F16: whether the first units of a section speak of another entity."""
-    hit = F.max(squash(F.col("line")).rlike(any_of(SUBSIDIARY)).cast("int")) == 1
-    return units.where(F.col("global_index") < first).groupBy(*keys).agg(F.when(hit, "SUBSIDIARY_OR_OTHER_ENTITY_RISK").otherwise("ISSUER").alias("entity_scope"))
+def clean_subject(c: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """a name without a year, leading phrases and trailing particles, as often as they come."""
+    s = F.regexp_replace(norm(c), r"^(?:19|20)\d{2}年", "")
+    s = F.regexp_replace(s, f"^(?:{any_of(rules.subject_prefixes)})+", "")
+    return F.regexp_replace(s, f"(?:{any_of(rules.subject_suffixes)})+$", "")
+
+
+def generic_subject(cleaned: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """no name but a legal form, numbered or not."""
+    bare = F.regexp_replace(cleaned, r"^[（(]?[一二三四五六七八九十百\d]+[）)、.]?", "")
+    return (cleaned == "") | cleaned.isin(rules.generic_subjects) | bare.isin(rules.generic_subjects)
+
+
+def issuer_tokens(short_name: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """the issuer's short name, what is left of it as business words go from its end one by one, and the last two characters of the rest."""
+    strip = lambda s: F.regexp_replace(s, f"^(.+?)(?:{any_of(rules.business_suffixes)})$", "$1")
+    start = F.struct(norm(short_name).alias("s"), F.array(norm(short_name)).alias("all"))
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(16)), start, lambda a, _: let(strip(a["s"]), lambda s: F.struct(s.alias("s"), F.array_union(a["all"], F.array(s)).alias("all"))))
+    return let(end, lambda x: F.filter(F.array_union(x["all"], F.when(F.length(x["s"]) >= 2, F.array(F.right(x["s"], F.lit(2)))).otherwise(F.array().cast("array<string>"))), lambda t: t != ""))
+
+
+def _named(text: Column, patterns: list[str], rules: EventRules) -> Column:
+    found = F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in patterns])
+    return F.array_distinct(F.filter(F.transform(found, lambda x: clean_subject(x, rules)), lambda x: x != ""))
+
 
+def predecessors(text: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """names that a text relates to the issuer as its predecessor."""
+    return let(norm(text), lambda s: _named(s, rules.relations, rules))
 
-def predecessors(line: Column) -> Column:
-    """F20."""
-    return _extract(squash(line), PREDECESSOR)
 
+def absorbed(text: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """counterparties of mergers."""
+    return let(norm(text), lambda s: _named(s, rules.counterparties, rules))
 
-def absorbed(line: Column) -> Column:
-    """F21."""
-    return _extract(squash(line), ABSORBED)
 
+def _meets(name: Column, names: Column) -> Column:
+    """Whether the name is, holds or is held by one of the names."""
+    return F.exists(names, lambda x: (x == name) | x.contains(name) | name.contains(x))
 
-def established(line: Column) -> Column:
-    """subjects said to be set up."""
-    return _extract(squash(line), [ESTABLISHED])
 
+def other_subjects(text: Column, short_name: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """Subjects of a text that are neither generic, nor the issuer, its predecessor or a provider; counterparties of mergers count."""
 
-def other_subjects(subjects: DataFrame, issuers: DataFrame, predecessors_: DataFrame) -> DataFrame:
-    """subjects (company_id, name) that are neither the issuer, by core, nor one of its predecessors."""
-    s = subjects.withColumn("core", legal_core(F.col("name")))
-    i = issuers.select("company_id", legal_core(F.col("issuer")).alias("core"))
-    p = predecessors_.select("company_id", legal_core(F.col("name")).alias("core"))
-    return s.join(i.unionByName(p).distinct(), ["company_id", "core"], "left_anti").select("company_id", "name")
+    def keep(x: Column, own: Column) -> Column:
+        mine = (own["issuer"] != "") & (own["issuer"].contains(x) | x.contains(own["issuer"]))
+        before = _meets(x, own["before"]) | (x.rlike(f"(?:{any_of(rules.legal_suffixes)})$") & F.exists(own["tokens"], lambda t: x.contains(t)))
+        return ~generic_subject(x, rules) & ~mine & (_meets(x, own["gone"]) | ~(before | x.rlike(any_of(rules.providers))))
 
+    own = F.struct(norm(short_name).alias("issuer"), predecessors(text, rules).alias("before"), absorbed(text, rules).alias("gone"), issuer_tokens(short_name, rules).alias("tokens"), let(norm(text), lambda s: _named(s, rules.subjects, rules)).alias("found"))
+    return let(own, lambda o: F.filter(o["found"], lambda x: keep(x, o)))
 
-def best_predecessor(names: DataFrame, issuers: DataFrame) -> DataFrame:
-    """by exact core, then fewest extra characters, then length, then name."""
-    j = names.join(issuers, "company_id")
-    extra = F.length(legal_core(F.col("name"))) - F.length(legal_core(F.col("issuer")))
-    key = F.struct((legal_core(F.col("name")) != legal_core(F.col("issuer"))).cast("int").alias("a"), F.abs(extra).alias("b"), F.length("name").alias("c"), F.col("name"))
+
+def entity_scope(text: Column, short_name: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """F16: whether a section's text (its first SCOPE_UNITS units) speaks of a subsidiary or another entity."""
+    risk = norm(text).rlike(any_of(rules.subsidiaries)) | (F.size(other_subjects(text, short_name, rules)) > 0)
+    return F.when(risk, "SUBSIDIARY_OR_OTHER_ENTITY_RISK").otherwise("ISSUER_OR_UNRESOLVED")
+
+
+def _stem(name: Column, rules: EventRules) -> Column:
+    return F.regexp_replace(clean_subject(name, rules), f"(?:{any_of(rules.legal_suffixes)})$", "")
+
+
+def best_predecessor(names: DataFrame, issuers: DataFrame, rules: EventRules = EVENT_RULES) -> DataFrame:
+    """by exact core, then fewest characters beside a core, then length, then name. issuers: company_id, issuer."""
+    j = names.join(issuers, "company_id").withColumn("_s", _stem(F.col("name"), rules)).withColumn("_t", issuer_tokens(F.col("issuer"), rules)).withColumn("_c", clean_subject(F.col("name"), rules))
+    extra = F.array_min(F.transform(F.filter("_t", lambda t: F.col("_s").contains(t)), lambda t: F.length("_s") - F.length(t)))
+    key = F.struct((~F.array_contains("_t", F.col("_s"))).cast("int").alias("a"), F.coalesce(extra, F.length("_s")).alias("b"), F.length("_c").alias("c"), F.col("_c").alias("name"))
     return j.groupBy("company_id").agg(F.min(key)["name"].alias("predecessor"))
 
 
-def capital_row(line: Column) -> Column:
-    """a generic row of the set-up's capital."""
-    return squash(line).rlike("|".join(f"(?:{p})" for p in CAPITAL_ROWS))
+def setup_row(line: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """a row that tells an unnamed set-up."""
+    return norm(line).rlike("|".join(f"(?:{p})" for p in rules.setup_rows))
+
+
+def own_establishment(opening: Column, short_name: Column, rules: EventRules = EVENT_RULES) -> Column:
+    """whether a section's title and first OPENING_UNITS units tell the set-up of the issuer itself: a name of exactly an issuer's core and a legal form that is
+    said to be set up and isn't a merger's counterparty."""
+    quoted = lambda t: F.concat(F.lit("\\Q"), t, F.lit("\\E"))
+    pattern = lambda t: F.concat(F.lit(_BEFORE + "("), quoted(t), F.lit(f"{_CHAR}{{0,12}}?{_LEGAL})[^，。；]{{0,24}}?{_SET_UP}"))
+    held = F.struct(norm(opening).alias("s"), issuer_tokens(short_name, rules).alias("tokens"), absorbed(opening, rules).alias("gone"))
+
+    def found(h: Column) -> Column:
+        said = F.flatten(F.transform(h["tokens"], lambda t: F.regexp_extract_all(h["s"], pattern(t), F.lit(1))))
+        exact = lambda x: let(_stem(x, rules), lambda s: F.array_contains(h["tokens"], s)) & ~_meets(clean_subject(x, rules), h["gone"])
+        return h["s"].rlike(any_of(rules.openings)) & F.exists(said, exact)
+
+    return let(held, found)
 
 
 def candidate_problems(candidates: DataFrame, evidence: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -148,15 +148,3 @@ def with_context(units: DataFrame, name: str, before: int, after: int, same_page
     of bounded length over global_index."""
     w = W.partitionBy("company_id", *(["page"] if same_page else [])).orderBy("global_index").rangeBetween(-before, after)
     return units.withColumn(name, F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("global_index", "line")).over(w)), lambda x: x["line"]), sep))
-
-
-def subject(c: Column, prefixes=("公司前身", "本公司", "发行人", "前身", "公司"), suffixes=("设立", "成立")) -> Column:
-    """without year, prefixes (repeatedly) and suffix."""
-    s = F.regexp_replace(squash(c), r"^(?:19|20)\d{2}年(?:\d{1,2}月)?(?:\d{1,2}日)?[，,]?", "")
-    s = F.regexp_replace(s, "^(?:" + any_of(prefixes) + ")+", "")
-    return F.regexp_replace(s, "(?:" + any_of(suffixes) + ")$", "")
-
-
-def legal_core(c: Column) -> Column:
-    """a company name without its legal form."""
-    return F.regexp_replace(squash(c), "(?:股份有限公司|有限责任公司|有限公司|股份公司|集团公司|公司|股份)$", "")

@@ -168,6 +168,15 @@ def orphan_facts(spark, d):
     return x.orphans(_facts(spark, d), events).groupBy("company_id", "fact_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def referential_problems(spark, d):
+    """Events with types, pages and candidates derived from the orders, every fourth event left out."""
+    e = _typed(spark, d)
+    ev = e.where("event_id % 4 <> 0").withColumn("candidate_event_id", F.concat(F.lit("CE"), F.col("event_id").cast("string"))).withColumn("pdf_page_start", F.col("a")).withColumn("pdf_page_end", F.col("b") + 6)
+    p = x.extract_parties(view(spark, d, MERGERS))
+    ca = e.select("company_id", F.concat(F.lit("CE"), F.col("event_id").cast("string")).alias("candidate_event_id")).where("event_id % 8 < 7")
+    return x.referential_problems(ev, x.transactions(e), _facts(spark, d), p, ca).groupBy("problem", "detail").agg(F.count(F.lit(1)).alias("n"))
+
+
 def review_queue(spark, d):
     cap = v.check_capital(_values(spark, d)).where("review_required").select(*KEYS, F.col("status").alias("reason"))
     facts = _facts(spark, d).where("review_required").select(*KEYS, F.col("fact_type").alias("reason"))
@@ -175,9 +184,13 @@ def review_queue(spark, d):
 
 
 def link_check(spark, d):
-    p = x.extract_parties(_evidence(spark, d)).where("party_role = 'INVESTOR'").select(*KEYS, F.col("identity_key").alias("party_id"))
-    t = p.groupBy(*KEYS).agg(F.collect_set("party_id").alias("party_ids")).withColumn("transaction_id", F.concat_ws("-", *KEYS))
-    return v.check_links(t, p.where(F.length("party_id") > 7)).select("transaction_id", "rule_id", "status", F.array_join("missing", ";").alias("missing"))
+    """Transactions of the merger texts; identity keys of two characters or less are left out of the parties."""
+    p = x.extract_parties(view(spark, d, MERGERS)).select(*KEYS, "party_role", F.col("identity_key").alias("party_id"))
+    role = lambda name: F.collect_set(F.when(F.col("party_role") == name, F.col("party_id")))
+    kind = F.when(F.col("event_id") % 3 == 0, "EQUITY_TRANSFER").when(F.col("event_id") % 3 == 1, "ABSORPTION_MERGER").otherwise("CAPITAL_INCREASE")
+    t = p.groupBy(*KEYS).agg(role("TRANSFEROR").alias("transferor_party_ids"), role("TRANSFEREE").alias("transferee_party_ids"), role("ABSORBED_ENTITY").alias("absorbed_party_ids"))
+    t = t.withColumn("transaction_type", kind).withColumn("transaction_id", F.concat_ws("-", *KEYS))
+    return v.check_links(t, p.where(F.length("party_id") > 2)).select("transaction_id", "rule_id", "status", F.array_join("missing_fields", ";").alias("missing_fields"), F.array_join("missing", ";").alias("missing"))
 
 
 _TR = f"tt as (select company_id, event_id, list_distinct([{', '.join(repr(n) for n in _NAMES)}][a + 1:a + 1] || [{', '.join(repr(n) for n in _NAMES)}][b + 1:b + 1]) as l, [{', '.join(repr(n) for n in _NAMES)}][a + 1] as n1, [{', '.join(repr(n) for n in _NAMES)}][b + 1] as n2 from ({plain(TYPES)}))"
@@ -214,6 +227,7 @@ def party_sql(ev: str) -> str:
 
 
 PARTY_SQL = party_sql(EV)
+MERGER_TEXTS = f"t as (select company_id, event_id, evidence_id, regexp_replace(evidence_text, '\\s+', '', 'g') as s from ({plain(MERGERS)}))"
 DATE_SQL = (
     "with " + EV + ", m as ("
     + " union all ".join(f"select company_id, event_id, evidence_id, {i} as no, '{k}' as date_role, unnest(range(len(regexp_extract_all(s, '{p}', 1)))) as pos, unnest(regexp_extract_all(s, '{p}', 1)) as date_text from t" for i, (k, p) in enumerate(x.DATES))
@@ -225,7 +239,7 @@ _RES = ", res as (select company_id, event_id, 'NV-CAP-001' as rule_id, status f
 QUERIES = {
     "flagship_capital_check": flagship_capital_check, "numeric_facts": numeric_facts, "transaction_values": transaction_values, "capital_check": capital_check,
     "price_check": price_check, "ratio_check": ratio_check, "duplicate_facts": duplicate_facts, "rule_status": rule_status, "validation_ids": validation_ids,
-    "quarantined": quarantined, "fact_evidence": fact_evidence, "chronology": chronology, "party_records": party_records, "absorbed_parties": absorbed_parties, "date_facts": date_facts,
+    "quarantined": quarantined, "fact_evidence": fact_evidence, "chronology": chronology, "party_records": party_records, "absorbed_parties": absorbed_parties, "referential_problems": referential_problems, "date_facts": date_facts,
     "transaction_dates": transaction_dates, "event_numbers": event_numbers, "transactions": transactions, "facts_by_type": facts_by_type,
     "completeness_reasons": completeness_reasons, "orphan_facts": orphan_facts, "review_queue": review_queue, "link_check": link_check,
 }
@@ -243,7 +257,7 @@ SQL = {
     "fact_evidence": FACTS_SQL + " select company_id, event_id, string_agg(evidence_id::varchar, ',' order by evidence_id) as evidence_ids from (select distinct company_id, event_id, evidence_id from facts) group by all",
     "chronology": f"with e as ({plain(EVENTS)}), k as (select *, split_part(event_date, '-', 1)::int * 10000 + split_part(event_date, '-', 2)::int * 100 + coalesce(try_cast(split_part(event_date, '-', 3) as int), 0) as d from e), l as (select *, lag(d) over (partition by company_id order by page, event_id) > d as bad from k) select company_id, 'NV-DATE-001' as rule_id, case when bool_or(coalesce(bad, false)) then 'INFORMATIONAL' else 'PASSED' end as status, string_agg(event_date, ',' order by page, event_id) as date_order from l group by company_id",
     "party_records": PARTY_SQL + " select * from parties",
-    "absorbed_parties": party_sql(f"t as (select company_id, event_id, evidence_id, regexp_replace(evidence_text, '\\s+', '', 'g') as s from ({plain(MERGERS)}))") + " select * from parties",
+    "absorbed_parties": party_sql(MERGER_TEXTS) + " select * from parties",
     "date_facts": DATE_SQL + " select company_id, event_id, evidence_id, date_role, date_text, date_key from dates",
     "transaction_dates": DATE_SQL + ", r as (select *, list_position(['registration_date', 'effective_date', 'resolution_date', 'agreement_date', 'event_period'], date_role) as k from dates), b as (select *, row_number() over (partition by company_id, event_id order by k, evidence_id, no, pos) as first from r where k > 0) select company_id, event_id, date_key as transaction_date, date_role as date_basis from b where first = 1",
     "event_numbers": f"with e as ({plain(EVENTS)}), n as (select *, row_number() over (partition by company_id order by page, event_id)::int as seq from e) select 'EVT-' || company_id || '-' || lpad(seq::varchar, 5, '0') as event_id, company_id, event_id as candidate_event_id, seq from n",
@@ -260,5 +274,12 @@ SQL = {
       case when transaction_type = 'ESTABLISHMENT' and not list_contains(f, 'REGISTERED_CAPITAL') and not list_contains(r, 'FOUNDER_OR_CONTRIBUTOR') then '设立事件未抽取到注册资本或出资人' end) as reasons from j""",
     "orphan_facts": FACTS_SQL + f" select company_id, fact_type, count(*) as n from facts where (company_id, event_id) not in (select company_id, event_id from ({plain(TYPES)}) where event_id % 4 <> 0) group by all",
     "review_queue": VALUES_SQL + CAP_SQL + " select 'validation' as record_type, company_id, status as review_reason, count(*) as n from cap where status = 'FAILED' group by all union all select 'numeric_fact', company_id, fact_type, count(*) from facts where fact_type = 'EQUITY_RATIO' and normalized_value > 1 group by all",
-    "link_check": PARTY_SQL + ", p as (select * from parties where party_role = 'INVESTOR') select concat_ws('-', company_id, event_id) as transaction_id, 'NV-LINK-001' as rule_id, case when count(*) filter (length(identity_key) <= 7) > 0 then 'FAILED' else 'PASSED' end as status, coalesce(string_agg(identity_key, ';' order by identity_key) filter (length(identity_key) <= 7), '') as missing from p group by company_id, event_id",
+    "referential_problems": party_sql(MERGER_TEXTS) + f", {TRANS_SQL}, fe as (select distinct company_id, event_id from parties), ev as (select company_id, event_id, a, b from ({plain(TYPES)}) where event_id % 4 <> 0), tl as (select distinct company_id, event_id from tr where transaction_type in ('EQUITY_TRANSFER', 'EQUITY_HOLDING_PROXY_RELEASE')), "
+    + FACTS_SQL.removeprefix("with ").replace("ev as (", "ev0 as (").replace("from ev)", "from ev0)").replace("t as (", "t0 as (", 1).replace(" from t union", " from t0 union").replace(" from t)", " from t0)").replace(", m as (", ", fm as (").replace("from m)", "from fm)").replace(", f as (", ", ff as (").replace("from f ", "from ff ")
+    + ", lt as (select company_id, event_id from ll where list_contains(l, 'OVERALL_CHANGE') and list_contains(l, 'JOINT_STOCK_COMPANY_ESTABLISHMENT')), al as (select 'fact_without_event' as problem, fact_type as detail from facts anti join ev using (company_id, event_id) union all select 'party_without_event', party_role from parties anti join ev using (company_id, event_id) union all select 'transaction_without_event', transaction_type from tr anti join ev using (company_id, event_id) "
+    + "union all select 'transfer_party_without_transfer', party_role from parties anti join tl using (company_id, event_id) where party_role in ('TRANSFEROR', 'TRANSFEREE') union all select 'overall_change_and_joint_stock', null from ev join lt using (company_id, event_id) union all select 'pages_reversed', null from ev where b + 6 < a union all select 'candidate_without_event', 'CE' || event_id from tt where event_id % 4 = 0 and event_id % 8 < 7) select problem, detail, count(*) as n from al group by all",
+    "link_check": party_sql(MERGER_TEXTS) + ", k as (select *, concat_ws('-', company_id, event_id) as transaction_id, case event_id % 3 when 0 then 'T' when 1 then 'A' else 'C' end as kind from parties), g as (select transaction_id, kind, count(*) filter (party_role = 'TRANSFEROR') as a, count(*) filter (party_role = 'TRANSFEREE') as b, count(*) filter (party_role = 'ABSORBED_ENTITY') as c, "
+    + "coalesce(string_agg(distinct identity_key, ';' order by identity_key) filter (length(identity_key) <= 2 and party_role in (case kind when 'T' then 'TRANSFEROR' else 'ABSORBED_ENTITY' end, case kind when 'T' then 'TRANSFEREE' else 'ABSORBED_ENTITY' end)), '') as missing from k where kind <> 'C' group by all), "
+    + "f as (select *, array_to_string(list_filter([case when kind = 'T' and a = 0 then 'transferor_party_ids' end, case when kind = 'T' and b = 0 then 'transferee_party_ids' end, case when kind = 'A' and c = 0 then 'absorbed_party_ids' end], lambda z: z is not null), ';') as missing_fields from g) "
+    + "select transaction_id, 'NV-LINK-001' as rule_id, case when missing_fields <> '' or missing <> '' then 'REVIEW_REQUIRED' else 'PASSED' end as status, missing_fields, missing from f",
 }

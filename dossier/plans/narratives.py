@@ -11,9 +11,10 @@ from .sections import R, UNITS
 from .views import EVENTS, plain, view
 
 SAID = """
-select lpad(cast(o_custkey % 300 as string), 6, '0') as company_id, o_orderkey as unit_id, concat(case o_orderkey % 9 when 0 then '公司前身为甲乙' when 1 then '公司由丙丁' when 2 then '公司吸收合并' when 3 then '' else cast(year(o_orderdate) as string) end,
-  case o_orderkey % 9 when 0 then concat(cast(o_custkey % 5 as string), '有限公司。') when 1 then concat(cast(o_custkey % 5 as string), '有限责任公司整体变更设立。') when 2 then concat('戊己', cast(o_custkey % 4 as string), '有限公司。') when 3 then concat('庚辛', cast(o_custkey % 6 as string), '有限公司成立')
-    when 4 then '年，公司召开会议' when 5 then '年，会计师事务所出具验资报告，共三次' when 6 then '年股本演变情况' when 7 then '年子公司情况' else '年设立时注册资本1,000万元' end) as line
+select lpad(cast(o_custkey % 300 as string), 6, '0') as company_id, o_orderkey as unit_id, case when o_custkey % 2 = 0 then '甲乙科技股份' else '庚辛材料' end as issuer, case o_orderkey % 14
+  when 0 then concat('公司前身甲乙', cast(o_custkey % 3 as string), '有限公司于2001年成立') when 1 then concat('公司由丙丁', cast(o_custkey % 5 as string), '有限公司整体变更设立。') when 2 then concat('公司吸收合并戊己', cast(o_custkey % 4 as string), '有限公司，注销。') when 3 then concat('庚辛', cast(o_custkey % 6 as string), '有限公司成立')
+  when 4 then concat(cast(year(o_orderdate) as string), '年，公司召开股东会会议') when 5 then concat(cast(year(o_orderdate) as string), '年，会计师事务所出具验资报告，共三次增资') when 6 then concat('，壬癸', cast(o_custkey % 4 as string), '股东大会审议通过') when 7 then concat(cast(year(o_orderdate) as string), '年全资子公司情况')
+  when 8 then '注册资本1,000万元，由张三出资设立' when 9 then '一有限公司设立情况' when 10 then concat('被吸收合并方为戊己', cast(o_custkey % 4 as string), '有限公司。戊己', cast(o_custkey % 4 as string), '有限公司设立') when 11 then '2001年甲乙有限公司成立，办理登记' when 12 then '审议通过测试有限公司注册资本增加的' else '本公司总股本变更' end as line
 from {orders}
 """
 _S = f"un as (select *, regexp_replace(line, '\\s+', '', 'g') as s from ({plain(SAID)}))"
@@ -21,34 +22,25 @@ _S = f"un as (select *, regexp_replace(line, '\\s+', '', 'g') as s from ({plain(
 
 def narrative_flags(spark, d):
     c = F.col("line")
-    return view(spark, d, SAID).select("unit_id", n.procedural(c).alias("procedural"), n.capital_row(c).alias("capital_row"))
+    v = view(spark, d, SAID)
+    return v.select("unit_id", n.procedural(c).alias("procedural"), n.setup_row(c).alias("setup_row"), n.entity_scope(c, F.col("issuer")).alias("scope"))
 
 
 def named_entities(spark, d):
     c = F.col("line")
-    v = view(spark, d, SAID)
-    return v.select("unit_id", F.array_join(n.predecessors(c), ",").alias("predecessors"), F.array_join(n.absorbed(c), ",").alias("absorbed"), F.array_join(n.established(c), ",").alias("established"))
+    joined = lambda a: F.array_join(F.array_sort(a), ",")
+    return view(spark, d, SAID).select("unit_id", joined(n.predecessors(c)).alias("predecessors"), joined(n.absorbed(c)).alias("absorbed"), joined(n.other_subjects(c, F.col("issuer"))).alias("subjects"))
 
 
-def _issuers(v):
-    return v.select("company_id").distinct().withColumn("issuer", F.lit("甲乙1股份有限公司"))
-
-
-def other_subjects(spark, d):
-    v = view(spark, d, SAID)
-    s = v.select("company_id", F.explode(n.established(F.col("line"))).alias("name"))
-    p = v.select("company_id", F.explode(n.predecessors(F.col("line"))).alias("name"))
-    return n.other_subjects(s, _issuers(v), p).distinct()
+def issuer_tokens(spark, d):
+    v = view(spark, d, "select distinct c_custkey as id, concat('测', case c_custkey % 7 when 0 then '试' when 1 then '试科技' when 2 then '试新材股份' when 3 then '股份' when 4 then '量测控电子股份公司' when 5 then '' else '试生物医药' end) as name from {customer}")
+    return v.select("id", F.array_join(F.array_sort(n.issuer_tokens(F.col("name"))), ",").alias("tokens"))
 
 
 def best_predecessors(spark, d):
     v = view(spark, d, SAID)
-    return n.best_predecessor(v.select("company_id", F.explode(n.predecessors(F.col("line"))).alias("name")), _issuers(v))
-
-
-def entity_scopes(spark, d):
-    v = view(spark, d, SAID).withColumn("global_index", F.col("unit_id") % 50)
-    return n.entity_scope(v, ["company_id"])
+    names = v.select("company_id", F.explode(F.array_union(n.predecessors(F.col("line")), n.absorbed(F.col("line")))).alias("name"))
+    return n.best_predecessor(names, v.select("company_id", "issuer").distinct())
 
 
 def primary_dates(spark, d):
@@ -79,19 +71,29 @@ def patch_problems(spark, d):
 
 
 _ALT = lambda ts: "|".join(ts)
-_PRE = f"list_distinct(list_concat(regexp_extract_all(s, '{n.PREDECESSOR[0]}', 1), regexp_extract_all(s, '{n.PREDECESSOR[1]}', 1)))"
-_EST = f"list_distinct(regexp_extract_all(s, '{n.ESTABLISHED}', 1))"
-_CORE = lambda c: f"regexp_replace({c}, '(?:股份有限公司|有限责任公司|有限公司|股份公司|集团公司|公司|股份)$', '')"
+_CL = lambda c: f"regexp_replace(regexp_replace(regexp_replace({c}, '^(?:19|20)\\d{{2}}年', ''), '^(?:截至本招股说明书签署日|截至报告期末|本次吸收合并后|本次分配后|本次增资后|本次转让后|经审议通过|吸收合并后|审议通过|公司前身|发行人前身|本公司前身|转让后|变更后|完成后|同意|前身)+', ''), '(?:的|之)+$', '')"
+_N = "[一-鿿A-Za-z0-9（）()]"
+_PULL = lambda ps: "list_distinct(list_filter(list_transform(list_concat(" + ", list_concat(".join(f"regexp_extract_all(s, '{p}', 1)" for p in ps[:-1]) + f", regexp_extract_all(s, '{ps[-1]}', 1)" + ")" * (len(ps) - 1) + f", lambda x: {_CL('x')}), lambda x: x <> ''))"
+_PRE = _PULL([f"(?:公司|发行人|本公司)(?:系|是)?由({_N}{{2,30}}?)(?:整体变更|变更设立)", f"({_N}{{2,30}}?)(?:系发行人前身|为发行人前身|作为发行人前身)", f"发行人前身({_N}{{2,30}}?)(?:于|成立|设立|整体变更)", f"公司前身({_N}{{2,30}}?)(?:于|成立|设立|整体变更)"])
+_GONE = _PULL([f"(?:发行人|公司|本公司)(?:拟)?吸收合并({_N}{{2,30}}?)(?:，|。|；|后|并|的|情况)", f"{_N}{{2,30}}?(?:有限责任公司|有限公司|有限|股份公司)?吸收合并({_N}{{2,30}}?)(?:，|。|；|注册资本|后|并|的|情况)", f"吸收合并对象为({_N}{{2,30}}?)(?:，|。|；)", f"被吸收合并方(?:为)?({_N}{{2,30}}?)(?:，|。|；)"])
+_SUB = _PULL([f"(?:^|[，。；])({_N}{{2,24}}?)(?:(?:19|20)\\d{{2}}年)?年度股东大会", f"(?:^|[，。；])({_N}{{2,24}}?)(?:股东大会|董事会)(?:审议|通过|决议)", f"(?:^|[，。；])({_N}{{2,24}}?)总股本(?:变更|增加|减少)", f"(?:^|[，。；])({_N}{{2,24}}?)注册资本(?:变更|增加|减少)", f"(?:^|[，。；、])({_N}{{2,30}}?(?:有限责任公司|有限公司|有限))(?:的)?(?:成立|设立情况|设立)"])
+# the two issuers' tokens, worked out by hand
+_TOK = "case issuer when '甲乙科技股份' then ['甲乙科技股份', '甲乙科技', '甲乙'] else ['庚辛材料', '庚辛'] end"
+_MEET = lambda x, l: f"len(list_filter({l}, lambda y: y = {x} or contains(y, {x}) or contains({x}, y))) > 0"
+_LEGAL_FORMS = "('公司', '发行人', '本公司', '股份公司', '有限公司', '有限责任公司', '股份有限公司')"
+_NE = f"""{_S}, ne as (select *, {_PRE} as pre, {_GONE} as gone, {_SUB} as sub, {_TOK} as tok from un), su as (select *, unnest(sub) as x from ne),
+ok as (select * from su where x not in {_LEGAL_FORMS} and regexp_replace(x, '^[（(]?[一二三四五六七八九十百\\d]+[）)、.]?', '') not in {_LEGAL_FORMS} and not contains(issuer, x) and not contains(x, issuer)
+  and ({_MEET('x', 'gone')} or not ({_MEET('x', 'pre')} or (regexp_matches(x, '有限(?:责任)?(?:公司)?$') and len(list_filter(tok, lambda t: contains(x, t))) > 0) or regexp_matches(x, '会计师事务所|资产评估有限公司|资产评估事务所|律师事务所|审计机构|评估机构|验资机构')))),
+so as (select unit_id, string_agg(x, ',' order by x) as subjects from ok group by 1)"""
 QUERIES = {
-    "narrative_flags": narrative_flags, "named_entities": named_entities, "other_subjects": other_subjects, "best_predecessors": best_predecessors, "entity_scopes": entity_scopes,
+    "narrative_flags": narrative_flags, "named_entities": named_entities, "issuer_tokens": issuer_tokens, "best_predecessors": best_predecessors,
     "primary_dates": primary_dates, "range_signals": range_signals, "candidate_problems": candidate_problems, "patch_problems": patch_problems,
 }
 SQL = {
-    "narrative_flags": f"with {_S} select unit_id, regexp_matches(s, '^(?:19|20)\\d{{2}}年') and not regexp_matches(s, '第[一二三四五六七八九十百\\d]+次') and not regexp_matches(s, '第一次股权转让|第二次股权转让|第三次股权转让|第一次增资|第二次增资|第三次增资|整体变更|股份公司设立|有限公司设立|资本公积转增股本|吸收合并') and regexp_matches(s, '签署|签订|召开股东会|召开董事会|审议通过|支付|缴款|到账|办理工商变更|完成工商变更|办理完毕工商变更|取得营业执照|出具|验资|审验|评估|核准|登记') as procedural, regexp_matches(s, '{_ALT(n.CAPITAL_ROWS)}') as capital_row from un",
-    "named_entities": f"with {_S} select unit_id, array_to_string({_PRE}, ',') as predecessors, array_to_string(list_distinct(list_concat(regexp_extract_all(s, '{n.ABSORBED[0]}', 1), regexp_extract_all(s, '{n.ABSORBED[1]}', 1))), ',') as absorbed, array_to_string({_EST}, ',') as established from un",
-    "other_subjects": f"with {_S}, e as (select company_id, unnest({_EST}) as name from un), p as (select company_id, unnest({_PRE}) as name from un) select distinct company_id, name from e where {_CORE('name')} <> '甲乙1' and not exists (select 1 from p where p.company_id = e.company_id and {_CORE('p.name')} = {_CORE('e.name')})",
-    "best_predecessors": f"with {_S}, p as (select company_id, unnest({_PRE}) as name from un), r as (select *, row_number() over (partition by company_id order by ({_CORE('name')} <> '甲乙1')::int, abs(length({_CORE('name')}) - 3), length(name), name) as k from p) select company_id, name as predecessor from r where k = 1",
-    "entity_scopes": f"with {_S} select company_id, case when bool_or(regexp_matches(s, '{_ALT(n.SUBSIDIARY)}')) then 'SUBSIDIARY_OR_OTHER_ENTITY_RISK' else 'ISSUER' end as entity_scope from un where unit_id % 50 < 40 group by 1",
+    "narrative_flags": f"with {_NE} select un.unit_id, regexp_matches(s, '^(?:19|20)\\d{{2}}年') and not regexp_matches(s, '第[一二三四五六七八九十百\\d]+次') and not regexp_matches(s, '第一次股权转让|第二次股权转让|第三次股权转让|第一次增资|第二次增资|第三次增资|整体变更|股份公司设立|有限公司设立|资本公积转增股本|吸收合并') and regexp_matches(s, '签署|签订|召开股东会|召开董事会|审议通过|支付|缴款|到账|办理工商变更|完成工商变更|办理完毕工商变更|取得营业执照|出具|验资|审验|评估|核准|登记') as procedural, regexp_matches(s, '注册资本[^，。；]{{0,40}}?(?:，|,)?由[^，。；]{{1,30}}?出资设立|由[^，。；]{{1,30}}?共同出资设立|由[^，。；]{{1,30}}?投资设立') as setup_row, case when regexp_matches(s, '子公司|孙公司|下属公司') or subjects is not null then 'SUBSIDIARY_OR_OTHER_ENTITY_RISK' else 'ISSUER_OR_UNRESOLVED' end as scope from un left join so using (unit_id)",
+    "named_entities": f"with {_NE} select unit_id, array_to_string(list_sort(pre), ',') as predecessors, array_to_string(list_sort(gone), ',') as absorbed, coalesce(subjects, '') as subjects from ne left join so using (unit_id)",
+    "issuer_tokens": "select c_custkey as id, case c_custkey % 7 when 0 then '测试' when 1 then '测试,测试科技' when 2 then '测试,测试新材,测试新材股份' when 3 then '测,测股份' when 4 then '测量,测量测控,测量测控电子,测量测控电子股份,测量测控电子股份公司' when 5 then '测' else '测试,测试生物,测试生物医药' end as tokens from customer",
+    "best_predecessors": f"with {_NE}, nm as (select company_id, issuer, tok, unnest(list_concat(pre, gone)) as name from ne), st as (select *, regexp_replace(name, '(?:有限责任公司|有限公司|有限)$', '') as stem from nm), sc as (select *, (not list_contains(tok, stem))::int as a, coalesce(list_min(list_transform(list_filter(tok, lambda t: contains(stem, t)), lambda t: length(stem) - length(t))), length(stem)) as b from st), rk as (select *, row_number() over (partition by company_id order by a, b, length(name), name) as k from sc) select company_id, name as predecessor from rk where k = 1",
     "primary_dates": f"with e as ({plain(EVENTS)}), x as (select company_id, case when company_id::int % 2 = 0 then 'ESTABLISHMENT' else 'OTHER' end as kind, ['payment_date', 'resolution_date', 'registration_date', 'effective_date', 'other_date'][(event_id % 5 + 1)::int] as role, event_date, event_id from e), r as (select *, list_position(case kind when 'ESTABLISHMENT' then ['registration_date', 'effective_date', 'resolution_date'] else ['registration_date', 'resolution_date', 'agreement_date', 'payment_date'] end, role) as k from x), o as (select *, row_number() over (partition by company_id, kind order by k, case when kind = 'ESTABLISHMENT' then event_date end, case when kind = 'OTHER' then event_id end, event_date) as f from r where k > 0) select company_id, kind, event_date as primary_date, role as basis from o where f = 1",
     "range_signals": f"""with u0 as ({plain(UNITS)}), g as (select company_id, floor(page / 40)::bigint as range_no, regexp_replace(string_agg(line, chr(10) order by unit_id), '\\s+', '', 'g') as s from u0 group by all),
       x as (select *, len(list_distinct(list_concat(regexp_extract_all(s, '{u.DATES[0]}'), regexp_extract_all(s, '{u.DATES[1]}')))) as dates, list_filter([{', '.join(f"case when regexp_matches(s, '{_ALT(ts)}') then '{k}' end" for k, ts in ((k, R.terms[k]) for k in R.priority))}], lambda z: z is not null) as c from g) select company_id, range_no, dates, array_to_string(c, ',') as categories, dates >= 2 and len(c) >= 2 as valid from x""",

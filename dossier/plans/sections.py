@@ -51,7 +51,7 @@ def unit_predicates(spark, d):
     return view(spark, d, UNITS).select(
         "unit_id", F.array_join(u.dates_of(c), ",").alias("dates"), u.heading_like(c).alias("heading_like"), u.generic_summary(c).alias("generic_summary"), u.background_heading(c).alias("background"),
         F.array_join(u.provider_mentions(c), ",").alias("providers"), u.provider_only(c).alias("provider_only"), u.negative_reason(c).alias("negative"), F.array_join(u.ordinals(c), ",").alias("ordinals"),
-        u.timeline_row(c).alias("timeline"), u.aggregate_statement(c).alias("aggregate"), u.metadata_date(c).alias("metadata"), u.reference_only(c).alias("reference_only"), u.date_role(c).alias("date_role"), u.subject(c).alias("subject"),
+        u.timeline_row(c).alias("timeline"), u.aggregate_statement(c).alias("aggregate"), u.metadata_date(c).alias("metadata"), u.reference_only(c).alias("reference_only"), u.date_role(c).alias("date_role"),
     )
 
 
@@ -262,8 +262,8 @@ QUERIES = {
 SQL = {
     "unit_predicates": f"with {_UN} select unit_id, array_to_string(list_filter(list_concat({_D1}, {_D2}), lambda x, i: list_position(list_concat({_D1}, {_D2}), x) = i), ',') as dates, heading as heading_like, generic_summary, background, array_to_string(list_filter([{', '.join(f'case when contains(s, {chr(39)}{t}{chr(39)}) then {chr(39)}{t}{chr(39)} end' for t in R.providers)}], lambda x: x is not null), ',') as providers, provider_only, negative, "
     + r"array_to_string(list_transform(regexp_extract_all(s, '第([一二三四五六七八九十百\d]+)次', 1), lambda x: '第' || x || '次'), ',') as ordinals, timeline, aggregate, metadata, reference_only, "
-    + "case when regexp_matches(s, '股东会|董事会|决议|审议') then 'resolution_date' when regexp_matches(s, '签署|签订|协议|合同') then 'agreement_date' when regexp_matches(s, '缴款|支付|到账|实缴|出资到位') then 'payment_date' when regexp_matches(s, '验资|审验') then 'verification_date' when regexp_matches(s, '工商变更|变更登记|核准|市场监督管理局|营业执照') then 'registration_date' when regexp_matches(s, '公告|发布') then 'announcement_date' when regexp_matches(s, '实施完成|完成本次|办理完毕') then 'effective_date' else 'other_date' end as date_role, "
-    + rf"regexp_replace(regexp_replace(regexp_replace(s, '^(?:19|20)\d{{2}}年(?:\d{{1,2}}月)?(?:\d{{1,2}}日)?[，,]?', ''), '^(?:公司前身|本公司|发行人|公司|前身)+', ''), '(?:成立|设立)$', '') as subject from (select *, {_FLAGS} from un)",
+    + "case when regexp_matches(s, '股东会|董事会|决议|审议') then 'resolution_date' when regexp_matches(s, '签署|签订|协议|合同') then 'agreement_date' when regexp_matches(s, '缴款|支付|到账|实缴|出资到位') then 'payment_date' when regexp_matches(s, '验资|审验') then 'verification_date' when regexp_matches(s, '工商变更|变更登记|核准|市场监督管理局|营业执照') then 'registration_date' when regexp_matches(s, '公告|发布') then 'announcement_date' when regexp_matches(s, '实施完成|完成本次|办理完毕') then 'effective_date' else 'other_date' end as date_role "
+    + rf"from (select *, {_FLAGS} from un)",
     "event_types": f"with {_TYPES} select un.unit_id, coalesce(types, '') as types, coalesce(combined, false) as combined from un left join tl using (unit_id)",
     "disclosed_counts": f"with {_UN}, {_counts('un', 'unit_id', 's')} select unit_id, type, disclosed from ct",
     "unit_flags": f"with {_AN} select unit_id, g as global_index, level, boundary, wrapper, procedural, history from bd",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dossier.functions import text as tx
 from dossier.operators import extraction as x
 from dossier.operators import investors as k
-from dossier.operators import islands, units
+from dossier.operators import islands, narrative, units
 from dossier.operators import pages as p
 from dossier.operators import sections as sec
 from dossier.operators import validation as v
@@ -265,6 +265,44 @@ def test_referential_problems(spark):
     assert got == {(8, "fact_without_event"), (9, "party_without_event"), (7, "transaction_without_event"), (1, "transfer_party_without_transfer"), (1, "overall_change_and_joint_stock"), (1, "pages_reversed"), (None, "candidate_without_event"), (None, "event_count")}
 
 
+@pytest.mark.parametrize("opening, own", [
+    ("（一）公司前身谷捷有限的设立情况\n2009年3月16日，谷捷有限取得营业执照。", True), ("（一）昆山谷捷金属制品有限公司设立情况", False), ("公司吸收合并谷捷有限，\n谷捷有限成立于2009年", False), ("2009年谷捷有限成立日期如下，公司设立", False), ("谷捷有限召开会议", False),
+])
+def test_own_establishment(spark, opening, own):
+    assert one(spark, narrative.own_establishment(F.col("a"), F.lit("黄山谷捷")), a=opening) == own
+
+
+def test_subjects(spark):
+    got = lambda text, name: one(spark, narrative.other_subjects(F.col("a"), F.lit(name)), a=text)
+    assert got("，壬癸股东大会审议通过", "黄山谷捷") == ["壬癸"] and got("一有限公司设立情况", "黄山谷捷") == [] and got("谷捷有限设立情况", "黄山谷捷") == []
+    assert got("公司吸收合并谷捷有限，谷捷有限设立", "黄山谷捷") == ["谷捷有限"]
+    names = spark.createDataFrame([("c", "谷捷金属制品有限公司"), ("c", "谷捷有限")], "company_id string, name string")
+    assert narrative.best_predecessor(names, spark.createDataFrame([("c", "黄山谷捷")], "company_id string, issuer string")).first()["predecessor"] == "谷捷有限"
+    assert set(one(spark, narrative.issuer_tokens(F.col("a")), a="测量测控电子股份公司")) == {"测量测控电子股份公司", "测量测控电子股份", "测量测控电子", "测量测控", "测量"}
+
+
+def test_links_need_their_parties(spark):
+    t_ = spark.createDataFrame([("c", 1, "T1", "EQUITY_TRANSFER", ["a"], ["b"], []), ("c", 2, "T2", "EQUITY_TRANSFER", [], ["x"], None), ("c", 3, "T3", "CAPITAL_INCREASE", [], [], []), ("c", 4, "T4", "ABSORPTION_MERGER", None, None, None)], "company_id string, event_id int, transaction_id string, transaction_type string, transferor_party_ids array<string>, transferee_party_ids array<string>, absorbed_party_ids array<string>")
+    ps = spark.createDataFrame([("c", 1, "a"), ("c", 1, "b")], "company_id string, event_id int, party_id string")
+    got = {r["transaction_id"]: (r["status"], r["missing_fields"], r["missing"]) for r in v.check_links(t_, ps).collect()}
+    assert got == {"T1": ("PASSED", [], []), "T2": ("REVIEW_REQUIRED", ["transferor_party_ids"], ["x"]), "T4": ("REVIEW_REQUIRED", ["absorbed_party_ids"], [])}
+
+
+def test_gate_and_packages(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "company_id string, n int")
+    k.assert_metrics(df, "n > 0")
+    with pytest.raises(ValueError):
+        k.assert_metrics(df, "n > 1")
+    k.write_packages(str(tmp_path), facts=df)
+    assert spark.read.json(f"{tmp_path}/facts/company_id=b").first()["n"] == 2
+    assert t.read_json_document(spark, t_json(tmp_path)).first()["b"] == [1, 2]
+
+
+def t_json(tmp_path):
+    (tmp_path / "d.json").write_text('{"a": 1,\n "b": [1, 2]}')
+    return f"{tmp_path}/d.json"
+
+
 def test_snapshot_needs_a_party(spark):
     f = spark.createDataFrame([("a", "EQUITY_RATIO", None), ("b", "EQUITY_RATIO", "p")], "company_id string, fact_type string, party_id string")
     c = spark.createDataFrame([("a",), ("b",), ("c",)], "company_id string")

@@ -8,7 +8,10 @@ import pytest
 from dossier.plans import registry
 
 D = "/root/testdata/sf0.001"
-NAMES = ["capital_check", "chronology", "transactions", "page_number_candidates", "toc_pages", "event_types", "merge_edges", "investment_paths", "gold_cross_check", "latest_runs", "flat_table", "snapshots"]
+NAMES = [
+    "capital_check", "chronology", "transactions", "page_number_candidates", "toc_pages", "event_types", "merge_edges", "section_clusters", "cluster_summary", "heading_sections", "accepted_roots", "summary_disclosures", "coverage_gaps", "fallback_windows", "named_entities", "issuer_tokens",
+    "investment_paths", "evidence_candidates", "path_problems", "link_check", "absorbed_parties", "ranking_inputs", "patch_records", "packages", "review_rows", "gold_cross_check", "latest_runs", "flat_table", "snapshots", "section_texts", "resolved_pages",
+]
 
 
 def canon(rows, cols):
