@@ -21,12 +21,13 @@ CROSS_REFERENCE = "详见|参见|请见|见本招股说明书"
 MAX_CHARS, PAGE_TOP, BODY_SCAN, REPEATED = 64, 6, 18, 3
 
 
-def toc_pages(lines: DataFrame) -> DataFrame:
-    """Pages with a contents title in the first 20 lines, or five lines with dot leaders that end in digits."""
-    title = F.max(((F.col("line_index") < 20) & norm(F.col("line")).rlike(any_of(TOC_WORDS))).cast("int")) == 1
-    dense = F.count_if(F.col("line").rlike(DOT_LEADER) & norm(F.col("line")).rlike(r"\d{1,4}$")) >= TOC_LINES
-    g = lines.groupBy("company_id", "pdf_page").agg(title.alias("by_title"), dense.alias("by_leaders"))
-    return g.select("company_id", "pdf_page", (F.col("by_title") | F.col("by_leaders")).alias("is_toc"), F.array_compact(F.array(F.when(F.col("by_title"), "toc_title_keyword"), F.when(F.col("by_leaders"), "toc_dense_dot_leaders"))).alias("toc_signals"))
+def toc_flags(pages: DataFrame) -> DataFrame:
+    """Pages (with their lines) with is_toc and toc_signals: a contents title in the first 20 lines, or five lines with dot leaders that end in digits. Read off
+    each page's array of lines, so nothing is shuffled."""
+    title = F.exists(F.slice("lines", 1, 20), lambda x: norm(x).rlike(any_of(TOC_WORDS)))
+    dense = F.size(F.filter("lines", lambda x: x.rlike(DOT_LEADER) & norm(x).rlike(r"\d{1,4}$"))) >= TOC_LINES
+    p = pages.withColumn("_a", title).withColumn("_b", dense)
+    return p.withColumn("is_toc", F.col("_a") | F.col("_b")).withColumn("toc_signals", F.array_compact(F.array(F.when(F.col("_a"), "toc_title_keyword"), F.when(F.col("_b"), "toc_dense_dot_leaders")))).drop("_a", "_b")
 
 
 def level_of(flat: Column, table=NUMBERING, none=None) -> Column:

@@ -50,9 +50,12 @@ def _numbers(spark, d):
     return weak
 
 
+def _flagged(spark, d):
+    return h.toc_flags(_pages(spark, d).select("company_id", "pdf_page", lines_of(F.col("text")).alias("lines")))
+
+
 def _lines(spark, d):
-    at = _pages(spark, d).select("company_id", "pdf_page", F.posexplode(lines_of(F.col("text"))).alias("line_index", "line"))
-    return at.join(h.toc_pages(at), ["company_id", "pdf_page"])
+    return _flagged(spark, d).select("company_id", "pdf_page", "is_toc", F.posexplode("lines").alias("line_index", "line"))
 
 
 def _headings(spark, d):
@@ -139,7 +142,7 @@ def number_coverage(spark, d):
 
 
 def toc_pages(spark, d):
-    return _lines(spark, d).select("company_id", "pdf_page", "is_toc", F.array_join("toc_signals", ",").alias("signals")).distinct()
+    return _flagged(spark, d).select("company_id", "pdf_page", "is_toc", F.array_join("toc_signals", ",").alias("signals"))
 
 
 def headings(spark, d):
