@@ -119,6 +119,23 @@ def extract_numeric(evidence: DataFrame, table=NUMERIC, keys=("company_id", "eve
     )
 
 
+def first_numeric(evidence: DataFrame, kinds: list[str], table=NUMERIC, keys=("company_id", "event_id"), order: str = "evidence_id") -> DataFrame:
+    """The first finite value of each kind for an event, as first_values() gives of extract_numeric(), straight from the texts: only the kinds' patterns
+    run, a row keeps one value of each, and rows are aggregated before the shuffle, which carries no text and needs no sort."""
+
+    def first(pattern: str) -> Column:
+        def value(m: Column) -> Column:
+            unit = F.regexp_extract(m, pattern, 2)
+            return (parse_number(F.regexp_extract(m, pattern, 1)) * unit_columns(unit)[2]).cast("decimal(38,6)")
+
+        return F.get(F.filter(F.transform(F.regexp_extract_all(F.col("_s"), F.lit(pattern), F.lit(0)), value), lambda x: x.isNotNull()), F.lit(0))
+
+    patterns = {k: [p for kind, p, _ in table if kind == k] for k in kinds}
+    rows = evidence.select(*keys, order, squash(F.col("evidence_text")).alias("_s"))
+    rows = rows.select(*keys, order, *[F.coalesce(*[first(p) for p in ps]).alias(k.lower()) for k, ps in patterns.items()])
+    return rows.groupBy(*keys).agg(*[F.min(F.when(F.col(k.lower()).isNotNull(), F.struct(order, k.lower())))[k.lower()].alias(k.lower()) for k in kinds])
+
+
 def party_name(c: Column) -> Column:
     """Without white space, leading connective, trailing verb and outer marks."""
     v = F.regexp_replace(squash(c), "^(?:由|与|和|及|其中|股东|公司|本公司|发行人)", "")

@@ -140,17 +140,16 @@ def page_number_candidates(pages: DataFrame) -> DataFrame:
 
 
 def initial_numbers(pages: DataFrame, candidates: DataFrame) -> DataFrame:
-    """A page's first choice and its status: CONFIRMED, CONFLICT, CANDIDATE or MISSING."""
-    top = candidates.where("rank = 1").select("company_id", "pdf_page", "prefix", "number", "pattern", "confidence", "strong")
-    rival = candidates.where("strong and rank > 1").select("company_id", "pdf_page", F.col("number").alias("n2"), F.col("pattern").alias("p2"), F.col("confidence").alias("c2"))
-    clash = (
-        top.where("strong").join(rival, ["company_id", "pdf_page"])
-        .where((F.col("n2") != F.col("number")) & (F.col("p2") == F.col("pattern")) & (F.abs(F.col("c2") - F.col("confidence")) <= 0.01))
-        .select("company_id", "pdf_page", F.lit(True).alias("clash")).distinct()
-    )
-    j = pages.select("company_id", "pdf_page").join(top, ["company_id", "pdf_page"], "left").join(clash, ["company_id", "pdf_page"], "left")
+    """A page's first choice and its status: CONFIRMED, CONFLICT, CANDIDATE or MISSING. The candidates are read once: a page's rivals are a short array."""
+    key = ["company_id", "pdf_page"]
+    top = F.min_by(F.struct("prefix", "number", "pattern", "confidence", "strong"), "rank").alias("top")
+    rivals = F.collect_list(F.when(F.col("strong") & (F.col("rank") > 1), F.struct("number", "pattern", "confidence"))).alias("rivals")
+    c = candidates.groupBy(*key).agg(top, rivals)
+    same = lambda r: (r["number"] != F.col("top.number")) & (r["pattern"] == F.col("top.pattern")) & (F.abs(r["confidence"] - F.col("top.confidence")) <= 0.01)
+    c = c.select(*key, "top.prefix", "top.number", "top.confidence", "top.strong", (F.col("top.strong") & F.exists("rivals", same)).alias("clash"))
+    j = pages.select(*key).join(c, key, "left")
     status = F.when(F.col("number").isNull(), "MISSING").when(F.col("clash"), "CONFLICT").when(F.col("strong"), "CONFIRMED").otherwise("CANDIDATE")
-    return j.select("company_id", "pdf_page", "prefix", "number", status.alias("status"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
+    return j.select(*key, "prefix", "number", status.alias("status"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
 
 
 def confirm_weak(numbers: DataFrame, run: int = 3, anchors: int = 3) -> DataFrame:

@@ -54,20 +54,20 @@ def transaction_values(spark, d):
     return _as_double(df, *[k.lower() for k in KINDS])
 
 
-def _values(spark, d):
-    return v.first_values(_facts(spark, d), KINDS)
+def _values(spark, d, kinds=KINDS):
+    return x.first_numeric(_evidence(spark, d), kinds)
 
 
 def flagship_capital_check(spark, d):
-    return v.check_capital(_values(spark, d)).groupBy("rule_id", "status").agg(F.count(F.lit(1)).alias("n"))
+    return v.check_capital(_values(spark, d, KINDS[:3])).groupBy("rule_id", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
 def capital_check(spark, d):
-    return _as_double(v.check_capital(_values(spark, d)), "calculated_value").select(*KEYS, "rule_id", "status", "calculated_value", "review_required")
+    return _as_double(v.check_capital(_values(spark, d, KINDS[:3])), "calculated_value").select(*KEYS, "rule_id", "status", "calculated_value", "review_required")
 
 
 def price_check(spark, d):
-    return v.check_price(_values(spark, d)).select(*KEYS, "rule_id", "status", "review_required")
+    return v.check_price(_values(spark, d, KINDS[3:])).select(*KEYS, "rule_id", "status", "review_required")
 
 
 def ratio_check(spark, d):
