@@ -14,7 +14,7 @@ select lpad(cast(c_custkey % 20 as string), 6, '0') as company_id, c_custkey as
   case c_custkey % 17 when 0 then '张三' when 1 then '深圳测试创业投资有限公司' when 2 then '天健会计师事务所' when 3 then '合计' when 4 then concat('第', cast(c_custkey % 7 as string), '号实业有限公司') when 5 then '上海某某基金'
     when 6 then '李四、王五和赵六' when 7 then '测试合伙企业（有限合伙）' when 8 then '12,000.00' when 9 then '深圳测试股权投资有限公司' when 10 then '某某资产管理有限公司' when 11 then '并购基金' when 12 then '某某资本有限公司'
     when 13 then '前公司股东泽升贸易、罗世兵、共青城泽升、达晨创联基金参与本次增资' when 14 then '股东为甲乙投资管理有限公司认购，丙丁实业有限公司增资入股' when 15 then '一般性文字描述不是名称' else case when c_custkey % 2 = 0 then '友升股份有限公司' else '芜湖三联锻造股份有限公司' end end) as name,
-  concat('T', cast(c_custkey % 13 as string)) as transaction_id, case c_custkey % 4 when 0 then 'EQUITY_TRANSFER' when 1 then 'CAPITAL_INCREASE' when 2 then 'DIRECTIONAL_FINANCING' else 'OVERALL_CHANGE' end as transaction_type
+  concat('T', cast(c_custkey % 211 as string)) as transaction_id, case c_custkey % 4 when 0 then 'EQUITY_TRANSFER' when 1 then 'CAPITAL_INCREASE' when 2 then 'DIRECTIONAL_FINANCING' else 'OVERALL_CHANGE' end as transaction_type
 from {customer}
 """
 COMPANIES = "select distinct lpad(cast(c_custkey % 20 as string), 6, '0') as company_id, case when c_custkey % 2 = 0 then '友升股份' else '三联锻造' end as company_short_name from {customer}"
