@@ -37,6 +37,7 @@ SPAN, GRAM = 50, 26
 WIDE = SPAN - GRAM + 1  # strings that an anchor may serve
 BACK, WIDTH = WIDE - 1, WIDE - 1 + SPAN
 HOT, MANY = 1024, 127
+SHARD, PIECE = 2 << 20, 1 << 18  # bytes of a shard; bytes or places worked on at once
 LAST = np.iinfo(np.int64).max
 U = np.uint64
 
@@ -57,40 +58,45 @@ def _order(high: np.ndarray, bits: int) -> np.ndarray:
 def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array, rank of each suffix) by Larsson-Sadakane refinement."""
     n = len(data)
+    kind = np.int32 if n < 1 << 30 else np.int64
     if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, kind), np.zeros(0, kind)
     present = np.flatnonzero(np.bincount(data, minlength=256))
-    code = np.zeros(256, U)
+    code = np.zeros(256, np.uint8 if len(present) < 256 else np.uint16)
     code[present] = np.arange(1, len(present) + 1)
     bits = int(len(present)).bit_length()
     h = max(1, (64 - max(1, (n - 1).bit_length())) // bits)
-    x = np.concatenate([code[data], np.zeros(h, U)])
+    x = np.concatenate([code[data], np.zeros(h, code.dtype)])
     key = np.zeros(n, U)
     for j in range(h):
-        key = (key << U(bits)) | x[j : j + n]
-    sa = _order(key, bits * h)
-    k = key[sa]
-    new = np.concatenate([[True], k[1:] != k[:-1]])
-    head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
+        key <<= U(bits)
+        key |= x[j : j + n]
+    del x
+    sa = _order(key, bits * h).astype(kind)
+    key = key[sa]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    del key
+    head = np.maximum.accumulate(np.where(new, np.arange(n, dtype=kind), kind(0)))
+    rank = np.empty(n, kind)
     rank[sa] = head
-    del key, k, x
-    tied = np.flatnonzero(~(new & np.concatenate([new[1:], [True]])))  # places in sa that are in groups of two or more
+    tied = np.flatnonzero(~(new & np.concatenate([new[1:], [True]]))).astype(kind)  # places in sa that are in groups of two or more
     rbits = max(1, int(n + 1).bit_length())
     while len(tied):
         s = sa[tied]
-        group = np.concatenate([[0], np.cumsum(head[tied][1:] != head[tied][:-1])])
-        far = s + h
-        second = np.where(far < n, rank[np.minimum(far, n - 1)] + 1, 0)
+        group = np.concatenate([[0], np.cumsum(head[tied][1:] != head[tied][:-1], dtype=kind)]).astype(kind)
+        far = s + kind(h) if h < n else np.full(len(s), n, kind)
+        second = np.where(far < n, rank[np.minimum(far, n - 1)] + 1, 0).astype(kind)
+        del far
         gbits = max(1, int(group[-1]).bit_length())
         if gbits + rbits <= 64:
             o = _order((group.astype(U) << U(rbits)) | second.astype(U), gbits + rbits)
         else:
             o = np.lexsort((second, group))
-        s, g2, s2 = s[o], group[o], second[o]
+        s, group, second = s[o], group[o], second[o]
+        del o
         sa[tied] = s
-        new = np.concatenate([[True], (g2[1:] != g2[:-1]) | (s2[1:] != s2[:-1])])
-        first = np.maximum.accumulate(np.where(new, np.arange(len(tied)), 0))
+        new = np.concatenate([[True], (group[1:] != group[:-1]) | (second[1:] != second[:-1])])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(tied), dtype=kind), kind(0)))
         head[tied] = tied[first]
         rank[s] = head[tied]
         tied = tied[~(new & np.concatenate([new[1:], [True]]))]
@@ -102,38 +108,42 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray) -> np.ndarray:
     """lcp[i] of the suffixes sa[i - 1] and sa[i] (0 for i = 0)."""
     n = len(sa)
     if n < 2:
-        return np.zeros(n, np.int64)
-    before = np.empty(n, np.int64)  # the suffix just before, by position
+        return np.zeros(n, sa.dtype)
+    before = np.empty(n, sa.dtype)  # the suffix just before, by position
     before[sa[1:]] = sa[:-1]
     before[sa[0]] = -1
-    pos = np.arange(n)
-    fresh = (before < 0) | (before == 0) | (pos == 0)
+    fresh = before <= 0
+    fresh[0] = True
     i = np.flatnonzero(~fresh)
     fresh[i] = data[i - 1] != data[before[i] - 1]
+    del i
     fresh[1:] |= before[:-1] < 0
-    start = np.flatnonzero(fresh & (before >= 0))
     wide = np.zeros(n + 8, np.uint8)
     wide[:n] = data
     eight = np.lib.stride_tricks.sliding_window_view(wide, 8)
     word = lambda at: np.ascontiguousarray(eight[at]).view(U).ravel()
-    size = np.zeros(len(start), np.int64)
-    live, a, b = np.arange(len(start)), start.copy(), before[start]
-    while len(live):
-        room = n - np.maximum(a, b)
-        ok = room > 0
-        live, a, b, room = live[ok], a[ok], b[ok], room[ok]
-        if not len(live):
-            break
-        diff = word(a) ^ word(b)
-        low = diff & (~diff + U(1))
-        same = np.where(diff == 0, 8, (np.log2(np.maximum(low, U(1)).astype(float)).astype(np.int64)) >> 3)
-        same = np.minimum(same, room)
-        size[live] += same
-        ok = same == 8
-        live, a, b = live[ok], a[ok] + 8, b[ok] + 8
-    plcp = np.zeros(n, np.int64)
-    plcp[start] = size
-    anchor = np.maximum.accumulate(np.where(fresh, pos, 0))
+    plcp = np.zeros(n, sa.dtype)
+    every = np.flatnonzero(fresh & (before >= 0))
+    for k in range(0, len(every), PIECE):  # some at a time
+        start = every[k : k + PIECE]
+        size = np.zeros(len(start), np.int64)
+        live, a, b = np.arange(len(start)), start.copy(), before[start].astype(np.int64)
+        while len(live):
+            room = n - np.maximum(a, b)
+            ok = room > 0
+            live, a, b, room = live[ok], a[ok], b[ok], room[ok]
+            if not len(live):
+                break
+            diff = word(a) ^ word(b)
+            low = diff & (~diff + U(1))
+            same = np.where(diff == 0, 8, (np.log2(np.maximum(low, U(1)).astype(float)).astype(np.int64)) >> 3)
+            same = np.minimum(same, room)
+            size[live] += same
+            ok = same == 8
+            live, a, b = live[ok], a[ok] + 8, b[ok] + 8
+        plcp[start] = size
+    pos = np.arange(n, dtype=sa.dtype)
+    anchor = np.maximum.accumulate(np.where(fresh, pos, sa.dtype.type(0)))
     plcp = np.maximum(plcp[anchor] - (pos - anchor), 0)
     plcp[before < 0] = 0
     return plcp[sa]
@@ -162,16 +172,16 @@ def _is_anchor(h: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def _pieces(data: np.ndarray, offs: np.ndarray):
-    """Runs of rows of about CHUNK bytes, for hashing; one long row is cut into pieces that overlap by SPAN - 1."""
+    """Runs of rows of about PIECE bytes, for hashing; one long row is cut into pieces that overlap by SPAN - 1."""
     i, n = 0, len(offs) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offs, offs[i] + vec.CHUNK, side="right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offs, offs[i] + PIECE, side="right")) - 1)
         a, z = int(offs[i]), int(offs[j])
-        if z - a <= 2 * vec.CHUNK:
+        if z - a <= 2 * PIECE:
             yield a, data[a:z], offs[i : j + 1] - a
         else:
-            for p in range(a, z, vec.CHUNK):
-                q = min(z, p + vec.CHUNK + SPAN - 1)
+            for p in range(a, z, PIECE):
+                q = min(z, p + PIECE + SPAN - 1)
                 yield p, data[p:q], np.array([0, q - p])
         i = j
 
@@ -194,7 +204,7 @@ def anchor_keys(data, offs, bits: int):
         if not len(m):
             continue
         p = np.flatnonzero(_is_anchor(h, m))
-        keys.append(h[p] >> U(64 - bits))
+        keys.append(vec.mix(h[p]) >> U(64 - bits))  # minima are small numbers; mixed, they fill the range
         rows.append(np.searchsorted(offs, p + a, side="right"))
     if not keys:
         return np.zeros(0, U), np.zeros(0, np.uint8)
@@ -222,14 +232,15 @@ def met_anchors(keys: list[np.ndarray], vals: list[np.ndarray]) -> list[np.ndarr
 
 
 def candidates(data, offs, bits: int, shared: np.ndarray, code: np.ndarray, gone: np.ndarray):
-    """(starts of the SPAN-byte strings of rows not gone whose minimum is a shared key, where each has it first, hash, code)."""
+    """(starts of the SPAN-byte strings of rows not gone whose minimum is a shared key, where each has it first, 32 bits of its hash, code)."""
     out = []
+    kind = np.int32 if len(data) < 1 << 30 else np.int64
     for a, part, po in _pieces(data, offs):
         h, m = _minima(part, po)
         if not len(m) or not len(shared):
             continue
         at = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
-        k = m[at] >> U(64 - bits)
+        k = vec.mix(m[at]) >> U(64 - bits)
         i = np.minimum(np.searchsorted(shared, k), len(shared) - 1)
         size = np.diff(np.append(at, len(m)))
         ok = np.repeat(shared[i] == k, size) & _inside(offs, a, len(m))
@@ -241,22 +252,23 @@ def candidates(data, offs, bits: int, shared: np.ndarray, code: np.ndarray, gone
         while len(live):
             nth[live] += 1
             live = live[h[anchors[nth[live]]] != m[p[live]]]
-        out.append((p + a, anchors[nth] + a, m[p], np.repeat(code[i], size)[p]))
+        out.append(((p + a).astype(kind), (anchors[nth] + a).astype(kind), (vec.mix(m[p]) >> U(32)).astype(np.uint32), np.repeat(code[i], size)[p]))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, np.uint8)
+        return np.zeros(0, kind), np.zeros(0, kind), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def classes(data, starts, doc):
     """(class of each start by suffix array: equal numbers for equal SPAN-byte strings; smallest doc of each class; a function that
     gives the suffix rank of positions inside the strings)."""
-    text_at = np.flatnonzero(_spread(starts, len(data)))
+    text_at = np.flatnonzero(_spread(starts, len(data))).astype(starts.dtype)
     text = data[text_at]
     sa, rank = suffix_array(text)
-    number = np.empty(len(text), np.int64)
-    number[sa] = np.cumsum(common_prefixes(text, sa) < SPAN)
+    number = np.empty(len(text), sa.dtype)
+    number[sa] = np.cumsum(common_prefixes(text, sa) < SPAN, dtype=sa.dtype)
+    del sa
     of = number[np.searchsorted(text_at, starts)]
-    least = np.full(len(text) + 1, LAST)
+    least = np.full(int(of.max()) + 1, LAST)
     np.minimum.at(least, of, doc)
     return of, least, lambda p: rank[np.searchsorted(text_at, p)]
 
@@ -349,6 +361,14 @@ def smaller_elsewhere(rows: list[np.ndarray], ids: list[np.ndarray]) -> list[np.
     return np.split(out, np.cumsum([len(x) for x in ids])[:-1])
 
 
+def _string_hash(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the SPAN bytes from each start."""
+    h = np.zeros(len(starts), U)
+    for j in range(SPAN):
+        h = h * vec.P + data[starts + j] + U(1)
+    return vec.mix(h)
+
+
 def judged(data, offs, ids, gone, found, buckets: int):
     """(what the last pass needs of this shard, contexts in order of bucket and suffix, their smallest ids, their buckets).
 
@@ -361,23 +381,25 @@ def judged(data, offs, ids, gone, found, buckets: int):
     of, least, rank = classes(data, starts, doc)
     removed = starts[least[of] < doc]
     out = code > 0
-    starts, anchor, h, code, of, doc = (x[out] for x in (starts, anchor, h, code, of, doc))
+    del least
+    if not out.all():
+        starts, anchor, h, code, of, doc = (x[out] for x in (starts, anchor, h, code, of, doc))
     if not len(starts):
         return (np.packbits(gone), removed, none, none, none), np.zeros((0, WIDTH), np.uint8), none, none
     first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (code[1:] == 2)]))
     last = np.append(first[1:], len(starts)) - 1
     low, high, a = starts[first], starts[last], anchor[first]
-    shape = (a - low) * WIDE + high - low
+    shape = ((a - low) * WIDE + high - low).astype(np.int64)
     o = np.lexsort((of[last], of[first], shape))
     x, y, z = of[first][o], of[last][o], shape[o]
     new = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]) | (z[1:] != z[:-1])])
     at = np.flatnonzero(new)
     pick, least = o[at], np.minimum.reduceat(doc[first][o], at)
-    key = h[first][pick]
+    key = h[first][pick].astype(U)
     hot = np.flatnonzero(code[first][pick] == 2)
     if len(hot):
-        key[hot] = vec.span_hash(vec.prefix(data), low[pick[hot]], low[pick[hot]] + SPAN)
-    bucket = (((key >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+        key[hot] = _string_hash(data, low[pick[hot]].astype(np.int64)) >> U(32)
+    bucket = ((key * U(buckets)) >> U(32)).astype(np.int64)
     order = np.lexsort((rank(a[pick]), bucket))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
@@ -417,7 +439,7 @@ def _digests(data, offs) -> list[bytes | None]:
 
 def _marked(docs: DataFrame, id_col: str, text_col: str):
     """(shards with all answers, a function of their batches that yields (batch, data, offs, removed byte mask))."""
-    packed = shards.pack(docs, text_col)
+    packed = shards.pack(docs, text_col, SHARD)
     b1 = shards.key_bits(packed.agg(F.sum("bytes")).first()[0] or 0, 14)
     n1, n2 = shards.n_buckets(packed, 0.08), shards.n_buckets(packed, 0.08)
     s = packed.select("sid", "blob")

@@ -291,7 +291,7 @@ def test_suffix_order_decides(monkeypatch):
 
 
 def test_suffix_dedup(docs, monkeypatch):
-    monkeypatch.setattr(shards.pack, "__defaults__", ("text", 4000))
+    monkeypatch.setattr(suffix, "SHARD", 4000)
     rows = [(r["doc_id"], r["text"]) for r in collect(docs)]
     want = Counter()
     kept = Counter()

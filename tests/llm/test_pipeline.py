@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from dossier.llm import quality, shards  # noqa: E402
+from dossier.llm import quality, shards, suffix  # noqa: E402
 
 from test_llm import brute_classes, brute_cuts, collect, docs, texts, words_of  # noqa: E402, F401
 
 
 def test_stages(spark, docs, texts, tmp_path, monkeypatch):  # noqa: F811
     monkeypatch.setattr(shards.pack, "__defaults__", ("text", 4000))
+    monkeypatch.setattr(suffix, "SHARD", 4000)
     clean = docs.where("doc_id is not null")
     spark.createDataFrame([(1, texts[20]), (2, "none of it")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     clean.write.parquet(f"{tmp_path}/documents.parquet")
@@ -44,6 +45,7 @@ def test_stages(spark, docs, texts, tmp_path, monkeypatch):  # noqa: F811
 def test_odd_tables(spark, docs, tmp_path, monkeypatch):  # noqa: F811
     """Null ids, no documents, no benchmark: every stage runs and keeps its columns."""
     monkeypatch.setattr(shards.pack, "__defaults__", ("text", 4000))
+    monkeypatch.setattr(suffix, "SHARD", 4000)
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for name, rows in (("null ids", docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id")))), ("none", docs.where("false"))):
         at = rows
