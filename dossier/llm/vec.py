@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20  # bytes worked on at once
+CHUNK = 1 << 19  # bytes worked on at once; tables of powers of that size stay in a worker
 U = np.uint64
 P = U(0x9E3779B97F4A7C15)
 P_INV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
