@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, crf, decontam, langid, near, packing, quality, suffix, urls, warc
+from . import chat, crf, decontam, hard, langid, near, packing, phrases, quality, suffix, toxic, urls, warc
 from .common import table
 
 QUALITY_SQL = r"""
@@ -78,6 +78,22 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), urls.rule_table(spark))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard.hard_negatives(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label")), F.col("id") % 50 == 0)
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", langid.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxic.train(d, labels.where(~langid.held_out(F.col("doc_id"), 5, 0)))
+    return toxic.score(d, model).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -89,6 +105,9 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_url_filters": op10_url_filters,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_toxicity": op12_toxicity,
+    "op13_collocations": op13_collocations,
 }
 DECONTAM_SQL = r"""
 with dw as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
@@ -104,4 +123,4 @@ select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from dw left join hw using (doc_id) left join hi using (doc_id)
 """
 
-SQL = {"op4_decontamination": DECONTAM_SQL, "op1_warc": warc.SQL, "op5_quality_rules": QUALITY_SQL, "op10_url_filters": urls.SQL}
+SQL = {"op4_decontamination": DECONTAM_SQL, "op1_warc": warc.SQL, "op5_quality_rules": QUALITY_SQL, "op10_url_filters": urls.SQL, "op11_hard_negatives": hard.SQL, "op13_collocations": phrases.SQL}

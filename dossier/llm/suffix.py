@@ -159,7 +159,7 @@ def _minima(data: np.ndarray, offs: np.ndarray):
         return np.zeros(0, U), np.zeros(0, U)
     c = vec.prefix(data)
     m = n - GRAM + 1
-    h = vec.mix((c[GRAM:] - c[:m]) * vec.powers(n + 1)[1][:m])
+    h = vec.mix((c[GRAM:] - c[:m]) * vec.inverse_powers(np.arange(m)))
     for e in offs[1:-1]:
         h[max(0, e - GRAM + 1) : e] = ~U(0)
     return h, vec.sliding_min(h, WIDE)

@@ -11,23 +11,30 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 19  # bytes worked on at once; tables of powers of that size stay in a worker
+CHUNK = 1 << 19  # bytes worked on at once; the tables of powers hold as many entries, however long a row is
 U = np.uint64
 P = U(0x9E3779B97F4A7C15)
 P_INV = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {"p": np.ones(1, U), "i": np.ones(1, U)}
+_powers: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """P^i and P^-i for i < n."""
-    if len(_powers["p"]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in (("p", P), ("i", P_INV)):
-            a = np.full(size, base, U)
-            a[0] = 1
-            np.multiply.accumulate(a, out=a)
-            _powers[k] = a
-    return _powers["p"][:n], _powers["i"][:n]
+def _table(base: np.uint64) -> np.ndarray:
+    """base^i for i < CHUNK."""
+    if int(base) not in _powers:
+        a = np.full(CHUNK, base, U)
+        a[0] = 1
+        np.multiply.accumulate(a, out=a)
+        _powers[int(base)] = a
+    return _powers[int(base)]
+
+
+def inverse_powers(i: np.ndarray) -> np.ndarray:
+    """P^-i."""
+    near = _table(P_INV)
+    if not len(i) or int(i.max()) < CHUNK:
+        return near[i]
+    far = np.array([pow(int(P_INV), CHUNK * k, 1 << 64) for k in range(int(i.max()) // CHUNK + 1)], U)
+    return near[i % CHUNK] * far[i // CHUNK]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -63,13 +70,20 @@ def chunks(batch: pa.RecordBatch, text: str, size: int = CHUNK) -> Iterator[tupl
 
 def prefix(data: np.ndarray) -> np.ndarray:
     c = np.zeros(len(data) + 1, U)
-    np.cumsum((data.astype(U) + U(1)) * powers(len(data) + 1)[0][:-1], out=c[1:])
+    for i in range(0, len(data), CHUNK):
+        part = data[i : i + CHUNK].astype(U) + U(1)
+        part *= _table(P)[: len(part)]
+        if i:
+            part *= U(pow(int(P), i, 1 << 64))
+        np.cumsum(part, out=c[i + 1 : i + 1 + len(part)])
+        if i:
+            c[i + 1 : i + 1 + len(part)] += c[i]
     return c
 
 
 def span_hash(c: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     """The hash of data[s:e], from prefix(data)."""
-    return mix((c[e] - c[s]) * powers(len(c))[1][s] + (e - s).astype(U) * U(0xD6E8FEB86659FD93))
+    return mix((c[e] - c[s]) * inverse_powers(np.asarray(s)) + (e - s).astype(U) * U(0xD6E8FEB86659FD93))
 
 
 def runs(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
