@@ -30,6 +30,7 @@ BLOCK, ANCHORS, FOCUS, BUCKET = 2048, 1024, 4, 256
 LABELS = 16  # groups of labels that share blocks
 LARGEST = 1 << 20
 MARGIN = 1e-9  # of cosines, for rounding
+NONE = np.iinfo(np.int64).min
 
 
 def whole_numbers(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -58,6 +59,8 @@ class Block:
     def candidates(self, q: np.ndarray, need: np.ndarray) -> np.ndarray:
         """Which rows may score `need` or more with each vector of q; a row for each vector."""
         size = np.sqrt((q * q).sum(axis=1))
+        need = need.astype(np.float64)
+        need = need - np.abs(need) * 1e-15  # whole numbers above 2^53 are rounded
         out = np.zeros((len(q), len(self.ids)), bool)
         far = np.where(need > 0, self.longest, self.shortest)
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -93,8 +96,7 @@ class Block:
 
     def scores(self, q: np.ndarray, may: np.ndarray) -> np.ndarray:
         """Exact scores of the candidates; the other cells hold the least number."""
-        least = np.iinfo(np.int64).min
-        out = np.full(may.shape, least)
+        out = np.full(may.shape, NONE)
         a, b = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
         if len(a) and len(b):
             x, y = q[a], self.v[b]
@@ -103,7 +105,7 @@ class Block:
             else:
                 s = x.astype(np.int64) @ y.astype(np.int64).T
             cells = np.ix_(a, b)
-            out[cells] = np.where(may[cells], s, least)
+            out[cells] = np.where(may[cells], s, NONE)
         return out
 
 
@@ -111,8 +113,8 @@ class Best:
     """The best `k` rows of each of n lists, and the score that a new one needs."""
 
     def __init__(self, k: int, floor: np.ndarray):
-        self.k, self.need = k, floor.astype(np.float64)
-        self.found = [np.zeros(0, np.int64)] * 3  # list, score, place among all rows seen
+        self.k, self.need = k, floor.astype(np.int64)
+        self.found = [np.zeros(0, np.int64)] * 2  # list, score
         self.ids, self.rid = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, lists: np.ndarray, scores: np.ndarray, ids: np.ndarray, rid: np.ndarray) -> None:
@@ -124,7 +126,7 @@ class Best:
         full = nth == self.k - 1
         self.need[lists[full]] = np.maximum(self.need[lists[full]], scores[full])
         keep = nth < self.k
-        self.found, self.ids, self.rid = [lists[keep], scores[keep], lists[keep]], ids[keep], rid[keep]
+        self.found, self.ids, self.rid = [lists[keep], scores[keep]], ids[keep], rid[keep]
 
 
 def _vectors(t: pa.Table) -> np.ndarray:
@@ -143,22 +145,20 @@ def _buckets(t: pa.Table):
 
 def _topped(s: np.ndarray, k: int) -> np.ndarray:
     """The k-th largest score of each row, or the least value."""
-    return np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] >= k else np.full(len(s), np.iinfo(np.int64).min)
+    return np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] >= k else np.full(len(s), NONE)
 
 
 def _nearest(k: int):
     """The k best rows of the anchor's label but itself, for a group of anchors and one of rows."""
 
     def run(anchors: pa.Table, rows: pa.Table) -> pa.Table:
-        none = np.iinfo(np.int64).min
-        best = Best(k, np.full(anchors.num_rows, -np.inf))
+        best = Best(k, np.full(anchors.num_rows, NONE))
         if anchors.num_rows and rows.num_rows:
             q, me, label = _vectors(anchors).astype(np.float64), anchors.column("r").to_numpy(), anchors.column("label").to_numpy()
             for b in _buckets(rows):
                 may = b.candidates(q, best.need) & (label[:, None] == b.labels) & (me[:, None] != b.rid)
                 s = b.scores(q, may)
-                cut = np.maximum(_topped(s, k), np.where(np.isfinite(best.need), best.need, none).astype(np.int64))
-                a, c = np.nonzero((s >= cut[:, None]) & may)
+                a, c = np.nonzero((s >= np.maximum(_topped(s, k), best.need)[:, None]) & may)
                 best.add(a, s[a, c], b.ids[c], b.rid[c])
         a = best.found[0]
         cols = [anchors.column("r").to_numpy()[a] if len(a) else a, best.found[1], best.ids, best.rid]
@@ -180,14 +180,14 @@ def _ranged(k: int):
             low, high = p.field("low").to_numpy(), p.field("high").to_numpy()
             best = Best(k, low)
             for b in _buckets(rows):
-                need = np.full(anchors.num_rows, np.inf)
+                need = np.full(anchors.num_rows, np.iinfo(np.int64).max)
                 np.minimum.at(need, owner, best.need)
                 may = b.candidates(q, need) & (label[:, None] != b.labels)
                 s = b.scores(q, may)
                 for i in range(0, len(owner), 512):
                     o = owner[i : i + 512]
-                    mine = np.where(may[o] & (s[o] <= high[i : i + 512, None]) & (s[o] >= best.need[i : i + 512, None]), s[o], np.iinfo(np.int64).min)
-                    x, c = np.nonzero((mine >= _topped(mine, k)[:, None]) & (mine > np.iinfo(np.int64).min))
+                    mine = np.where(may[o] & (s[o] <= high[i : i + 512, None]) & (s[o] >= best.need[i : i + 512, None]), s[o], NONE)
+                    x, c = np.nonzero((mine >= _topped(mine, k)[:, None]) & (mine > NONE))
                     best.add(x + i, mine[x, c], b.ids[c], b.rid[c])
             a = best.found[0]
             out = [anchors.column("r").to_numpy()[owner[a]], p.field("other_r").to_numpy()[a], best.found[1], best.ids, best.rid]
@@ -229,8 +229,10 @@ def hard_negatives(rows: DataFrame, is_anchor, positives: int = POSITIVES, negat
     near = stash(_first(near, ["r"], [F.desc("score"), "other", "other_r"], positives).drop("rank"), "hard-positives")
 
     # negatives: anchors with the ranges of their positives, against all blocks that are long enough
-    down = lambda c: F.expr(f"({c} - pmod({c}, 100L)) div 100L")
-    ranged = near.withColumn("low", -down(f"score * {-least}L")).withColumn("high", down(f"score * {most}L")).where("low <= high")
+    rest = F.pmod("score", F.lit(100))  # scores are near 64 bits where components are large: no product of the score itself
+    whole = F.expr("(score - pmod(score, 100L)) div 100L")
+    low, high = whole * least + F.floor((rest * least + 99) / 100), whole * most + F.floor(rest * most / 100)
+    ranged = near.withColumn("low", low).withColumn("high", high).where("low <= high")
     wanted = ranged.groupBy("r").agg(F.min("low").alias("least"), F.sort_array(F.collect_list(F.struct("low", "high", "other_r"))).alias("positives"))
     n_anchors = d.where(is_anchor).groupBy("dim").agg(F.count("*").alias("anchors"))
     seek = d.where(is_anchor).drop("bucket", "group").join(wanted, "r").join(F.broadcast(n_anchors), "dim")

@@ -28,7 +28,7 @@ from .common import stash
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 BITS = 1 << 27  # of the table of frequent n-grams, at most
-HELD = 1 << 20  # n-grams that a task holds before it sums them
+HELD = 1 << 18  # n-grams that a task holds before it sums them
 U = vec.U
 
 _LOW = np.arange(256, dtype=np.uint8)
@@ -86,13 +86,13 @@ class Grams:
 
 
 def _summed(cols: list[np.ndarray]) -> list[np.ndarray]:
-    """(seed, n, fp, count, least and greatest second fingerprint, row key, offset), once for each fingerprint."""
+    """(seed, n, fp, count, least and greatest second fingerprint, row key, offset), summed by fingerprint; where seeds or sizes share one, in parts."""
     seed, n, fp, c, lo, hi, k, at = cols
-    order = np.lexsort((fp, n, seed)) if len(np.unique(seed)) > 1 or len(np.unique(n)) > 1 else np.argsort(fp, kind="stable")
+    order = np.argsort(fp, kind="stable")
     seed, n, fp = seed[order], n[order], fp[order]
     new = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (n[1:] != n[:-1]) | (seed[1:] != seed[:-1])]))
     first = order[new]
-    return [seed[new], n[new], fp[new], np.add.reduceat(c[order], new), np.minimum.reduceat(lo[order], new), np.maximum.reduceat(hi[order], new), k[first], at[first]]
+    return [seed[new], n[new], fp[new], np.add.reduceat(c[order], new, dtype=np.int64), np.minimum.reduceat(lo[order], new), np.maximum.reduceat(hi[order], new), k[first], at[first]]
 
 
 _NAMES = ["seed", "n", "fp", "c", "lo", "hi", "k", "at"]
@@ -124,7 +124,7 @@ def _counts(docs: DataFrame, sizes: list[int], below: int, table: bytes | None,
                     at = g.kept(n, below, bits)
                     if len(at):
                         h2 = (g.fp(n, True)[at] >> U(33)).astype(np.int32)
-                        raw.append([g.seed[at], np.full(len(at), n, np.int32), g.fp(n)[at], np.ones(len(at), np.int64), h2, h2, keys[g.row[at]], (g.s[at] - offs[g.row[at]]).astype(np.int32)])
+                        raw.append([g.seed[at], np.full(len(at), n, np.int8), g.fp(n)[at], np.ones(len(at), np.int32), h2, h2, keys[g.row[at]], (g.s[at] - offs[g.row[at]]).astype(np.int32)])
                         n_raw += len(at)
                 if n_raw >= HELD:
                     done.append(_summed([np.concatenate(x) for x in zip(*raw, strict=True)]))
@@ -140,9 +140,9 @@ def _counts(docs: DataFrame, sizes: list[int], below: int, table: bytes | None,
     return docs.select("k", "seed", "t").mapInArrow(run, _KIND)
 
 
-def _frequent(counts: DataFrame, least: int) -> DataFrame:
-    summed = counts.groupBy("seed", "n", "fp").agg(F.sum("c").alias("a"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(F.struct("k", "at")).alias("p"))
-    return summed.where(F.col("a") >= least)
+def _total(counts: DataFrame) -> DataFrame:
+    """Both parts of a pointer are those of the first row; `_cut_out` holds them against the fingerprint."""
+    return counts.groupBy("seed", "n", "fp").agg(F.sum("c").alias("a"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("k").alias("k"), F.first("at").alias("at"))
 
 
 def _bit_table(frequent: DataFrame, bits: int) -> bytes:
@@ -185,9 +185,9 @@ def _cut(low: bytes, at: int, n: int) -> str:
     return b" ".join(pattern.match(low, at).group().split()).decode()
 
 
-def _cut_out(docs: DataFrame, frequent: DataFrame, small: bool) -> DataFrame:
+def _cut_out(docs: DataFrame, frequent: DataFrame, small: bool, width: int) -> DataFrame:
     """(seed, n, phrase, a) of the frequent n-grams, cut out of the texts at their pointers."""
-    by_text = frequent.select(F.col("p.k").alias("k"), F.struct("seed", "n", "fp", "a", F.col("p.at").alias("at")).alias("g")).groupBy("k").agg(F.collect_list("g").alias("gs"))
+    by_text = frequent.select("k", F.struct("seed", "n", "fp", "a", "at").alias("g")).groupBy("k").agg(F.collect_list("g").alias("gs"))
     met = docs.select("k", "t").join(F.broadcast(by_text) if small else by_text, "k")
 
     def run(batches):
@@ -196,7 +196,12 @@ def _cut_out(docs: DataFrame, frequent: DataFrame, small: bool) -> DataFrame:
             texts, lists = b.column("t"), b.column("gs")
             for r in range(b.num_rows):
                 low = texts[r].as_py().encode().translate(_LOW.tobytes())
-                out += [(x["seed"], x["n"], x["fp"], x["a"], _cut(low, x["at"], x["n"])) for x in lists[r].as_py()]
+                for x in lists[r].as_py():
+                    phrase = _cut(low, x["at"], x["n"])
+                    own = np.frombuffer(phrase.encode(), np.uint8)
+                    if Grams(own, np.array([0, len(own)]), np.array([x["seed"]]).view(U), width).fp(x["n"]).view(np.int64)[0] != x["fp"]:
+                        raise ValueError("a pointer doesn't lead to its fingerprint")
+                    out.append((x["seed"], x["n"], x["fp"], x["a"], phrase))
             cols = list(zip(*out, strict=True)) or [()] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["seed", "n", "fp", "a", "phrase"])
@@ -215,7 +220,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     if "doc_id" in docs.columns:  # copies of one text get keys of their own
         d = docs.select(lang.alias("lang"), F.xxhash64(lang).alias("seed"), text.alias("t"), F.xxhash64(text, lang, "doc_id").alias("k"))
     one = _counts(d, [1], 1, None, width)
-    one = stash(one.groupBy("seed", "n", "fp").agg(F.sum("c").alias("a"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(F.struct("k", "at")).alias("p")), "phrase-words")
+    one = stash(_total(one), "phrase-words")
     names = d.select("lang", "seed").distinct()
     totals = one.groupBy("seed").agg(F.sum("a").alias("n")).join(names, "seed").select("lang", "seed", "n")
     levels = [one.where(F.col("a") >= least)]
@@ -223,13 +228,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     while done < longest:
         sizes = [done + 1] if done < 3 else list(range(done + 1, longest + 1))
         table = _bit_table(levels[-1].where(F.col("n") == done), bits)
-        levels.append(stash(_frequent(_counts(d, sizes, done, table, width), least), f"phrase-{sizes[0]}"))
+        levels.append(stash(_total(_counts(d, sizes, done, table, width)).where(F.col("a") >= least), f"phrase-{sizes[0]}"))
         done = sizes[-1]
     every = levels[0]
     for x in levels[1:]:
         every = every.unionByName(x)
     clean, mixed = every.where("lo = hi"), every.where("lo <> hi")
-    out = _cut_out(d, clean, clean.count() <= broadcast_rows)
+    out = _cut_out(d, clean, clean.count() <= broadcast_rows, width)
     if mixed.limit(1).count():
         out = out.unionByName(_recounted(d, mixed, 1, list(range(1, longest + 1)), width, bits).where(F.col("a") >= least))
     phrases = out.join(F.broadcast(names) if names.count() <= 1000 else names, "seed").select("lang", F.col("n").alias("size"), "phrase", "a")
