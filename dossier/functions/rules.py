@@ -159,10 +159,24 @@ CHAPTERS: dict[str, dict] = {
 EVENT_HEADINGS = ["设立", "成立", "增资", "股权转让", "股份转让", "整体变更", "改制", "减资", "资本公积转增", "股本变更", "注册资本变更"]
 REQUIRED_CHAPTERS = ["equity_history", "shareholders"]
 # Bonuses and limits of the choice of chapters; rank of a source, best first.
-CHOICE = {"toc": 0.06, "context": 0.08, "broad": 0.10, "narrow": 0.18, "late": 0.12, "single": 0.08, "section": 0.24, "pages": 45, "sibling_gap": 15, "cluster_gap": 10}
+CHOICE = {"sibling": 0.12, "cluster": 0.14, "toc": 0.06, "context": 0.08, "broad": 0.10, "narrow": 0.18, "late": 0.12, "single": 0.08, "section": 0.24, "pages": 45, "sibling_gap": 15, "cluster_gap": 10}
 SOURCES = ["ISSUER_MASTER_SECTION", "HEADING_SECTION", "SIBLING_GROUP", "EVENT_CLUSTER", "EVENT_WINDOW"]
 
 
+# How the issuer's own section is told, and the events and texts by which a range of pages is a history of equity.
+MASTER = {"aliases": ["发行人基本情况", "公司基本情况", "发行人情况"], "scan": 24, "context": ["注册资本", "法定代表人", "成立时间", "发行人的设立", "股本", "股东"], "minimum": 2, "ahead": 3, "cap": 120}
+WINDOW = {
+    "categories": {
+        "establishment": ["有限公司设立", "股份公司设立", "公司设立", "发起设立"], "capital_increase": ["增资", "增加注册资本", "新增注册资本"], "equity_transfer": ["股权转让", "股份转让", "受让股权"],
+        "overall_change": ["整体变更", "整体改制", "变更为股份有限公司"], "capital_change": ["注册资本变更", "股本变更", "减资", "资本公积转增"],
+    },
+    "least_categories": 2, "least_dates": 2, "gap": 2, "before": 0, "after": 1, "cap": 20,
+    "exclude": ["审核问询函回复", "审核问询回复", "补充法律意见书", "法律意见书", "核查意见", "专项说明"],
+    "static": ["发行人股本情况", "本次发行前后的股本结构", "本次发行前后股本结构", "本次发行前后的股本情况", "发行前后股本结构"],
+}
+NOT_SHAREHOLDERS = ["股本和股东变化", "股东变化", "股本变化", "股本演变", "股权演变", "历史沿革", "设立以来"]
+
+
 def read_chapter_rules(spark: SparkSession, path: str) -> dict[str, dict]:
     """Chapter types of a JSON document of the form of CHAPTERS; lists that a type leaves out are empty."""
     given = json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))  # one document

@@ -1,4 +1,6 @@
-"""Headings and their hierarchy (inventory rows D1-D14) and chapter ranges."""
+"""Headings and their hierarchy (inventory rows D1-D14), and of the chapter ranges clipping, printed numbers, direct candidates, bands and reviews.
+
+The issuer's section, the other sources of candidates, their choice and a batch's figures are in chapters.py."""
 
 from __future__ import annotations
 
@@ -6,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dossier.functions.rules import CHAPTERS, CHOICE, EVENT_HEADINGS, SOURCES
+from dossier.functions.rules import CHAPTERS, CHOICE
 from dossier.functions.text import any_of, norm
 
-from .islands import islands, parent, section_end
+from .islands import parent, section_end
 
 # Numbering of headings by level.
 _N = "一二三四五六七八九十百"
@@ -95,9 +97,10 @@ def headings(lines: DataFrame, repeated: DataFrame, chapters: dict = CHAPTERS) -
     """Kept headings with class, matched types and score. lines: company_id, pdf_page, line_index, line, is_toc."""
     u = heading_units(lines).withColumn("flat", norm(F.col("raw")))
     core = strip_numbering(F.when(F.col("is_toc"), strip_toc(F.col("flat"))).otherwise(F.col("flat")))
-    u = u.select("*", level_of(F.col("flat")).alias("level"), core.alias("core"), norm(F.col("line")).alias("own")).where(title_like(F.col("core")))
-    u = u.join(repeated.select("company_id", F.col("line").alias("own"), F.col("pages").alias("repeats")), ["company_id", "own"], "left")
-    u = u.withColumn("types", match_types(F.col("core"), chapters)).withColumn("top", F.col("line_index") < PAGE_TOP)
+    # a generator, as a filter would be pushed below the projection and hold the title's expression once for each of its mentions
+    titles = F.transform(F.filter(F.array(core), lambda c: title_like(c)), lambda c: F.struct(c.alias("core"), match_types(c, chapters).alias("types")))
+    u = u.select("*", level_of(F.col("flat")).alias("level"), norm(F.col("line")).alias("own"), F.explode(titles).alias("_t")).select("*", "_t.core", "_t.types").drop("_t")
+    u = u.join(repeated.select("company_id", F.col("line").alias("own"), F.col("pages").alias("repeats")), ["company_id", "own"], "left").withColumn("top", F.col("line_index") < PAGE_TOP)
     alias = F.exists("types", lambda t: t["alias"])
     trigger = F.exists("types", lambda t: t["trigger"])
     kind = (
@@ -187,15 +190,6 @@ def scope_adjustment(core: Column, kind: Column, span: Column, page: Column, pag
 # --- ranges ------------------------------------------------------------------------------------------------------------
 
 
-def master_section(h: DataFrame, page_counts: DataFrame, alias: str, cap: int = 120) -> DataFrame:
-    """A company's best heading of level 0 that holds the alias, up to the page before the next level-0 heading, capped."""
-    s = h.where("level = 0").join(page_counts, "company_id")
-    nxt = F.lead("pdf_page").over(W.partitionBy("company_id").orderBy("pdf_page", "line_index", "merged"))
-    s = s.withColumn("stop", F.least(F.greatest("pdf_page", F.coalesce(nxt - 1, "page_count")), F.col("pdf_page") + cap - 1)).where(F.col("core").contains(alias))
-    r = F.row_number().over(W.partitionBy("company_id").orderBy(F.desc("score"), "pdf_page", "line_index"))
-    return s.withColumn("r", r).where("r = 1").select("company_id", F.col("pdf_page").alias("start_page"), F.col("stop").alias("end_page"))
-
-
 def clip(ranges: DataFrame, master: DataFrame) -> DataFrame:
     """Ranges that start in the master section, cut at its end."""
     m = master.select("company_id", F.col("start_page").alias("ms"), F.col("end_page").alias("me"))
@@ -213,11 +207,6 @@ def with_printed(ranges: DataFrame, numbers: DataFrame) -> DataFrame:
     return out.withColumn("review_reasons", why).drop("_start_ok", "_end_ok")
 
 
-def master_candidates(master: DataFrame, score: Column) -> DataFrame:
-    """A company's master section as a candidate range of its overview."""
-    return master.select("company_id", F.lit("issuer_overview").alias("type"), F.lit("ISSUER_MASTER_SECTION").alias("source"), "start_page", "end_page", score.alias("score"), F.lit(None).cast("int").alias("heading_no"))
-
-
 def direct_candidates(tree: DataFrame, support: DataFrame, page_counts: DataFrame, chapters: dict = CHAPTERS) -> DataFrame:
     """Each enriched body heading as a candidate of each of its types: its score with bonuses for contents entries, context and scope, within 0 and 1."""
     d = tree.select("*", F.explode("types").alias("type")).join(support, ["company_id", "heading_no", "type"], "left").join(page_counts, "company_id")
@@ -226,60 +215,15 @@ def direct_candidates(tree: DataFrame, support: DataFrame, page_counts: DataFram
     score = F.col("score") + F.when(toc > 0, CHOICE["toc"]).otherwise(0.0) + F.when(context > 0, CHOICE["context"]).otherwise(0.0) + adjust
     return d.select(
         "company_id", "type", F.lit("HEADING_SECTION").alias("source"), F.col("pdf_page").alias("start_page"), "end_page", F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)), 3).alias("score"), "heading_no",
-        toc.alias("toc_support"), context.alias("context_support"),
+        toc.alias("toc_support"), context.alias("context_support"), "parent_no", "level", F.col("raw").alias("title"),
     )
 
 
-def event_clusters(tree: DataFrame, gap: int = CHOICE["cluster_gap"], chapters: dict = CHAPTERS) -> DataFrame:
-    """Enriched headings that name an event, with two words of equity history in their section: clusters of them as in E8, with the best member's score."""
-    rule = chapters["equity_history"]
-    hits = F.coalesce(F.col("context")["equity_history"], F.lit(0))
-    e = tree.where(F.col("core").rlike(any_of(EVENT_HEADINGS)) & ~F.col("core").rlike(any_of(rule["exclude"])) & (hits >= 2))
-    e = e.withColumn("score", F.round(F.least(F.lit(0.78), F.lit(0.52) + F.least(hits, F.lit(6)) * 0.04), 3))
-    return sibling_clusters(e, gap)
-
-
-def source_rank(source: Column) -> Column:
-    """The place of a source in the order of trust."""
-    return F.array_position(F.array(*[F.lit(x) for x in SOURCES]), source)
-
-
-def sibling_clusters(h: DataFrame, gap: int = 15) -> DataFrame:
-    """Headings under one parent (or of one level) whose starts follow the end before by at most `gap` pages, two at least."""
-    g = h.withColumn("_p", F.coalesce(F.concat(F.lit("p"), "parent_no"), F.concat(F.lit("l"), "level"), F.lit("-")))
-    i = islands(g, ["company_id", "_p"], ["pdf_page", "line_index"], "pdf_page", "end_page", gap)
-    out = i.groupBy("company_id", "_p", "island").agg(F.min("pdf_page").alias("start_page"), F.max("end_page").alias("end_page"), F.max("score").alias("score"), F.count(F.lit(1)).alias("members"))
-    return out.where("members >= 2").withColumnRenamed("_p", "parent_key")
-
-
-def event_windows(seeds: DataFrame, page_counts: DataFrame, gap: int = 2, cap: int = 20) -> DataFrame:
-    """Runs of seed pages with gaps of two at most, one page longer, capped. seeds: company_id, pdf_page, dates, categories."""
-    i = islands(seeds, ["company_id"], ["pdf_page"], "pdf_page", "pdf_page", gap)
-    g = i.groupBy("company_id", "island").agg(F.min("pdf_page").alias("start_page"), F.max("pdf_page").alias("last"), F.sum("dates").alias("dates"), F.sum("categories").alias("categories"))
-    return g.join(page_counts, "company_id").select("company_id", "island", "start_page", F.least(F.col("last") + 1, "page_count", F.col("start_page") + cap - 1).alias("end_page"), "dates", "categories")
-
-
-def top_candidates(candidates: DataFrame, k: int = 3) -> DataFrame:
-    """The best of equal (start, end, type), then the k best of a type; the first is primary."""
-    w = W.partitionBy("company_id", "type", "start_page", "end_page").orderBy("source_rank", F.desc("score"))
-    one = candidates.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
-    w = W.partitionBy("company_id", "type").orderBy(F.desc("score"), "source_rank", "start_page", "end_page")
-    return one.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).withColumn("is_primary", F.col("rank") == 1)
-
-
 def confidence_band(score: Column) -> Column:
     """E12."""
     return F.when(score >= 0.85, "HIGH").when(score >= 0.65, "MEDIUM").otherwise("LOW")
 
 
-def union_sources(*tables: DataFrame) -> DataFrame:
-    """E13."""
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t, allowMissingColumns=True)
-    return out
-
-
 def review_ranges(top: DataFrame, companies: DataFrame, required: list[str], margin: float = 0.08, numbers: DataFrame | None = None) -> DataFrame:
     """Required types that a company lacks, primaries whose rival is within the margin, and companies with unnumbered pages in a required primary range."""
     need = companies.select("company_id", F.explode(F.array(*[F.lit(t) for t in required])).alias("type"))

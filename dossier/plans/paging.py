@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from dossier.functions import rules as h_rules
 from dossier.functions.text import clean_title, date_key, dense_split, format_printed, lines_of, match_context, norm, printed_page
+from dossier.operators import chapters as c
 from dossier.operators import headings as h
 from dossier.operators import pages as p
 
-from .views import PAGES, plain, view
+from .views import PAGES, plain, stage, view
 
 # A page for each order line: headers, headings, dated rows, printed numbers in five styles.
 FILING = """
@@ -22,6 +23,17 @@ select company_id, pdf_page, concat(
 from (select lpad(cast(l_suppkey % 50 as string), 6, '0') as company_id, cast(row_number() over (partition by l_suppkey % 50 order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) as int) as pdf_page,
   cast(l_partkey % 97 as int) as k, year(l_shipdate) as y from {lineitem}) q
 """
+# A page for each order line of many short filings: contents, the issuer's section and the next one every forty pages, headings and events between.
+FILED = """
+select company_id, pdf_page, concat(
+    case pdf_page % 40 when 2 then concat('目录', chr(10), '第五节 发行人基本情况', '........', '2', chr(10), '一、发行人的设立及历次股本变化....3') when 4 then '第五节 发行人基本情况' when 33 then '第六节 业务与技术' else '某某股份有限公司' end, chr(10),
+    case k % 9 when 0 then '一、发行人的设立及历次股本变化' when 1 then '（一）历次股权转让情况' when 2 then '3、历次增资情况' when 3 then '（二）发行人股东情况' when 4 then '二、发行人的股权结构' when 5 then '（三）整体变更情况' when 6 then '2、主要股东情况' when 7 then '一般内容' else '（四）发行人股本情况' end, chr(10),
+    case when k % 6 = 5 then '' else concat(cast(y as string), '年', cast(1 + k % 12 as string), '月，') end, case k % 5 when 0 then '公司增加注册资本' when 1 then '股权转让' when 2 then '整体变更为股份有限公司' when 3 then '董事会审议' else '减资' end, '。', chr(10),
+    case k % 4 when 0 then '注册资本与法定代表人，成立时间' when 1 then '持股数量、持股比例、股东名称、控股股东' when 2 then '验资报告，工商变更，股份转让，增资' else '其他' end, case when k % 53 = 7 then '，补充法律意见书' else '' end,
+    case when pdf_page % 4 > 0 then concat(chr(10), '1-1-', cast(pdf_page - 1 as string)) else '' end) as text
+from (select lpad(cast(l_orderkey % 1500 as string), 6, '0') as company_id, cast(row_number() over (partition by l_orderkey % 1500 order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) as int) as pdf_page,
+  cast(l_partkey % 997 as int) as k, year(l_shipdate) as y from {lineitem}) q
+"""
 LINES = f"""pg as ({plain(FILING)}), raw as (select company_id, pdf_page, unnest(string_split(text, chr(10))) as l0, unnest(range(len(string_split(text, chr(10))))) as i0 from pg),
 ln as (select company_id, pdf_page, trim(l0) as line, (row_number() over (partition by company_id, pdf_page order by i0) - 1)::int as line_index from raw where trim(l0) <> ''),
 pc as (select company_id, count(*)::int as page_count from pg group by company_id),
@@ -66,6 +78,70 @@ def _tree(spark, d):
     return h.hierarchy(_headings(spark, d), _counts(spark, d))
 
 
+# --- stages of the filings of FILED: each is written once for a data set and session, and read by the queries after it ------
+
+
+def _staged(spark, d, name, build):
+    return stage(spark, d, f"chapters-{name}", build)
+
+
+def _filed_pages(spark, d):
+    def build():
+        pages = view(spark, d, FILED).withColumn("lines", lines_of(F.col("text")))
+        return h.toc_flags(pages).withColumn("page_count", F.max("pdf_page").over(W.partitionBy("company_id")))
+
+    return _staged(spark, d, "pages", build)
+
+
+def _filed_counts(spark, d):
+    return _filed_pages(spark, d).groupBy("company_id").agg(F.max("page_count").alias("page_count"))
+
+
+def _filed_numbers(spark, d):
+    def build():
+        pages = p.page_features(_filed_pages(spark, d).drop("lines", "is_toc", "toc_signals"))
+        n = p.confirm_weak(p.initial_numbers(pages, p.page_number_candidates(pages)))
+        return p.fill_numbers(n, p.page_segments(n))
+
+    return _staged(spark, d, "numbers", build)
+
+
+def _filed_headings(spark, d):
+    def build():
+        pages = _filed_pages(spark, d)
+        return h.headings(pages.select("company_id", "pdf_page", "is_toc", F.posexplode("lines").alias("line_index", "line")), p.repeated_edge_lines(pages))
+
+    return _staged(spark, d, "headings", build)
+
+
+def _filed_tree(spark, d):
+    def build():
+        return h.enriched(h.hierarchy(_filed_headings(spark, d), _filed_counts(spark, d)), _filed_pages(spark, d))
+
+    return _staged(spark, d, "tree", build)
+
+
+def _filed_master(spark, d):
+    return _staged(spark, d, "master", lambda: c.master_sections(_filed_pages(spark, d), _filed_counts(spark, d)))
+
+
+def _filed_signals(spark, d):
+    return _staged(spark, d, "signals", lambda: c.page_signals(_filed_pages(spark, d)))
+
+
+def _filed_candidates(spark, d):
+    def build():
+        hs, tree = _filed_headings(spark, d), _filed_tree(spark, d)
+        direct = h.direct_candidates(tree, h.toc_support(hs), _filed_counts(spark, d))
+        return c.all_candidates(direct, tree, _filed_signals(spark, d), _filed_master(spark, d), hs)
+
+    return _staged(spark, d, "candidates", build)
+
+
+def _filed_chosen(spark, d):
+    return _staged(spark, d, "chosen", lambda: c.top_candidates(_filed_candidates(spark, d).withColumn("source_rank", c.source_rank(F.col("source")))))
+
+
 def document_readiness(spark, d):
     pages = view(spark, d, PAGES)
     n = pages.groupBy("company_id").agg(F.max("pdf_page").alias("pages"))
@@ -154,26 +230,40 @@ def heading_tree(spark, d):
 
 
 def master_sections(spark, d):
-    return h.master_section(_headings(spark, d), _counts(spark, d), "公司基本情况")
+    m = c.master_sections(_flagged(spark, d), _counts(spark, d))
+    return m.select("company_id", "status", "start_page", "end_page", "title", "context_support", "confidence", "review_reason")
+
+
+def issuer_sections(spark, d):
+    return _filed_master(spark, d).select("company_id", "status", "start_page", "end_page", "title", "evidence_line", "context_support", "confidence", "review_reason")
 
 
 def clipped_ranges(spark, d):
-    t = _tree(spark, d).where("level = 2").select("company_id", "heading_no", F.col("pdf_page").alias("start_page"), "end_page")
-    return h.clip(t, master_sections(spark, d)).select("company_id", "heading_no", "start_page", "end_page")
+    t = _filed_tree(spark, d).select("company_id", "heading_no", F.col("pdf_page").alias("start_page"), "end_page")
+    return h.clip(t, c.found_sections(_filed_master(spark, d))).select("company_id", "heading_no", "start_page", "end_page")
+
+
+def _as_members(tree):
+    return tree.select("company_id", F.lit("any").alias("type"), F.col("pdf_page").alias("start_page"), "end_page", "score", "heading_no", F.col("raw").alias("title"), "parent_no", F.lit(None).cast("string").alias("parent_title"), "level", F.lit(0).alias("toc_support"), F.lit(0).alias("context_support"))
 
 
 def sibling_clusters(spark, d):
-    return h.sibling_clusters(_tree(spark, d)).select("company_id", "parent_key", "start_page", "end_page", "members")
+    return c.grouped(_as_members(_tree(spark, d)), 15, 0.12, "SIBLING_GROUP").select("company_id", "parent_key", "start_page", "end_page", "members")
+
+
+def page_signals(spark, d):
+    x = _filed_signals(spark, d)
+    return x.select("company_id", "pdf_page", F.array_join("categories", ",").alias("categories"), F.array_join("dates", ",").alias("dates"), F.array_join("excluded", ",").alias("excluded"))
 
 
 def event_windows(spark, d):
-    seeds = _pages(spark, d).where("text like '%历次%'").select("company_id", "pdf_page", F.lit(1).alias("dates"), F.lit(1).alias("categories"))
-    return h.event_windows(seeds, _counts(spark, d)).select("company_id", "start_page", "end_page", "dates", "categories")
+    w = c.event_windows(_filed_signals(spark, d), _filed_master(spark, d))
+    return w.select("company_id", "start_page", "end_page", "score", F.array_join("categories", ",").alias("categories"), F.size("dates").alias("dates"))
 
 
 def top_ranges(spark, d):
-    c = _tree(spark, d).select("company_id", F.explode("types").alias("type"), F.col("pdf_page").alias("start_page"), "end_page", F.lit(1).alias("source_rank"), "score")
-    t = h.top_candidates(c)
+    x = _tree(spark, d).select("company_id", F.explode("types").alias("type"), F.col("pdf_page").alias("start_page"), "end_page", F.lit(1).alias("source_rank"), "score")
+    t = c.top_candidates(x)
     return t.select("company_id", "type", "start_page", "end_page", "score", "rank", "is_primary", h.confidence_band(F.col("score")).alias("band"))
 
 
@@ -199,29 +289,42 @@ def direct_candidates(spark, d):
 
 
 def event_heading_clusters(spark, d):
-    return h.event_clusters(_enriched(spark, d), 2).select("company_id", "parent_key", "start_page", "end_page", "score", "members")
+    m = c.event_members(_enriched(spark, d)).withColumn("parent_title", F.lit(None).cast("string"))
+    return c.grouped(m, 2, 0.14, "EVENT_CLUSTER").select("company_id", "parent_key", "start_page", "end_page", "score", "members")
 
 
-def _chosen(spark, d):
-    m = h.master_candidates(master_sections(spark, d), F.lit(0.8))
-    every = h.union_sources(m, _direct(spark, d))
-    return h.top_candidates(every.withColumn("source_rank", h.source_rank(F.col("source"))))
+def chapter_candidates(spark, d):
+    x = _filed_candidates(spark, d)
+    return x.select("company_id", "type", "source", "start_page", "end_page", "score", "title", F.array_join("supporting_headings", ",").alias("supporting"), "toc_support", "context_support")
 
 
 def chosen_ranges(spark, d):
-    n = _numbers(spark, d)
-    c = h.with_printed(_chosen(spark, d), p.fill_numbers(n, p.page_segments(n)))
-    return c.select("company_id", "type", "source", "start_page", "end_page", "score", "rank", F.col("start_printed.number").alias("start_number"), F.col("end_printed.number").alias("end_number"), F.size("review_reasons").alias("reasons"))
+    x = h.with_printed(_filed_chosen(spark, d), _filed_numbers(spark, d))
+    return x.select("company_id", "type", "source", "start_page", "end_page", "score", "rank", F.col("start_printed.number").alias("start_number"), F.col("end_printed.number").alias("end_number"), F.size("review_reasons").alias("reasons"))
+
+
+def _filed_reviews(spark, d):
+    return h.review_ranges(_filed_chosen(spark, d), _filed_counts(spark, d), h_rules.REQUIRED_CHAPTERS, 0.08, _filed_numbers(spark, d))
 
 
 def range_reviews(spark, d):
-    n = _numbers(spark, d)
-    return h.review_ranges(_chosen(spark, d), _counts(spark, d), h_rules.REQUIRED_CHAPTERS, 0.08, p.fill_numbers(n, p.page_segments(n)))
+    return _filed_reviews(spark, d)
 
 
 def required_coverage(spark, d):
-    n = _numbers(spark, d)
-    return h.required_coverage(_chosen(spark, d).where("is_primary"), p.fill_numbers(n, p.page_segments(n)), h_rules.REQUIRED_CHAPTERS)
+    return h.required_coverage(_filed_chosen(spark, d).where("is_primary"), _filed_numbers(spark, d), h_rules.REQUIRED_CHAPTERS)
+
+
+def _filed_figures(spark, d):
+    return c.company_figures(_filed_numbers(spark, d), _filed_headings(spark, d), _filed_chosen(spark, d), _filed_reviews(spark, d), _filed_master(spark, d))
+
+
+def chapter_figures(spark, d):
+    return _filed_figures(spark, d)
+
+
+def chapter_batch(spark, d):
+    return c.batch_figures(_filed_figures(spark, d), expected=1500)
 
 
 RANGES = "select distinct lpad(cast(l_suppkey % 50 as string), 6, '0') as company_id, cast(l_suppkey % 3 as int) as range_id, cast(1 + l_suppkey % 3 * 7 as int) as start_page, cast(4 + l_suppkey % 3 * 7 as int) as end_page from {lineitem}"
@@ -297,9 +400,18 @@ hd as (select company_id, pdf_page, line_index, merged, raw, core, level, headin
 bd as (select hd.*, page_count from hd join pc using (company_id) where heading_class = 'BODY_HEADING'),
 tree as (select b.company_id, b.heading_no, b.core, b.page_count, b.pdf_page, b.line_index, b.level, b.types, b.score, (select max(c.heading_no) from bd c where c.company_id = b.company_id and c.heading_no < b.heading_no and b.level is not null and (c.level is null or c.level < b.level)) as parent_no,
   greatest(b.pdf_page, coalesce((select arg_min(c.pdf_page, c.heading_no) from bd c where c.company_id = b.company_id and c.heading_no > b.heading_no and (b.level is null or c.level <= b.level)) - 1, b.page_count)) as end_page from bd b),
-ms0 as (select *, lead(pdf_page) over (partition by company_id order by heading_no) as np from hd where level = 0),
-ms1 as (select ms0.*, least(greatest(pdf_page, coalesce(np - 1, page_count)), pdf_page + 119) as stop from ms0 join pc using (company_id)),
-ms as (select company_id, pdf_page as start_page, stop as end_page from (select *, row_number() over (partition by company_id order by score desc, pdf_page, line_index) as r from ms1 where contains(core, '公司基本情况')) where r = 1)"""
+ml as (select company_id, pdf_page, line_index, line, regexp_extract(translate(flat, '—–－﹣', '----'), '第[一二三四五六七八九十百\\d]+节.*$', 0) as tail from fl join tc using (company_id, pdf_page) where line_index < 24 and not (t1 or t2)),
+ml1 as (select *, regexp_matches(tail, '发行人基本情况|公司基本情况|发行人情况') as own from ml where tail <> ''),
+pt as (select company_id, pdf_page, string_agg(translate(flat, '—–－﹣', '----'), '' order by line_index) as t from fl group by all),
+sp as (select o.company_id, o.pdf_page, string_agg(t, '' order by pt.pdf_page) as t from (select distinct company_id, pdf_page from ml1 where own) o join pt on pt.company_id = o.company_id and pt.pdf_page between o.pdf_page and o.pdf_page + 3 group by all),
+sc as (select ml1.*, page_count, contains(t, '注册资本')::int + contains(t, '法定代表人')::int + contains(t, '成立时间')::int + contains(t, '发行人的设立')::int + contains(t, '股本')::int + contains(t, '股东')::int as support from ml1 join pc using (company_id) join sp using (company_id, pdf_page) where own),
+s1 as (select *, round(least(1.0, 0.70 + least(support, 5) * 0.05 + case when support >= 2 then 0.05 else 0 end + case when pdf_page <= floor(page_count * 0.5) then 0.05 else 0 end), 3)::double as score from sc),
+s2 as (select * from s1 qualify row_number() over (partition by company_id order by score desc, pdf_page, line_index) = 1),
+nx as (select s2.company_id, min(ml1.pdf_page) as np from s2 join ml1 on ml1.company_id = s2.company_id and ml1.pdf_page > s2.pdf_page and not ml1.own and ml1.tail <> s2.tail group by 1),
+ms as (select pc.company_id, case when s2.pdf_page is null then 'NOT_FOUND' when np is null then 'CAPPED_BY_MAX_SPAN' else 'CONFIRMED_BY_NEXT_MAJOR_SECTION' end as status, s2.pdf_page as start_page,
+  case when s2.pdf_page is null then null when np is null then least(pc.page_count, s2.pdf_page + 119) else greatest(s2.pdf_page, np - 1) end as end_page, tail as title, line as evidence_line, coalesce(support, 0) as context_support, coalesce(score, 0)::double as confidence,
+  case when s2.pdf_page is null then '未找到“第X节 发行人基本情况”正文大章节' when support < 2 then '大章节标题已找到，但相邻页上下文支持较弱' when np is null then '未找到下一个大章节标题，结束页按最大跨度截断' end as review_reason
+  from pc left join s2 using (company_id) left join nx using (company_id))"""
 
 _KW = ", ".join(f"('{k}', '{x}', {r['minimum']})" for k, r in h_rules.CHAPTERS.items() for x in r["context"])
 _CH = ", ".join(f"('{k}', '{'|'.join(r['anchors']) or '#'}', '{'|'.join(r['exclude']) or '#'}', '{'|'.join(r['broad']) or '#'}', '{'|'.join(r['narrow']) or '#'}', {r['minimum']})" for k, r in h_rules.CHAPTERS.items())
@@ -312,11 +424,63 @@ en as (select *, least(1.0, score + 0.24 * count(*) filter (won) over (partition
 ks as (select company_id, heading_no, heading_class, unnest(types) as type, core, core as key from hd union all select company_id, heading_no, heading_class, unnest(types), core, alias from hd, al where contains(core, alias) and length(core) - length(alias) <= 8),
 tk as (select b.company_id, b.heading_no, b.type, count(distinct t.heading_no) as toc_support from ks b left join ks t on t.company_id = b.company_id and t.type = b.type and t.key = b.key and t.heading_class = 'TOC_ENTRY' where b.heading_class = 'BODY_HEADING' group by all),
 dc as (select en.company_id, en.type, pdf_page as start_page, end_page, heading_no, coalesce(toc_support, 0) as toc_support, n as context_support, round(least(1.0, greatest(0.0, rich + case when toc_support > 0 then 0.06 else 0 end + case when n > 0 then 0.08 else 0 end + case when regexp_matches(core, broad) then 0.1 else 0 end - case when regexp_matches(core, narrow) then 0.18 else 0 end
-  - case when end_page - pdf_page < 1 then 0.08 else 0 end - case when pdf_page > floor(page_count * 0.75) then 0.12 else 0 end)), 3)::double as score from en left join tk using (company_id, heading_no, type) where (had or won) and not barred),
-un as (select company_id, 'issuer_overview' as type, 1 as rk, 'ISSUER_MASTER_SECTION' as source, start_page, end_page, 0.8::double as score from ms union all select company_id, type, 2, 'HEADING_SECTION', start_page, end_page, score from dc),
-o1c as (select *, row_number() over (partition by company_id, type, start_page, end_page order by rk, score desc) as o from un), tp as (select * from (select *, row_number() over (partition by company_id, type order by score desc, rk, start_page, end_page)::int as rank from o1c where o = 1) where rank <= 3)"""
+  - case when end_page - pdf_page < 1 then 0.08 else 0 end - case when pdf_page > floor(page_count * 0.75) then 0.12 else 0 end)), 3)::double as score from en left join tk using (company_id, heading_no, type) where (had or won) and not barred)"""
+# Candidates of five sources, from the tables of RICH. Values of their own: gaps of 15 and 10 pages, bonuses of 0.12 and 0.14, windows of 20 pages.
+_CLIP = lambda x: f"select x.* replace (least(x.end_page, ms.end_page) as end_page) from {x} x join ms on ms.company_id = x.company_id and x.start_page between ms.start_page and ms.end_page"
+_VALID = lambda x: f"""select * from {x} x where not coalesce(regexp_matches(title, '发行人股本情况|本次发行前后的股本结构|本次发行前后股本结构|本次发行前后的股本情况|发行前后股本结构'), false)
+  and exists (select 1 from (select count(distinct kind) as k, count(distinct day) as n, bool_or(barred) as b from sg1x where sg1x.company_id = x.company_id and sg1x.pdf_page between x.start_page and least(x.end_page, x.start_page + 19)) where k >= 2 and n >= 2 and not b)"""
+_HOLD = lambda x: f"select * from {x} where not coalesce(regexp_matches(title, '股本和股东变化|股东变化|股本变化|股本演变|股权演变|历史沿革|设立以来'), false)"
+
+
+def _group_sql(name: str, source: str, gap: int, bonus: float, label: str) -> str:
+    return f"""{name}0 as (select *, coalesce('p' || parent_no, 'l' || level, '-') as pk from {source}),
+{name}1 as (select *, coalesce((start_page - lag(end_page) over (partition by company_id, type, pk order by start_page, heading_no) > {gap})::int, 1) as nw from {name}0),
+{name}2 as (select *, sum(nw) over (partition by company_id, type, pk order by start_page, heading_no rows unbounded preceding) as isl from {name}1),
+{name} as (select company_id, type, '{label}' as source, min(start_page) as start_page, max(end_page) as end_page, round(least(1.0::double, max(score) + {bonus}::double), 3) as score,
+  coalesce(arg_min(parent_title, (start_page, heading_no)) filter (parent_title is not null), array_to_string((list(title order by start_page, heading_no))[1:3], '；')) as title, string_agg(heading_no::varchar, ',' order by start_page, heading_no) as supporting,
+  sum(toc_support)::bigint as toc_support, max(context_support) as context_support from {name}2 group by company_id, type, pk, isl having count(*) >= 2)"""
+
+
+FILED_RICH = RICH.replace(plain(FILING), plain(FILED))
+SIGNALS = """cy as (select * from (values ('establishment', '有限公司设立|股份公司设立|公司设立|发起设立'), ('capital_increase', '增资|增加注册资本|新增注册资本'), ('equity_transfer', '股权转让|股份转让|受让股权'), ('overall_change', '整体变更|整体改制|变更为股份有限公司'), ('capital_change', '注册资本变更|股本变更|减资|资本公积转增')) as q(kind, terms)),
+sg0x as (select pt.*, list_distinct(regexp_extract_all(t, '(?:19|20)\\d{2}年(?:\\d{1,2}月(?:\\d{1,2}日)?)?') || regexp_extract_all(t, '(?:19|20)\\d{2}[./-]\\d{1,2}(?:[./-]\\d{1,2})?')) as days, regexp_matches(t, '审核问询函回复|审核问询回复|补充法律意见书|法律意见书|核查意见|专项说明') as barred from pt),
+sg1x as (select company_id, pdf_page, null as kind, unnest(days) as day, false as barred from sg0x union all select company_id, pdf_page, kind, null, false from sg0x join cy on regexp_matches(t, terms) union all select company_id, pdf_page, null, null, true from sg0x where barred),
+sv as (select company_id, pdf_page, count(distinct kind) as kinds, count(distinct day) as days from sg1x group by all)"""
+FIVE = f"""{FILED_RICH}, {SIGNALS},
+dt as (select dc.*, 'HEADING_SECTION' as source, hd.raw as title, hd.level, tree.parent_no, up.raw as parent_title, dc.heading_no::varchar as supporting from dc join hd on hd.company_id = dc.company_id and hd.heading_no = dc.heading_no join tree on tree.company_id = dc.company_id and tree.heading_no = dc.heading_no
+  left join hd up on up.company_id = dc.company_id and up.heading_no = tree.parent_no),
+eq0 as (select * from dt where type = 'equity_history'), eq1 as ({_CLIP("eq0")}), eq as ({_VALID("eq1")}), sh0 as (select * from dt where type = 'shareholders'), sh1 as ({_CLIP("sh0")}), sh as ({_HOLD("sh1")}),
+{_group_sql("qg", "eq", 15, 0.12, "SIBLING_GROUP")}, qg3 as ({_CLIP("qg")}), {_group_sql("sg3", "sh", 15, 0.12, "SIBLING_GROUP")}, sg4 as ({_CLIP("sg3")}),
+em as (select en.company_id, 'equity_history' as type, en.pdf_page as start_page, en.end_page, round(least(0.78::double, 0.52::double + least(n, 6) * 0.04::double), 3) as score, en.heading_no, hd.raw as title, en.parent_no, en.level, 0 as toc_support, n as context_support, up.raw as parent_title
+  from en join hd on hd.company_id = en.company_id and hd.heading_no = en.heading_no left join hd up on up.company_id = en.company_id and up.heading_no = en.parent_no
+  where en.type = 'equity_history' and n >= 2 and not barred and regexp_matches(en.core, '设立|成立|增资|股权转让|股份转让|整体变更|改制|减资|资本公积转增|股本变更|注册资本变更')),
+{_group_sql("ec", "em", 10, 0.14, "EVENT_CLUSTER")}, ec3 as ({_CLIP("ec")}),
+w0 as (select sv.company_id, sv.pdf_page, ms.start_page as ms, ms.end_page as me from sv join ms on ms.company_id = sv.company_id and pdf_page between ms.start_page and ms.end_page where kinds > 0 and days > 0),
+w1 as (select *, coalesce((pdf_page - lag(pdf_page) over (partition by company_id order by pdf_page) > 2)::int, 1) as nw from w0), w2 as (select *, sum(nw) over (partition by company_id order by pdf_page rows unbounded preceding) as isl from w1),
+w3 as (select company_id, ms, me, min(pdf_page) as start_page, least(me, max(pdf_page) + 1, min(pdf_page) + 19) as end_page from w2 group by company_id, ms, me, isl),
+w4 as (select w3.company_id, ms, me, start_page, end_page, count(distinct kind) as k, count(distinct day) as n, bool_or(barred) as b, string_agg(distinct kind, ',' order by kind) as categories from w3 join sg1x on sg1x.company_id = w3.company_id and sg1x.pdf_page between start_page and end_page group by all),
+ew as (select company_id, start_page, end_page, categories, k, n as dates, round(least(0.61::double + 0.05::double * k + 0.012::double * least(n, 10) + greatest(0.0::double, 0.06::double - (start_page - ms)::double / greatest(me - ms + 1, 1) * 0.08::double), 0.90::double), 3) as score from w4 where k >= 2 and n >= 2 and not b),
+un as (select company_id, type, 2 as rk, source, start_page, end_page, score, title, supporting, toc_support, context_support from dt where type = 'issuer_overview'
+  union all select company_id, type, 2, source, start_page, end_page, score, title, supporting, toc_support, context_support from eq union all select company_id, type, 2, source, start_page, end_page, score, title, supporting, toc_support, context_support from sh
+  union all select company_id, 'issuer_overview', 1, 'ISSUER_MASTER_SECTION', start_page, end_page, confidence, title, null, 0, 0 from ms where start_page is not null
+  union all select company_id, type, 3, source, start_page, end_page, score, title, supporting, toc_support, context_support from ({_VALID("qg3")}) union all select company_id, type, 3, source, start_page, end_page, score, title, supporting, toc_support, context_support from ({_HOLD("sg4")})
+  union all select company_id, type, 4, source, start_page, end_page, score, title, supporting, toc_support, context_support from ({_VALID("ec3")})
+  union all select company_id, 'equity_history', 5, 'EVENT_WINDOW', start_page, end_page, score, '发行人基本情况内正文事件窗口', null, 0, k from ew),
+o1c as (select *, row_number() over (partition by company_id, type, start_page, end_page order by rk, score desc) as o from un), tp as (select * from (select *, row_number() over (partition by company_id, type order by rk, score desc, end_page - start_page desc, start_page)::int as rank from o1c where o = 1) where rank <= 3)"""
 _BOTH = NUMS.removeprefix(LINES) if NUMS.startswith(LINES) else NUMS
-RICH_NUMS = RICH + _BOTH
+RICH_NUMS = FIVE + _BOTH
+_REVIEWS = """nd as (select company_id, unnest(['equity_history', 'shareholders']) as type from pc), cl as (select *, lead(score) over (partition by company_id, type order by rank) as rival from tp),
+rv as (select company_id, type, 'missing_required_type' as reason from nd where not exists (select 1 from tp where tp.company_id = nd.company_id and tp.type = nd.type) union all select company_id, type, 'ambiguous_margin' from cl where rank = 1 and score - rival <= 0.08
+  union all select distinct tp.company_id, null, 'pagination_problem' from tp join fn on fn.company_id = tp.company_id and fn.pdf_page between start_page and end_page where rank = 1 and type in ('equity_history', 'shareholders') and status not in ('CONFIRMED', 'INFERRED'))"""
+CHAPTER_FIGURES = f"""{RICH_NUMS}, {_REVIEWS},
+f1 as (select company_id, count(*) as pages, count(*) filter (status = 'CONFIRMED') as confirmed, count(*) filter (status = 'INFERRED') as inferred, count(*) filter (status = 'MISSING') as missing, count(*) filter (status = 'CONFLICT') as conflicts from fn group by 1),
+f2 as (select company_id, count(*) as headings, count(*) filter (heading_class = 'BODY_HEADING' and len(types) > 0) as target_headings from hd group by 1),
+f3 as (select company_id, count(*) as candidates, count(*) filter (rank = 1) as primaries, count(*) filter (rank = 1 and type in ('equity_history', 'shareholders')) as required_primaries from tp group by 1),
+f4 as (select company_id, count(*) as required_pages, count(*) filter (status in ('CONFIRMED', 'INFERRED')) as required_mapped from (select distinct company_id, unnest(range(start_page, end_page + 1))::int as pdf_page from tp where rank = 1 and type in ('equity_history', 'shareholders')) join fn using (company_id, pdf_page) group by 1),
+f5 as (select company_id, count(*) as reviews from rv group by 1),
+fg as (select company_id, pages, confirmed, inferred, missing, conflicts, coalesce(headings, 0) as headings, coalesce(target_headings, 0) as target_headings, coalesce(candidates, 0) as candidates, coalesce(primaries, 0) as primaries, coalesce(required_primaries, 0) as required_primaries,
+  coalesce(required_pages, 0) as required_pages, coalesce(required_mapped, 0) as required_mapped, coalesce(reviews, 0) as reviews, (ms.start_page is not null)::int as master, round((confirmed + inferred)::double / greatest(pages, 1), 4) as coverage, case when coalesce(reviews, 0) > 0 then 'REVIEW_REQUIRED' else 'READY' end as company_status
+  from f1 left join f2 using (company_id) left join f3 using (company_id) left join f4 using (company_id) left join f5 using (company_id) join ms using (company_id))"""
 
 QUERIES = {
     "enriched_headings": enriched_headings, "toc_support": toc_support, "direct_candidates": direct_candidates, "event_heading_clusters": event_heading_clusters, "chosen_ranges": chosen_ranges, "range_reviews": range_reviews,
@@ -324,7 +488,7 @@ QUERIES = {
     "document_readiness": document_readiness, "loaded_pages": loaded_pages, "page_lines": page_lines, "text_shapes": text_shapes, "dense_lines": dense_lines,
     "printed_pages": printed_pages, "partial_dates": partial_dates, "repeated_lines": repeated_lines, "page_number_candidates": page_number_candidates,
     "initial_numbers": initial_numbers, "confirmed_numbers": confirmed_numbers, "page_segments": page_segments, "filled_numbers": filled_numbers,
-    "number_coverage": number_coverage, "toc_pages": toc_pages, "headings": headings, "heading_tree": heading_tree, "master_sections": master_sections,
+    "number_coverage": number_coverage, "toc_pages": toc_pages, "headings": headings, "heading_tree": heading_tree, "master_sections": master_sections, "issuer_sections": issuer_sections, "page_signals": page_signals, "chapter_candidates": chapter_candidates, "chapter_figures": chapter_figures, "chapter_batch": chapter_batch,
     "clipped_ranges": clipped_ranges, "sibling_clusters": sibling_clusters, "event_windows": event_windows, "top_ranges": top_ranges,
 }
 _SP = "[\\s\\x0b\\x0c\\x1c-\\x1f\\x85\\p{Z}]+"
@@ -334,7 +498,7 @@ SQL = {
     "direct_candidates": f"with {RICH} select company_id, type, start_page, end_page, score, heading_no, toc_support, context_support from dc",
     "event_heading_clusters": f"""with {RICH}, ev as (select company_id, pdf_page, line_index, end_page, coalesce('p' || parent_no, 'l' || level, '-') as parent_key, round(least(0.78, 0.52 + least(n, 6) * 0.04), 3)::double as s2 from en where type = 'equity_history' and n >= 2 and not barred and regexp_matches(core, '设立|成立|增资|股权转让|股份转让|整体变更|改制|减资|资本公积转增|股本变更|注册资本变更')),
       el as (select *, coalesce((pdf_page - lag(end_page) over (partition by company_id, parent_key order by pdf_page, line_index) > 2)::int, 1) as nw from ev), ei as (select *, sum(nw) over (partition by company_id, parent_key order by pdf_page, line_index rows unbounded preceding) as isl from el)
-      select company_id, parent_key, min(pdf_page) as start_page, max(end_page) as end_page, max(s2) as score, count(*) as members from ei group by company_id, parent_key, isl having count(*) >= 2""",
+      select company_id, parent_key, min(pdf_page) as start_page, max(end_page) as end_page, round(least(1.0::double, max(s2) + 0.14::double), 3) as score, count(*) as members from ei group by company_id, parent_key, isl having count(*) >= 2""",
     "chosen_ranges": f"with {RICH_NUMS} select tp.company_id, type, source, start_page, end_page, score, rank, a.number as start_number, b.number as end_number, (coalesce(a.status, 'MISSING') not in ('CONFIRMED', 'INFERRED'))::int + (coalesce(b.status, 'MISSING') not in ('CONFIRMED', 'INFERRED'))::int as reasons from tp left join fn a on a.company_id = tp.company_id and a.pdf_page = start_page left join fn b on b.company_id = tp.company_id and b.pdf_page = end_page",
     "range_reviews": f"""with {RICH_NUMS}, nd as (select company_id, unnest(['equity_history', 'shareholders']) as type from pc), cl as (select *, lead(score) over (partition by company_id, type order by rank) as rival from tp)
       select company_id, type, 'missing_required_type' as reason from nd where not exists (select 1 from tp where tp.company_id = nd.company_id and tp.type = nd.type) union all select company_id, type, 'ambiguous_margin' from cl where rank = 1 and score - rival <= 0.08
@@ -366,12 +530,21 @@ SQL = {
     "toc_pages": f"with {HEAD} select company_id, pdf_page, t1 or t2 as is_toc, concat_ws(',', case when t1 then 'toc_title_keyword' end, case when t2 then 'toc_dense_dot_leaders' end) as signals from tc",
     "headings": f"with {HEAD} select company_id, pdf_page, line_index, merged, raw, core, level, heading_class, score, array_to_string(types, ',') as types, heading_no from hd",
     "heading_tree": f"with {HEAD} select company_id, heading_no, pdf_page, level, parent_no, end_page from tree",
-    "master_sections": f"with {HEAD} select * from ms",
-    "clipped_ranges": f"with {HEAD} select t.company_id, t.heading_no, t.pdf_page as start_page, least(t.end_page, m.end_page) as end_page from tree t join ms m on t.company_id = m.company_id and t.pdf_page between m.start_page and m.end_page where level = 2",
+    "master_sections": f"with {HEAD} select company_id, status, start_page, end_page, title, context_support, confidence, review_reason from ms",
+    "issuer_sections": f"with {HEAD.replace(plain(FILING), plain(FILED))} select * from ms",
+    "clipped_ranges": f"with {HEAD.replace(plain(FILING), plain(FILED))} select t.company_id, t.heading_no, t.pdf_page as start_page, least(t.end_page, m.end_page) as end_page from tree t join ms m on t.company_id = m.company_id and t.pdf_page between m.start_page and m.end_page",
     "sibling_clusters": f"""with {HEAD}, sk as (select *, coalesce('p' || parent_no, 'l' || level, '-') as parent_key from tree), sl as (select *, coalesce((pdf_page - lag(end_page) over (partition by company_id, parent_key order by pdf_page, line_index) > 15)::int, 1) as nw from sk),
       si as (select *, sum(nw) over (partition by company_id, parent_key order by pdf_page, line_index rows unbounded preceding) as isl from sl) select company_id, parent_key, min(pdf_page) as start_page, max(end_page) as end_page, count(*) as members from si group by company_id, parent_key, isl having count(*) >= 2""",
-    "event_windows": f"""with {LINES}, sd as (select company_id, pdf_page from pg where text like '%历次%'), sl as (select *, coalesce((pdf_page - lag(pdf_page) over (partition by company_id order by pdf_page) > 2)::int, 1) as nw from sd), si as (select *, sum(nw) over (partition by company_id order by pdf_page) as isl from sl),
-      g as (select company_id, isl, min(pdf_page) as start_page, max(pdf_page) as last, count(*) as dates from si group by all) select company_id, start_page, least(last + 1, page_count, start_page + 19) as end_page, dates, dates as categories from g join pc using (company_id)""",
+    "event_windows": f"with {FIVE} select company_id, start_page, end_page, score, categories, dates from ew",
+    "page_signals": f"""with {FIVE} select sg0x.company_id, sg0x.pdf_page, coalesce(c, '') as categories, array_to_string(list_sort(days), ',') as dates, case when barred then '补充法律意见书,法律意见书' else '' end as excluded
+      from sg0x left join (select company_id, pdf_page, string_agg(distinct kind, ',' order by kind) as c from sg1x group by all) q using (company_id, pdf_page)""",
+    "chapter_candidates": f"with {FIVE} select company_id, type, source, start_page, end_page, score, title, supporting, toc_support::bigint as toc_support, context_support from un",
+    "chapter_figures": f"""with {CHAPTER_FIGURES} select * from fg""",
+    "chapter_batch": f"""with {CHAPTER_FIGURES}, t as (select count(*) as companies, count(*) filter (company_status = 'REVIEW_REQUIRED') as companies_to_review, sum(pages)::bigint as pages, sum(confirmed)::bigint as confirmed, sum(inferred)::bigint as inferred, sum(missing)::bigint as missing,
+        sum(conflicts)::bigint as conflicts, sum(headings)::bigint as headings, sum(target_headings)::bigint as target_headings, sum(candidates)::bigint as candidates, sum(primaries)::bigint as primaries, sum(required_primaries)::bigint as required_primaries,
+        sum(required_pages)::bigint as required_pages, sum(required_mapped)::bigint as required_mapped, sum(reviews)::bigint as reviews, sum(master)::bigint as master from fg)
+      select case when companies <> 1500 then 'BLOCKED' when reviews > 0 then 'READY_WITH_REVIEW' else 'READY' end as batch_status, *, 0 as failures, round((confirmed + inferred)::double / greatest(pages, 1), 4) as coverage, round(required_mapped::double / greatest(required_pages, 1), 4) as required_coverage,
+        round(required_primaries::double / greatest(companies * 2, 1), 4) as required_primary_rate from t""",
     "top_ranges": f"""with {HEAD}, c as (select company_id, unnest(types) as type, pdf_page as start_page, end_page, score from tree), o as (select *, row_number() over (partition by company_id, type, start_page, end_page order by score desc) as r from c),
-      k as (select *, row_number() over (partition by company_id, type order by score desc, start_page, end_page)::int as rank from o where r = 1) select company_id, type, start_page, end_page, score, rank, rank = 1 as is_primary, case when score >= 0.85 then 'HIGH' when score >= 0.65 then 'MEDIUM' else 'LOW' end as band from k where rank <= 3""",
+      k as (select *, row_number() over (partition by company_id, type order by score desc, end_page - start_page desc, start_page)::int as rank from o where r = 1) select company_id, type, start_page, end_page, score, rank, rank = 1 as is_primary, case when score >= 0.85 then 'HIGH' when score >= 0.65 then 'MEDIUM' else 'LOW' end as band from k where rank <= 3""",
 }

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dossier.sources.stages import Stages, workspace
+
 # A financing paragraph for each line of an order; every seventh does not add up.
 EVIDENCE = """
 select lpad(cast(o.o_custkey % 500 as string), 6, '0') as company_id, cast(l.l_orderkey as bigint) as event_id, cast(row_number() over (partition by l.l_orderkey order by l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice, l.l_quantity) as int) as evidence_id,
@@ -41,3 +45,9 @@ def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 def plain(sql: str) -> str:
     """The text for a database where the tables are views."""
     return re.sub(r"\{(\w+)\}", r"\1", sql)
+
+
+def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage's table over one data set, written by the first query of a session that needs it and read by the others."""
+    key = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+    return Stages(spark, f"{workspace(spark)}/stages-{spark.sparkContext.applicationId}-{key}").ensure(name, build)

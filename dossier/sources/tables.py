@@ -58,10 +58,10 @@ def write_flat_csv(df: DataFrame, path: str, columns: list[str], separator: str
     flat_columns(df, columns, separator).write.mode("errorifexists").option("escape", '"').csv(path, header=True)
 
 
-def save_run(df: DataFrame, root: str, stage: str, run_id: str) -> str:
+def save_run(df: DataFrame, root: str, stage: str, run_id: str, partition_by: list[str] | None = None) -> str:
     """One immutable folder for each stage and run; a run that exists is an error."""
     path = f"{root}/stage={stage}/run_id={run_id}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, partitionBy=partition_by)
     return path
 
 
