@@ -1,12 +1,12 @@
 """Phrases of 2 to 5 words that stick together, by Rabin-Karp fingerprints and one pass over the texts for each level.
 
 Inside a task the words of a text are hashed by prefix polynomials over its bytes, and every n-gram by prefix polynomials over the
-words' hashes, so no phrase is built as a string. The shuffle sums counts by fingerprint and keeps a pointer (row key, byte offset) to
+words' hashes, so no phrase is built as a string. The shuffle sums counts by fingerprint and keeps a pointer (33 bits of the row's key, byte offset) to
 one occurrence. An n-gram is only counted where its shorter n-grams are frequent: those go to the tasks as a bit table of at
 most BITS bits, which may let an n-gram through that is not frequent, but never stops one that is. So each level is exact, and a corpus
 that fills the table costs a larger shuffle, not a wrong count.
 
-A second fingerprint, from other values for the bytes, goes along as its least and greatest value. Where the two differ, texts of several phrases met in
+A second fingerprint, from other values for the bytes, goes along as its least and greatest value, with the size. Where the two differ, texts of several phrases met in
 one fingerprint: the occurrences of those fingerprints alone are counted again by their text. Frequent phrases, and no others, are
 then cut out of the texts by their pointers.
 
@@ -17,6 +17,7 @@ Words are never cut, whatever their length, and pieces never cross texts. Column
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -66,10 +67,15 @@ class Grams:
         self.h, self.g = vec.prefix(h), vec.prefix(g)
         self.piece, self.seed = piece, seeds[self.row] if len(h) else np.zeros(0, U)
 
-    def fp(self, n: int, second: bool = False) -> np.ndarray:
+    def _of(self, c: np.ndarray, n: int) -> np.ndarray:
         i = np.arange(max(self.size - n + 1, 0))
-        h = vec.span_hash(self.g if second else self.h, i, i + n)
-        return h if second else vec.mix(h + self.seed[: len(i)] * vec.P + U(n)) & self.mask
+        return vec.mix(vec.span_hash(c, i, i + n) + self.seed[: len(i)] * vec.P + U(n))
+
+    def fp(self, n: int) -> np.ndarray:
+        return self._of(self.h, n) & self.mask
+
+    def second(self, n: int) -> np.ndarray:
+        return self._of(self.g, n)
 
     def fits(self, n: int) -> np.ndarray:
         m = max(self.size - n + 1, 0)
@@ -86,23 +92,20 @@ class Grams:
 
 
 def _summed(cols: list[np.ndarray]) -> list[np.ndarray]:
-    """(seed, n, fp, count, least and greatest second fingerprint, row key, offset), summed by fingerprint; where seeds or sizes share one, in parts."""
-    seed, n, fp, c, lo, hi, k, at = cols
+    """(fingerprint, second one with the size, count, pointer), summed where both are equal and neighbours in the fingerprints' order."""
+    fp, tag, c, at = cols
     order = np.argsort(fp, kind="stable")
-    seed, n, fp = seed[order], n[order], fp[order]
-    new = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (n[1:] != n[:-1]) | (seed[1:] != seed[:-1])]))
-    first = order[new]
-    return [seed[new], n[new], fp[new], np.add.reduceat(c[order], new, dtype=np.int64), np.minimum.reduceat(lo[order], new), np.maximum.reduceat(hi[order], new), k[first], at[first]]
-
-
-_NAMES = ["seed", "n", "fp", "c", "lo", "hi", "k", "at"]
-_KIND = "seed long, n int, fp long, c long, lo int, hi int, k long, at int"
+    fp, tag = fp[order], tag[order]
+    new = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (tag[1:] != tag[:-1])]))
+    return [fp[new], tag[new], np.add.reduceat(c[order], new, dtype=np.int64), at[order][new]]
 
 
 def _rows(cols: list[np.ndarray]):
-    kinds = [np.int64, np.int32, np.int64, np.int64, np.int32, np.int32, np.int64, np.int32]
-    for i in range(0, len(cols[0]), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)].view(t) if x.dtype == U else x[i : i + (1 << 16)].astype(t)) for x, t in zip(cols, kinds, strict=True)], _NAMES)
+    """Three numbers a row: a fingerprint, a pointer, and in one the second fingerprint (23 bits), the count (36) and the size (4)."""
+    fp, tag, c, at = cols
+    told = (tag >> U(4) << U(40)) | (c.astype(U) << U(4)) | (tag & U(15))
+    for i in range(0, len(fp), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)].view(np.int64)) for x in (fp, at, told)], ["fp", "at", "told"])
 
 
 def _seeds(b: pa.RecordBatch, i: int, j: int) -> np.ndarray:
@@ -110,22 +113,28 @@ def _seeds(b: pa.RecordBatch, i: int, j: int) -> np.ndarray:
 
 
 def _counts(docs: DataFrame, sizes: list[int], below: int, table: bytes | None, width: int) -> DataFrame:
-    """n-grams of the given sizes, summed in their tasks."""
+    """n-grams of the given sizes, summed in their tasks; with size 0, the words of each lang under its seed."""
     held = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
         bits = np.frombuffer(held.value, np.uint8) if held.value else None
-        raw, done, n_raw, n_done = [], [], 0, 0
+        raw, done, n_raw, n_done, total = [], [], 0, 0, {}
         for b in batches:
             for i, j, data, offs in vec.chunks(b, "t"):
-                g = Grams(data, offs, _seeds(b, i, j), width)
-                keys = b.column("k").slice(i, j - i).to_numpy()
+                seeds = _seeds(b, i, j)
+                g = Grams(data, offs, seeds, width)
+                keys = b.column("k").slice(i, j - i).to_numpy().view(U)
+                if 0 in sizes:
+                    for seed, n in zip(*np.unique(g.seed, return_counts=True), strict=True):
+                        total[int(seed)] = total.get(int(seed), 0) + int(n)
                 for n in sizes:
-                    at = g.kept(n, below, bits)
-                    if len(at):
-                        h2 = (g.fp(n, True)[at] >> U(33)).astype(np.int32)
-                        raw.append([g.seed[at], np.full(len(at), n, np.int8), g.fp(n)[at], np.ones(len(at), np.int32), h2, h2, keys[g.row[at]], (g.s[at] - offs[g.row[at]]).astype(np.int32)])
-                        n_raw += len(at)
+                    if not n:
+                        continue
+                    p = g.kept(n, below, bits)
+                    if len(p):
+                        tag = (g.second(n)[p] >> U(41) << U(4)) | U(n)
+                        raw.append([g.fp(n)[p], tag, np.ones(len(p), np.int32), (keys[g.row[p]] >> U(31) << U(31)) | (g.s[p] - offs[g.row[p]]).astype(U)])
+                        n_raw += len(p)
                 if n_raw >= HELD:
                     done.append(_summed([np.concatenate(x) for x in zip(*raw, strict=True)]))
                     raw, n_raw, n_done = [], 0, n_done + len(done[-1][0])
@@ -136,13 +145,18 @@ def _counts(docs: DataFrame, sizes: list[int], below: int, table: bytes | None,
                         n_done = sum(len(x[0]) for x in done)
         if raw or done:
             yield from _rows(_summed([np.concatenate(x) for x in zip(*raw, *done, strict=True)]))
+        if total:
+            yield from _rows([np.array(list(total), U), np.zeros(len(total), U), np.array(list(total.values()), np.int64), np.zeros(len(total), U)])
 
-    return docs.select("k", "seed", "t").mapInArrow(run, _KIND)
+    return docs.select("k", "seed", "t").mapInArrow(run, "fp long, at long, told long")
 
 
 def _total(counts: DataFrame) -> DataFrame:
-    """Both parts of a pointer are those of the first row; `_cut_out` holds them against the fingerprint."""
-    return counts.groupBy("seed", "n", "fp").agg(F.sum("c").alias("a"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("k").alias("k"), F.first("at").alias("at"))
+    """(fp, n, a, lo, hi, at) of each fingerprint. The rows are dealt as they are, as their tasks have summed them; any pointer may stand for all."""
+    d = counts.repartition("fp")
+    size, second = F.col("told").bitwiseAND(F.lit(15)), F.shiftright("told", 40)
+    g = d.groupBy("fp", (size == 0).alias("words")).agg(F.sum(F.shiftright("told", 4).bitwiseAND(F.lit((1 << 36) - 1))).alias("a"), F.min(second).alias("lo"), F.max(second).alias("hi"), F.min(size).cast("int").alias("n"), F.max(size).cast("int").alias("_n"), F.first("at").alias("at"))
+    return g.select("fp", "n", "a", (F.col("lo") * 16 + F.col("n")).alias("lo"), (F.col("hi") * 16 + F.col("_n")).alias("hi"), "at")
 
 
 def _bit_table(frequent: DataFrame, bits: int) -> bytes:
@@ -156,8 +170,8 @@ def _bit_table(frequent: DataFrame, bits: int) -> bytes:
     return out.tobytes()
 
 
-def _recounted(docs: DataFrame, mixed: DataFrame, below: int, sizes: list[int], width: int, bits: int) -> DataFrame:
-    """(seed, n, phrase, c): occurrences of the fingerprints in which several phrases met, by their text."""
+def _recounted(docs: DataFrame, mixed: DataFrame, sizes: list[int], width: int, bits: int) -> DataFrame:
+    """(lang, size, phrase, a): occurrences of the fingerprints in which several phrases met, by their text."""
     held = docs.sparkSession.sparkContext.broadcast(_bit_table(mixed, bits))
 
     def run(batches):
@@ -165,49 +179,54 @@ def _recounted(docs: DataFrame, mixed: DataFrame, below: int, sizes: list[int],
         for b in batches:
             for i, j, data, offs in vec.chunks(b, "t"):
                 g = Grams(data, offs, _seeds(b, i, j), width)
-                text, out = _LOW[data].tobytes(), []
+                text, langs, seen = _LOW[data].tobytes(), b.column("lang").slice(i, j - i).to_pylist(), Counter()
                 for n in sizes:
-                    fp, ok = g.fp(n), g.fits(n)
-                    for p in np.flatnonzero(ok & _in(table, fp)):
-                        out.append((int(g.seed[p : p + 1].view(np.int64)[0]), n, int(fp[p : p + 1].view(np.int64)[0]), _cut(text, int(g.s[p]), n)))
-                cols = list(zip(*out, strict=True)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())], ["seed", "n", "fp", "phrase"])
+                    fp = g.fp(n).view(np.int64)
+                    for p in np.flatnonzero(g.fits(n) & _in(table, g.fp(n))):
+                        seen[langs[g.row[p]], n, int(fp[p]), _cut(text, int(g.s[p]), n)] += 1
+                cols = [*(list(zip(*seen, strict=True)) or [()] * 4), list(seen.values())]
+                kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["lang", "size", "fp", "phrase", "c"])
 
-    found = docs.select("k", "seed", "t").mapInArrow(run, "seed long, n int, fp long, phrase string")
-    return found.groupBy("seed", "n", "fp", "phrase").count().join(mixed.select("seed", "n", "fp"), ["seed", "n", "fp"], "left_semi").select("seed", "n", "phrase", F.col("count").alias("a"))
+    found = docs.select("lang", "seed", "t").mapInArrow(run, "lang string, size int, fp long, phrase string, c long")
+    return found.groupBy("lang", "size", "fp", "phrase").agg(F.sum("c").alias("a")).join(mixed.select("fp"), "fp", "left_semi").select("lang", "size", "phrase", "a")
 
 
 _PHRASES = {n: re.compile(_WORD + rb"(?:[ \t]+" + _WORD + rb"){%d}" % (n - 1)) for n in range(1, LONGEST + 1)}
 
 
-def _cut(low: bytes, at: int, n: int) -> str:
+def _cut(low: bytes, at: int, n: int) -> str | None:
     pattern = _PHRASES.setdefault(n, re.compile(_WORD + rb"(?:[ \t]+" + _WORD + rb"){%d}" % (n - 1)))
-    return b" ".join(pattern.match(low, at).group().split()).decode()
+    found = pattern.match(low, at) if at < len(low) else None
+    return b" ".join(found.group().split()).decode("utf-8", "replace") if found else None
 
 
 def _cut_out(docs: DataFrame, frequent: DataFrame, small: bool, width: int) -> DataFrame:
-    """(seed, n, phrase, a) of the frequent n-grams, cut out of the texts at their pointers."""
-    by_text = frequent.select("k", F.struct("seed", "n", "fp", "a", "at").alias("g")).groupBy("k").agg(F.collect_list("g").alias("gs"))
-    met = docs.select("k", "t").join(F.broadcast(by_text) if small else by_text, "k")
+    """(lang, size, phrase, a) of the frequent n-grams, cut out of the texts at their pointers. A pointer holds 33 bits of its row's key: other rows with
+    these bits don't have the fingerprint at its offset."""
+    key, offset = F.shiftrightunsigned("at", 31), F.col("at").bitwiseAND(F.lit((1 << 31) - 1))
+    by_text = frequent.select(key.alias("key"), F.struct("n", "fp", "a", offset.alias("at")).alias("g")).groupBy("key").agg(F.collect_list("g").alias("gs"))
+    met = docs.select(F.shiftrightunsigned("k", 31).alias("key"), "lang", "seed", "t").join(F.broadcast(by_text) if small else by_text, "key")
 
     def run(batches):
         for b in batches:
             out = []
-            texts, lists = b.column("t"), b.column("gs")
+            texts, lists, langs, seeds = b.column("t"), b.column("gs"), b.column("lang"), b.column("seed").to_numpy().view(U)
             for r in range(b.num_rows):
                 low = texts[r].as_py().encode().translate(_LOW.tobytes())
                 for x in lists[r].as_py():
                     phrase = _cut(low, x["at"], x["n"])
+                    if phrase is None:
+                        continue
                     own = np.frombuffer(phrase.encode(), np.uint8)
-                    if Grams(own, np.array([0, len(own)]), np.array([x["seed"]]).view(U), width).fp(x["n"]).view(np.int64)[0] != x["fp"]:
-                        raise ValueError("a pointer doesn't lead to its fingerprint")
-                    out.append((x["seed"], x["n"], x["fp"], x["a"], phrase))
+                    if Grams(own, np.array([0, len(own)]), seeds[r : r + 1], width).fp(x["n"]).view(np.int64)[0] == x["fp"]:
+                        out.append((langs[r].as_py(), x["n"], x["fp"], x["a"], phrase))
             cols = list(zip(*out, strict=True)) or [()] * 5
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["seed", "n", "fp", "a", "phrase"])
+            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["lang", "size", "fp", "a", "phrase"])
 
-    rows = met.mapInArrow(run, "seed long, n int, fp long, a long, phrase string")
-    return rows.groupBy("seed", "n", "fp").agg(F.min("a").alias("a"), F.min("phrase").alias("phrase")).select("seed", "n", "phrase", "a")  # rows that repeat whole
+    rows = met.mapInArrow(run, "lang string, size int, fp long, a long, phrase string")
+    return rows.groupBy("fp").agg(F.min(F.struct("phrase", "lang", "size", "a")).alias("x")).select("x.lang", "x.size", "x.phrase", "x.a")  # rows that repeat whole
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, width: int = 64, bits: int = BITS, broadcast_rows: int = 200_000) -> tuple[DataFrame, DataFrame]:
@@ -215,30 +234,35 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
     width: bits of a fingerprint."""
     lang, text = F.coalesce("lang", F.lit("und")), F.coalesce("text", F.lit(""))
-    d = docs.select(lang.alias("lang"), F.xxhash64(lang).alias("seed"), text.alias("t"))
-    d = d.withColumn("k", F.xxhash64("t", "lang"))
-    if "doc_id" in docs.columns:  # copies of one text get keys of their own
-        d = docs.select(lang.alias("lang"), F.xxhash64(lang).alias("seed"), text.alias("t"), F.xxhash64(text, lang, "doc_id").alias("k"))
-    one = _counts(d, [1], 1, None, width)
-    one = stash(_total(one), "phrase-words")
+    key = [text, lang, *(["doc_id"] if "doc_id" in docs.columns else [])]  # with an id, copies of one text get keys of their own
+    d = docs.select(lang.alias("lang"), F.xxhash64(lang).alias("seed"), text.alias("t"), F.xxhash64(*key).alias("k"))
+    one = stash(_total(_counts(d, [0, 1], 1, None, width)), "phrase-words")
     names = d.select("lang", "seed").distinct()
-    totals = one.groupBy("seed").agg(F.sum("a").alias("n")).join(names, "seed").select("lang", "seed", "n")
-    levels = [one.where(F.col("a") >= least)]
+    totals = one.where("n = 0").select(F.col("fp").alias("seed"), F.col("a").alias("n")).join(names, "seed").select("lang", "n")
+    levels = [one.where((F.col("a") >= least) & (F.col("n") > 0))]
     done = 1
     while done < longest:
         sizes = [done + 1] if done < 3 else list(range(done + 1, longest + 1))
-        table = _bit_table(levels[-1].where(F.col("n") == done), bits)
+        table = _bit_table(levels[-1].where((F.col("n") == done) | (F.col("lo") != F.col("hi"))), bits)
         levels.append(stash(_total(_counts(d, sizes, done, table, width)).where(F.col("a") >= least), f"phrase-{sizes[0]}"))
         done = sizes[-1]
     every = levels[0]
     for x in levels[1:]:
         every = every.unionByName(x)
+    # in a narrow fingerprint n-grams of several levels may meet: then all of them are counted again
+    every = every.groupBy("fp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("n").alias("n"), F.max("a").alias("a"), F.first("at").alias("at"))
+    every = stash(every, "phrase-all")
     clean, mixed = every.where("lo = hi"), every.where("lo <> hi")
-    out = _cut_out(d, clean, clean.count() <= broadcast_rows, width)
+    n_clean = clean.count()
+    out = _cut_out(d, clean, n_clean <= broadcast_rows, width)
     if mixed.limit(1).count():
-        out = out.unionByName(_recounted(d, mixed, 1, list(range(1, longest + 1)), width, bits).where(F.col("a") >= least))
-    phrases = out.join(F.broadcast(names) if names.count() <= 1000 else names, "seed").select("lang", F.col("n").alias("size"), "phrase", "a")
-    return totals.select("lang", "n"), stash(phrases, "phrases")
+        out = out.withColumn("again", F.lit(False)).unionByName(_recounted(d, mixed, list(range(1, longest + 1)), width, bits).where(F.col("a") >= least).withColumn("again", F.lit(True)))
+    else:
+        out = out.withColumn("again", F.lit(False))
+    phrases = stash(out, "phrases")
+    if phrases.where("not again").count() != n_clean:
+        raise ValueError("a pointer doesn't lead to its fingerprint")
+    return totals, phrases.drop("again")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, **more) -> DataFrame:

@@ -199,7 +199,7 @@ def plain_phrases(rows, least, top, longest=5):
     return sorted(out)
 
 
-def wordy(rng, n):
+def wordy(rng, n, long=200_000):
     words = [chr(97 + i) * (1 + i % 3) for i in range(9)] + ["É", "ß", "no break", "x" * 3000]
     weight = [1 / (i + 1) for i in range(len(words))]
     rows = []
@@ -208,13 +208,13 @@ def wordy(rng, n):
         if rng.random() < 0.5:
             w[3:3] = "New York City Hall is".split()
         rows.append((rng.choice(["en", "en", "fr", None, "und", ""]), "".join(x + rng.choice([" ", " ", " ", "  ", "\t", ", ", ".", "\n", "\r\n"]) for x in w)))
-    return rows + [("en", None), (None, ""), ("en", " .,;"), rows[0], rows[0], ("fr", "a b " * 200_000)]
+    return rows + [("en", None), (None, ""), ("en", " .,;"), rows[0], rows[0], ("fr", "a b " * long)]
 
 
 @pytest.mark.parametrize(("width", "bits", "held"), [(64, phrases.BITS, 1 << 20), (7, 1 << 10, 500), (64, 1 << 10, 500)])
 def test_phrases_against_all_ngrams(spark, monkeypatch, width, bits, held):
     monkeypatch.setattr(phrases, "HELD", held)
-    rows = wordy(random.Random(width), 120)
+    rows = wordy(random.Random(width), 120, 200_000 if held > 500 else 2_000)
     d = spark.createDataFrame([(i if i % 9 else None, *r, "k") for i, r in enumerate(rows)], "doc_id long, lang string, text string, seed string").repartition(4)
     for least, top in ((4, 2000), (12, 5)):
         got = sorted(tuple(r) for r in phrases.collocations(d, least, top=top, width=width, bits=bits).collect())
