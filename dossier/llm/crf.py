@@ -5,7 +5,7 @@ and the marginals, weighted by the lines' lengths, give the document's quality,
 curve. Features see only the text.
 
 The field is fitted on labelled documents in order of their id hashes, whatever their length, until there are `max_docs` of them
-(MAX_DOCS by default) or their texts hold `max_bytes` (MAX_BYTES); their lines all carry the document's label. So the driver holds a
+(MAX_DOCS by default) or their texts hold `max_bytes` (MAX_BYTES; a text above that alone is passed over); their lines all carry the document's label. So the driver holds a
 bounded sample. Everything else covers every document whole.
 
 Defined results: a text without a non-blank line (null and empty too) scores the share of label 1 among the documents fitted
@@ -181,6 +181,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_byte
     sizes = mine.groupBy("doc_id", "turn").agg(F.min(F.octet_length("text")).alias("n")).collect()  # max_docs numbers at most
     chosen, total = [], 0
     for r in sorted(sizes, key=lambda r: (r["turn"], r["doc_id"])):
+        if r["n"] > max_bytes:  # passed over, so that the next ones count
+            continue
         total += r["n"]
         if total > max_bytes:
             break
