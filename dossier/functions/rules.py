@@ -24,7 +24,7 @@ class EventRules:
         "CAPITAL_REDUCTION": ["减少注册资本", "减资"],
         "EQUITY_TRANSFER": ["第一次股权转让", "第二次股权转让", "第三次股权转让", "股权转让协议", "股份转让协议", "股权转让", "股份转让", "转让其持有", "受让股权", "受让股份"],
         "SHARE_CAPITAL_CHANGE": ["资本公积转增股本", "第一次资本公积转增股本", "股本增加", "股本变更", "注册资本变更", "转增股本"],
-        "ABSORPTION_MERGER": ["吸收合并昆山谷捷情况", "吸收合并", "被吸收合并"],
+        "ABSORPTION_MERGER": ["吸收合并", "被吸收合并"],
         "EQUITY_HOLDING_PROXY": ["历史沿革中存在股份代持", "历史沿革中存在股权代持", "股权代持", "股份代持", "代持情况"],
         "EQUITY_HOLDING_PROXY_RELEASE": ["股权代持已解除", "代持解除", "解除股权代持", "解除股份代持"],
         "CONTROL_CHANGE": ["报告期内控制权变动情况", "控制权变动", "实际控制人变更", "控股股东变更"],
@@ -108,6 +108,27 @@ class EventRules:
     title_similarity: float = 0.58
 
 
+# The roles from which an event takes its date, best first, by type and for all others; types that take a role's earliest date and not its first; types that may lack one.
+DATE_CHOICE: dict[str, list[str]] = {
+    "LIMITED_COMPANY_ESTABLISHMENT": ["registration_date", "event_period", "resolution_date", "agreement_date", "verification_date", "other_date"],
+    "JOINT_STOCK_COMPANY_ESTABLISHMENT": ["registration_date", "effective_date", "event_period", "resolution_date", "verification_date", "other_date"],
+    "OVERALL_CHANGE": ["registration_date", "effective_date", "event_period", "resolution_date", "verification_date", "other_date"],
+    "CAPITAL_INCREASE": ["event_period", "resolution_date", "agreement_date", "registration_date", "payment_date", "verification_date", "other_date"],
+    "CAPITAL_REDUCTION": ["event_period", "resolution_date", "registration_date", "other_date"],
+    "EQUITY_TRANSFER": ["event_period", "agreement_date", "resolution_date", "registration_date", "payment_date", "other_date"],
+    "SHARE_CAPITAL_CHANGE": ["event_period", "resolution_date", "effective_date", "registration_date", "other_date"],
+    "ABSORPTION_MERGER": ["event_period", "resolution_date", "registration_date", "effective_date", "agreement_date", "other_date"],
+    "EQUITY_HOLDING_PROXY_RELEASE": ["event_period", "effective_date", "resolution_date", "other_date"],
+    "LISTING_OR_DIRECTIONAL_FINANCING": ["event_period", "resolution_date", "announcement_date", "registration_date", "verification_date", "other_date"],
+    "CONTROL_CHANGE": ["event_period", "effective_date", "resolution_date", "other_date"],
+    "MAJOR_ASSET_RESTRUCTURING": ["event_period", "resolution_date", "registration_date", "other_date"],
+}
+DATE_ROLES = ["event_period", "resolution_date", "agreement_date", "registration_date", "effective_date", "verification_date", "payment_date", "announcement_date", "other_date"]
+EARLIEST_DATE = ["LIMITED_COMPANY_ESTABLISHMENT", "JOINT_STOCK_COMPANY_ESTABLISHMENT", "OVERALL_CHANGE"]
+UNDATED = ["EQUITY_HOLDING_PROXY"]
+LOW_CONFIDENCE = 0.70
+
+
 def read_event_rules(spark: SparkSession, path: str) -> EventRules:
     """The rules of a JSON document whose keys are the fields of EventRules; fields that it leaves out keep their values."""
     text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())  # one document

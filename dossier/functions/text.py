@@ -117,6 +117,11 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def fixed(df, **columns: Column):
+    """df with the columns, each computed once: a generator's output isn't pushed into filters or joined with later projections."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(k) for k, c in columns.items()]))))
+
+
 def any_of(terms) -> str:
     """One alternation of quoted terms, longest first."""
     return "|".join(_quote(t) for t in sorted(terms, key=lambda t: (-len(t), t)))
