@@ -43,24 +43,35 @@ def best_predecessors(spark, d):
     return n.best_predecessor(names, v.select("company_id", "issuer").distinct())
 
 
+KINDS = ["LIMITED_COMPANY_ESTABLISHMENT", "OVERALL_CHANGE", "CAPITAL_INCREASE", "CAPITAL_REDUCTION", "EQUITY_TRANSFER", "SHARE_CAPITAL_CHANGE", "ABSORPTION_MERGER", "EQUITY_HOLDING_PROXY_RELEASE", "LISTING_OR_DIRECTIONAL_FINANCING", "CONTROL_CHANGE", "MAJOR_ASSET_RESTRUCTURING", "JOINT_STOCK_COMPANY_ESTABLISHMENT", "EQUITY_HOLDING_PROXY"]
+ROLES = ["payment_date", "resolution_date", "registration_date", "effective_date", "other_date", "agreement_date", "announcement_date", "verification_date", "event_period"]
+
+
 def primary_dates(spark, d):
     e = view(spark, d, EVENTS)
-    roles = F.array(*[F.lit(x) for x in ("payment_date", "resolution_date", "registration_date", "effective_date", "other_date")])
-    dates = e.select("company_id", F.when(F.col("company_id").cast("int") % 2 == 0, "ESTABLISHMENT").otherwise("OTHER").alias("kind"), F.get(roles, (F.col("event_id") % 5).cast("int")).alias("date_role"), F.col("event_date").alias("date_key"), F.col("event_id").alias("seq"))
+    pick = lambda xs, i: F.get(F.array(*[F.lit(x) for x in xs]), i.cast("int"))
+    n_ = F.col("company_id").cast("int")
+    dates = e.select("company_id", pick(KINDS, n_ % 13).alias("kind"), pick(ROLES, (F.col("event_id") + n_ % 7) % 9).alias("date_role"), F.col("event_date").alias("date_key"), F.col("event_id").alias("seq"), ((n_ % 5 == 0) & (F.col("event_id") % 37 == 0)).alias("title"))
+    dates = dates.where((n_ % 3 != 0) | (F.col("seq") % 4 == n_ % 4))
     return n.primary_date(dates, ["company_id", "kind"])
 
 
 def range_signals(spark, d):
     g = view(spark, d, UNITS).groupBy("company_id", F.floor(F.col("page") / 40).alias("range_no")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("unit_id", "line"))), lambda x: x["line"]), "\n").alias("text"))
     dates, kinds = n.range_signals(F.col("text"))
-    return g.select("company_id", "range_no", F.size(dates).alias("dates"), F.array_join(kinds, ",").alias("categories"), n.valid_range(F.col("text")).alias("valid"))
+    return g.select("company_id", "range_no", F.size(dates).alias("dates"), F.array_join(kinds, ",").alias("categories"), n.valid_range(F.col("text"), F.when(F.col("range_no") % 3 == 0, "发行人股本情况").otherwise("历史沿革")).alias("valid"))
+
+
+CANDIDATES = "select lpad(cast(o_custkey % 500 as string), 6, '0') as company_id, cast(o_orderkey - o_orderkey % 97 % 2 as bigint) as candidate_id, cast(o_orderkey % 400 as int) as page, cast(o_orderkey % 400 + o_custkey % 5 - 1 as int) as last_page, o_orderpriority as type, concat(cast(o_orderkey as string), '-', cast(o_custkey % 6 as string)) as primary_evidence from {orders}"
+CANDIDATE_EVIDENCE = "select lpad(cast(l_suppkey % 500 as string), 6, '0') as company_id, cast(l_orderkey as bigint) as candidate_id, concat(cast(l_orderkey as string), '-', cast(l_linenumber - l_linenumber % 7 % 6 as string)) as evidence_id, cast(l_orderkey % 400 as int) as page, cast(l_orderkey % 400 + l_partkey % 3 as int) as last_page, case when l_linenumber = 7 then ' ' else l_returnflag end as text from {lineitem}"
+SPANS = "select distinct lpad(cast(o_custkey % 500 as string), 6, '0') as company_id, cast(50 as int) as start_page, cast(350 as int) as end_page from {orders}"
+DENIALS = "select distinct lpad(cast(o_custkey % 500 as string), 6, '0') as company_id, o_orderpriority as type, cast(o_orderkey % 400 - 2 as int) as page, cast(o_orderkey % 400 + 3 as int) as last_page from {orders} where o_orderkey % 7 = 3"
 
 
 def candidate_problems(spark, d):
-    c = view(spark, d, "select lpad(cast(o_custkey % 500 as string), 6, '0') as company_id, cast(o_orderkey - o_orderkey % 97 % 2 as bigint) as candidate_id, cast(o_orderkey % 400 as int) as page from {orders}")
-    ev = view(spark, d, "select cast(l_orderkey as bigint) as candidate_id, case when l_linenumber = 7 then ' ' else l_returnflag end as text from {lineitem}")
-    r = view(spark, d, "select distinct lpad(cast(o_custkey % 500 as string), 6, '0') as company_id, cast(50 as int) as start_page, cast(350 as int) as end_page from {orders}")
-    return n.candidate_problems(c, ev, r).groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
+    v = lambda sql: view(spark, d, sql)
+    x = n.candidate_problems(v(CANDIDATES), v(CANDIDATE_EVIDENCE), v(SPANS), v(DENIALS), v(CANDIDATE_EVIDENCE), v(SPANS).withColumn("end_page", F.lit(200)))
+    return x.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
 
 
 PATCH = "select o_orderkey as patch_id, case when o_orderkey % 11 = 0 then null else lpad(cast(o_custkey % 500 as string), 6, '0') end as company_id, o_orderpriority as chapter_type, cast(o_orderkey % 40 as int) as start_page, cast(o_custkey % 60 as int) as end_page from {orders}"
@@ -94,10 +105,29 @@ SQL = {
     "named_entities": f"with {_NE} select unit_id, array_to_string(list_sort(pre), ',') as predecessors, array_to_string(list_sort(gone), ',') as absorbed, coalesce(subjects, '') as subjects from ne left join so using (unit_id)",
     "issuer_tokens": "select c_custkey as id, case c_custkey % 7 when 0 then '测试' when 1 then '测试,测试科技' when 2 then '测试,测试新材,测试新材股份' when 3 then '测,测股份' when 4 then '测量,测量测控,测量测控电子,测量测控电子股份,测量测控电子股份公司' when 5 then '测' else '测试,测试生物,测试生物医药' end as tokens from customer",
     "best_predecessors": f"with {_NE}, nm as (select company_id, issuer, tok, unnest(list_concat(pre, gone)) as name from ne), st as (select *, regexp_replace(name, '(?:有限责任公司|有限公司|有限)$', '') as stem from nm), sc as (select *, (not list_contains(tok, stem))::int as a, coalesce(list_min(list_transform(list_filter(tok, lambda t: contains(stem, t)), lambda t: length(stem) - length(t))), length(stem)) as b from st), rk as (select *, row_number() over (partition by company_id order by a, b, length(name), name) as k from sc) select company_id, name as predecessor from rk where k = 1",
-    "primary_dates": f"with e as ({plain(EVENTS)}), x as (select company_id, case when company_id::int % 2 = 0 then 'ESTABLISHMENT' else 'OTHER' end as kind, ['payment_date', 'resolution_date', 'registration_date', 'effective_date', 'other_date'][(event_id % 5 + 1)::int] as role, event_date, event_id from e), r as (select *, list_position(case kind when 'ESTABLISHMENT' then ['registration_date', 'effective_date', 'resolution_date'] else ['registration_date', 'resolution_date', 'agreement_date', 'payment_date'] end, role) as k from x), o as (select *, row_number() over (partition by company_id, kind order by k, case when kind = 'ESTABLISHMENT' then event_date end, case when kind = 'OTHER' then event_id end, event_date) as f from r where k > 0) select company_id, kind, event_date as primary_date, role as basis from o where f = 1",
+    "primary_dates": f"""with e as ({plain(EVENTS)}), pf as (select * from (values ('LIMITED_COMPANY_ESTABLISHMENT', ['registration_date', 'event_period', 'resolution_date', 'agreement_date', 'verification_date', 'other_date']),
+        ('JOINT_STOCK_COMPANY_ESTABLISHMENT', ['registration_date', 'effective_date', 'event_period', 'resolution_date', 'verification_date', 'other_date']), ('OVERALL_CHANGE', ['registration_date', 'effective_date', 'event_period', 'resolution_date', 'verification_date', 'other_date']),
+        ('CAPITAL_INCREASE', ['event_period', 'resolution_date', 'agreement_date', 'registration_date', 'payment_date', 'verification_date', 'other_date']), ('CAPITAL_REDUCTION', ['event_period', 'resolution_date', 'registration_date', 'other_date']),
+        ('EQUITY_TRANSFER', ['event_period', 'agreement_date', 'resolution_date', 'registration_date', 'payment_date', 'other_date']), ('SHARE_CAPITAL_CHANGE', ['event_period', 'resolution_date', 'effective_date', 'registration_date', 'other_date']),
+        ('ABSORPTION_MERGER', ['event_period', 'resolution_date', 'registration_date', 'effective_date', 'agreement_date', 'other_date']), ('EQUITY_HOLDING_PROXY_RELEASE', ['event_period', 'effective_date', 'resolution_date', 'other_date']),
+        ('LISTING_OR_DIRECTIONAL_FINANCING', ['event_period', 'resolution_date', 'announcement_date', 'registration_date', 'verification_date', 'other_date']), ('CONTROL_CHANGE', ['event_period', 'effective_date', 'resolution_date', 'other_date']),
+        ('MAJOR_ASSET_RESTRUCTURING', ['event_period', 'resolution_date', 'registration_date', 'other_date']),
+        ('EQUITY_HOLDING_PROXY', ['event_period', 'resolution_date', 'agreement_date', 'registration_date', 'effective_date', 'verification_date', 'payment_date', 'announcement_date', 'other_date'])) as q(kind, roles)),
+      x as (select company_id, [{', '.join(f"'{k}'" for k in KINDS)}][company_id::int % 13 + 1] as kind, [{', '.join(f"'{k}'" for k in ROLES)}][(event_id + company_id::int % 7) % 9 + 1] as role, event_date, event_id, company_id::int % 5 = 0 and event_id % 37 = 0 as title
+        from e where company_id::int % 3 <> 0 or event_id % 4 = company_id::int % 4),
+      r as (select x.*, case when title then 0 else list_position(roles, role) end as k from x join pf using (kind)),
+      o as (select *, row_number() over (partition by company_id, kind order by k, case when k > 0 and kind in ('LIMITED_COMPANY_ESTABLISHMENT', 'JOINT_STOCK_COMPANY_ESTABLISHMENT', 'OVERALL_CHANGE') then event_date else '' end, event_id) as f from r where title or k > 0)
+      select company_id, kind, event_date as primary_date, case when k = 0 then 'event_period' else role end as role, case when k = 0 then 'TITLE_DATE' else 'ROLE_PRIORITY:' || role end as basis from o where f = 1""",
     "range_signals": f"""with u0 as ({plain(UNITS)}), g as (select company_id, floor(page / 40)::bigint as range_no, regexp_replace(string_agg(line, chr(10) order by unit_id), '\\s+', '', 'g') as s from u0 group by all),
-      x as (select *, len(list_distinct(list_concat(regexp_extract_all(s, '{u.DATES[0]}'), regexp_extract_all(s, '{u.DATES[1]}')))) as dates, list_filter([{', '.join(f"case when regexp_matches(s, '{_ALT(ts)}') then '{k}' end" for k, ts in ((k, R.terms[k]) for k in R.priority))}], lambda z: z is not null) as c from g) select company_id, range_no, dates, array_to_string(c, ',') as categories, dates >= 2 and len(c) >= 2 as valid from x""",
-    "candidate_problems": """with c as (select o_custkey, cast(o_orderkey - o_orderkey % 97 % 2 as bigint) as id, o_orderkey % 400 as page from orders), ev as (select cast(l_orderkey as bigint) as id, case when l_linenumber = 7 then '' else l_returnflag end as t from lineitem),
-      p as (select 'duplicate_id' as problem from c group by id having count(*) > 1 union all select 'outside_ranges' from c where page not between 50 and 350 union all select 'no_evidence' from c where id not in (select id from ev) union all select 'empty_evidence' from (select distinct id from ev where t = '')) select problem, count(*) as n from p group by 1""",
+      x as (select *, len(list_distinct(list_concat(regexp_extract_all(s, '{u.DATES[0]}'), regexp_extract_all(s, '{u.DATES[1]}')))) as dates,
+        list_filter([case when regexp_matches(s, '注册资本变更|股本变更|减资|资本公积转增') then 'capital_change' end, case when regexp_matches(s, '增资|增加注册资本|新增注册资本') then 'capital_increase' end, case when regexp_matches(s, '股权转让|股份转让|受让股权') then 'equity_transfer' end,
+          case when regexp_matches(s, '有限公司设立|股份公司设立|公司设立|发起设立') then 'establishment' end, case when regexp_matches(s, '整体变更|整体改制|变更为股份有限公司') then 'overall_change' end], lambda z: z is not null) as c from g)
+      select company_id, range_no, dates, array_to_string(c, ',') as categories, dates >= 2 and len(c) >= 2 and range_no % 3 <> 0 and not regexp_matches(s, '审核问询函回复|审核问询回复|补充法律意见书|法律意见书|核查意见|专项说明') as valid from x""",
+    "candidate_problems": f"""with c as ({plain(CANDIDATES)}), ev as ({plain(CANDIDATE_EVIDENCE)}), sp as ({plain(SPANS)}), ng as ({plain(DENIALS)}),
+      p as (select 'duplicate_id' as problem from c group by candidate_id having count(*) > 1 union all select 'duplicate_evidence_id' from ev group by evidence_id having count(*) > 1
+        union all select 'outside_ranges' from c where not exists (select 1 from sp where sp.company_id = c.company_id and page >= 50 and last_page >= page and last_page <= 350) union all select 'evidence_outside_ranges' from ev where not exists (select 1 from sp where sp.company_id = ev.company_id and page >= 50 and last_page <= 350)
+        union all select 'no_primary_evidence' from c where primary_evidence not in (select evidence_id from ev) union all select 'empty_evidence' from ev where text = ' '
+        union all select 'overlaps_negative' from c where exists (select 1 from ng where ng.company_id = c.company_id and ng.type = c.type) and exists (select 1 from ng where ng.company_id = c.company_id and c.page between ng.page and ng.last_page)
+        union all select 'holder_outside_ranges' from ev where not exists (select 1 from sp where sp.company_id = ev.company_id and page >= 50 and last_page <= 200)) select problem, count(*) as n from p group by 1""",
     "patch_problems": f"with p as ({plain(PATCH)}) select patch_id, 'missing_field' as problem from p where company_id is null union all select patch_id, 'start_not_positive' from p where start_page <= 0 union all select patch_id, 'end_before_start' from p where end_page < start_page union all select min(patch_id), 'duplicate_chapter' from p group by company_id, chapter_type having count(*) > 1",
 }

@@ -79,3 +79,10 @@ class Stages:
         """The stage's latest table, built first where there is none."""
         found = self.pointer(stage)
         return self.read(stage, found) if found else self.run(stage, build)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df as a table of the workspace, read back: the steps after it don't plan or run those before it again."""
+    path = f"{workspace(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
