@@ -164,7 +164,12 @@ def represented(rows: DataFrame, sections: DataFrame, rules: EventRules = EVENT_
 
     s = sections.select("company_id", canonical(F.col("type"), rules).alias("c"), F.col("ordinals").alias("o2"), F.col("period").alias("p2"), F.col("title").alias("t2"))
     r = rows.select("company_id", "global_index", "line", "ordinals", F.transform("dates", date_key).alias("periods"), canonical(F.col("type"), rules).alias("c"))
-    j = r.join(s, ["company_id", "c"])
+    # rows and sections meet by an ordinal or by the year of a period; titles are compared only for rows without a date, with sections whose ordinals don't decide
+    titled = F.when(F.size("periods") == 0, F.array_compact(F.array(F.lit("title"), F.when(F.size("ordinals") == 0, "title+")))).otherwise(F.array().cast("array<string>"))
+    year = lambda x: F.concat(F.lit("y"), F.substring(x, 1, 4))
+    r = r.withColumn("key", F.explode(F.concat("ordinals", F.when(F.size("periods") > 0, F.array_distinct(F.transform("periods", year))).otherwise(F.array().cast("array<string>")), titled)))
+    s = s.withColumn("key", F.explode(F.concat("o2", F.when(F.col("p2").isNotNull(), F.array(year(F.col("p2")))).otherwise(F.array().cast("array<string>")), F.array(F.when(F.size("o2") > 0, "title+").otherwise("title")))))
+    j = r.join(s, ["company_id", "c", "key"])
     alike = F.when((F.size("periods") == 0) & ~((F.size("ordinals") > 0) & (F.size("o2") > 0)), text_similarity(norm(F.col("line")), norm(F.col("t2"))))
     j = j.withColumn("alike", alike)
     fits = (
@@ -207,17 +212,18 @@ def text_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x[:1000], y[:1000]).ratio() for x, y in zip(a, b, strict=True)])
 
 
-def _near_pairs(s: DataFrame, pages: int) -> DataFrame:
-    """Pairs (a later, b earlier, by page and number) of a company at most `pages` apart or with overlapping units, each once. Two equi-joins: on bands of
-    pages, and on blocks of units for those further apart."""
+def _near_pairs(s: DataFrame, pages: int, keys: Column) -> DataFrame:
+    """Pairs (a later, b earlier, by page and number) of a company with a key in common, at most `pages` apart or with overlapping units, once for each common key.
+    Two equi-joins: on bands of pages, and on blocks of units for those further apart."""
     width, block = pages + 1, 64
+    s = s.withColumn("key", F.explode(keys))
     a = s.select(*[F.col(c).alias("a_" + c) for c in s.columns])
     b = s.select(*[F.col(c).alias("b_" + c) for c in s.columns])
     later = (F.col("b_page") < F.col("a_page")) | ((F.col("b_page") == F.col("a_page")) & (F.col("b_section_no") < F.col("a_section_no")))
     gap = F.col("a_page") - F.col("b_page")
     left = a.withColumn("at", F.floor(F.col("a_page") / width))
     right = b.withColumn("at", F.explode(F.array(F.floor(F.col("b_page") / width), F.floor(F.col("b_page") / width) + 1)))
-    same = F.col("a_company_id") == F.col("b_company_id")
+    same = (F.col("a_company_id") == F.col("b_company_id")) & (F.col("a_key") == F.col("b_key"))
     close = left.join(right, same & (left["at"] == right["at"])).where(later & (gap <= pages)).drop("at")
     blocks = lambda df, x: df.withColumn("at", F.explode(F.sequence(F.floor(F.col(f"{x}_start") / block), F.floor(F.col(f"{x}_end") / block))))
     left, right = blocks(a, "a"), blocks(b, "b")
@@ -232,19 +238,23 @@ def merge_edges(sections: DataFrame, rules: EventRules = EVENT_RULES) -> DataFra
 
     sections: company_id, section_no, page, type, period, ordinals, title, start, end, provider, timeline (booleans)."""
     g = rules.gaps
-    p = _near_pairs(sections, max([*g.values(), *[x["gap"] for x in [*rules.equivalent, *rules.consequences]]]))
+    # sections meet by their type, or by a pair of types that a rule names; titles are squashed once a section, not once a pair
+    pairs = [x["types"] for x in [*rules.equivalent, *rules.consequences]]
+    keys = F.array_compact(F.array(F.col("type"), *[F.when(F.col("type").isin(ts), F.lit("+".join(ts))) for ts in pairs]))
+    flat = sections.withColumn("title", norm(F.col("title"))).withColumn("this", F.col("title").contains("本次"))
+    p = _near_pairs(flat, max([*g.values(), *[x["gap"] for x in [*rules.equivalent, *rules.consequences]]]), keys)
+    p = p.where((F.col("a_type") == F.col("b_type")) == (F.col("a_key") == F.col("a_type")))
     is_pair = lambda x: F.col("a_type").isin(x["types"]) & F.col("b_type").isin(x["types"]) & (F.col("a_type") != F.col("b_type"))
     follows, means = F.lit(False), F.lit(False)
     follows_ok, means_ok = F.lit(False), F.lit(False)
-    title = norm(F.concat("a_title", "b_title"))
+    title = F.concat("a_title", "b_title")
     for x in reversed(rules.consequences):
         follows, follows_ok = follows | is_pair(x), F.when(is_pair(x), (F.col("gap") <= x["gap"]) & title.rlike(any_of(x["markers"]))).otherwise(follows_ok)
     for x in reversed(rules.equivalent):
         means, means_ok = means | is_pair(x), F.when(is_pair(x), F.col("overlap") | (F.col("gap") <= x["gap"])).otherwise(means_ok)
-    p = p.where((F.col("a_type") == F.col("b_type")) | follows | means)
     apart = (F.size("a_ordinals") > 0) & (F.size("b_ordinals") > 0) & ~F.arrays_overlap("a_ordinals", "b_ordinals")
     both = (F.coalesce("a_period", F.lit("")) != "") & (F.coalesce("b_period", F.lit("")) != "")
-    this = norm(F.col("a_title")).contains("本次") | norm(F.col("b_title")).contains("本次")
+    this = F.col("a_this") | F.col("b_this")
     ruled = (
         F.when(apart, False).when(follows, follows_ok).when(means, means_ok)
         .when((F.col("a_type") == "ABSORPTION_MERGER") & (F.col("gap") <= g["merger"]), True)
@@ -253,7 +263,7 @@ def merge_edges(sections: DataFrame, rules: EventRules = EVENT_RULES) -> DataFra
         .when(F.col("overlap"), True)
     )
     p = p.withColumn("ruled", ruled)
-    p = p.withColumn("alike", F.when(F.col("ruled").isNull() & (F.col("gap") <= g["untold"]), text_similarity(norm(F.col("a_title")), norm(F.col("b_title")))))
+    p = p.withColumn("alike", F.when(F.col("ruled").isNull() & (F.col("gap") <= g["untold"]), text_similarity("a_title", "b_title")))
     last = F.coalesce(F.col("alike") >= rules.title_similarity, F.lit(False)) | ((F.col("a_timeline") | F.col("b_timeline")) & (F.col("gap") <= g["timeline"]))
     return p.where(F.coalesce("ruled", last)).select(F.col("a_company_id").alias("company_id"), F.col("a_section_no").alias("a"), F.col("b_section_no").alias("b"))
 
