@@ -82,7 +82,7 @@ def _item_fingerprints(items: DataFrame) -> DataFrame:
                     out["n"] += [n] * len(f)
             yield pa.RecordBatch.from_arrays([pa.array(out["item"], pa.int64()), pa.array(out["fp"], pa.int64()), pa.array(out["n"], pa.int32())], ["item", "fp", "n"])
 
-    return items.select("item", "text").mapInArrow(run, "item long, fp long, n int")
+    return items.select("item", "text").mapInArrow(vec.released(run), "item long, fp long, n int")
 
 
 def _document_fingerprints(docs: DataFrame, table: bytes, short: list[int]) -> DataFrame:
@@ -99,7 +99,7 @@ def _document_fingerprints(docs: DataFrame, table: bytes, short: list[int]) -> D
                 keys = b.column("k").slice(i, j - i).to_numpy()[r]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(fp.view(np.int64)), pa.array((at - bounds[r]).astype(np.int32))], ["k", "dfp", "pos"])
 
-    return docs.select("k", "t").mapInArrow(run, "k long, dfp long, pos int")
+    return docs.select("k", "t").mapInArrow(vec.released(run), "k long, dfp long, pos int")
 
 
 def _hit_words(dh, ih, hits, same) -> np.ndarray:
@@ -155,7 +155,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **names
     met = match_words(docs.select(id_col, F.col(f"`{names.get('doc_text', 'text')}`")), benchmark, **names).select(F.col(f"row.{id_col}").alias("id"), "t", "found")
     kind = dict(met.dtypes)["id"]
     out = f"id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return met.mapInArrow(lambda batches: _judged(batches, "id"), out).withColumnRenamed("id", id_col)
+    return met.mapInArrow(vec.released(lambda batches: _judged(batches, "id")), out).withColumnRenamed("id", id_col)
 
 
 def _judged(batches, id_col: str):
@@ -196,5 +196,5 @@ def clean_only(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = match_words(docs, benchmark)
     kind = met.schema["row"].dataType.simpleString()
     out = "row " + kind + ", n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    flagged = met.mapInArrow(lambda batches: _judged(batches, "row"), out)
+    flagged = met.mapInArrow(vec.released(lambda batches: _judged(batches, "row")), out)
     return flagged.where("not contaminated").select("row.*")

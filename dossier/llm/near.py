@@ -152,8 +152,8 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str):
                 batch = shards.unpack(blob.as_py())
                 yield _described(sid, batch, batch.column(id_col), batch.column(text_col), shards.answers_of(answers.as_py(), np.uint32), bits, n_docs)
 
-    answers = shards.exchange(s.mapInArrow(first, shards.KEYS), np.uint32, shards.sums)
-    return packed, stash(s.join(answers, "sid", "left").mapInArrow(second, NODES), "near-nodes")
+    answers = shards.exchange(s.mapInArrow(vec.released(first), shards.KEYS), np.uint32, shards.sums)
+    return packed, stash(s.join(answers, "sid", "left").mapInArrow(vec.released(second), NODES), "near-nodes")
 
 
 def _described(sid, batch, ids, texts, df, bits, n_docs):
@@ -260,7 +260,7 @@ def _across(members: DataFrame, bags: DataFrame, limit: int) -> DataFrame:
                 out = list(_joining(band.as_py(), left.as_py(), right.as_py()))
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return left.join(right, [*by, "block"]).select("band", "left", "right").mapInArrow(run, "a long, b long")
+    return left.join(right, [*by, "block"]).select("band", "left", "right").mapInArrow(vec.released(run), "a long, b long")
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, *more: str) -> DataFrame:
@@ -279,7 +279,7 @@ def _verified(pairs: DataFrame, bags: DataFrame, *more: str) -> DataFrame:
 
     left = bags.select(F.col("node").alias("a"), F.col("keys").alias("ka"), F.col("weights").alias("wa"))
     right = bags.select(F.col("node").alias("b"), F.col("keys").alias("kb"), F.col("weights").alias("wb"))
-    return pairs.select(*cols).join(left, "a").join(right, "b").select(*cols, "ka", "wa", "kb", "wb").mapInArrow(run, ", ".join(f"{c} long" for c in cols))
+    return pairs.select(*cols).join(left, "a").join(right, "b").select(*cols, "ka", "wa", "kb", "wb").mapInArrow(vec.released(run), ", ".join(f"{c} long" for c in cols))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -378,4 +378,4 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 keep[gone or []] = False
                 yield rows.filter(pa.array(keep))
 
-    return packed.select("sid", "blob").join(drop, "sid", "left").mapInArrow(run, docs.schema)
+    return packed.select("sid", "blob").join(drop, "sid", "left").mapInArrow(vec.released(run), docs.schema)

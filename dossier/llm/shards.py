@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import vec
 from .common import partitions, stash
 
 SHARD_BYTES = 4 << 20
@@ -95,7 +96,7 @@ def pack(docs: DataFrame, text_col: str = "text", size: int = SHARD_BYTES) -> Da
         if held:
             yield out()
 
-    return stash(docs.mapInArrow(run, "sid string, rows int, bytes long, blob binary"), "shards")
+    return stash(docs.mapInArrow(vec.released(run), "sid string, rows int, bytes long, blob binary"), "shards")
 
 
 def unpack(blob: bytes) -> pa.RecordBatch:

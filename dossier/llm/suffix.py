@@ -495,11 +495,11 @@ def _marked(docs: DataFrame, id_col: str, text_col: str):
             yield batch, data, offs, cut_of(len(data), offs, (gone, np.cumsum(removed), np.cumsum(low), *more), shards.answers_of(there, np.uint32))
 
     same = W.partitionBy("digest", "size")
-    copies = s.mapInArrow(whole, "sid string, digest binary, size long, least long").withColumn("first", F.min("least").over(same)).where("least > first")
+    copies = s.mapInArrow(vec.released(whole), "sid string, digest binary, size long, least long").withColumn("first", F.min("least").over(same)).where("least > first")
     met = s.join(copies.groupBy("sid").agg(F.collect_list("digest").alias("copies")), "sid", "left")
-    keys = shards.exchange(met.mapInArrow(first, shards.KEYS), np.uint8, met_anchors)
+    keys = shards.exchange(met.mapInArrow(vec.released(first), shards.KEYS), np.uint8, met_anchors)
     met = met.join(keys.withColumnRenamed("answers", "met"), "sid", "left")
-    there = shards.exchange(met.mapInArrow(second, shards.KEYS), np.int64, smaller_elsewhere, np.uint8)
+    there = shards.exchange(met.mapInArrow(vec.released(second), shards.KEYS), np.int64, smaller_elsewhere, np.uint8)
     return s.join(there.withColumnRenamed("answers", "there"), "sid", "left"), third
 
 
@@ -518,7 +518,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    return ready.mapInArrow(run, f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return ready.mapInArrow(vec.released(run), f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
@@ -543,4 +543,4 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 cols.append(c)
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
 
-    return ready.mapInArrow(run, schema)
+    return ready.mapInArrow(vec.released(run), schema)

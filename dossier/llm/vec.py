@@ -37,6 +37,22 @@ def inverse_powers(i: np.ndarray) -> np.ndarray:
     return near[i % CHUNK] * far[i // CHUNK]
 
 
+def released(run):
+    """run, giving freed memory back to the system after each batch of results: workers live on through stages, and the next may have another use for it."""
+
+    def each(batches):
+        import ctypes
+
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        for out in run(batches):
+            yield out
+            pa.default_memory_pool().release_unused()
+            if trim:
+                trim(0)
+
+    return each
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> U(31))) * U(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> U(29))) * U(0x94D049BB133111EB)
