@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
@@ -22,6 +23,22 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str, reject:
     return spark.read.schema(full.add("_corrupt_record", "string")).json(path, mode="PERMISSIVE")
 
 
+def read_numbered_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(rows under the schema, rejected lines as file, line, text) of JSON lines; a byte-order mark is dropped, blank lines are passed over.
+
+    A line's number is its place in its split and the lines of the file's splits before it, so files of any number of splits are read in parallel."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    t = spark.read.text(path).select("value", at.alias("at"), F.monotonically_increasing_id().alias("id")).select("value", "at.file", "at.block", "id")
+    splits = t.groupBy("file", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("file", "block", "first", before.alias("before"))
+    text = F.regexp_replace("value", "^\ufeff", "")
+    parsed = F.from_json(text, f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    r = t.where(F.length(F.trim(text)) > 0).join(splits, ["file", "block"]).select("file", (F.col("before") + F.col("id") - F.col("first") + 1).alias("line"), text.alias("text"), parsed.alias("row"))
+    bad = F.col("row").isNull() | F.col("row._corrupt_record").isNotNull()
+    return r.where(~bad).select("file", "line", "row.*").drop("_corrupt_record"), r.where(bad).select("file", "line", "text")
+
+
 def read_json_document(spark: SparkSession, path: str) -> DataFrame:
     """A8."""
     return spark.read.json(path, multiLine=True)

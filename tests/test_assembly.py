@@ -11,6 +11,7 @@ from dossier.operators import assembly as a
 from dossier.operators import chapters as c
 from dossier.operators import headings as h
 from dossier.operators import narrative as n
+from dossier.sources import tables
 from dossier.sources.stages import Stages
 
 ISSUER = "青山木石"
@@ -315,3 +316,22 @@ def test_stage_tables(spark, tmp_path):
     assert sorted((x["stage"], x["run_id"] if x["stage"] == "a" else "", x["status"]) for x in st.log().collect()) == [("a", "one", "COMPLETED"), ("a", "one", "FAILED"), ("a", "three", "COMPLETED"), ("a", "two", "FAILED"), ("b", "", "COMPLETED")]
 
 
+
+
+def test_rejected_lines_keep_their_numbers(spark, tmp_path):
+    """Line numbers run through a file of many splits."""
+    bad = {1, 700, 1999}
+    lines = ["{oops" if i in bad else '{"a": %d, "t": "%s"}' % (i, "x" * (i % 90)) for i in range(2000)]
+    lines[5] = ""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.jsonl").write_text("\ufeff" + "\n".join(lines) + "\n", encoding="utf-8")
+    (tmp_path / "in" / "two.jsonl").write_text('{"a": 1}\n[1\n', encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        rows, rejected = tables.read_numbered_jsonl(spark, str(tmp_path / "in"), "a int, t string")
+        assert sorted((x["file"].rsplit("/", 1)[1], x["line"]) for x in rejected.collect()) == [("one.jsonl", 2), ("one.jsonl", 701), ("one.jsonl", 2000), ("two.jsonl", 2)]
+        got = {x["a"]: x["line"] for x in rows.where("file like '%one%'").collect()}
+        assert got == {i: i + 1 for i in range(2000) if i not in bad | {5}}
+        assert spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
