@@ -192,6 +192,37 @@ def extract_dates(evidence: DataFrame, table=DATES, keys=("company_id", "event_i
     return m.withColumn("first", F.row_number().over(w)).where("first = 1").drop("first").withColumn("date_key", date_key(F.col("date_text")))
 
 
+def date_facts(candidates: DataFrame, found: DataFrame, keys=("company_id", "event_id"), order: str = "evidence_id") -> DataFrame:
+    """I8: the dates of an event from three origins: its candidate's roles, the candidate's period, and what extract_dates() found; each (role, date text) once, from
+    the first origin that has it.
+
+    candidates: keys, date_roles (map of role to dates), period. Adds source, confidence and source_evidence (null for the first two)."""
+    keys = list(keys)
+    roles = candidates.select(*keys, F.explode("date_roles").alias("date_role", "days")).select(*keys, "date_role", F.posexplode("days").alias("at", "date_text"))
+    none = F.lit(None).cast(found.schema[order].dataType).alias("source_evidence")
+    mine = roles.select(*keys, "date_role", "date_text", F.lit(1).alias("origin"), "at", none)
+    period = candidates.where(F.coalesce("period", F.lit("")) != "").select(*keys, F.lit("event_period").alias("date_role"), F.col("period").alias("date_text"), F.lit(2).alias("origin"), F.lit(0).alias("at"), none)
+    rest = found.select(*keys, "date_role", "date_text", F.lit(3).alias("origin"), "at", F.col(order).alias("source_evidence"))
+    every = mine.unionByName(period).unionByName(rest)
+    first = F.row_number().over(W.partitionBy(*keys, "date_role", "date_text").orderBy("origin", "source_evidence", "at"))
+    every = every.withColumn("first", first).where("first = 1")
+    source = F.when(F.col("origin") == 1, "CANDIDATE_DATE_ROLE").when(F.col("origin") == 2, "CANDIDATE_PRIMARY_DATE").otherwise("EVIDENCE_REGEX")
+    sure = F.when(F.col("origin") == 1, 0.96).when(F.col("origin") == 2, 0.98).otherwise(0.88)
+    return every.select(*keys, "date_role", "date_text", date_key(F.col("date_text")).alias("date_key"), source.alias("source"), "source_evidence", sure.alias("confidence"))
+
+
+def with_providers(parties: DataFrame, candidates: DataFrame, evidence: DataFrame, keys=("company_id", "event_id"), order: str = "evidence_id") -> DataFrame:
+    """Parties with the service providers that the event's candidate names, under its first evidence; a name once for each event.
+
+    candidates: keys, providers (array). parties: what extract_parties() gives."""
+    keys = list(keys)
+    c = candidates.select(*keys, F.posexplode("providers").alias("part", "raw")).withColumn("party_name", party_name(F.col("raw"))).where(plausible_party(F.col("party_name")))
+    first = evidence.groupBy(*keys).agg(F.min(order).alias(order))
+    c = c.groupBy(*keys, "party_name").agg(F.min("part").alias("part")).join(first, keys, "left")
+    more = c.select(*keys, order, F.lit(0).alias("at"), "part", F.lit("SERVICE_PROVIDER").alias("party_role"), "party_name", F.col("party_name").alias("identity_key"), F.lit("PROFESSIONAL_SERVICE_PROVIDER").alias("party_type"), F.lit(0.95).alias("confidence"))
+    return parties.unionByName(more)
+
+
 # Roles from which a transaction takes its date, best first.
 DATE_PREFERENCE = ["registration_date", "effective_date", "resolution_date", "agreement_date", "event_period"]
 

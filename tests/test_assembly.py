@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from dossier.functions import rules as r
 from dossier.operators import assembly as a
 from dossier.operators import chapters as c
+from dossier.operators import extraction as x
 from dossier.operators import headings as h
 from dossier.operators import narrative as n
 from dossier.sources import tables
@@ -335,3 +336,16 @@ def test_rejected_lines_keep_their_numbers(spark, tmp_path):
         assert spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > 4
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_dates_and_providers_of_candidates(spark):
+    ev = spark.createDataFrame([("c", 1, 1, "2010年3月8日，公司召开股东会。2010年4月1日完成工商变更登记。张三将其持有的公司股权转让给测试投资有限公司。")], "company_id string, event_id long, evidence_id int, evidence_text string")
+    found = x.extract_dates(ev)
+    text = found.first()
+    cand = spark.createDataFrame([("c", 1, {text["date_role"]: [text["date_text"], "2010-05"], "event_period": ["2010-03"]}, "2010-03", ["评估机构", "评估机构", "某某会计师事务所"])], "company_id string, event_id long, date_roles map<string,array<string>>, period string, providers array<string>")
+    got = {(r_["date_role"], r_["date_text"]): (r_["source"], r_["confidence"]) for r_ in x.date_facts(cand, found).collect()}
+    assert got[text["date_role"], text["date_text"]] == ("CANDIDATE_DATE_ROLE", 0.96) and got["event_period", "2010-03"][0] == "CANDIDATE_DATE_ROLE"
+    assert len(got) == 3 + found.count() - 1 and "EVIDENCE_REGEX" in {v[0] for v in got.values()}
+    parties = x.extract_parties(ev)
+    more = x.with_providers(parties, cand, ev).where("party_role = 'SERVICE_PROVIDER'").collect()
+    assert sorted(r_["party_name"] for r_ in more) == ["某某会计师事务所", "评估机构"] and {r_["evidence_id"] for r_ in more} == {1} and x.with_providers(parties, cand, ev).count() == parties.count() + 2
