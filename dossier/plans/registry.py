@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import candidates, events, filings, investing, narratives, paging, sections, storage
+from . import candidates, contracts, events, filings, investing, narratives, paging, sections, storage
 
-MODULES: list = [filings, paging, sections, candidates, events, investing, narratives, storage]
+MODULES: list = [filings, paging, sections, candidates, events, investing, contracts, narratives, storage]
 
 
 def queries() -> dict:
