@@ -295,6 +295,33 @@ def test_titles_are_held_once(spark):
     assert plan.count("regexp_replace") < 40
 
 
+def rows_joined(df):
+    """The most rows that a join of the plan gives."""
+    def most(plan):
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return most(plan.executedPlan())
+        own = plan.metrics().get("numOutputRows").get().value() if "Join" in name else 0
+        below = plan.children()
+        inner = [plan.plan()] if name.endswith("QueryStage") else []
+        return max([own, *[most(below.apply(i)) for i in range(below.size())], *[most(x) for x in inner]])
+
+    df.collect()
+    return most(df._jdf.queryExecution().executedPlan())
+
+
+def test_contents_entries_are_counted_before_they_meet(spark):
+    """Equal titles and shared aliases count each entry once; headings don't meet entries one by one."""
+    titles = ["发行人的设立及历次股本变化", "历次股权转让情况", "发行人历史沿革", "无名标题"]
+    rows = [("c", i, titles[i % 4], "BODY_HEADING" if i < 400 else "TOC_ENTRY", ["equity_history"] if i % 5 else ["equity_history", "shareholders"]) for i in range(800)]
+    got = h.toc_support(spark.createDataFrame(rows, "company_id string, heading_no int, core string, heading_class string, types array<string>"))
+    most = rows_joined(got)
+    keys = {t: set(spark.range(1).select(h.matched_aliases(F.lit(t)).alias("a")).first()["a"]) | {t} for t in titles}
+    want = {(i, k): sum(1 for _, _, t, kind, ks in rows if kind == "TOC_ENTRY" and k in ks and keys[t] & keys[core]) for _, i, core, kind_, types in rows if kind_ == "BODY_HEADING" for k in types}
+    assert {(x["heading_no"], x["type"]): x["toc_support"] for x in got.collect()} == want
+    assert most <= 800
+
+
 # --- stage tables
 
 
