@@ -146,6 +146,18 @@ def test_merge_rules(spark, one_, other, merged):
     assert [(r["a"], r["b"]) for r in sec.merge_edges(df).collect()] == ([(2, 1)] if merged else [])
 
 
+def test_pairs_of_sections_are_made_in_many_tasks(spark, tmp_path):
+    """Sections of one small file meet in several tasks; undecided pairs alone have their titles measured."""
+    rows = [(f"c{i % 8}", i, i // 40, "CAPITAL_INCREASE", None, [], ["第一次增资情况", "第一次增资的情况", "abc"][i % 3], i * 10, i * 10 + 5, False, False) for i in range(320)]
+    spark.createDataFrame(rows, SECTION).coalesce(1).write.parquet(f"{tmp_path}/sections")
+    got = sec.merge_edges(spark.read.parquet(f"{tmp_path}/sections"))
+    assert sum(n > 0 for n in got.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()) > 2
+    flat = {r[1]: r for r in rows}
+    alike = lambda a, b: flat[a][6] == flat[b][6] or "abc" not in (flat[a][6], flat[b][6])
+    want = {(a, b) for a in flat for b in flat if b < a and flat[a][0] == flat[b][0] and flat[a][2] - flat[b][2] <= 2 and alike(a, b)}
+    assert {(r["a"], r["b"]) for r in got.collect()} == want
+
+
 def test_roots_of_a_page(spark):
     """Summaries, particulars, references and wrappers head no section; a bare heading soon after its kind goes; a nested child goes."""
     lines = [
