@@ -192,6 +192,17 @@ def test_rule_documents(spark, tmp_path):
         read_event_rules(spark, f"{tmp_path}/x.json")
 
 
+def test_complete_categories_are_not_compared(spark):
+    """After two kept texts the rest of a category costs no comparison; null categories are one group, and a null text is like none."""
+    slow = ["".join(random.Random(i).choice("甲乙") for _ in range(1000)) for i in range(2)]
+    df = spark.createDataFrame([("c", "k", 1, "first"), ("c", "k", 2, slow[0]), ("c", None, 1, None), ("c", None, 2, None), ("c", None, 3, "x")], "company_id string, category string, seq int, text string")
+    rest = spark.range(3, 3000).select(F.lit("c").alias("company_id"), F.lit("k").alias("category"), F.col("id").cast("int").alias("seq"), F.lit("first" + slow[1][:995]).alias("text"))
+    got = sorted((r["category"] or "", r["seq"]) for r in sec.near_copies_dropped(df.unionByName(rest)).collect())
+    assert got == [("", 1), ("", 2), ("k", 1), ("k", 2)]
+    plan = sec.near_copies_dropped(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_shareholder_evidence_judges_all_events(spark):
     from difflib import SequenceMatcher
 
