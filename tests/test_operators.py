@@ -362,3 +362,18 @@ def test_stream_equals_batch(spark, tmp_path):
     q = s.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start(f"{tmp_path}/out")
     q.awaitTermination(60)
     assert sorted(map(str, spark.read.parquet(f"{tmp_path}/out").collect())) == sorted(map(str, se.annotated(df).collect()))
+
+
+def test_a_partys_name_is_worked_out_once(spark):
+    """The plan of parties holds the expressions of a name once, and a name is searched only in runs of characters that hold a word after it."""
+    texts = ["甲" * 50 + "认购，乙公司认购丙公司增资入股", "张三将其持有的股份转让给李四。", "无", None, "王五受让公司股权"]
+    e = spark.createDataFrame([("c", 1, i, t) for i, t in enumerate(texts)], "company_id string, event_id int, evidence_id int, evidence_text string")
+    df = x.extract_parties(e)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") < 20
+    for i, (_, p, _) in enumerate(x.PARTIES):
+        got = e.select(x._name_matches(F.coalesce("evidence_text", F.lit("")), p).alias("a"), F.regexp_extract_all(F.coalesce("evidence_text", F.lit("")), F.lit(p), F.lit(0)).alias("b")).collect()
+        assert all(r.a == r.b for r in got), i
+    numbers = spark.createDataFrame([("1,2万元34股5股..6%7%%，8股12.5万股元9",), ("注册资本由1万元增加至1,234.50万元",)], "t string")
+    for _, p, _ in x.NUMERIC:
+        r = numbers.select(F.regexp_extract_all("t", F.lit(p), F.lit(0)).alias("a"), F.regexp_extract_all("t", F.lit(x.possessive(p)), F.lit(0)).alias("b")).collect()
+        assert all(q.a == q.b for q in r), p
