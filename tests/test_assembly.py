@@ -376,3 +376,15 @@ def test_dates_and_providers_of_candidates(spark):
     parties = x.extract_parties(ev)
     more = x.with_providers(parties, cand, ev).where("party_role = 'SERVICE_PROVIDER'").collect()
     assert sorted(r_["party_name"] for r_ in more) == ["某某会计师事务所", "评估机构"] and {r_["evidence_id"] for r_ in more} == {1} and x.with_providers(parties, cand, ev).count() == parties.count() + 2
+
+
+def test_pages_of_a_filing_are_counted_without_their_texts(spark):
+    """Lines come with the line after them, and numbering headings drops equal rows: no window over lines, and no aggregate of headings."""
+    df = spark.createDataFrame([("c", 1, ["第一节", "历史沿革", "一、股本演变情况"]), ("c", 2, ["一、股本演变情况", "x"]), ("c", 2, ["一、股本演变情况", "x"])], "company_id string, pdf_page int, lines array<string>")
+    lines = h.page_lines(h.toc_flags(df))
+    none = spark.createDataFrame([], "company_id string, line string, pages long")
+    fast, slow = h.headings(lines, none), h.headings(lines.drop("next").dropDuplicates(), none)
+    key = lambda d: sorted((r.pdf_page, r.line_index, r.merged, r.raw, r.core, r.heading_no) for r in d.collect())
+    assert key(fast) == key(slow) and [r[-1] for r in key(fast)] == [1, 2, 3] and any(r[2] for r in key(fast))
+    plan = fast._jdf.queryExecution().optimizedPlan().toString()
+    assert "lead(" not in plan and "Aggregate" not in plan
