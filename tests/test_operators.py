@@ -377,3 +377,28 @@ def test_a_partys_name_is_worked_out_once(spark):
     for _, p, _ in x.NUMERIC:
         r = numbers.select(F.regexp_extract_all("t", F.lit(p), F.lit(0)).alias("a"), F.regexp_extract_all("t", F.lit(x.possessive(p)), F.lit(0)).alias("b")).collect()
         assert all(q.a == q.b for q in r), p
+
+
+def test_pages_without_a_number_are_dealt_and_pages_met_once(spark):
+    rows = [("c", i, None, None, "MISSING") for i in range(1, 201)] + [("c", i, "1-1", i - 2, "CONFIRMED") for i in (300, 301, 304)] + [("c", i, None, None, "MISSING") for i in (302, 303, 305)]
+    n = spark.createDataFrame(rows, "company_id string, pdf_page int, prefix string, number int, status string")
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        w = p.confirm_weak(n)
+        tasks = w.where("status = 'MISSING'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        filled = p.fill_numbers(w, p.page_segments(w))
+        assert filled._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    got = {r["pdf_page"]: (r["prefix"], r["number"], r["status"]) for r in filled.where("pdf_page >= 300").collect()}
+    assert got == {300: ("1-1", 298, "CONFIRMED"), 301: ("1-1", 299, "CONFIRMED"), 302: ("1-1", 300, "INFERRED"), 303: ("1-1", 301, "INFERRED"), 304: ("1-1", 302, "CONFIRMED"), 305: (None, None, "MISSING")}
+
+
+def test_candidates_of_edge_lines_keep_every_form(spark):
+    lines = ["1-1-5", "1 - 1 - 6", "第 7 页", "x招股说明书：1-1-8", "招股说明书 9 节", "1999", "2001年5月", "12", "12-3", "1—1—4"]
+    pages = spark.createDataFrame([("c", 1, 10, lines)], "company_id string, pdf_page int, page_count int, lines array<string>")
+    got = {(r["line_index"], r["position"], r["pattern"], r["prefix"], r["number"]) for r in p.page_number_candidates(pages).collect()}
+    both = {(i, at, "EXACT_PREFIXED" if pre else "EXACT_CHINESE", pre, no) for i, pre, no in ((0, "1-1", 5), (1, "1-1", 6), (2, None, 7), (9, "1-1", 4)) for at in (["HEADER"] if i < 2 else ["FOOTER"] if i > 7 else ["HEADER", "FOOTER"])}
+    assert got == both | {(3, "HEADER", "PROSPECTUS_HEADER_PREFIXED", "1-1", 8), (7, "FOOTER", "EXACT_BARE", None, 12)}
