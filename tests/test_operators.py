@@ -402,3 +402,15 @@ def test_candidates_of_edge_lines_keep_every_form(spark):
     got = {(r["line_index"], r["position"], r["pattern"], r["prefix"], r["number"]) for r in p.page_number_candidates(pages).collect()}
     both = {(i, at, "EXACT_PREFIXED" if pre else "EXACT_CHINESE", pre, no) for i, pre, no in ((0, "1-1", 5), (1, "1-1", 6), (2, None, 7), (9, "1-1", 4)) for at in (["HEADER"] if i < 2 else ["FOOTER"] if i > 7 else ["HEADER", "FOOTER"])}
     assert got == both | {(3, "HEADER", "PROSPECTUS_HEADER_PREFIXED", "1-1", 8), (7, "FOOTER", "EXACT_BARE", None, 12)}
+
+
+def test_lines_that_head_nothing_leave_before_titles_are_worked_out(spark):
+    from dossier.operators import headings as h
+
+    lines = ["一、股本演变情况", "（一）", "历次增资情况", "一般内容", "发行人 基本情况", "1"]
+    pages = spark.createDataFrame([("c", i, lines, False) for i in (1, 2)], "company_id string, pdf_page int, lines array<string>, is_toc boolean")
+    got = h.headings(h.page_lines(pages), p.repeated_edge_lines(pages))
+    assert {(r["pdf_page"], r["line_index"], r["merged"], r["core"]) for r in got.collect()} == {(i, *x) for i in (1, 2) for x in ((0, False, "股本演变情况"), (1, True, "历次增资情况"), (4, False, "发行人基本情况"))}
+    left = h.heading_units(h.page_lines(pages), only=lambda own: own.rlike("^一、|发行人基本"))
+    assert {r["flat"] for r in left.collect()} == {"一、股本演变情况", "发行人基本情况"}
+    assert {(r["line"], r["pages"]) for r in p.repeated_edge_lines(pages).collect()} == {(x, 2) for x in ("一、股本演变情况", "（一）", "历次增资情况", "一般内容", "发行人基本情况")}
