@@ -41,3 +41,11 @@ def test_first_facts_across_batches(spark):
 def test_facts_are_not_sorted(spark):
     p = plan(filings.numeric_facts(spark, SF))
     assert p.count("MapInArrow") == 1 and "Window" not in p.split("MapInArrow")[0] and "Generate" not in p.split("MapInArrow")[0]
+
+
+def test_only_the_types_read(spark, monkeypatch):
+    asked, extract = [], x.extract_numeric
+    monkeypatch.setattr(x, "extract_numeric", lambda e, table=x.NUMERIC: asked.append([r[0] for r in table]) or extract(e, table))
+    filings.ratio_check(spark, SF)
+    filings.review_queue(spark, SF)
+    assert asked == [["EQUITY_RATIO"]] * 2
