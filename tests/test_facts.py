@@ -54,3 +54,7 @@ def test_only_the_types_read(spark, monkeypatch):
 def test_texts_of_known_events_leave_first(spark):
     p = plan(filings.orphan_facts(spark, SF))
     assert p.index("MapInArrow") < p.index("LeftAnti")
+
+
+def test_facts_of_duplicates_are_found_once(spark):
+    assert plan(filings.duplicate_facts(spark, SF)).count("MapInArrow") == 1
