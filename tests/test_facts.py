@@ -58,3 +58,8 @@ def test_texts_of_known_events_leave_first(spark):
 
 def test_facts_of_duplicates_are_found_once(spark):
     assert plan(filings.duplicate_facts(spark, SF)).count("MapInArrow") == 1
+
+
+def test_values_are_found_once_and_dealt(spark):
+    p = plan(filings.validation_ids(spark, SF))
+    assert "regexp_extract_all" not in p and "RepartitionByExpression [company_id" in p
