@@ -388,3 +388,20 @@ def test_pages_of_a_filing_are_counted_without_their_texts(spark):
     assert key(fast) == key(slow) and [r[-1] for r in key(fast)] == [1, 2, 3] and any(r[2] for r in key(fast))
     plan = fast._jdf.queryExecution().optimizedPlan().toString()
     assert "lead(" not in plan and "Aggregate" not in plan
+
+
+def test_shareholder_windows_are_cut_out_of_sorted_lines(spark):
+    """Pages give what their lines give; a window's lines meet in no join, and are shuffled as often as the lines themselves: once."""
+    rng = random.Random(5)
+    terms = [t for ts in r.EVENT_RULES.categories.values() for t in ts]
+    pages = [("c" if p < 60 else "d", 1 + p, [rng.choice("甲乙丙丁") * rng.randint(1, 9) + (rng.choice(terms) if rng.random() < 0.06 else "") for _ in range(rng.randint(0, 7))]) for p in range(120)]
+    of_pages = a.shareholder_evidence_of_pages(spark.createDataFrame(pages, "company_id string, page int, lines array<string>").repartition(7))
+    units = [(c, g, p, 0, line) for c in "cd" for g, (p, line) in enumerate((p, line) for k, p, lines in pages if k == c for line in lines)]
+    got = sorted((x["company_id"], x["category"], x["evidence_no"], x["page"], x["last_page"], x["text"], x["signals"]) for x in of_pages.collect())
+    want = sorted((c, *x) for c in "cd" for x in plain_holders([(g, p, line) for k, g, p, _, line in units if k == c]))
+    assert got == want and len(got) > 12
+    assert got == sorted((x["company_id"], x["category"], x["evidence_no"], x["page"], x["last_page"], x["text"], x["signals"]) for x in a.shareholder_evidence(spark.createDataFrame(units, UNIT)).collect())
+    plan = of_pages._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan and plan.count("RepartitionByExpression") == 1
+    spaced = spark.createDataFrame([("c", 3, ["甲", "主 要\u3000股东", None, "乙 "]), ("c", 9, []), ("c", 10, None)], "company_id string, page int, lines array<string>")
+    assert [(x["category"], x["page"], x["last_page"], x["text"], x["signals"]) for x in a.shareholder_evidence_of_pages(spaced).collect()] == [("MAJOR_SHAREHOLDERS", 3, 3, "甲\n主 要\u3000股东\n乙", ["MAJOR_SHAREHOLDERS:主要股东"])]
