@@ -1,6 +1,7 @@
 """Candidates from sections, recovery of a set-up, evidence of shareholders, chapters of a filing: against plain statements of their rules."""
 
 import random
+import re
 from difflib import SequenceMatcher
 
 import pytest
@@ -405,3 +406,36 @@ def test_shareholder_windows_are_cut_out_of_sorted_lines(spark):
     assert "Join" not in plan and "Generate" not in plan and plan.count("RepartitionByExpression") == 1
     spaced = spark.createDataFrame([("c", 3, ["甲", "主 要\u3000股东", None, "乙 "]), ("c", 9, []), ("c", 10, None)], "company_id string, page int, lines array<string>")
     assert [(x["category"], x["page"], x["last_page"], x["text"], x["signals"]) for x in a.shareholder_evidence_of_pages(spaced).collect()] == [("MAJOR_SHAREHOLDERS", 3, 3, "甲\n主 要\u3000股东\n乙", ["MAJOR_SHAREHOLDERS:主要股东"])]
+
+
+def test_master_sections_against_a_fold(spark):
+    """Words run over page breaks, short and missing pages and contents included; pages meet those after them in blocks."""
+    rng = random.Random(9)
+    context, names = r.MASTER["context"], ["第五节 发行人基本情况", "第 六 节 公司基本情况", "第七节 业务与技术", "第五节发行人基本情况", "甲节乙"]
+    books = {}
+    for company in range(12):
+        text = ["".join(rng.choice([*context, "甲", "乙"]) for _ in range(rng.choice([0, 1, 3, 8]))) for _ in range(rng.randint(3, 30))]
+        cut = ["".join(text[:i])[-rng.randint(0, 9) :] for i in range(len(text))]  # ends and starts of words on pages of their own
+        books[str(company)] = {500 + p: [rng.choice(["x", "目录"]) if rng.random() < 0.1 else "x", *([rng.choice(names)] if rng.random() < 0.5 else []), *([rng.choice(names)] if rng.random() < 0.2 else []), t] for p, t in enumerate(text + cut) if rng.random() < 0.9}
+    df = h.toc_flags(spark.createDataFrame([(k, p, ls) for k, b in books.items() for p, ls in b.items()], "company_id string, pdf_page int, lines array<string>"))
+    counts = df.groupBy("company_id").agg(F.max("pdf_page").alias("page_count"))
+    got = c.master_sections(df, counts)
+    have = {x["company_id"]: (x["start_page"], x["title"], x["context_support"], x["confidence"], x["status"], x["end_page"]) for x in got.collect()}
+    toc = {(x["company_id"], x["pdf_page"]) for x in df.where("is_toc").collect()}
+    squash = lambda x: "".join(x.split())
+    for k, book in books.items():
+        told = [(p, i, m.group()) for p, ls in sorted(book.items()) if (k, p) not in toc for i, x in enumerate(ls) if (m := re.search(r"第[一二三四五六七八九十百\d]+节.*$", squash(x)))]
+        own, last, best = [x for x in told if any(a_ in x[2] for a_ in r.MASTER["aliases"])], max(book), []
+        for p, i, tail in own:
+            near = "".join(squash("".join(book[q])) for q in range(p, p + 4) if q in book)
+            support = sum(w in near for w in context)
+            score = round(min(1.0, 0.7 + min(support, 5) * 0.05 + 0.05 * (support >= 2) + 0.05 * (p <= last // 2)), 6)
+            best.append((-score, p, i, tail, support))
+        if not best:
+            assert have[k][:2] == (None, None)
+            continue
+        s, p, _, tail, support = min(best)
+        ends = [q for q, _, t in told if q > p and t != tail and (q, t) not in {(x[0], x[2]) for x in own}]
+        end = max(p, min(ends) - 1) if ends else min(last, p + 119)
+        assert have[k] == (p, tail, support, round(-s, 3), "CONFIRMED_BY_NEXT_MAJOR_SECTION" if ends else "CAPPED_BY_MAX_SPAN", end), k
+    assert "regexp" not in got._jdf.queryExecution().optimizedPlan().toString().lower()  # texts are read once, before
