@@ -439,3 +439,20 @@ def test_master_sections_against_a_fold(spark):
         end = max(p, min(ends) - 1) if ends else min(last, p + 119)
         assert have[k] == (p, tail, support, round(-s, 3), "CONFIRMED_BY_NEXT_MAJOR_SECTION" if ends else "CAPPED_BY_MAX_SPAN", end), k
     assert "regexp" not in got._jdf.queryExecution().optimizedPlan().toString().lower()  # texts are read once, before
+
+
+def test_signals_look_at_a_pages_text_once(spark):
+    """What pages tell, with white space inside words, dashes of all kinds, both forms of dates, and no text at all."""
+    from dossier.operators import units as u
+
+    texts = [["增 资，2001年", "1月3日 股权　转让"], ["2003—5—6 减资", "1999/1/2，2003-5"], ["补充法律意见书"], [], None, ["二〇〇一年", "19年", "2001.7 整体变更", None], ["x" * 200]]
+    df = spark.createDataFrame(list(enumerate(texts)), "pdf_page int, lines array<string>").withColumn("company_id", F.lit("c"))
+    flat = F.array_join(F.transform("lines", u.norm), "")
+    want = {x["pdf_page"]: (x["k"], x["d"]) for x in df.select("pdf_page", F.array(*[flat.rlike("|".join(ts)) for _, ts in sorted(r.WINDOW["categories"].items())]).alias("k"), F.array_sort(u.dates_of(flat)).alias("d")).collect()}
+    got = c.page_signals(df)
+    for x in got.collect():
+        hits, dates = want[x["pdf_page"]]
+        assert (x["categories"], x["dates"]) == ([k for k, hit in zip(sorted(r.WINDOW["categories"]), hits, strict=True) if hit], dates), x
+        assert x["excluded"] == [t for t in r.WINDOW["exclude"] if t in "".join(y or "" for y in texts[x["pdf_page"]] or [])]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("regexp_replace") <= 2 and "transform(lines" not in plan
